@@ -174,6 +174,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_APART = _SPACE.copy()
+_APART[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GEN = np.random.Generator(np.random.PCG64(20240229))
@@ -218,10 +220,11 @@ class WordTable:
     first[i]:first[i + 1] are the words of text i; start, end are byte positions in `data`.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, marks: bool = True):
+        """Without `marks`, ASCII punctuation separates words as white space does."""
         n = len(data)
         up, down = _Pow.get(n + 1)
-        space = _SPACE[data]
+        space = (_SPACE if marks else _APART)[data]
         edge = np.empty(n + 1, dtype=bool)  # a word may also begin or end where a text does
         word = ~space
         cut = np.zeros(n + 1, dtype=bool)

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, shards
-from .common import read
+from . import chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, toxicity
+from .common import read, schema_of
+from .learning import may_learn
+
+#: The tokenizer of the token queries.
+TOKENIZER = "word_bpe_49k.json"
 
 # --- 1 ---
 
@@ -56,6 +62,16 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+# --- 3 ---
+
+
+def op3_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """held_out rows lend no label. A row is kept unless its score is under 0.5."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    out = quality.scored(docs, quality.fitted(docs, labels))
+    return out.select("doc_id", F.coalesce(~may_learn(), F.lit(False)).alias("held_out"), "content_score", "meta_score", F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
 # --- 4 ---
 
 
@@ -63,10 +79,75 @@ def op4_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), n=5, percent=75)
 
 
+# --- 5 ---
+
+
+def op5_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1, length=2048, with_ids=False)
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "window")
+
+
+# --- 6 ---
+
+
+def op6_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the store, then asks its index for every document and reads each one's ids back."""
+    docs = read(spark, sf_dir, "documents")
+    store = token_store.write_store(docs, "doc_id", token_store.new_store_path(spark), public_tokenizers.path(TOKENIZER), end_id=2)
+    ids = token_store.fetch(store, token_store.lookup(store, token_store.numbered(docs, "doc_id")))
+    rows = token_store.ids_crc(ids, store.width, ["key", "shard", "at", "length"])
+    return rows.join(store.shards, "shard").select(F.col("key").alias("doc_id"), (F.col("tokens_before") + F.col("at")).cast("long").alias("start"), F.col("length").alias("n_tokens"), "ids_crc32")
+
+
+# --- 7 ---
+
+
+def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_next(read(spark, sf_dir, "documents"))
+
+
+# --- 8 ---
+
+
+def op8_latent_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+# --- 9 ---
+
+
+def op9_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    out = toxicity.scored(docs, toxicity.fitted(docs, labels))
+    return out.select("doc_id", F.coalesce(~may_learn(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("sentences").alias("toxic_sentences"))
+
+
+# --- 10 ---
+
+
+def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(batches):
+        for b in batches:
+            got = list(zip(*[secret_scan.digests(x) for x in b.column("spans").to_pylist()], strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in got[:3]], *[pa.array(c, pa.string()) for c in got[3:]]], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+
+    return secret_scan.scan(read(spark, sf_dir, "documents")).mapInArrow(digest, schema_of("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_chat_format": op1_chat_format,
-    "op2_byte_shards": op2_byte_shards,
-    "op4_minmax_dedup": op4_minmax_dedup,
+    f.__name__: f
+    for f in (
+        op1_chat_format,
+        op2_byte_shards,
+        op3_cotraining_quality,
+        op4_minmax_dedup,
+        op5_mixture_packing,
+        op6_token_index,
+        op7_chunk_fingerprints,
+        op8_latent_decontam,
+        op9_mil_toxicity,
+        op10_entropy_secrets,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL}
