@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import schema_of, tuned
-from .learning import may_learn, sampled, sigmoid
+from .learning import may_learn, platt, sampled, sigmoid
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 _BREAKS = re.compile(r"[.!?\n]")
@@ -52,7 +52,9 @@ def features_of(word: str) -> list[str]:
 class Scorer:
     """Scores of texts; features of words met before are kept."""
 
-    def __init__(self, names: list[str], weight: np.ndarray, bias: float):
+    def __init__(self, names: list[str], weight: np.ndarray, bias: float, scale: tuple[float, float] = (1.0, 0.0)):
+        """scale: slope and shift that calibrate the logit of the noisy-or."""
+        self.scale = scale
         self.at = {n: i for i, n in enumerate(names)}
         self.weight, self.bias = weight, bias
         self.seen: dict[str, tuple[int, ...]] = {}
@@ -94,11 +96,16 @@ class Scorer:
         n, found = self.bag(text)
         p = [(s, e, self.sentence(own)) for s, e, own in found]
         clean = (n - len(p)) * np.log1p(-float(sigmoid(np.array(self.bias)))) + sum(np.log1p(-min(x, 1 - 1e-12)) for _, _, x in p)
-        return float(-np.expm1(clean)), [x for x in p if x[2] >= least]
+        return float(calibrated(np.array([-np.expm1(clean)]), self.scale)[0]), [x for x in p if x[2] >= least]
 
 
-def train(bags: list[tuple[int, list[list[int]]]], y: np.ndarray, features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of the noisy-or model, by Adam on the whole sample."""
+def calibrated(q: np.ndarray, scale: tuple[float, float]) -> np.ndarray:
+    q = np.clip(q, 1e-9, 1 - 1e-9)
+    return sigmoid(scale[0] * (np.log(q) - np.log1p(-q)) + scale[1])
+
+
+def train(bags: list[tuple[int, list[list[int]]]], y: np.ndarray, features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float, tuple[float, float]]:
+    """Weights, bias and calibration of the noisy-or model, by Adam on the whole sample."""
     n = len(bags)
     flat = np.array([f for _, ss in bags for s in ss for f in s], dtype=np.int64)
     size = np.array([len(s) for _, ss in bags for s in ss], dtype=np.int64)
@@ -121,7 +128,7 @@ def train(bags: list[tuple[int, list[list[int]]]], y: np.ndarray, features: int,
         step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(v1 / (1 - 0.999**t)) + 1e-9)
         w -= step[:-1]
         b = min(b - step[-1], -4.0)
-    return w, float(b)
+    return w, float(b), platt(np.log(q) - np.log1p(-q), y)
 
 
 def fitted(documents: DataFrame, labels: DataFrame, rows: int = 20_000, features: int = 3000, least: int = 5) -> Scorer | None:
@@ -177,8 +184,7 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 20_000, features
 
     got = train_docs.mapInArrow(bags, schema_of("doc_id long, y int, n long, found array<array<int>>")).collect()  # at most `rows` rows, feature numbers only
     got.sort(key=lambda r: (r["doc_id"], r["y"]))
-    w, b = train([(r["n"], r["found"]) for r in got], np.array([r["y"] for r in got]), len(names))
-    return Scorer(names, w, b)
+    return Scorer(names, *train([(r["n"], r["found"]) for r in got], np.array([r["y"] for r in got]), len(names)))
 
 
 def scored(documents: DataFrame, model: Scorer | None) -> DataFrame:
@@ -189,7 +195,7 @@ def scored(documents: DataFrame, model: Scorer | None) -> DataFrame:
     if model is None:
         return docs.select("doc_id", F.lit(0.0).alias("score"), F.array().cast(kind).alias("sentences"))
     names = sorted(model.at, key=model.at.get)
-    shared = spark.sparkContext.broadcast((names, model.weight, model.bias))
+    shared = spark.sparkContext.broadcast((names, model.weight, model.bias, model.scale))
     arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
