@@ -1 +1 @@
-"""Pairwise genome alignment chains on Spark."""
+"""Column functions, and order helpers."""

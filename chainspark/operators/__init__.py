@@ -1 +1 @@
-"""Pairwise genome alignment chains on Spark."""
+"""Operators: each takes DataFrames and returns one."""

@@ -1 +1 @@
-"""Pairwise genome alignment chains on Spark."""
+"""Queries over the operators, and whole runs."""

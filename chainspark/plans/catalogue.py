@@ -5,6 +5,459 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import sequences, text
+from ..functions.gaps import gap_cost, gap_cost_sql
+from ..operators import antirepeat, bundle, chains, compare, partition, psl, seeds
+from . import adapters as a
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Chunk sizes for the tables' short chromosomes, in proportion to a genome's defaults.
+CHUNK, OVERLAP, WIDE_CHUNK, QUERY_CHUNK, MAX_BASES, TOLERANCE = 4_000, 100, 40_000, 20_000, 20_000, 100
+WORD = 20
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- partitioning ------------------------------------------------------------------------------------
+
+CHUNKS_SQL = f"""chunks AS (SELECT chrom, s AS "start", least(s + {CHUNK}, size) AS "end" FROM (
+  SELECT chrom, size, unnest(range(0, size, {CHUNK - OVERLAP})) AS s FROM sizes WHERE size >= ({CHUNK} * 0.45)::DOUBLE))"""
+
+
+@query(f"WITH {a.SIZES_SQL}, {CHUNKS_SQL} SELECT * FROM chunks")
+def partition_chunks(spark, d):
+    return partition.chunks(a.sizes(spark, d), CHUNK, OVERLAP)
+
+
+@query(f"WITH {a.SIZES_SQL} SELECT chrom, size, ord FROM sizes WHERE size < ({CHUNK} * 0.45)::DOUBLE")
+def little_scaffolds(spark, d):
+    return partition.small_scaffolds(a.sizes(spark, d), CHUNK)
+
+
+@query(f"""WITH {a.SIZES_SQL}, {CHUNKS_SQL} SELECT chrom, count(*) AS n_chunks, min("start") AS first_base, max("end") AS last_base,
+  sum("end" - "start")::BIGINT AS bases FROM chunks GROUP BY chrom""")
+def chunk_coverage(spark, d):
+    c = partition.chunks(a.sizes(spark, d), CHUNK, OVERLAP)
+    return c.groupBy("chrom").agg(F.count("*").alias("n_chunks"), F.min("start").alias("first_base"), F.max("end").alias("last_base"), F.sum(F.col("end") - F.col("start")).cast("long").alias("bases"))
+
+
+def bulk_sql(sizes: str, chunk: int, name: str = "bulk") -> str:
+    """The fold over small scaffolds as a recursive CTE."""
+    return f"""{name}_in AS (SELECT chrom, size, row_number() OVER (ORDER BY ord, chrom) AS rn FROM {sizes} WHERE size < ({chunk} * 0.45)::DOUBLE),
+{name}_fold AS (SELECT rn, chrom, size, 1::BIGINT AS bulk_no, size AS total, 1::BIGINT AS cnt FROM {name}_in WHERE rn = 1
+  UNION ALL SELECT i.rn, i.chrom, i.size,
+    CASE WHEN f.total + i.size > ({chunk} * 0.75)::DOUBLE OR f.cnt >= 100 THEN f.bulk_no + 1 ELSE f.bulk_no END,
+    CASE WHEN f.total + i.size > ({chunk} * 0.75)::DOUBLE OR f.cnt >= 100 THEN i.size ELSE f.total + i.size END,
+    CASE WHEN f.total + i.size > ({chunk} * 0.75)::DOUBLE OR f.cnt >= 100 THEN 1 ELSE f.cnt + 1 END
+  FROM {name}_fold f JOIN {name}_in i ON i.rn = f.rn + 1),
+{name} AS (SELECT bulk_no, rn - 1 AS pos, chrom, size FROM {name}_fold)"""
+
+
+@query(f"WITH RECURSIVE {a.SIZES_SQL}, {bulk_sql('sizes', CHUNK)} SELECT * FROM bulk")
+def bulk_assignment(spark, d):
+    return partition.bulks(a.sizes(spark, d), CHUNK)
+
+
+@query(f"""WITH RECURSIVE {a.SIZES_SQL}, {bulk_sql('sizes', CHUNK)}
+SELECT bulk_no, 'BULK_' || bulk_no || ':genome.2bit:' || string_agg(chrom::VARCHAR, ':' ORDER BY pos) AS part, count(*) AS members FROM bulk GROUP BY bulk_no""")
+def bulk_strings(spark, d):
+    parts = partition.partitions(a.sizes(spark, d), CHUNK, OVERLAP).where("kind = 'bulk'")
+    return parts.select(F.col("no").alias("bulk_no"), "part", (F.size(F.split("part", ":")) - 2).cast("long").alias("members"))
+
+
+BUNDLE_SQL = f"""bundle_in AS (SELECT chrom, size, row_number() OVER (ORDER BY size DESC, ord) AS rn FROM sizes WHERE chrom IN (SELECT chrom FROM present)),
+bundle_fold AS (SELECT rn, chrom, size, 0::BIGINT AS bundle, size AS total, 1::BIGINT AS cnt FROM bundle_in WHERE rn = 1
+  UNION ALL SELECT i.rn, i.chrom, i.size,
+    CASE WHEN f.total >= {MAX_BASES} OR f.cnt > 1000 THEN f.bundle + 1 ELSE f.bundle END,
+    CASE WHEN f.total >= {MAX_BASES} OR f.cnt > 1000 THEN i.size ELSE f.total + i.size END,
+    CASE WHEN f.total >= {MAX_BASES} OR f.cnt > 1000 THEN 1 ELSE f.cnt + 1 END
+  FROM bundle_fold f JOIN bundle_in i ON i.rn = f.rn + 1),
+bundled AS (SELECT bundle, rn - 1 AS pos, chrom, size FROM bundle_fold)"""
+
+
+def _bundled(spark, d):
+    return bundle.bundles(a.sizes(spark, d), a.present(spark, d), MAX_BASES)
+
+
+@query(f"WITH RECURSIVE {a.SIZES_SQL}, {a.PRESENT_SQL}, {BUNDLE_SQL} SELECT * FROM bundled")
+def bundle_assignment(spark, d):
+    return _bundled(spark, d)
+
+
+@query(f"""WITH RECURSIVE {a.SIZES_SQL}, {a.PRESENT_SQL}, {BUNDLE_SQL}
+SELECT bundle, count(*) AS chroms, sum(size)::BIGINT AS bases, max(size) AS largest FROM bundled GROUP BY bundle""")
+def bundle_totals(spark, d):
+    return bundle.bundle_totals(_bundled(spark, d))
+
+
+@query(f"WITH {a.SIZES_SQL}, {a.PRESENT_SQL} SELECT chrom FROM present WHERE chrom NOT IN (SELECT chrom FROM sizes)")
+def unbundled(spark, d):
+    return bundle.unbundled(a.sizes(spark, d), a.present(spark, d))
+
+
+@query(f"WITH {a.SIZES_SQL}, {a.PRESENT_SQL} SELECT chrom, size FROM sizes WHERE chrom NOT IN (SELECT chrom FROM present)")
+def skipped_chroms(spark, d):
+    return bundle.skipped(a.sizes(spark, d), a.present(spark, d))
+
+
+@query("""WITH dup AS (SELECT l_partkey AS chrom, (l_quantity * 1000 + l_suppkey)::BIGINT AS size, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey AS ord FROM lineitem)
+SELECT chrom, max_by(size, (ord, size)) AS size, min(ord) AS ord FROM dup GROUP BY chrom""")
+def sizes_last_wins(spark, d):
+    """Repeated chromosomes of a size list: the last size, the first place."""
+    from ..sources.sizes import deduplicated
+
+    rows = a.table(spark, d, "lineitem").select(F.col("l_partkey").alias("chrom"), (F.col("l_quantity") * 1000 + F.col("l_suppkey")).cast("long").alias("size"), (F.col("l_orderkey") * 1000000 + F.col("l_linenumber") * 100000 + F.col("l_suppkey")).alias("ord"))
+    return deduplicated(rows)
+
+
+# --- pairs -------------------------------------------------------------------------------------------
+
+
+def parts_sql(sizes: str, chunk: int, overlap: int, file: str, name: str) -> str:
+    return f"""{bulk_sql(sizes, chunk, name + '_bulk')},
+{name} AS (SELECT '{file}:' || chrom || ':' || s || '-' || least(s + {chunk}, size) AS part FROM (SELECT chrom, size, unnest(range(0, size, {chunk - overlap})) AS s FROM {sizes} WHERE size >= ({chunk} * 0.45)::DOUBLE)
+  UNION ALL SELECT 'BULK_' || bulk_no || ':{file}:' || string_agg(chrom::VARCHAR, ':' ORDER BY pos) FROM {name}_bulk GROUP BY bulk_no)"""
+
+
+PARTS_SQL = f"{a.SIZES_SQL}, {a.QUERY_SIZES_SQL}, {parts_sql('sizes', WIDE_CHUNK, 0, 'ref.2bit', 'ref_parts')}, {parts_sql('query_sizes', QUERY_CHUNK, OVERLAP, 'query.2bit', 'query_parts')}"
+
+
+def _parts(spark, d):
+    return partition.partitions(a.sizes(spark, d), WIDE_CHUNK, 0, "ref.2bit"), partition.partitions(a.query_sizes(spark, d), QUERY_CHUNK, OVERLAP, "query.2bit")
+
+
+@query(f"WITH RECURSIVE {PARTS_SQL} SELECT r.part AS reference_part, q.part AS query_part FROM ref_parts r CROSS JOIN query_parts q")
+def pair_cross(spark, d):
+    return partition.pairs(*_parts(spark, d))
+
+
+@query(f"WITH RECURSIVE {PARTS_SQL} SELECT n AS expected, n AS actual, 0::BIGINT AS missing FROM (SELECT (SELECT count(*) FROM ref_parts) * (SELECT count(*) FROM query_parts) AS n)")
+def pair_integrity(spark, d):
+    r, q = _parts(spark, d)
+    return partition.checked_pairs(r, q, partition.pairs(r, q))
+
+
+INTERVALS_SQL = """{0}_iv AS (SELECT part, split_part(part, ':', 2) AS chrom, split_part(split_part(part, ':', 3), '-', 1)::BIGINT AS s, split_part(split_part(part, ':', 3), '-', 2)::BIGINT AS e FROM {0}_parts WHERE part NOT LIKE 'BULK%'
+  UNION ALL SELECT m.part, m.chrom, 0, z.size FROM (SELECT part, unnest(string_split(part, ':')[3:]) AS chrom FROM {0}_parts WHERE part LIKE 'BULK%') m JOIN {1} z ON z.chrom::VARCHAR = m.chrom)"""
+
+
+@query(f"""WITH RECURSIVE {PARTS_SQL}, {INTERVALS_SQL.format('ref', 'sizes')}, {INTERVALS_SQL.format('query', 'query_sizes')},
+r AS (SELECT part, count(*) AS n, sum(e - s)::BIGINT AS bases FROM ref_iv GROUP BY part), q AS (SELECT part, count(*) AS n, sum(e - s)::BIGINT AS bases FROM query_iv GROUP BY part)
+SELECT r.part AS reference_part, q.part AS query_part, r.n * q.n AS alignments, (r.bases * q.n)::BIGINT AS reference_bases, (q.bases * r.n)::BIGINT AS query_bases FROM r CROSS JOIN q""")
+def bulk_expand_product(spark, d):
+    """The aligner calls behind each pair: every interval of the one with every interval of the other."""
+    r, q = _parts(spark, d)
+    both = partition.interval_pairs(partition.pairs(r, q), partition.intervals(r, a.sizes(spark, d)), partition.intervals(q, a.query_sizes(spark, d)))
+    length = lambda s: F.sum(F.col(f"{s}_end") - F.col(f"{s}_start")).cast("long").alias(f"{s}_bases")
+    return both.groupBy("reference_part", "query_part").agg(F.count("*").alias("alignments"), length("reference"), length("query"))
+
+
+@query(f"""WITH RECURSIVE {PARTS_SQL} SELECT part, split_part(part, ':', 1) AS path, split_part(part, ':', 2) AS chrom,
+  split_part(split_part(part, ':', 3), '-', 1)::BIGINT AS "start", split_part(split_part(part, ':', 3), '-', 2)::BIGINT AS "end",
+  split_part(part, ':', 1) || '/' || split_part(part, ':', 2) || '[' || (split_part(split_part(part, ':', 3), '-', 1)::BIGINT + 1) || ',' || split_part(split_part(part, ':', 3), '-', 2) || ']' AS argument
+FROM query_parts WHERE part NOT LIKE 'BULK%'""")
+def parse_file_spec(spark, d):
+    parts = _parts(spark, d)[1].where(~text.is_bulk(F.col("part")))
+    s = parts.select("part", text.parsed_spec(F.col("part")).alias("s")).select("part", "s.*")
+    return s.withColumn("argument", text.sequence_argument(F.col("path"), F.col("chrom"), F.col("start"), F.col("end")))
+
+
+@query(f"""WITH RECURSIVE {PARTS_SQL} SELECT part,
+  CASE WHEN part LIKE 'BULK%' THEN 'bucket_ref_bulk_' || regexp_extract(part, '^BULK_([0-9]+)', 1) ELSE 'bucket_ref_' || split_part(part, ':', 2) || '_in_' || replace(split_part(part, ':', 3), '-', '_') END AS bucket,
+  CASE WHEN part LIKE 'BULK%' THEN split_part(part, ':', 1) ELSE split_part(part, ':', 2) || '_' || split_part(part, ':', 3) END AS safe_name
+FROM ref_parts""")
+def bucket_key(spark, d):
+    r = _parts(spark, d)[0]
+    return r.select("part", text.bucket_key(F.col("part")).alias("bucket"), text.safe_name(F.col("part")).alias("safe_name"))
+
+
+@query("""SELECT l_orderkey AS id, l_linenumber AS line, count(*) AS n, 'K=' || (2400 + l_linenumber) || ' H=' || CASE WHEN l_orderkey % 3 = 0 THEN 2000 ELSE l_orderkey % 3 * 1000 END || ' L=3000' AS options
+FROM lineitem GROUP BY ALL""")
+def lastz_options(spark, d):
+    """Options from a parameter map per row; an inner threshold of 0 takes the default."""
+    rows = a.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line")).agg(F.count("*").alias("n"))
+    inner = text.falsy_default(F.col("id") % 3 * 1000)
+    params = F.create_map(F.lit("lastz_k"), (F.lit(2400) + F.col("line")).cast("string"), F.lit("lastz_h"), inner.cast("string"), F.lit("lastz_l"), F.lit("3000"), F.lit("chunk"), F.lit("1"))
+    return rows.select("id", "line", "n", text.options_column(params).alias("options"))
+
+
+# --- alignment rows ----------------------------------------------------------------------------------
+
+
+@query(f"""WITH {a.PSL_SQL} SELECT 'bucket_ref_' || t_name || '_in_' || floor(t_start / 10000.0)::BIGINT * 10000 || '_' || (floor(t_start / 10000.0)::BIGINT + 1) * 10000 AS bucket,
+  count(*) AS alignments, sum(matches)::BIGINT AS matches FROM psl GROUP BY 1""")
+def bucket_group(spark, d):
+    at = F.floor(F.col("t_start") / 10000).cast("long") * 10000
+    return psl.by_bucket(a.psl(spark, d).withColumn("part", text.partition_string(F.lit("ref.2bit"), F.col("t_name"), at, at + 10000)))
+
+
+@query(f'WITH {a.PSL_SQL} SELECT t_name, count(*) AS alignments, min(t_start) AS "first", max(t_end) AS "last", sum(matches)::BIGINT AS matches FROM psl GROUP BY t_name')
+def psl_split_by_ref(spark, d):
+    return psl.totals_by_reference(a.psl(spark, d))
+
+
+@query(f"WITH {a.PSL_SQL} SELECT *, row_number() OVER (ORDER BY t_start, t_end, q_name, q_start, id) - 1 AS idx FROM psl")
+def psl_merge_sorted(spark, d):
+    p = a.psl(spark, d)
+    return psl.ranked(p.where("strand = '+'").unionByName(p.where("strand <> '+'")))
+
+
+# --- comparison --------------------------------------------------------------------------------------
+
+_MATCH = a.MATCH_SQL.format(tol=TOLERANCE)
+_COLUMNS = ["id", "score", "t_name", "t_strand", "t_start", "t_end", "q_name", "q_strand", "q_start", "q_end"]
+_SIDES_SQL = f"{a.HEADERS_SQL}, missed AS (SELECT * FROM baseline b WHERE NOT {_MATCH})"
+
+
+def _sides(spark, d):
+    h = a.headers(spark, d)
+    return h.where("not candidate").select(_COLUMNS), h.where("candidate").select(_COLUMNS)
+
+
+@query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)} FROM baseline b WHERE {_MATCH}")
+def chain_matched(spark, d):
+    return compare.matched(*_sides(spark, d), TOLERANCE)
+
+
+@query(f"WITH {_SIDES_SQL} SELECT {', '.join(_COLUMNS)} FROM missed")
+def chain_missing(spark, d):
+    return compare.missing(*_sides(spark, d), TOLERANCE)
+
+
+@query(f"""WITH {_SIDES_SQL}, n AS (SELECT (SELECT count(*) FROM baseline) AS b, (SELECT count(*) FROM candidates) AS c, (SELECT count(*) FROM missed) AS m)
+SELECT b AS baseline_chains, c AS candidate_chains, b - m AS matched, m AS missing, 100.0::DOUBLE * m / greatest(1, b) AS missing_percent FROM n""")
+def compare_summary(spark, d):
+    return compare.summary(*_sides(spark, d), TOLERANCE)
+
+
+_PCT_SQL = "SELECT '{0}' AS label, p AS pct, score FROM (SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM {1}), (SELECT unnest([10, 25, 50, 75, 90, 95, 99, 100]) AS p) WHERE i = least(n - 1, greatest(0, floor(p::DOUBLE / 100 * n)::BIGINT))"
+
+
+@query(f"WITH {_SIDES_SQL} {_PCT_SQL.format('missing', 'missed')} UNION ALL {_PCT_SQL.format('baseline', 'baseline')}")
+def score_percentiles(spark, d):
+    base, cand = _sides(spark, d)
+    return compare.score_percentiles(compare.missing(base, cand, TOLERANCE), "missing").union(compare.score_percentiles(base, "baseline"))
+
+
+@query(f"""WITH {_SIDES_SQL}, n AS (SELECT count(*) AS missing, coalesce(sum((floor((t_start - 500) / 9900.0::DOUBLE) <> floor((t_end + 500) / 9900.0::DOUBLE))::BIGINT), 0)::BIGINT AS near_boundary FROM missed)
+SELECT missing, near_boundary, 100.0::DOUBLE * near_boundary / greatest(1, missing) AS near_percent FROM n""")
+def boundary_fraction(spark, d):
+    return compare.boundary_summary(compare.missing(*_sides(spark, d), TOLERANCE), chunk=10_000, overlap=100, window=500)
+
+
+@query(f"WITH {_SIDES_SQL} SELECT {', '.join(_COLUMNS)} FROM missed ORDER BY score DESC, id LIMIT 20")
+def top_missing(spark, d):
+    return compare.top_missing(compare.missing(*_sides(spark, d), TOLERANCE), 20)
+
+
+@query(f"""WITH {a.HEADERS_SQL} SELECT b.id AS a_id, c.id AS b_id, least(b.t_end, c.t_end) - greatest(b.t_start, c.t_start) AS t_overlap FROM baseline b JOIN candidates c
+ON c.t_name = b.t_name AND c.q_name = b.q_name AND c.t_strand = b.t_strand AND c.q_strand = b.q_strand
+AND greatest(b.t_start, c.t_start) < least(b.t_end, c.t_end) AND greatest(b.q_start, c.q_start) < least(b.q_end, c.q_end)""")
+def overlap_pairs(spark, d):
+    return compare.overlap_pairs(*_sides(spark, d), width=2_000)
+
+
+# --- chains ------------------------------------------------------------------------------------------
+
+OFFSETS_SQL = f"""{a.BLOCKS_SQL}, offs AS (SELECT *, (coalesce(sum(size + dt) OVER w, 0))::BIGINT AS t_off, (coalesce(sum(size + dq) OVER w, 0))::BIGINT AS q_off
+  FROM blocks WINDOW w AS (PARTITION BY cid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+GAPS_SQL = f"""{OFFSETS_SQL}, gaps AS (SELECT cid, i, t_off + size AS t_from, t_off + size + dt AS t_to, q_off + size AS q_from, q_off + size + dq AS q_to
+  FROM (SELECT *, max(i) OVER (PARTITION BY cid) AS n FROM offs) WHERE i < n)"""
+HEADS_SQL = f"{a.BLOCKS_SQL}, heads AS (SELECT cid, count(*) AS n_blocks, sum(size)::BIGINT AS aligned, sum(size + dt)::BIGINT AS t_span, sum(size + dq)::BIGINT AS q_span FROM blocks GROUP BY cid)"
+SCORES_SQL = f"{a.BLOCKS_SQL}, scores AS (SELECT cid, sum(size * 91 - {gap_cost_sql('dt', 'dq')})::BIGINT AS score FROM blocks GROUP BY cid)"
+
+
+@query(f"WITH {OFFSETS_SQL} SELECT cid, i, size, dt, dq, t_off, q_off FROM offs")
+def chain_offsets(spark, d):
+    return chains.offsets(a.blocks(spark, d))
+
+
+@query(f"WITH {HEADS_SQL} SELECT * FROM heads")
+def chain_header_from_blocks(spark, d):
+    return chains.headers(a.blocks(spark, d))
+
+
+@query(f"WITH {OFFSETS_SQL}, ends AS (SELECT cid, max(t_off + size) AS t_span, max(q_off + size) AS q_span FROM offs GROUP BY cid), {HEADS_SQL.partition('heads AS')[1]}{HEADS_SQL.partition('heads AS')[2]} SELECT count(*) AS chains, coalesce(sum((e.t_span <> h.t_span OR e.q_span <> h.q_span)::BIGINT), 0)::BIGINT AS broken FROM ends e JOIN heads h USING (cid)")
+def chain_invariants(spark, d):
+    """Spans from running offsets against spans from sums: no chain may be broken."""
+    b = a.blocks(spark, d)
+    ends = chains.offsets(b).groupBy("cid").agg(F.max(F.col("t_off") + F.col("size")).alias("t_span"), F.max(F.col("q_off") + F.col("size")).alias("q_span"))
+    bad = chains.broken(b, ends).agg(F.count("*").alias("broken"))
+    return ends.agg(F.count("*").alias("chains")).crossJoin(bad)
+
+
+@query(f"WITH {GAPS_SQL} SELECT * FROM gaps")
+def chain_gaps(spark, d):
+    return chains.gaps(a.blocks(spark, d))
+
+
+@query(f"WITH {GAPS_SQL} SELECT * FROM gaps WHERE t_to - t_from BETWEEN 30 AND 20000 AND q_to - q_from BETWEEN 30 AND 20000")
+def fill_candidates(spark, d):
+    return chains.fillable(chains.gaps(a.blocks(spark, d)))
+
+
+def _gap_costs(spark, d, table):
+    li = a.table(spark, d, "lineitem")
+    rows = li.select((F.col("l_partkey") * (F.col("l_orderkey") % 3)).alias("dt"), (F.col("l_suppkey") * 97 * (F.col("l_orderkey") % 2)).alias("dq"))
+    return rows.groupBy("dt", "dq").agg(F.count("*").alias("n")).withColumn("cost", gap_cost(F.col("dt"), F.col("dq"), table))
+
+
+_GAP_ROWS = "WITH g AS (SELECT l_partkey * (l_orderkey % 3) AS dt, l_suppkey * 97 * (l_orderkey % 2) AS dq, count(*) AS n FROM lineitem GROUP BY ALL)"
+
+
+@query(f"{_GAP_ROWS} SELECT dt, dq, n, {gap_cost_sql('dt', 'dq', 'loose')} AS cost FROM g")
+def gap_cost_loose(spark, d):
+    return _gap_costs(spark, d, "loose")
+
+
+@query(f"{_GAP_ROWS} SELECT dt, dq, n, {gap_cost_sql('dt', 'dq', 'medium')} AS cost FROM g")
+def gap_cost_medium(spark, d):
+    return _gap_costs(spark, d, "medium")
+
+
+@query(f"WITH {SCORES_SQL} SELECT * FROM scores")
+def chain_score(spark, d):
+    return chains.scores(a.blocks(spark, d))
+
+
+@query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)}, row_number() OVER (ORDER BY score DESC, id) AS new_id FROM headers")
+def merge_renumber(spark, d):
+    return chains.renumbered(chains.merged(*_sides(spark, d)))
+
+
+@query(f"WITH {SCORES_SQL} SELECT cid, score FROM scores ORDER BY score DESC, cid")
+def sort_score(spark, d):
+    return chains.by_score(chains.scores(a.blocks(spark, d)).withColumn("id", F.col("cid"))).drop("id")
+
+
+@query(f"WITH {SCORES_SQL} SELECT cid, score FROM scores WHERE score >= 1000")
+def filter_min_score(spark, d):
+    return chains.at_least(chains.scores(a.blocks(spark, d)), 1000)
+
+
+@query(f"WITH {SCORES_SQL} SELECT cid % 16 AS file, count(*) AS chains, sum(score)::BIGINT AS score FROM scores GROUP BY 1")
+def split_chunks(spark, d):
+    """The deal of all chains over 16 files, by file."""
+    return chains.split(chains.scores(a.blocks(spark, d)), 16).groupBy("file").agg(F.count("*").alias("chains"), F.sum("score").cast("long").alias("score"))
+
+
+# --- sequences ---------------------------------------------------------------------------------------
+
+_COUNT = "(length(seq) - length(replace(upper(seq), '{0}', '')))::BIGINT AS {1}"
+
+
+@query(f"WITH {a.GENOME_SQL} SELECT chrom, length(seq)::BIGINT AS size, {', '.join(_COUNT.format(b, b.lower()) for b in 'ACGTN')}, length(regexp_replace(seq, '[^acgtn]', '', 'g'))::BIGINT AS masked FROM genome")
+def seq_composition(spark, d):
+    g, s = a.genome(spark, d), F.col("seq")
+    return g.select("chrom", F.length(s).cast("long").alias("size"), *[sequences.base_count(s, b).alias(b.lower()) for b in "ACGTN"], sequences.masked_bases(s).alias("masked"))
+
+
+@query(f"WITH {a.GENOME_SQL} SELECT chrom, translate(reverse(seq), 'ACGTacgt', 'TGCAtgca') AS seq FROM genome")
+def revcomp(spark, d):
+    return a.genome(spark, d).select("chrom", sequences.reverse_complement(F.col("seq")).alias("seq"))
+
+
+@query(f"WITH {a.GENOME_SQL} SELECT chrom, upper(seq) AS seq, regexp_matches(seq, '[acgt]') AS has_masked FROM genome")
+def unmasked(spark, d):
+    return a.genome(spark, d).select("chrom", sequences.unmasked(F.col("seq")).alias("seq"), F.col("seq").rlike("[acgt]").alias("has_masked"))
+
+
+@query(f'WITH {a.SIZES_SQL}, {a.GENOME_SQL}, {CHUNKS_SQL} SELECT c.chrom, "start", "end", substring(seq, "start" + 1, "end" - "start") AS seq FROM chunks c JOIN genome g USING (chrom)')
+def subsequence(spark, d):
+    c = partition.chunks(a.sizes(spark, d), CHUNK, OVERLAP).join(a.genome(spark, d), "chrom")
+    return c.select("chrom", "start", "end", sequences.subsequence(F.col("seq"), F.col("start"), F.col("end")).alias("seq"))
+
+
+KMERS_SQL = """{0}_words AS (SELECT * FROM (SELECT chrom, p AS pos, substring(seq, p + 1, {1}) AS word FROM (SELECT chrom, seq, unnest(range(0, length(seq) - {1} + 1)) AS p FROM {0} WHERE length(seq) >= {1})) WHERE NOT regexp_matches(word, '[^ACGT]'))"""
+HITS_SQL = f"""{a.GENOME_SQL}, {a.QUERY_GENOME_SQL}, {KMERS_SQL.format('genome', WORD)}, {KMERS_SQL.format('query_genome', WORD)},
+hits AS (SELECT t.chrom AS t_chrom, t.pos AS t_pos, q.chrom AS q_chrom, q.pos AS q_pos FROM genome_words t JOIN query_genome_words q USING (word))"""
+
+
+def _hits(spark, d):
+    return seeds.seed_hits(seeds.kmers(a.genome(spark, d), WORD), seeds.kmers(a.query_genome(spark, d), WORD))
+
+
+@query(f"WITH {a.GENOME_SQL}, {KMERS_SQL.format('genome', WORD)} SELECT word, count(*) AS n FROM genome_words GROUP BY word")
+def kmer_index(spark, d):
+    return seeds.word_counts(seeds.kmers(a.genome(spark, d), WORD))
+
+
+@query(f"WITH {HITS_SQL} SELECT * FROM hits")
+def seed_hits(spark, d):
+    return _hits(spark, d)
+
+
+@query(f"WITH {HITS_SQL} SELECT t_chrom, q_chrom, floor((t_pos - q_pos) / 64.0::DOUBLE)::BIGINT AS band, count(*) AS hits, min(t_pos) AS first_t, max(t_pos) AS last_t FROM hits GROUP BY 1, 2, 3")
+def diagonal_bins(spark, d):
+    return seeds.diagonals(_hits(spark, d), 64)
+
+
+DROP, REACH, HSP_SCORE = 910, 120, 2400
+
+
+def _side_sql(name: str, t_from: str, q_from: str, t_sign: str, n: str) -> str:
+    """Running scores on one side of each run, base by base, up to the drop; the best place on it."""
+    return f"""{name}_pos AS (SELECT r.rid, k, {sequences.pair_score_sql(f"substring(g.seq, ({t_from} {t_sign} k)::BIGINT, 1)", f"substring(p.seq, ({q_from} {t_sign} k)::BIGINT, 1)")} AS s
+  FROM (SELECT *, unnest(range(0, {n})) AS k FROM long_runs r) r JOIN genome g ON g.chrom = r.t_chrom JOIN query_genome p ON p.chrom = r.q_chrom),
+{name}_sum AS (SELECT rid, k, sum(s) OVER (PARTITION BY rid ORDER BY k) AS total FROM {name}_pos),
+{name}_top AS (SELECT *, greatest(0, max(total) OVER (PARTITION BY rid ORDER BY k)) AS top FROM {name}_sum),
+{name}_end AS (SELECT rid, min(k) AS stop FROM {name}_top WHERE top - total > {DROP} GROUP BY rid),
+{name} AS (SELECT rid, max(total)::BIGINT AS best, (min_by(k, (-total, k)) + 1)::BIGINT AS at FROM {name}_top LEFT JOIN {name}_end USING (rid) WHERE total > 0 AND k < coalesce(stop, 1000000) GROUP BY rid)"""
+
+
+HSP_SQL = f"""{HITS_SQL}, marked AS (SELECT *, t_pos - q_pos AS diag, CASE WHEN t_pos - lag(t_pos) OVER (PARTITION BY t_chrom, q_chrom, t_pos - q_pos ORDER BY t_pos) <= {WORD} THEN 0 ELSE 1 END AS new_run FROM hits),
+numbered AS (SELECT *, sum(new_run) OVER (PARTITION BY t_chrom, q_chrom, diag ORDER BY t_pos) AS run FROM marked),
+runs AS (SELECT t_chrom, q_chrom, diag, run, min(t_pos) AS t, min(t_pos) - diag AS q, max(t_pos) + {WORD} - min(t_pos) AS length FROM numbered GROUP BY 1, 2, 3, 4),
+long_runs AS (SELECT runs.*, row_number() OVER (ORDER BY t_chrom, q_chrom, diag, run) AS rid, least({REACH}, length(g.seq) - t - length, length(p.seq) - q - length) AS ahead, least({REACH}, t, q) AS back
+  FROM runs JOIN genome g ON g.chrom = t_chrom JOIN query_genome p ON p.chrom = q_chrom),
+core_pos AS (SELECT r.rid, {sequences.pair_score_sql("substring(g.seq, (t + k + 1)::BIGINT, 1)", "substring(p.seq, (q + k + 1)::BIGINT, 1)")} AS s
+  FROM (SELECT *, unnest(range(0, length)) AS k FROM long_runs) r JOIN genome g ON g.chrom = r.t_chrom JOIN query_genome p ON p.chrom = r.q_chrom),
+core AS (SELECT rid, sum(s)::BIGINT AS score FROM core_pos GROUP BY rid),
+{_side_sql('ahead_side', 't + length + 1', 'q + length + 1', '+', 'ahead')},
+{_side_sql('back_side', 't', 'q', '-', 'back')},
+hsps AS (SELECT DISTINCT t_chrom, q_chrom, t - coalesce(b.at, 0) AS t, q - coalesce(b.at, 0) AS q, (length + coalesce(b.at, 0) + coalesce(f.at, 0))::BIGINT AS length, c.score + coalesce(b.best, 0) + coalesce(f.best, 0) AS score
+  FROM long_runs r JOIN core c USING (rid) LEFT JOIN ahead_side f USING (rid) LEFT JOIN back_side b USING (rid))"""
+
+
+@query(f"WITH {HSP_SQL} SELECT * FROM hsps WHERE score >= {HSP_SCORE}")
+def ungapped_hsps(spark, d):
+    return seeds.hsps(_hits(spark, d), WORD, a.genome(spark, d), a.query_genome(spark, d), HSP_SCORE, DROP, REACH)
+
+
+_COMP_SQL = f"comp AS (SELECT chrom, length(seq)::BIGINT * 20 AS score, {', '.join(_COUNT.format(b, b.lower()) for b in 'ACGT')}, length(regexp_replace(seq, '[^acgt]', '', 'g'))::BIGINT AS masked FROM genome)"
+
+
+def _composition(spark, d):
+    s = F.col("seq")
+    return a.genome(spark, d).select("chrom", (F.length(s).cast("long") * 20).alias("score"), *[sequences.base_count(s, b).alias(b.lower()) for b in "ACGT"], F.length(F.regexp_replace(s, "[^acgt]", "")).cast("long").alias("masked"))
+
+
+@query(f"""WITH {a.GENOME_SQL}, {_COMP_SQL}, share AS (SELECT *, (a + c + g + t - list_sort([a, c, g, t])[1] - list_sort([a, c, g, t])[2])::DOUBLE / greatest(a + c + g + t, 1)::DOUBLE - 0.8::DOUBLE AS over_ FROM comp)
+SELECT chrom, score, a, c, g, t, CASE WHEN over_ > 0 THEN score * (1.01::DOUBLE - over_ / (1 - 0.8::DOUBLE)) ELSE score * 1.0::DOUBLE END >= 5000 AS kept FROM share""")
+def antirepeat_degenerate(spark, d):
+    c = _composition(spark, d)
+    factor = antirepeat.degenerate_factor(*map(F.col, "acgt"))
+    return c.select("chrom", "score", "a", "c", "g", "t", (F.col("score") * factor >= antirepeat.LEAST).alias("kept"))
+
+
+@query(f"""WITH {a.GENOME_SQL}, {_COMP_SQL} SELECT chrom, score, masked, least(1.0::DOUBLE, 2.0::DOUBLE * (a + c + g + t - masked)::DOUBLE / greatest(a + c + g + t, 1)::DOUBLE) AS factor,
+  score * least(1.0::DOUBLE, 2.0::DOUBLE * (a + c + g + t - masked)::DOUBLE / greatest(a + c + g + t, 1)::DOUBLE) >= 5000 AS kept FROM comp""")
+def antirepeat_masked(spark, d):
+    c = _composition(spark, d)
+    factor = antirepeat.masked_factor(F.col("masked"), F.col("a") + F.col("c") + F.col("g") + F.col("t"))
+    return c.select("chrom", "score", "masked", factor.alias("factor"), (F.col("score") * factor >= antirepeat.LEAST).alias("kept"))

@@ -1 +1 @@
-"""Pairwise genome alignment chains on Spark."""
+"""Readers and writers of genome, alignment and chain files."""
