@@ -18,10 +18,11 @@ from ..functions.sequences import pair_score
 
 def kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
     """(chrom, pos, word): the words of k unmasked, known bases that begin at every `step`-th base."""
-    # slices of bytes take constant time, of characters they walk the sequence from its start
-    raw, n = F.encode("seq", "US-ASCII"), F.length("seq")
-    words = F.transform(F.sequence(F.lit(1), n - k + 1, F.lit(step)), lambda i: F.substring(raw, i, F.lit(k)))
-    at = genome.where(n >= k).select("chrom", F.posexplode(words).alias("i", "w"))
+    # slices of bytes take constant time, of characters they walk the sequence from its start; the
+    # outer lambda's variable holds the bytes, so the expression behind `seq` runs once a row
+    raw = F.array(F.encode("seq", "US-ASCII"))
+    words = F.flatten(F.transform(raw, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - k + 1, F.lit(step)), lambda i: F.substring(r, i, F.lit(k)))))
+    at = genome.where(F.length("seq") >= k).select("chrom", F.posexplode(words).alias("i", "w"))
     return at.select("chrom", (F.col("i") * step).cast("long").alias("pos"), F.col("w").cast("string").alias("word")).where(~F.col("word").rlike("[^ACGT]"))
 
 

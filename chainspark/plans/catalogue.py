@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, text
 from ..functions.gaps import gap_cost, gap_cost_sql
-from ..operators import antirepeat, bundle, chains, compare, partition, psl, seeds
+from ..operators import align, antirepeat, bundle, chaining, chains, compare, fill, nets, partition, psl, seeds
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,3 +461,83 @@ def antirepeat_masked(spark, d):
     c = _composition(spark, d)
     factor = antirepeat.masked_factor(F.col("masked"), F.col("a") + F.col("c") + F.col("g") + F.col("t"))
     return c.select("chrom", "score", "masked", factor.alias("factor"), (F.col("score") * factor >= antirepeat.LEAST).alias("kept"))
+
+
+# --- alignment, chaining, nets, cleaning, filling ------------------------------------------------------
+
+
+def _gapped(spark, d):
+    t, q = a.genome(spark, d), a.query_genome(spark, d)
+    return align.gapped(seeds.hsps(_hits(spark, d), WORD, t, q, HSP_SCORE, DROP, REACH), t, q, threshold=3000)
+
+
+@query()
+def gapped_align(spark, d):
+    """Gapped alignments around the high-scoring pairs of all documents and benchmark items."""
+    return _gapped(spark, d).select("t_name", "q_name", "strand", "score", F.transform("blocks", lambda b: F.struct(b["t"].alias("t"), b["q"].alias("q"), b["size"].alias("size"))).alias("blocks"))
+
+
+@query()
+def axt_to_psl(spark, d):
+    return psl.from_blocks(_gapped(spark, d))
+
+
+@query()
+def chain_dp(spark, d):
+    """Best colinear chains of each user's events of a type."""
+    return chaining.chained(a.anchors(spark, d), min_score=1000, max_gap=5_000)
+
+
+_NET_SQL = f"""WITH {a.PSL_SQL}, c AS (SELECT t_name, id, matches * 10 AS score, t_start, t_start + matches * 10 AS t_end FROM psl),
+edges AS (SELECT t_name, t_start AS p FROM c UNION SELECT t_name, t_end FROM c),
+segs AS (SELECT t_name, p AS lo, lead(p) OVER (PARTITION BY t_name ORDER BY p) AS hi FROM edges),
+owned AS (SELECT s.t_name, s.lo, s.hi, min_by(c.id, (-c.score, c.id)) AS id FROM segs s JOIN c ON c.t_name = s.t_name AND c.t_start <= s.lo AND c.t_end >= s.hi WHERE s.hi IS NOT NULL GROUP BY 1, 2, 3),
+marked AS (SELECT *, CASE WHEN lag(hi) OVER (PARTITION BY t_name, id ORDER BY lo) = lo THEN 0 ELSE 1 END AS n FROM owned),
+runs AS (SELECT *, sum(n) OVER (PARTITION BY t_name, id ORDER BY lo) AS run FROM marked)
+SELECT t_name, id, min(lo) AS "start", max(hi) AS "end" FROM runs GROUP BY t_name, id, run"""
+
+
+def _net_chains(spark, d):
+    return a.psl(spark, d).select("t_name", "id", (F.col("matches") * 10).alias("score"), "t_start", (F.col("t_start") + F.col("matches") * 10).alias("t_end"))
+
+
+@query(_NET_SQL)
+def net_fill(spark, d):
+    return nets.net(_net_chains(spark, d), width=10_000)
+
+
+FLANKS_SQL = f"""{OFFSETS_SQL}, worth AS (SELECT *, size * 91 - {gap_cost_sql('dt', 'dq')} AS part, {gap_cost_sql('dt', 'dq')} AS cost, max(i) OVER (PARTITION BY cid) AS n FROM offs),
+summed AS (SELECT *, (coalesce(sum(part) OVER (PARTITION BY cid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size * 91)::BIGINT AS left_score, sum(part) OVER (PARTITION BY cid)::BIGINT AS total FROM worth),
+flanks AS (SELECT cid, i, left_score AS "left", (total - left_score + cost)::BIGINT AS "right", t_off + size AS t_from, t_off + size + dt AS t_to FROM summed WHERE i < n)"""
+
+
+@query(f"WITH {FLANKS_SQL} SELECT * FROM flanks")
+def gap_flanks(spark, d):
+    """What a chain scores on both sides of each of its gaps."""
+    return nets.flanks(a.blocks(spark, d))
+
+
+@query(f"""WITH {FLANKS_SQL}, {SCORES_SQL.partition('scores AS')[1]}{SCORES_SQL.partition('scores AS')[2]},
+g AS (SELECT f.cid::VARCHAR AS breaks, (f.cid % 25)::VARCHAR AS t_name, s.score AS broken, 200 * (f.cid % 40) + t_from AS s, 200 * (f.cid % 40) + t_to AS e, "left", "right" FROM flanks f JOIN scores s USING (cid) WHERE s.score >= 5000),
+c AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, (l_orderkey % 25)::VARCHAR AS t_name, l_quantity::BIGINT * 20 AS score, l_partkey % 8000 AS s, l_partkey % 8000 + l_linenumber AS e FROM lineitem GROUP BY ALL)
+SELECT c.id, g.breaks, g."left"::DOUBLE / greatest(c.score, 1) AS left_fold, g."right"::DOUBLE / greatest(c.score, 1) AS right_fold FROM c JOIN g ON c.t_name = g.t_name AND c.s >= g.s AND c.e <= g.e AND c.score < g.broken
+WHERE g."left"::DOUBLE / greatest(c.score, 1) >= 2.5 AND g."right"::DOUBLE / greatest(c.score, 1) >= 2.5""")
+def clean_suspects(spark, d):
+    """Lines as short chains that lie in gaps of the orders' chains."""
+    b = a.blocks(spark, d)
+    shift = 200 * (F.col("cid") % 40)
+    g = nets.flanks(b).join(chains.scores(b), "cid").select(F.col("cid").cast("string").alias("id"), (F.col("cid") % 25).cast("string").alias("t_name"), "score", (shift + F.col("t_from")).alias("start"), (shift + F.col("t_to")).alias("end"), "left", "right")
+    li = a.table(spark, d, "lineitem")
+    at = F.col("l_partkey") % 8000
+    c = li.select(F.concat_ws("-", *[F.col(k).cast("string") for k in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"), (F.col("l_orderkey") % 25).cast("string").alias("t_name"), at.alias("t_start"), (at + F.col("l_linenumber")).alias("t_end"), (F.col("l_quantity").cast("long") * 20).alias("score")).distinct()
+    return nets.suspects(c, g, fold=2.5, max_suspect=100_000, min_broken=5_000, width=512)
+
+
+@query()
+def repeat_fill(spark, d):
+    """Local alignments inside every fillable gap of the orders' chains, over the documents' bases."""
+    g = chains.fillable(chains.gaps(a.blocks(spark, d)))
+    names = a.table(spark, d, "documents").agg(F.count("*").alias("n"))
+    named = g.crossJoin(F.broadcast(names)).select("cid", "i", F.pmod(F.col("cid"), F.col("n")).alias("t_name"), F.pmod(F.col("cid"), F.col("n")).alias("q_name"), "t_from", "t_to", "q_from", "q_to")
+    rows = fill.gap_sequences(named, a.genome(spark, d), a.genome(spark, d))
+    return fill.fillings(rows, threshold=1000)
