@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from collections.abc import Iterator
 from itertools import chain
 
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import schema_of, tuned
 
-#: Words that a worker keeps; beyond it the memory starts anew, results don't change.
-CACHE_WORDS = 400_000
+#: Words that a worker keeps in its younger memory; when that is full it becomes the older one, whose
+#: words come back as they are met again. Results don't depend on it.
+CACHE_WORDS = 350_000
 _ODD = re.compile("[\x1c-\x1f]")
-_TAIL = ".,;:!?"
+#: ASCII punctuation, but for the apostrophe, which the tokenizer joins with some letters.
+_MARKS = string.punctuation.replace("'", "")
 
 
 class WordEncoder:
@@ -43,53 +46,80 @@ class WordEncoder:
         if mark:
             self.last[[i for w, i in vocab.items() if w.endswith(mark)]] = True
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        self.older_cores: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
 
     @staticmethod
-    def split(word: str) -> tuple[str, str]:
-        """(Latin letters, closing punctuation), or ("", word) where the word is anything else."""
-        core = word.rstrip(_TAIL)
-        if core.isascii():
-            core_l = core.lower() if core.isalpha() else ""
-        else:
-            core_l = core if core.isalpha() and max(core) < "ɐ" and core.lower().isalpha() else ""
-        return (core_l, word[len(core) :]) if core_l else ("", word)
+    def split(word: str) -> tuple[str, str, str]:
+        """(marks, Latin letters, marks), or ("", "", word) where the word is anything else."""
+        rest = word.lstrip(_MARKS)
+        core = rest.rstrip(_MARKS)
+        if core.isalpha():
+            if core.isascii():
+                return word[: len(word) - len(rest)], core.lower(), rest[len(core) :]
+            if max(core) < "\u0250" and core.lower().isalpha():
+                return word[: len(word) - len(rest)], core, rest[len(core) :]
+        return "", "", word
 
     def learn(self, new: set[str]) -> None:
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.cores) > CACHE_WORDS:
-            self.cores.clear()
-        parts = {w: self.split(w) for w in new}
-        todo = [c for c in {c for c, _ in parts.values()} if c and c not in self.cores]
-        groups = [todo[i : i + 64] for i in range(0, len(todo), 64)]
-        for group, got in zip(groups, self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False) if groups else (), strict=True):
-            ids = np.array(got.ids, dtype=self.width)
+        words, old, cores, old_cores, marks = self.words, self.older, self.cores, self.older_cores, self.marks
+        parts: list[tuple[str, str, str, str]] = []
+        todo: set[str] = set()
+        for w in new:
+            ids = old.get(w)
+            if ids is not None:
+                words[w] = ids
+                continue
+            head, core, tail = self.split(w)
+            if not core:
+                words[w] = self.plain(w)
+                continue
+            parts.append((w, head, core, tail))
+            if core not in cores:
+                ids = old_cores.get(core)
+                if ids is None:
+                    todo.add(core)
+                else:
+                    cores[core] = ids
+        if len(marks) > 20_000:
+            marks.clear()
+        for _, head, _, tail in parts:
+            if head not in marks:
+                marks[head] = self.plain(head)
+            if tail not in marks:
+                marks[tail] = self.plain(tail)
+        ask = list(todo)
+        groups = [ask[i : i + 64] for i in range(0, len(ask), 64)]
+        got = self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False) if groups else []
+        for group, enc in zip(groups, got, strict=True):
+            ids = np.array(enc.ids, dtype=self.width)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(group):
                 raw, k, at = ids.tobytes(), ids.itemsize, 0
-                for core, end in zip(group, ends.tolist(), strict=True):
-                    self.cores[core] = raw[at * k : end * k]
+                for core, end in zip(group, (ends * k).tolist(), strict=True):
+                    cores[core] = raw[at:end]
                     at = end
             else:
-                self.cores |= {c: self.plain(c) for c in group}
-        tails: dict[str, bytes] = {}
-        for w, (core, tail) in parts.items():
-            if tail and tail not in tails:
-                tails[tail] = self.plain(tail)
-            self.words[w] = (self.cores[core] if core else b"") + (tails[tail] if tail else b"")
+                for core in group:
+                    cores[core] = self.plain(core)
+        for w, head, core, tail in parts:
+            words[w] = marks[head] + cores[core] + marks[tail]
+        if len(cores) > CACHE_WORDS:
+            self.older_cores, self.cores = cores, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return [np.array(e.ids, dtype=self.width).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
         rows = [None if _ODD.search(t) else t.split() for t in texts]
         words = set(chain.from_iterable(r for r in rows if r))
-        if len(words) + len(self.words) > CACHE_WORDS:
-            self.words.clear()
         new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.older, self.words, new = self.words, {}, words
         if new:
             self.learn(new)
         get = self.words.__getitem__
@@ -129,8 +159,8 @@ def tokenised(documents: DataFrame, tokenizer: str, end_id: int, keep: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_of(spec.value)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
                 ids = [x + end for x in enc.encode([t or "" for t in part.column("_text").to_pylist()])]
                 n = pa.array([len(x) // width.itemsize for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [n, pa.array(ids, pa.binary())], names=[*keep, "n_tokens", "ids"])

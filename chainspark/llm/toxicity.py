@@ -104,14 +104,23 @@ def calibrated(q: np.ndarray, scale: tuple[float, float]) -> np.ndarray:
     return sigmoid(scale[0] * (np.log(q) - np.log1p(-q)) + scale[1])
 
 
-def train(bags: list[tuple[int, list[list[int]]]], y: np.ndarray, features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float, tuple[float, float]]:
+class Bags:
+    """Bags of sentences as flat arrays: feature numbers, the sentence of each, the bag of each sentence."""
+
+    def __init__(self, n: np.ndarray, sizes: list[np.ndarray], flat: list[np.ndarray]):
+        """n: sentences of each bag; sizes: features of each sentence that has some; flat: those features."""
+        join = lambda x: np.concatenate([*x, np.zeros(0, dtype=np.uint16)]).astype(np.int32)
+        self.count, size, self.flat = len(n), join(sizes), join(flat)
+        found = np.array([len(s) for s in sizes], dtype=np.int64)
+        self.owner = np.repeat(np.arange(self.count, dtype=np.int32), found)
+        self.sent = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.rest = n - found.astype(float)
+
+
+def train(bags: Bags, y: np.ndarray, features: int, steps: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float, tuple[float, float]]:
     """Weights, bias and calibration of the noisy-or model, by Adam on the whole sample."""
-    n = len(bags)
-    flat = np.array([f for _, ss in bags for s in ss for f in s], dtype=np.int64)
-    size = np.array([len(s) for _, ss in bags for s in ss], dtype=np.int64)
-    owner = np.repeat(np.arange(n), [len(ss) for _, ss in bags])
-    sent = np.repeat(np.arange(len(size)), size)
-    rest = np.array([m - len(ss) for m, ss in bags], dtype=float)
+    n, flat, sent, owner, rest = bags.count, bags.flat, bags.sent, bags.owner, bags.rest
+    size = np.zeros(len(owner))
     w, b = np.zeros(features), -6.0
     m1, v1 = np.zeros(features + 1), np.zeros(features + 1)
     for t in range(1, steps + 1):
@@ -131,7 +140,7 @@ def train(bags: list[tuple[int, list[list[int]]]], y: np.ndarray, features: int,
     return w, float(b), platt(np.log(q) - np.log1p(-q), y)
 
 
-def fitted(documents: DataFrame, labels: DataFrame, rows: int = 20_000, features: int = 3000, least: int = 5) -> Scorer | None:
+def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features: int = 2000, least: int = 5) -> Scorer | None:
     """The model from at most `rows` labelled documents; None without both classes among them."""
     spark = tuned(documents.sparkSession)
     marked = sampled(labels.where("doc_id is not null and toxic in (0, 1)").where(may_learn()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")), rows)
@@ -180,11 +189,14 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 20_000, features
         own = Scorer(probe.value, np.zeros(len(probe.value)), 0.0)
         for b in batches:
             got = [own.bag(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([n for n, _ in got], pa.int64()), pa.array([[s for _, _, s in f] for _, f in got], pa.list_(pa.list_(pa.int32())))], names=["doc_id", "y", "n", "found"])
-
-    got = train_docs.mapInArrow(bags, schema_of("doc_id long, y int, n long, found array<array<int>>")).collect()  # at most `rows` rows, feature numbers only
-    got.sort(key=lambda r: (r["doc_id"], r["y"]))
-    return Scorer(names, *train([(r["n"], r["found"]) for r in got], np.array([r["y"] for r in got]), len(names)))
+            sizes = [np.array([len(own_) for _, _, own_ in f], dtype=np.uint16).tobytes() for _, f in got]
+            flat = [np.array([x for _, _, own_ in f for x in own_], dtype=np.uint16).tobytes() for _, f in got]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([n for n, _ in got], pa.int64()), pa.array(sizes, pa.binary()), pa.array(flat, pa.binary())], names=["doc_id", "y", "n", "sizes", "flat"])
+
+    # at most `rows` rows, of feature numbers only, two bytes each
+    got = train_docs.mapInArrow(bags, schema_of("doc_id long, y int, n long, sizes binary, flat binary")).toPandas().sort_values(["doc_id", "y"], kind="stable")
+    bag = Bags(got["n"].to_numpy(), [np.frombuffer(x, dtype=np.uint16) for x in got["sizes"]], [np.frombuffer(x, dtype=np.uint16) for x in got["flat"]])
+    return Scorer(names, *train(bag, got["y"].to_numpy(), len(names)))
 
 
 def scored(documents: DataFrame, model: Scorer | None) -> DataFrame:

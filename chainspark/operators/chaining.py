@@ -33,7 +33,7 @@ def best_chains(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarr
     meets a block that is taken.
     """
     n = len(t)
-    total, back = weight.astype(np.int64).copy(), np.full(n, -1)
+    total, back, carried = weight.astype(np.int64).copy(), np.full(n, -1), np.zeros(n, dtype=np.int64)
     end_t, end_q = t + size, q + size
     lo = np.searchsorted(t, t - max_gap - size.max(initial=0))
     for j in range(n):
@@ -43,17 +43,18 @@ def best_chains(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarr
             gain = total[i] - gap_cost_value(t[j] - end_t[i], q[j] - end_q[i], table)
             k = int(gain.argmax())
             if gain[k] > 0:
+                carried[j] = gain[k]
                 total[j] += gain[k]
                 back[j] = i[k]
     chain, scores = np.full(n, -1), []
     for j in np.argsort(-total, kind="stable"):
         if chain[j] >= 0:
             continue
-        k, last = j, total[j]
+        k = bottom = j
         while k >= 0 and chain[k] < 0:
             chain[k] = len(scores)
-            k = back[k]
-        scores.append(last - (total[k] if k >= 0 else 0))
+            bottom, k = k, back[k]
+        scores.append(total[j] - carried[bottom])  # what lies before a taken block counts there
     return chain, np.array(scores, dtype=np.int64)
 
 

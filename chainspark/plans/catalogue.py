@@ -485,7 +485,7 @@ def axt_to_psl(spark, d):
 @query()
 def chain_dp(spark, d):
     """Best colinear chains of each user's events of a type."""
-    return chaining.chained(a.anchors(spark, d), min_score=1000, max_gap=5_000)
+    return chaining.chained(a.anchors(spark, d), min_score=1000, max_gap=100_000)
 
 
 _NET_SQL = f"""WITH {a.PSL_SQL}, c AS (SELECT t_name, id, matches * 10 AS score, t_start, t_start + matches * 10 AS t_end FROM psl),
@@ -541,3 +541,17 @@ def repeat_fill(spark, d):
     named = g.crossJoin(F.broadcast(names)).select("cid", "i", F.pmod(F.col("cid"), F.col("n")).alias("t_name"), F.pmod(F.col("cid"), F.col("n")).alias("q_name"), "t_from", "t_to", "q_from", "q_to")
     rows = fill.gap_sequences(named, a.genome(spark, d), a.genome(spark, d))
     return fill.fillings(rows, threshold=1000)
+
+
+@query()
+def full_run(spark, d):
+    """From two genomes to cleaned chains: documents against benchmark items, both strands."""
+    import tempfile
+    import uuid
+
+    from ..params import Params
+    from .run import Run
+
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp()
+    p = Params(seed_length=WORD, seed_limit=None, reference_chunk=WIDE_CHUNK, query_chunk=QUERY_CHUNK, query_overlap=OVERLAP, antirepeat_min_score=1000, clean_min_broken=2000)
+    return Run(spark, a.genome(spark, d), a.query_genome(spark, d), p, f"{at}/run-{uuid.uuid4().hex}").run()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(ord, value): lines with their place; a list is one small file, read in file order."""
     rows = spark.read.text(path, wholetext=True)
-    return rows.select(F.posexplode(F.split(F.rtrim(F.lit("\n"), F.replace("value", F.lit("\r"), F.lit(""))), "\n")).alias("ord", "value")).select(F.col("ord").cast("long").alias("ord"), "value")
+    return rows.select(F.posexplode(F.split(F.regexp_replace("value", "\r|\n$", ""), "\n")).alias("ord", "value")).select(F.col("ord").cast("long").alias("ord"), "value")
 
 
 def deduplicated(rows: DataFrame) -> DataFrame:

@@ -1 +1 @@
-"""Pairwise genome alignment chains on Spark."""
+"""Incremental ingest."""
