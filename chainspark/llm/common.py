@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -59,6 +59,12 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(at)
         return self.spark.read.schema(df.schema).parquet(at)
 
+    def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """As `keep`, with the number of rows, counted while they are written."""
+        seen = Observation()
+        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+        return out, int(seen.get["n"])
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete the files of tables that no later step reads."""
         jvm = self.spark._jvm
@@ -139,31 +145,38 @@ def ordered_prefix(df: DataFrame, group: str, order: list[str | Column], sums: l
 # --- components ----------------------------------------------------------------------------------
 
 
+#: Edges that a task of the component rounds takes.
+EDGES_A_TASK = 50_000
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected `edges` (a, b): root is the smallest node reachable.
 
     Large-star and small-star rounds: every round each node hands its neighbours to its smallest
     neighbour; the number of edges never grows, and a round is kept as a table. Ends when each node
-    points at a root.
+    points at a root. Minima are aggregated on the map side and join back from partitions of their
+    own, so that a node with very many neighbours is a skewed join that Spark can split.
     """
-    cur = scratch.keep(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
+    cur, n = scratch.counted(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     for _ in range(rounds):
+        if not n:
+            break
+        k = max(4, n // EDGES_A_TASK)
         both = cur.union(cur.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(k)
         # large star: larger neighbours, and the node itself, point at the smallest neighbour
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(k).union(low.where("m < u").select("u", F.col("m").alias("v")))
         # small star: smaller neighbours, and the node itself, point at the smallest of them
-        mins = large.groupBy("u").agg(F.min("v").alias("m"))
+        mins = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(k)
         small = large.join(mins, "u").select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("m").alias("y")), F.struct(F.col("v").alias("x"), F.col("m").alias("y")))).alias("e")).select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).where("u <> v").distinct()
-        new = scratch.keep(small, "edges")
-        # done when nothing that is pointed at points on, and every node has one parent
-        state = new.agg(F.count("*").alias("n"), F.countDistinct("u").alias("u")).first()
-        chained = state["n"] != state["u"] or new.select("u").join(new.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count()
+        new, n = scratch.counted(small.coalesce(k), "edges")
+        # done when every node points once, and nothing that is pointed at points on
+        ends = new.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(new.select("v", F.lit(0), F.lit(1)))
+        tally = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        open_ = tally.agg(F.max(((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).cast("int"))).first()[0]
         scratch.drop(cur)
         cur = new
-        if not chained:
+        if not open_:
             break
     else:
         raise RuntimeError("components did not settle")

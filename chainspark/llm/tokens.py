@@ -1,33 +1,32 @@
 """Token ids of whole texts with a public tokenizer, as little-endian bytes.
 
-The word tokenizer drops white space and never merges across it, so the ids of a text are those of
-its words one after another; a worker keeps the ids of words it has met. Words of Latin letters are
-encoded many at a time and told apart by the end-of-word mark that each word's last id carries.
-Texts with separators that Python and the tokenizer see differently are encoded whole.
+The word tokenizer drops white space, lowers case and never merges across white space, so the ids of a
+text are those of its words one after another. A worker keeps the ids of words it has met in a table
+by word hash; a block of texts is split, hashed, looked up and put together as arrays. New words are
+asked of the library: those of Latin letters many at a time, told apart by the end-of-word mark that
+each word's last id carries. Texts that hold a special token's opening sign are encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 import string
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_of, tuned
+from .common import WordTable, schema_of, text_blocks, tuned
 
-#: Words that a worker keeps in its younger memory; when that is full it becomes the older one, whose
-#: words come back as they are met again. Results don't depend on it.
-CACHE_WORDS = 350_000
-_ODD = re.compile("[\x1c-\x1f]")
-#: ASCII punctuation, but for the apostrophe, which the tokenizer joins with some letters.
-_MARKS = string.punctuation.replace("'", "")
+#: Slots of a worker's word table, and ids kept for it; when those are full the table starts anew.
+#: Words of letters that a worker keeps besides. Results depend on none of these.
+SLOTS, POOL, CORES = 1 << 21, 1 << 23, 350_000
+#: ASCII punctuation, but for the apostrophe, which the tokenizer joins with some letters, and the
+#: signs of special tokens.
+_MARKS = "".join(c for c in string.punctuation if c not in "'<|>")
 
 
 class WordEncoder:
@@ -45,11 +44,15 @@ class WordEncoder:
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         if mark:
             self.last[[i for w, i in vocab.items() if w.endswith(mark)]] = True
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
         self.older_cores: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
+        self.clear()
+
+    def clear(self) -> None:
+        self.key = np.zeros(SLOTS, dtype=np.uint64)
+        self.start, self.size = np.zeros(SLOTS, dtype=np.int32), np.zeros(SLOTS, dtype=np.int32)
+        self.pool, self.used = np.zeros(1 << 16, dtype=self.width), 0
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
@@ -66,33 +69,18 @@ class WordEncoder:
                 return word[: len(word) - len(rest)], core, rest[len(core) :]
         return "", "", word
 
-    def learn(self, new: set[str]) -> None:
-        words, old, cores, old_cores, marks = self.words, self.older, self.cores, self.older_cores, self.marks
-        parts: list[tuple[str, str, str, str]] = []
+    def ids_of(self, new: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        cores, old, marks = self.cores, self.older_cores, self.marks
+        parts = [self.split(w) for w in new]
         todo: set[str] = set()
-        for w in new:
-            ids = old.get(w)
-            if ids is not None:
-                words[w] = ids
-                continue
-            head, core, tail = self.split(w)
-            if not core:
-                words[w] = self.plain(w)
-                continue
-            parts.append((w, head, core, tail))
-            if core not in cores:
-                ids = old_cores.get(core)
+        for _, core, _ in parts:
+            if core and core not in cores:
+                ids = old.get(core)
                 if ids is None:
                     todo.add(core)
                 else:
                     cores[core] = ids
-        if len(marks) > 20_000:
-            marks.clear()
-        for _, head, _, tail in parts:
-            if head not in marks:
-                marks[head] = self.plain(head)
-            if tail not in marks:
-                marks[tail] = self.plain(tail)
         ask = list(todo)
         groups = [ask[i : i + 64] for i in range(0, len(ask), 64)]
         got = self.tok.encode_batch([" ".join(g) for g in groups], add_special_tokens=False) if groups else []
@@ -100,30 +88,79 @@ class WordEncoder:
             ids = np.array(enc.ids, dtype=self.width)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(group):
-                raw, k, at = ids.tobytes(), ids.itemsize, 0
-                for core, end in zip(group, (ends * k).tolist(), strict=True):
+                raw, at = ids.tobytes(), 0
+                for core, end in zip(group, (ends * ids.itemsize).tolist(), strict=True):
                     cores[core] = raw[at:end]
                     at = end
             else:
                 for core in group:
                     cores[core] = self.plain(core)
-        for w, head, core, tail in parts:
-            words[w] = marks[head] + cores[core] + marks[tail]
-        if len(cores) > CACHE_WORDS:
+        if len(marks) > 20_000:
+            marks.clear()
+            marks[""] = b""
+        out = []
+        for w, (lead, core, tail) in zip(new, parts, strict=True):
+            if not core:
+                out.append(self.plain(w))
+                continue
+            for m in (lead, tail):
+                if m not in marks:
+                    marks[m] = self.plain(m)
+            out.append(marks[lead] + cores[core] + marks[tail])
+        if len(cores) > CORES:
             self.older_cores, self.cores = cores, {}
+        return out
+
+    def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): the ids of text i are ids[first[i]:first[i + 1]]."""
+        words = WordTable(data, offsets)
+        h = words.hash
+        if self.used > POOL:
+            self.clear()
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        start, size = self.start[slot], self.size[slot]
+        miss = np.flatnonzero(self.key[slot] != h)
+        if len(miss):
+            new, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            raw = self.ids_of([words.word(i).decode("utf-8", "surrogatepass") for i in miss[at].tolist()])
+            n = np.array([len(x) for x in raw], dtype=np.int32) // self.width.itemsize
+            more = np.frombuffer(b"".join(raw), dtype=self.width)
+            if self.used + len(more) > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(more), self.used), dtype=self.width)])
+            self.pool[self.used : self.used + len(more)] = more
+            first = (self.used + np.cumsum(n) - n).astype(np.int32)
+            self.used += len(more)
+            start[miss], size[miss] = first[back], n[back]
+            to = (new & np.uint64(SLOTS - 1)).astype(np.int64)
+            # of words that meet in a slot the last one stays, in all three columns
+            _, keep = np.unique(to[::-1], return_index=True)
+            keep = len(to) - 1 - keep
+            self.key[to[keep]], self.start[to[keep]], self.size[to[keep]] = new[keep], first[keep], n[keep]
+        before = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        total = int(before[-1])
+        ids = self.pool[np.repeat(start - before[:-1], size) + np.arange(total)]
+        return ids, before[words.first]
+
+    def encode_array(self, texts: pa.Array, end: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(row, rows, ids, first) of runs of texts, each text's ids followed by `end`."""
+        e = np.array(end, dtype=self.width)
+        for i, n, data, offsets in text_blocks(texts, 1 << 20):
+            raw = data.tobytes()
+            if not self.by_words or b"<|" in raw:
+                rows = [np.frombuffer(self.plain(raw[a:b].decode("utf-8", "surrogatepass")), dtype=self.width) for a, b in zip(offsets, offsets[1:], strict=False)]
+                ids, first = np.concatenate([*rows, e[:0]]), np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
+            else:
+                ids, first = self.block(data, offsets)
+            count = np.diff(first)
+            out = np.empty(len(ids) + n * len(e), dtype=self.width)
+            begin = first + np.arange(n + 1) * len(e)
+            out[np.arange(len(ids)) + np.repeat(np.arange(n) * len(e), count)] = ids
+            for k, x in enumerate(e):
+                out[begin[:-1] + count + k] = x
+            yield i, n, out, begin
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_words:
-            return [np.array(e.ids, dtype=self.width).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        rows = [None if _ODD.search(t) else t.split() for t in texts]
-        words = set(chain.from_iterable(r for r in rows if r))
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.older, self.words, new = self.words, {}, words
-        if new:
-            self.learn(new)
-        get = self.words.__getitem__
-        return [self.plain(t) if r is None else b"".join(map(get, r)) for t, r in zip(texts, rows, strict=True)]
+        return [ids[a:b].tobytes() for _, _, ids, first in self.encode_array(pa.array(texts, pa.string()), []) for a, b in zip(first, first[1:], strict=False)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -148,7 +185,6 @@ def tokenised(documents: DataFrame, tokenizer: str, end_id: int, keep: list[str]
     spec = spark.sparkContext.broadcast(text)
     top = max(max(json.loads(text)["model"]["vocab"].values()), max([x["id"] for x in json.loads(text).get("added_tokens", [])], default=0), end_id)
     width = np.dtype("<u2") if top < 2**16 else np.dtype("<u4")
-    end = np.array([end_id], dtype=width).tobytes()
     picked = documents.select(*keep, F.col("text").cast("string").alias("_text"))
     fields = [picked.schema[c] for c in keep]
     out = schema_of("n_tokens long, ids binary")
@@ -159,10 +195,9 @@ def tokenised(documents: DataFrame, tokenizer: str, end_id: int, keep: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_of(spec.value)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                ids = [x + end for x in enc.encode([t or "" for t in part.column("_text").to_pylist()])]
-                n = pa.array([len(x) // width.itemsize for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [n, pa.array(ids, pa.binary())], names=[*keep, "n_tokens", "ids"])
+            for i, n, ids, first in enc.encode_array(b.column("_text"), [end_id]):
+                ids = ids.astype(width, copy=False)
+                binary = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((first * width.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, n) for c in keep], pa.array(np.diff(first), pa.int64()), binary], names=[*keep, "n_tokens", "ids"])
 
     return picked.mapInArrow(run, out), width

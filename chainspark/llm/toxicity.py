@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,9 +34,10 @@ from .common import schema_of, tuned
 from .learning import may_learn, platt, sampled, sigmoid
 
 SENTENCE = re.compile(r"[^.!?\n]+")
-_BREAKS = re.compile(r"[.!?\n]")
 _OUTSIDE = re.compile(r"^\W+|\W+$")
 GRAM = 5
+#: A feature is at least this many times as common in toxic training documents as in others.
+RATIO = 4.0
 #: Words of which a worker keeps the features.
 CACHE_WORDS = 300_000
 
@@ -58,6 +60,15 @@ class Scorer:
         self.at = {n: i for i, n in enumerate(names)}
         self.weight, self.bias = weight, bias
         self.seen: dict[str, tuple[int, ...]] = {}
+        # every feature of a word is a piece of its lowered text: texts without any piece need no look at words
+        self.pieces = ahocorasick.Automaton()
+        for n in names:
+            self.pieces.add_word(n.strip("^$=") or n, True)
+        self.pieces.make_automaton()
+
+    def plain(self, text: str) -> bool:
+        """Whether no word of the text can have a feature."""
+        return not self.at or next(self.pieces.iter(text.lower()), None) is None
 
     def learn(self, words: set[str]) -> None:
         if len(self.seen) + len(words) > CACHE_WORDS:
@@ -68,11 +79,10 @@ class Scorer:
 
     def bag(self, text: str) -> tuple[int, list[tuple[int, int, list[int]]]]:
         """(number of sentences, those with features: start, end, feature numbers)."""
-        words = set(text.split())
-        self.learn(words)
+        if self.plain(text):
+            return max(1, len(SENTENCE.findall(text))), []
+        self.learn(set(text.split()))
         seen = self.seen
-        if not any(map(seen.__getitem__, words)):
-            return len(_BREAKS.findall(text)) + 1, []
         found, n = [], 0
         for m in SENTENCE.finditer(text):
             n += 1
@@ -179,7 +189,7 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= least)
         .withColumn("z", F.log(p1 / p0) / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)))
-        .where("z > 3")
+        .where((F.col("z") > 3) & (p1 / p0 >= RATIO))
     )
     names = sorted(r["feature"] for r in strong.orderBy(F.desc("z"), "feature").limit(features).collect())
     counted.unpersist()

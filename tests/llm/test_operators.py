@@ -272,9 +272,11 @@ def test_tokens_are_the_library_s():
     want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
     for _ in range(2):
         assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == want
-    tokens.CACHE_WORDS, keep = 40, tokens.CACHE_WORDS
+    keep = tokens.SLOTS, tokens.POOL, tokens.CORES
+    tokens.SLOTS, tokens.POOL, tokens.CORES = 16, 500, 40
+    enc.clear()
     assert [np.frombuffer(b, "<u2").tolist() for i in range(0, 200, 7) for b in enc.encode(texts[i : i + 7])] == want
-    tokens.CACHE_WORDS = keep
+    tokens.SLOTS, tokens.POOL, tokens.CORES = keep
 
 
 def test_packing_places_every_id_once(spark, corpus):
