@@ -148,21 +148,39 @@ def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, off - off[0]
 
 
+def _segment_sums(rows: np.ndarray, pick: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sum of rows[pick[start:start + size]] for each segment of one pick or more, longest first, a pick of all segments at a time."""
+    order = np.argsort(-size, kind="stable")
+    start, size = start[order], size[order]
+    out = rows[pick[start]]
+    for k in range(1, int(size[0]) if len(size) else 0):
+        m = int(np.searchsorted(-size, -k, side="left"))
+        out[:m] += rows[pick[start[:m] + k]]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return out[back]
+
+
 def _embedded(flat: np.ndarray, off: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Sums of the rows of `base` that each passage's terms name."""
-    return np.add.reduceat(base[flat], off[:-1], axis=0) if len(off) > 1 else np.zeros((0, base.shape[1]), base.dtype)
+    return _segment_sums(base, flat, off[:-1], np.diff(off))
+
+
+def _by_term(term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order, distinct terms, first place of each in the order, number of places)."""
+    order = np.argsort(term, kind="stable")
+    t, start, n = np.unique(term[order], return_index=True, return_counts=True)
+    return order, t, start, n
 
 
 def _product(batches: Iterator[pa.RecordBatch], base: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """This partition's part of A'(A base), as float64 rows by term."""
+    """This partition's part of A'(A base), as rows by term."""
     out = np.zeros(base.shape, dtype=np.float64)
     for b in batches:
         flat, off = _rows(b.column("anchors"))
-        y = _embedded(flat, off, base)
-        order = np.argsort(flat, kind="stable")
-        t, s = np.unique(flat[order], return_index=True)
-        if len(t):
-            out[t] += np.add.reduceat(np.repeat(y, np.diff(off), axis=0)[order], s, axis=0)
+        order, t, start, n = _by_term(flat)
+        owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        out[t] += _segment_sums(_embedded(flat, off, base), owner[order], start, n)
     some = np.flatnonzero(np.any(out != 0, axis=1))
     rows = [r.tobytes() for r in out[some].astype(np.float32)]
     yield pa.RecordBatch.from_arrays([pa.array(some % SUMS, pa.int64()), pa.array(some, pa.int64()), pa.array(rows, pa.binary())], names=["lot", "term", "row"])
@@ -170,11 +188,9 @@ def _product(batches: Iterator[pa.RecordBatch], base: np.ndarray) -> Iterator[pa
 
 def _added(table: pa.Table) -> pa.Table:
     """Rows of one lot of terms added up by term."""
-    term = table.column("term").to_numpy()
     row = np.stack([np.frombuffer(r.as_buffer(), dtype=np.float32) for r in table.column("row")]).astype(np.float64)
-    order = np.argsort(term, kind="stable")
-    t, s = np.unique(term[order], return_index=True)
-    out = np.add.reduceat(row[order], s, axis=0).astype(np.float32)
+    order, t, start, n = _by_term(table.column("term").to_numpy())
+    out = _segment_sums(row, order, start, n).astype(np.float32)
     return pa.table({"term": pa.array(t, pa.int64()), "row": pa.array([r.tobytes() for r in out], pa.binary())})
 
 
@@ -203,6 +219,23 @@ def lcs_length(a: list[int], b: np.ndarray) -> int:
     return len(a) - v.bit_count()
 
 
+#: Candidates whose surroundings are looked at side by side.
+SIDE_BY_SIDE = 8192
+
+
+def _reachable(row: np.ndarray, item: np.ndarray, near: np.ndarray, noff: np.ndarray, member: np.ndarray, words: np.ndarray, lcs: float) -> np.ndarray:
+    """Whether enough words around a candidate are the item's: a common subsequence has no other words."""
+    out = np.zeros(len(row), dtype=bool)
+    for at in range(0, len(row), SIDE_BY_SIDE):
+        r, i = row[at : at + SIDE_BY_SIDE], item[at : at + SIDE_BY_SIDE]
+        n = noff[r + 1] - noff[r]
+        which = np.repeat(np.arange(len(r)), n)
+        place = np.arange(len(which)) + np.repeat(noff[r] - (np.cumsum(n) - n), n)
+        inside = member[i[which], near[place]]
+        out[at : at + SIDE_BY_SIDE] = np.bincount(which[inside], minlength=len(r)) / words[i] >= lcs
+    return out
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, size: int = 64, stride: int = 32, cosine: float = 0.3, lcs: float = 0.7, least: int = 3, iterations: int = 1) -> DataFrame:
     """(doc_id, contaminated, item_ids, best_lcs), one row for each document."""
     spark = tuned(documents.sparkSession)
@@ -286,6 +319,10 @@ def _search(docs: DataFrame, block: list, scratch: Scratch, kind: str, size: int
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, ask, pieces, lcs, cosine = model.value
+        member = np.zeros((len(pieces), len(base) + 1), dtype=bool)  # the last column is for -1, words of no item
+        for i, (_, seq, _) in enumerate(pieces):
+            member[i, seq] = True
+        words = np.array([len(seq) for _, seq, _ in pieces])
         for b in batches:
             flat, off = _rows(b.column("anchors"))
             z = _embedded(flat, off, base)
@@ -294,10 +331,12 @@ def _search(docs: DataFrame, block: list, scratch: Scratch, kind: str, size: int
             out: list[tuple[int, int, float]] = []
             for at in range(0, len(z), 1024):
                 p, i = np.nonzero(z[at : at + 1024] @ ask.T >= cosine)
-                for row, item in zip((p + at).tolist(), i.tolist(), strict=True):
+                p += at
+                some = _reachable(p, i, near, noff, member, words, lcs)
+                for row, item in zip(p[some].tolist(), i[some].tolist(), strict=True):
                     item_id, seq, answer = pieces[item]
                     around = near[noff[row] : noff[row + 1]]
-                    share = lcs_length(seq, around) / len(seq)
+                    share = lcs_length(seq, around[member[item, around]]) / len(seq)
                     if share >= lcs and (share >= 0.9 or not answer or lcs_length(answer, around) == len(answer)):
                         out.append((row, item_id, share))
             pick = pa.array([r for r, _, _ in out], pa.int64())
