@@ -23,7 +23,7 @@ from .common import WordTable, schema_of, text_blocks, tuned
 
 #: Slots of a worker's word table, and ids kept for it; when those are full the table starts anew.
 #: Words of letters that a worker keeps besides. Results depend on none of these.
-SLOTS, POOL, CORES = 1 << 21, 1 << 23, 350_000
+SLOTS, POOL, CORES = 1 << 19, 1 << 21, 80_000
 #: ASCII punctuation, but for the apostrophe, which the tokenizer joins with some letters, and the
 #: signs of special tokens.
 _MARKS = "".join(c for c in string.punctuation if c not in "'<|>")
