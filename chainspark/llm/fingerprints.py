@@ -2,8 +2,12 @@
 
 A text is normalised (A-Z lowered, white space runs to one space), a gear hash of the last 32 bytes
 is taken at every byte, and a chunk of 16 bytes or more ends where its
-top bits are zero. So boundaries depend on the
-text around them alone: an insertion moves them along, and chunks outside the edit stay the same.
+top bits are zero: five of them up to 64 bytes, then three. Where none are up to 128 bytes, as in
+texts that repeat themselves, it ends at the place with the smallest hash (the last one of equals),
+so no chunk is longer. So boundaries depend on the
+text around them alone: an insertion moves them along, and chunks outside the edit stay the same,
+mostly also where a text repeats itself. There an insertion can shift the chunks for good if a period has
+several places to cut.
 The fingerprint is the set of chunk digests with their lengths. Containment of a text in another is
 the length of its chunks that the other has, over the length of all its chunks.
 
@@ -21,6 +25,7 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +38,10 @@ from .common import key_cuts, range_of, schema_of, tasks, tuned
 
 GEAR = np.random.Generator(np.random.PCG64(90125)).integers(0, 2**32, 256, dtype=np.uint32)
 WINDOW = 32
-#: A chunk ends where this many of the hash's top bits are zero, once it has LEAST bytes: 48 on average.
+#: A chunk ends where this many of the hash's top bits are zero, once it has LEAST bytes: 43 on average.
 BITS, LEAST = 5, 16
+#: Past NORMAL bytes so many bits fewer have to be zero; no chunk has more than MOST bytes.
+FEWER, NORMAL, MOST = 2, 64, 128
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -42,13 +49,22 @@ def normalised(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())
 
 
-def boundaries(data: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """Positions after which a chunk ends."""
+def gear(data: np.ndarray) -> np.ndarray:
+    """The hash of the last 32 bytes at every byte."""
     h = GEAR[data]
     w = 1
     while w < WINDOW:
         h[w:] += h[:-w].copy() << np.uint32(w) if len(h) > w else 0
         w *= 2
+    return h
+
+
+def boundaries(data: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Positions after which a chunk may end."""
+    return _zeros(gear(data), bits)
+
+
+def _zeros(h: np.ndarray, bits: int) -> np.ndarray:
     # the upper bits have seen all 32 bytes
     return np.flatnonzero((h >> np.uint32(32 - bits)) == 0) + 1
 
@@ -62,20 +78,29 @@ def chunk_lengths(texts: list[bytes], bits: int = BITS) -> list[dict[int, int]]:
         starts.append(at + WINDOW)
         at += WINDOW + len(t)
     data = np.frombuffer(gap + gap.join(texts), dtype=np.uint8)
-    cuts = boundaries(data, bits)
-    lo = np.searchsorted(cuts, starts, side="right").tolist()
-    hi = np.searchsorted(cuts, [s + len(t) for s, t in zip(starts, texts, strict=True)], side="left").tolist()
-    cuts_l = cuts.tolist()
+    h = gear(data)
+    loose = _zeros(h, bits - FEWER)
+    cuts = loose[h[loose - 1] >> np.uint32(32 - bits) == 0].tolist()
+    loose = loose.tolist()
     digest = xxhash.xxh3_64_intdigest
-    for t, s, a, b in zip(texts, starts, lo, hi, strict=True):
+    for t, s in zip(texts, starts, strict=True):
         found: dict[int, int] = {}
-        p = 0
-        for c in (*cuts_l[a:b], s + len(t)):
-            e = c - s
-            if e - p >= LEAST or e == len(t) > p:
-                d = digest(t[p:e]) >> 24
-                found[d] = found.get(d, 0) + e - p
-                p = e
+        p, end = s, s + len(t)
+        i = bisect_left(cuts, p + LEAST)
+        while p < end:
+            while i < len(cuts) and cuts[i] < p + LEAST:
+                i += 1
+            e = cuts[i] if i < len(cuts) else end
+            if e > p + NORMAL:
+                k = bisect_left(loose, p + NORMAL + 1)
+                e = loose[k] if k < len(loose) else end
+                if e > p + MOST < end:
+                    # the last of the smallest hashes
+                    e = p + MOST - int(h[p + LEAST - 1 : p + MOST][::-1].argmin())
+            e = min(e, end)
+            d = digest(t[p - s : e - s]) >> 24
+            found[d] = found.get(d, 0) + e - p
+            p = e
         out.append(found)
     return out
 

@@ -416,6 +416,23 @@ def test_chunks_shift_with_an_insertion():
     assert fingerprints.boundaries(np.frombuffer(data, np.uint8)).tolist() == cuts
 
 
+def test_chunks_of_texts_that_repeat():
+    rng = random.Random(21)
+    shifted = []
+    for period in (1, 2, 5, 10, 20, 40, 90, 300):
+        for _ in range(20):
+            line = "".join(rng.choice("abcdefgh") for _ in range(period))
+            t = (line * 3000)[:3000]
+            a, b, c = fingerprints.chunk_lengths([t.encode(), fingerprints.edited(t, prose(rng, 400)).encode(), ("inserted, " + t).encode()])
+            assert sum(a.values()) == 3000
+            assert fingerprints.containment(a, b) >= (2250 - 128) / 3000  # at most one chunk beside the edit is lost
+            shifted.append(fingerprints.containment(a, c))
+    assert np.mean(shifted) > 0.8
+    one = fingerprints.chunk_lengths([b"x" * 1000])[0]
+    assert sum(one.values()) == 1000 and 7 * 128 in one.values()  # seven of 128 bytes, and the two ends
+    assert fingerprints.chunk_lengths([b"", b"short"])[0] == {}
+
+
 # --- 8 ---
 
 
