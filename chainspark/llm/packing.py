@@ -9,10 +9,13 @@ over the order (window, queue, document). Queues with nothing left hand their sh
 in proportion, so that windows stay full. The stream of all windows is cut every `length` ids.
 
 Targets default to each source's share of all tokens, so the mixture of the corpus holds in every
-window from first to last; `weights` sets others.
+window from first to last; `weights` sets others (None names the rows without a source; sources
+that it lacks come last).
 
-A document's running sum crosses partitions by totals of key ranges, so neither a hot source nor a
-long queue meets in one task. Ids move once, to be cut beside their places.
+Every source is a queue, however many there are: their sizes are a table. A document's running sum
+crosses partitions by totals of key ranges, so neither a hot source nor a long queue meets in one
+task. With `weights`, what all queues have sent by a time is a running sum over the times at which
+they end. Ids move once, to be cut beside their places.
 
 Edge cases: null text: only the end id; null source: a queue of its own; null doc_id: first in its
 queue; repeated rows are packed once each; an empty table gives no pieces; extra columns are
@@ -24,22 +27,24 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, key_cuts, ordered_prefix, range_of, schema_of, tasks, tuned
 from .tokens import tokenised
 
-#: More sources than this share queues by hash; each queue is still packed in full.
-MOST_QUEUES = 4096
+#: Of so many queues or more, a window is summed by ranges of sources, cut at names of a sample.
+SPAN_QUEUES, SPAN_SAMPLE = 64, 4096
 #: Windows summed together in the second running sum.
 WINDOW_GROUP = 4
 
 
-def packed(documents: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, window_sequences: int = 64, weights: dict[str, float] | None = None, with_ids: bool = True) -> DataFrame:
+def packed(documents: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, window_sequences: int = 64, weights: dict[str | None, float] | None = None, with_ids: bool = True) -> DataFrame:
     """Pieces (doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, window, ids).
 
     Without `with_ids` the column ids is null: for reports, which need places and checksums only.
@@ -55,45 +60,84 @@ def packed(documents: DataFrame, tokenizer: str, end_id: int = 1, length: int =
     return joined.select("doc_id", "source", "n_tokens", "ids", "at", "window").mapInArrow(lambda it: _cut(it, length, width, with_ids), schema_of(ddl))
 
 
-def placed(tokens: DataFrame, window: int, weights: dict[str, float] | None = None) -> DataFrame:
+def placed(tokens: DataFrame, window: int, weights: dict[str | None, float] | None = None) -> DataFrame:
     """(rid, doc_id, window, at): each row's window and the number of ids before it in the packed stream."""
     spark = tokens.sparkSession
-    queue = F.coalesce("source", F.lit(""))
-    sizes = tokens.groupBy(queue.alias("queue")).agg(F.sum("n_tokens").alias("t"))
-    if sizes.count() > MOST_QUEUES:
-        queue = F.pmod(F.xxhash64("source"), F.lit(MOST_QUEUES)).cast("string")
-        sizes = tokens.groupBy(queue.alias("queue")).agg(F.sum("n_tokens").alias("t"))
-    got = sorted((r["queue"], int(r["t"])) for r in sizes.collect())  # at most MOST_QUEUES rows
-    total = sum(t for _, t in got)
-    weight = {q: float(weights.get(q, 0.0)) if weights else float(t) for q, t in got}
-    least = min([w for w in weight.values() if w > 0], default=1.0) / 1e6
-    info = [(q, i, t, weight[q] or least) for i, (q, t) in enumerate(got)]
-    if not info:
+    scratch = Scratch(spark, "queues")
+    queue = ["named", "queue"]  # no source is a queue of its own, before the empty name
+    rows = tokens.select("rid", "doc_id", "n_tokens", F.col("source").isNotNull().alias("named"), F.coalesce("source", F.lit("")).alias("queue"))
+    sizes = scratch.keep(rows.groupBy(*queue).agg(F.sum("n_tokens").alias("queue_total")), "sizes")
+    total, n = sizes.agg(F.sum("queue_total"), F.count("*")).first()
+    if not n:
         return tokens.select("rid", "doc_id", F.lit(0).cast("long").alias("window"), F.lit(0).cast("long").alias("at"))
-    table = F.broadcast(spark.createDataFrame(info, "queue string, rank int, queue_total long, w double"))
+    names = _name_cuts(sizes, n, 4 * tasks(spark, 8))
+    if names:
+        sizes = sizes.withColumn("span", F.size(F.filter(F.array(*map(F.lit, names)), lambda x: x < F.col("queue"))).cast("long"))
+    if weights:
+        sizes = _weighted(sizes, weights)
+    if names or weights:
+        sizes = scratch.keep(sizes, "queues")
     cuts = key_cuts(tokens.select("doc_id"), "doc_id", 4 * tasks(spark, 8))
-    r = len(cuts) + 1
-    rows = tokens.withColumn("queue", queue).join(table, "queue").withColumn("part", (F.col("rank") * r + range_of("doc_id", cuts)).cast("long"))
-    rows = ordered_prefix(rows, "part", ["doc_id", "rid"], ["n_tokens"], groups=len(info) * r).withColumnRenamed("n_tokens_before", "stream")
-    before, acc = [], 0
-    for _, _, t, _ in info:
-        before.append(acc)
-        acc += t
-    start = F.element_at(F.array(*[F.lit(x).cast("long") for x in before]), F.col("rank") + 1)
-    end = F.col("stream") - start + F.col("n_tokens")
+    rows = rows.withColumn("part", range_of("doc_id", cuts).cast("long"))
+    w = Window.partitionBy(*queue, "part").orderBy("doc_id", "rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = rows.groupBy(*queue, "part").agg(F.sum("n_tokens").alias("n"))
+    w_part = Window.partitionBy(*queue).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a key range
+    starts = totals.select(*queue, "part", F.coalesce(F.sum("n").over(w_part), F.lit(0)).alias("start"))
+    rows = rows.withColumn("inside", F.sum("n_tokens").over(w)).join(starts, [*queue, "part"]).join(sizes, queue)
+    rows = rows.withColumn("end", F.col("start") + F.col("inside"))
     # tokens sent by all queues when this document's queue has credit for it
     if weights:
-        steps = F.array(*[F.struct(F.lit(float(t)).alias("t"), F.lit(w).alias("w")) for _, _, t, w in info])
-        time = end / F.col("w")
-        sent = F.aggregate(steps, F.lit(0.0), lambda a, s: a + F.least(s["t"], s["w"] * time))
+        rows = scratch.keep(rows.withColumn("time", F.col("end") / F.col("w").cast("double")), "timed")
+        rows = rows.join(_sent(rows.select("time"), sizes), "time")
     else:
-        sent = end.cast("double") * total / F.col("queue_total")
-    rows = rows.withColumn("window", F.greatest(F.lit(0), F.ceil(sent / window) - 1).cast("long")).drop("queue", "part", "stream", "queue_total", "w")
-    rows = rows.withColumn("group", F.floor(F.col("window") / WINDOW_GROUP).cast("long"))
-    out = ordered_prefix(rows, "group", ["window", "rank", "doc_id", "rid"], ["n_tokens"], groups=total // (window * WINDOW_GROUP) + 2)
+        rows = rows.withColumn("sent", F.col("end").cast("double") * total / F.col("queue_total"))
+    rows = rows.withColumn("window", F.greatest(F.lit(0), F.ceil(F.col("sent") / window) - 1).cast("long"))
+    spans = len(names) + 1
+    group = F.col("window") * spans + F.col("span") if names else F.floor(F.col("window") / WINDOW_GROUP)
+    rows = rows.select("rid", "doc_id", "n_tokens", *queue, "window", group.cast("long").alias("group"))
+    out = ordered_prefix(rows, "group", ["window", *queue, "doc_id", "rid"], ["n_tokens"], groups=(total // window + 2) * spans)
     return out.select("rid", "doc_id", "window", F.col("n_tokens_before").cast("long").alias("at"))
 
 
+def _name_cuts(sizes: DataFrame, n: int, most: int) -> list[str]:
+    """Ascending names that cut the queues into about even ranges, none for few queues."""
+    spans = min(most, n // SPAN_QUEUES)
+    if spans < 2:
+        return []
+    some = sorted({r["queue"] for r in sizes.orderBy(F.xxhash64("queue"), "queue").limit(SPAN_SAMPLE).select("queue").collect()})
+    return sorted({some[i * len(some) // spans] for i in range(1, spans)})
+
+
+def _weighted(sizes: DataFrame, weights: dict[str | None, float]) -> DataFrame:
+    """`sizes` with each queue's weight w, decimal so that sums don't depend on their order."""
+    top = max(map(float, weights.values()), default=0.0)
+    shift = -Decimal(repr(top)).adjusted() if top > 0 else 0
+    exact = [(q is not None, q or "", Decimal(repr(float(x))).scaleb(shift).quantize(Decimal("1e-18"))) for q, x in weights.items() if x and x > 0]
+    given = sizes.sparkSession.createDataFrame(exact, "named boolean, queue string, w decimal(27,18)")  # a parameter
+    sizes = sizes.join(F.broadcast(given), ["named", "queue"], "left")
+    low = sizes.where("w > 0").agg(F.min("w")).first()[0]
+    least = max(Decimal("1e-18"), ((low if low is not None else Decimal(1)) / 10**6).quantize(Decimal("1e-18")))
+    return sizes.withColumn("w", F.when(F.col("w") > 0, F.col("w")).otherwise(F.lit(least)).cast("decimal(27,18)"))
+
+
+def _sent(times: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(time, sent): for each distinct time the sum over the queues of least(queue_total, w * time).
+
+    Queues that have ended count in full, the others by the sum of their weights: running sums over
+    the times, with one row for each.
+    """
+    spark = times.sparkSession
+    none = F.lit(0).cast("decimal(27,18)")
+    ends = sizes.select((F.col("queue_total") / F.col("w").cast("double")).alias("time"), F.col("queue_total").alias("t"), "w")
+    both = times.select("time", F.lit(0).cast("long").alias("t"), none.alias("w")).union(ends).groupBy("time").agg(F.sum("t").alias("t"), F.sum("w").alias("w"))
+    top, weight = ends.agg(F.max("time"), F.sum("w")).first()
+    both = both.withColumn("place", F.floor(F.col("time") / F.lit(float(top)) * F.lit(float(1 << 50))).cast("long"))
+    cuts = key_cuts(both, "place", 4 * tasks(spark, 8))
+    both = ordered_prefix(both.withColumn("part", range_of("place", cuts).cast("long")), "part", ["time"], ["t", "w"], groups=len(cuts) + 1)
+    going = F.lit(weight) - F.col("w_before") - F.col("w")
+    return both.select("time", ((F.col("t_before") + F.col("t")).cast("double") + going.cast("double") * F.col("time")).alias("sent"))
+
+
 def _cut(batches: Iterator[pa.RecordBatch], length: int, width: np.dtype, with_ids: bool) -> Iterator[pa.RecordBatch]:
     """Pieces of each document at the ends of sequences."""
     k = width.itemsize

@@ -343,6 +343,41 @@ def test_packing_is_deficit_round_robin(spark):
     assert 0.4 < first["a"] / sum(first.values()) < 0.6
 
 
+def test_packing_of_more_sources_than_fit_a_list(spark):
+    rng = random.Random(24)
+    rows, rid = [], 0
+    for k in range(4200):  # hosts with two documents each, and two queues without a name
+        for _ in range(2):
+            rows.append((rid, rid, f"host{k}", rng.randrange(1, 60)))
+            rid += 1
+    for s in (None, ""):
+        for _ in range(150):
+            rows.append((rid, rid, s, rng.randrange(1, 60)))
+            rid += 1
+    df = spark.createDataFrame(rows, "rid long, doc_id long, source string, n_tokens long")
+    size, name, queues = {r[1]: r[3] for r in rows}, {r[1]: r[2] for r in rows}, {}
+    for _, i, s, n in rows:
+        queues.setdefault(s, []).append((i, n))
+    total = sum(size.values())
+    for weights in (None, {"host7": 3.0, "host11": 1.0, None: 2.0, **{f"host{k}": 0.5 for k in range(100, 4000)}}):
+        t = {q: sum(n for _, n in d) for q, d in queues.items()}
+        w = {q: weights.get(q, 0.5 / 1e6) for q in queues} if weights else t
+        got = packing.placed(df, 4000, weights).collect()
+        ends = {}
+        for q, d in queues.items():
+            for (i, _), end in zip(d, np.cumsum([n for _, n in d]).tolist(), strict=True):
+                ends[i] = (q, end)
+        tt, ww = np.array([t[q] for q in queues], float), np.array([w[q] for q in queues], float)
+        for r in random.Random(1).sample(got, 600):
+            q, end = ends[r.doc_id]
+            sent = np.minimum(tt, ww * (end / w[q])).sum()
+            assert {math.ceil((sent - 1e-3) / 4000) - 1, math.ceil((sent + 1e-3) / 4000) - 1} & {r.window, -1 if r.window == 0 else r.window}
+        order = sorted(got, key=lambda r: r["at"])
+        assert [r["at"] for r in order] == np.concatenate([[0], np.cumsum([size[r.doc_id] for r in order])])[:-1].tolist()
+        key = [(r.window, name[r.doc_id] is not None, name[r.doc_id] or "", r.doc_id) for r in order]
+        assert key == sorted(key) and len(order) == len(rows) and sum(size[r.doc_id] for r in order) == total
+
+
 def test_token_store_round_trip(spark, corpus, tmp_path):
     rows = [*corpus, (None, "no name", "s1"), (None, "none", "s1"), (901, "", "s1")]
     df = table(spark, rows)
