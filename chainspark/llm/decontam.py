@@ -13,6 +13,7 @@
    `cosine` or more are candidates.
 5. A candidate is confirmed by the longest common subsequence of item and surroundings (`lcs` of
    the item's words), and, where the benchmark has a column `answer`, by the answer's words too.
+   Words that only answers have are terms as well, but never tell items apart.
 
 Items are searched `ITEM_BLOCK` passages at a time, so the matrices stay small for any benchmark.
 
@@ -243,7 +244,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, size: int = 64, str
     kind = documents.schema["doc_id"].dataType.simpleString()
     docs = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     found = []
-    items = benchmark.select("item_id", "text", *(["answer"] if "answer" in benchmark.columns else [])).where("trim(text) <> ''")
+    items = benchmark.select("item_id", "text", *([F.col("answer").cast("string").alias("answer")] if "answer" in benchmark.columns else [])).where("trim(text) <> ''")
     block: list = []
     for row in items.orderBy("item_id").toLocalIterator():
         block.append(row)
@@ -268,11 +269,12 @@ def _search(docs: DataFrame, block: list, scratch: Scratch, kind: str, size: int
     texts = pa.array([r["text"] for r in block])
     _, _, data, offsets = next(iter(text_blocks(texts, 1 << 40)))
     words = WordTable(data, offsets, marks=False)
-    hashes = np.unique(words.hash)
+    answers = [_answer_words(r) for r in block]
+    hashes = np.unique(np.concatenate([words.hash, *answers]))
     term = np.searchsorted(hashes, words.hash)
     text, lo, hi = _passages(words.first, size, stride)
     # a last passage that the one before nearly holds adds nothing
-    pieces = [(int(block[t]["item_id"]), term[a:b].astype(int).tolist(), _answer(block[t], hashes)) for t, a, b in zip(text, lo, hi, strict=True)]
+    pieces = [(int(block[t]["item_id"]), term[a:b].astype(int).tolist(), np.searchsorted(hashes, answers[t]).tolist()) for t, a, b in zip(text, lo, hi, strict=True)]
     known = spark.sparkContext.broadcast(hashes)
     named = docs.withColumnRenamed("doc_id", "rid")
     freq = named.select("text").mapInArrow(lambda it: _frequencies(it, known.value, size, stride), schema_of("term long, n long")).groupBy("term").agg(F.sum("n").alias("n"))
@@ -351,12 +353,10 @@ def _spread(x: np.ndarray, space: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _answer(row, hashes: np.ndarray) -> list[int]:
-    """Term ids of the item's answer, empty without one; words that the items lack are -2."""
+def _answer_words(row) -> np.ndarray:
+    """Word hashes of the item's answer, none without one."""
     text = row["answer"] if "answer" in row.__fields__ else None
     if not text:
-        return []
+        return np.zeros(0, dtype=np.uint64)
     _, _, data, offsets = next(iter(text_blocks(pa.array([text]), 1 << 40)))
-    h = WordTable(data, offsets, marks=False).hash
-    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-    return np.where(hashes[at] == h, at, -2).astype(int).tolist()
+    return WordTable(data, offsets, marks=False).hash

@@ -499,6 +499,19 @@ def test_decontamination(spark):
     assert loose <= set(bad)
 
 
+def test_answers_of_words_that_no_item_has(spark):
+    rng = random.Random(22)
+    item = prose(rng, 40)
+    loose = item.split()
+    for i in range(0, 40, 5):
+        loose[i] = "changed"  # 32 of 40 words stay: 0.8
+    held, around = " ".join(loose), prose(rng, 30)
+    rows = [(1, f"{around} {held} the Unseen, reply {around}", "s"), (2, f"{around} {held} {around}", "s"), (3, f"{held} reply unseen", "s"), (4, f"{around} {item} {around}", "s")]
+    bench = spark.createDataFrame([(5, item, "unseen reply"), (6, prose(rng, 30), "other")], "item_id long, text string, answer string")
+    got = {r.doc_id: r.contaminated for r in decontam.contaminated(table(spark, rows), bench).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: True}
+
+
 def test_lcs():
     rng = random.Random(13)
     for _ in range(50):
