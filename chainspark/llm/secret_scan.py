@@ -9,8 +9,9 @@ in bits, and a set of character groups it has to mix. The window slides over the
 entropy is kept up to date from the counts of the character that leaves and the one that enters,
 as log2 w - (sum c log2 c) / w. The run is a secret where a window reaches the threshold. Runs on the
 allow-list (UUIDs, dates, paths, dotted names, words joined by - or _, one character repeated) are
-passed over, and so is a run that a pattern already covers. Entropy spans come beside the
-patterns' spans and never remove them.
+passed over, and so is a run that patterns already cover wholly. Of a run that they cover in part,
+the whole is looked at, and where that is no secret, each rest of `MIN_RUN` characters or more.
+Entropy spans come beside the patterns' spans and never remove them.
 
 Edge cases: null text is empty, no spans; repeated rows each give a row; an empty table gives no
 rows; null doc_id is kept; extra columns are ignored. Offsets are code points, end exclusive.
@@ -92,6 +93,19 @@ def high_entropy(run: str) -> bool:
     return False
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What ascending spans leave of start..end."""
+    out = []
+    for a, b in spans:
+        if a >= end:
+            break
+        if b > start:
+            if a > start:
+                out.append((start, a))
+            start = b
+    return [*out, (start, end)] if start < end else out
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans, by start, then by kind as listed in KINDS."""
     spans: list[tuple[int, int, str]] = []
@@ -102,10 +116,13 @@ def find(text: str) -> list[tuple[int, int, str]]:
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     runs = [m.span() for m in RUN.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    base = spans[:]
+    base = sorted((a, b) for a, b, _ in spans)
     for s, e in runs:
-        if not any(a < e and s < b for a, b, _ in base) and high_entropy(text[s:e]):
+        rest = uncovered(s, e, base) if base else [(s, e)]
+        if rest and high_entropy(text[s:e]):
             spans.append((s, e, "entropy"))
+        elif rest != [(s, e)]:
+            spans += [(a, b, "entropy") for a, b in rest if b - a >= MIN_RUN and high_entropy(text[a:b])]
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
