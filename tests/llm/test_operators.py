@@ -252,6 +252,22 @@ def test_near_duplicates_of_odd_tables(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (7, 3), (7, 3), (8, 8), (9, 9)]
 
 
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    rng = random.Random(23)
+    rows, want = [], []
+    for i in range(20):  # ids 0 to 19 have three texts each; every one has a near copy of its own
+        for k in range(3):
+            t = prose(rng, 100).split()
+            rows += [(i, " ".join(t), "s"), (1000 + 3 * i + k, " ".join([*t[:-2], "last", "words"]), "s")]
+            want += [(i, i), (1000 + 3 * i + k, i)]
+    rows.append((-5, rows[0][1] + " more", "s"))
+    want = [(d, -5 if d == 1000 else c) for d, c in want] + [(-5, -5)]
+    want.remove((0, 0))
+    want.append((0, -5))
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted(want)
+
+
 # --- 5 and 6 ---
 
 
