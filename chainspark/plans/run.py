@@ -95,7 +95,9 @@ class Run:
         b = chains.unnested(table, "id")
         g = nets.flanks(b, table=self.p.linear_gap).join(table.select(F.col("id").alias("cid"), "t_name", "t_start", "score"), "cid")
         g = g.select(F.col("cid").alias("id"), "t_name", "score", (F.col("t_start") + F.col("t_from")).alias("start"), (F.col("t_start") + F.col("t_to")).alias("end"), "left", "right")
-        found = nets.suspects(table.select("id", "t_name", "t_start", "t_end", "score"), g, self.p.clean_fold, self.p.clean_max_suspect, self.p.clean_min_broken)
+        every = nets.breaking(table.select("id", "t_name", "t_start", "t_end", "score"), g, self.p.clean_max_suspect, self.p.clean_min_broken)
+        pairs = nets.suspect_pairs(every, table, self.p.clean_fold_pairs, self.p.clean_pair_distance)
+        found = nets.falling(every, self.p.clean_fold).select("id").union(pairs.select("id")).union(pairs.select("next"))
         return nets.cleaned(table, found), nets.suspects_bed(table, found)
 
     def run(self) -> DataFrame:

@@ -221,3 +221,15 @@ def test_net_gives_every_base_to_its_best_chain(spark):
 def test_sequence_functions(spark):
     row = spark.createDataFrame([("AcgTNn",)], "s string").select(sequences.reverse_complement(F.col("s")).alias("r"), sequences.masked_bases(F.col("s")).alias("m"), sequences.base_count(F.col("s"), "N").alias("n")).first()
     assert tuple(row) == ("nNAcgT", 3, 2)
+
+
+def test_pairs_of_suspects_fall_by_their_outer_flanks(spark):
+    from chainspark.operators import nets
+
+    chains = spark.createDataFrame([("big", "c", 0, 90_000, 100_000), ("a", "c", 1_000, 1_500, 900), ("b", "c", 3_000, 3_500, 100), ("far", "c", 60_000, 61_000, 900)], "id string, t_name string, t_start long, t_end long, score long")
+    gaps = spark.createDataFrame([("big", "c", 100_000, 900, 2_000, 98_000, 2_000), ("big", "c", 100_000, 2_900, 4_000, 99_000, 1_500), ("big", "c", 100_000, 59_000, 62_000, 99_500, 500)], "id string, t_name string, score long, start long, end long, left long, right long")
+    every = nets.breaking(chains, gaps)
+    assert {r.id for r in every.collect()} == {"a", "b", "far"}
+    assert {r.id for r in nets.suspects(chains, gaps).collect()} == {"b"}
+    assert [(r.id, r.next) for r in nets.suspect_pairs(every, chains).collect()] == [("a", "b")]
+    assert nets.suspect_pairs(every, chains, distance=1_000).count() == 0
