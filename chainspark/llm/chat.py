@@ -12,8 +12,8 @@ and `unescaped` gives back exactly what went in.
 Loss mask: for each assistant turn the text parts only, as (start, length) code points of the
 formatted conversation; role header, placeholders and `</s>` are outside.
 
-Edge cases: null text or null parts count as empty; a null role is empty; null conv_id is a
-conversation of its own; turns sort by number with nulls first, ties by role, then by content, and
+Edge cases: null text or null parts count as empty; a null role is empty; the rows without a conv_id
+are one conversation, null; turns sort by number with nulls first, ties by role, then by content, and
 repeated rows stay; an empty table gives an empty result; further columns are ignored. A
 conversation becomes one string, so it has to fit in a row (2 GB), as any formatted chat does.
 """
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 BEGIN, END = "<s>", "</s>"
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
@@ -67,64 +68,58 @@ def part_tokens(p: Column) -> Column:
     )
 
 
+def _is_text(p: Column) -> Column:
+    return F.coalesce(p["kind"] == "text", F.lit(True))
+
+
+def _pieces(parts: Column, before: Column) -> Column:
+    """The parts as array<struct<pos, s, plain>> in order; placeholders count on from `before`.
+
+    Attachments are numbered by their place among attachments, then both kinds are sorted together.
+    """
+    placed = F.transform(parts, lambda p, i: F.struct(i.alias("pos"), p.alias("p")))
+    texts = F.transform(F.filter(placed, lambda x: _is_text(x["p"])), lambda x: F.struct(x["pos"].alias("pos"), escaped(F.coalesce(x["p"]["text"], F.lit(""))).alias("s"), F.lit(True).alias("plain")))
+    name = lambda x, i: F.concat(F.lit("["), x["p"]["kind"], F.lit(":"), (before + i).cast("string"), F.lit("]"))
+    media = F.transform(F.filter(placed, lambda x: ~_is_text(x["p"])), lambda x, i: F.struct(x["pos"].alias("pos"), name(x, i).alias("s"), F.lit(False).alias("plain")))
+    return F.sort_array(F.concat(texts, media))
+
+
 def format_chats(messages: DataFrame) -> DataFrame:
     """(conv_id, n_turns, formatted, loss, attachments, expanded_tokens) from (conv_id, turn, role, parts).
 
     `loss` is array<struct<start, length>> (start from 0, code points of `formatted`);
     `attachments` is array<struct<index, kind, ref, turn, tokens>> in reading order. The turns of a
-    conversation meet once, in one shuffle by conv_id; all else is row by row.
+    conversation meet once, in one shuffle by conv_id. Attachments and code points of earlier turns
+    are running sums over the sorted turns, so the work grows with the number of turns alone.
     """
     parts = F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>"))
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"))
-    chats = messages.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    media = lambda ps: F.filter(ps, lambda p: F.coalesce(p["kind"] != "text", F.lit(False)))
-    # the placeholder's number: attachments of earlier turns, then of earlier parts
-    chats = chats.withColumn("before", F.transform("turns", lambda t, i: F.aggregate(F.slice(F.col("turns"), 1, i), F.lit(0), lambda n, x: n + F.size(media(x["parts"])))))
-
-    def visit(ps: Column, before: Column) -> Column:
-        """The parts as (text, counts as text) pieces in order."""
-        place = lambda p, i: F.concat(F.lit("["), p["kind"], F.lit(":"), (before + F.size(media(F.slice(ps, 1, i)))).cast("string"), F.lit("]"))
-        is_text = lambda p: F.coalesce(p["kind"] == "text", F.lit(True))
-        return F.transform(ps, lambda p, i: F.struct(F.when(is_text(p), escaped(F.coalesce(p["text"], F.lit("")))).otherwise(place(p, i)).alias("s"), is_text(p).alias("plain")))
-
-    turns = F.transform(
-        F.arrays_zip("turns", "before"),
-        lambda z: F.struct(z["turns"]["role"].alias("role"), visit(z["turns"]["parts"], z["before"]).alias("pieces")),
-    )
-    chats = chats.withColumn("flat", turns)
-    # one list of (string, learns) pieces for the whole conversation
-    pieces = F.flatten(
-        F.transform(
-            "flat",
-            lambda t: F.concat(
-                F.array(F.struct(F.concat(F.lit(BEGIN), escaped_role(t["role"]), F.lit("\n")).alias("s"), F.lit(False).alias("on"))),
-                F.transform(t["pieces"], lambda p: F.struct(p["s"].alias("s"), (p["plain"] & (t["role"] == "assistant")).alias("on"))),
-                F.array(F.struct(F.lit(END).alias("s"), F.lit(False).alias("on"))),
-            ),
-        )
-    )
-    chats = chats.withColumn("pieces", pieces)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("out"))
+    rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts"), F.monotonically_increasing_id().alias("row"))
+    turns = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "parts", "row")
+    earlier = turns.rowsBetween(Window.unboundedPreceding, -1)
+    media = F.filter("parts", lambda p: ~_is_text(p))
+    rows = rows.select("*", F.row_number().over(turns).alias("nth"), F.coalesce(F.sum(F.size(media)).over(earlier), F.lit(0)).alias("before"))
+    head = F.concat(F.lit(BEGIN), escaped_role(F.col("role")), F.lit("\n"))
+    rows = rows.withColumn("pieces", _pieces(F.col("parts"), F.col("before"))).withColumn("shown", F.concat(head, F.array_join(F.transform("pieces", lambda p: p["s"]), ""), F.lit(END)))
+    rows = rows.withColumn("at", F.coalesce(F.sum(F.length("shown")).over(earlier), F.lit(0)) + F.length(head))
+    # spans of this turn's text parts: what a message of its own parts holds, a short list
+    spans = "array<struct<start:bigint,length:bigint>>"
+    zero = F.struct(F.col("at").cast("long").alias("at"), F.array().cast(spans).alias("out"))
     step = lambda a, p: F.struct(
         (a["at"] + F.length(p["s"])).cast("long").alias("at"),
-        F.when(p["on"], F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), F.length(p["s"]).cast("long").alias("length"))))).otherwise(a["out"]).alias("out"),
-    )
-    found = F.flatten(
-        F.transform(
-            F.arrays_zip("turns", "before"),
-            lambda z: F.transform(
-                media(z["turns"]["parts"]),
-                lambda p, i: F.struct((z["before"] + i).alias("index"), p["kind"].alias("kind"), p["ref"].alias("ref"), z["turns"]["turn"].alias("turn"), part_tokens(p).alias("tokens")),
-            ),
-        )
+        F.when(p["plain"], F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), F.length(p["s"]).cast("long").alias("length"))))).otherwise(a["out"]).alias("out"),
     )
+    loss = F.when(F.col("role") == "assistant", F.aggregate("pieces", zero, step)["out"]).otherwise(F.array().cast(spans))
+    found = F.transform(media, lambda p, i: F.struct((F.col("before") + i).cast("int").alias("index"), p["kind"].alias("kind"), p["ref"].alias("ref"), F.col("turn").alias("turn"), part_tokens(p).alias("tokens")))
+    shown = F.struct("nth", "shown", loss.alias("loss"), found.alias("found"))
+    chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(shown)).alias("turns"))
+    attachments = F.flatten(F.transform("turns", lambda t: t["found"]))
     return chats.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
-        F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"),
-        F.aggregate("pieces", zero, step)["out"].alias("loss"),
-        found.alias("attachments"),
-        F.aggregate(found, F.lit(0).cast("long"), lambda n, a: n + a["tokens"]).alias("expanded_tokens"),
+        F.array_join(F.transform("turns", lambda t: t["shown"]), "").alias("formatted"),
+        F.flatten(F.transform("turns", lambda t: t["loss"])).alias("loss"),
+        attachments.alias("attachments"),
+        F.aggregate(attachments, F.lit(0).cast("long"), lambda n, a: n + a["tokens"]).alias("expanded_tokens"),
     )
 
 

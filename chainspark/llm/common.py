@@ -1,7 +1,6 @@
 """What several operators of this subpackage share.
 
-* `Scratch` keeps intermediate tables as Parquet in the shared checkpoint folder, so a lost
-  executor never loses them and lineage stays short;
+* `Scratch` (of the library) keeps intermediate tables in the shared checkpoint folder;
 * `ordered_prefix` computes exact running sums over a global order without a single-task window;
 * `connected_components` labels the nodes of an edge table by their smallest member;
 * `WordTable` splits a batch of texts into words and hashes them without a Python loop per word.
@@ -9,17 +8,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..scratch import Scratch
+
 #: Rows of an Arrow batch. A batch of texts has to fit in a Python worker beside its results.
 BATCH_ROWS = 1000
 
@@ -34,47 +34,6 @@ def tasks(spark: SparkSession, at_least: int = 1) -> int:
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of this process where it names none."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-class Scratch:
-    """Tables written once below the checkpoint folder."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
-
-    def path(self, name: str) -> str:
-        self.n += 1
-        return f"{self.root}/{self.n:03d}-{name}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """`df` written as a table and read again."""
-        at = self.path(name)
-        df.write.option("compression", "zstd").parquet(at)
-        return self.spark.read.schema(df.schema).parquet(at)
-
-    def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
-        """As `keep`, with the number of rows, counted while they are written."""
-        seen = Observation()
-        out = self.keep(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-        return out, int(seen.get["n"])
-
-    def drop(self, *frames: DataFrame) -> None:
-        """Delete the files of tables that no later step reads."""
-        jvm = self.spark._jvm
-        for df in frames:
-            for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
-                if f.startswith(self.root) or f.replace("file:///", "file:/").startswith(self.root.replace("file:///", "file:/")):
-                    p = jvm.org.apache.hadoop.fs.Path(f)
-                    p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -111,6 +70,13 @@ def _bisect(c: Column, cuts: list[int]) -> Column:
     return F.when(c.isNull() | (coarse == 0), F.lit(0)).otherwise((coarse - 1) * step + inside)
 
 
+def key_parts(key: str, cuts: list[int], tie: Column) -> Column:
+    """Ascending part numbers by ranges of an integer key; a key that is a cut, as very frequent ones are, is dealt by `tie` (0 to 2^20 - 1) too."""
+    at_cut = F.coalesce(F.col(key).isin(cuts), F.lit(False)) if cuts else F.lit(False)
+    inside = F.when(at_cut, F.lit(1 << 20) + tie).otherwise(F.lit(0))
+    return (range_of(key, cuts).cast("long") * F.lit(1 << 21) + inside).cast("long")
+
+
 def group_starts(totals: DataFrame, key: str, sums: list[str], fan: int = 4096, groups: int | None = None) -> DataFrame:
     """Exclusive running sums of `sums` over ascending integer `key`, one row a key.
 
@@ -191,30 +157,10 @@ _APART = _SPACE.copy()
 _APART[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_GEN = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _GEN.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 2**64)
-
-
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-class _Pow:
-    """Powers of the hash base and of its inverse, grown as needed."""
-
-    up = _powers(1, _BASE)
-    down = _powers(1, _BASE_INV)
-
-    @classmethod
-    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            m = max(n, 1 << 20)
-            cls.up, cls.down = _powers(m, _BASE), _powers(m, _BASE_INV)
-        return cls.up, cls.down
+#: Bytes of a lane, and of the longest word that is hashed lane by lane.
+LANE, LONG = 8, 64
+_KEEP = np.array([(1 << 8 * r) - 1 for r in range(LANE)] + [2**64 - 1], dtype=np.uint64)
+_BY_SIZE, _BY_LANE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
@@ -230,19 +176,19 @@ def mix64(h: np.ndarray) -> np.ndarray:
 class WordTable:
     """The words `[^\\x20\\x09-\\x0D]+` of some texts, A-Z lowered, each with a 64-bit hash.
 
-    first[i]:first[i + 1] are the words of text i; start, end are byte positions in `data`.
+    first[i]:first[i + 1] are the words of text i; start, end are byte positions in `data`. A word is
+    hashed eight bytes at a time, each lane mixed into what came before; of words of eight bytes or
+    less, two of one size never share a hash, since every step is one to one. Words over `LONG` bytes
+    take xxh3. The sets and terms that are built on it hold hashes, two words at a time being mistaken
+    for one with 2^-64; where results must be exact, `same` compares the bytes.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, marks: bool = True):
         """Without `marks`, ASCII punctuation separates words as white space does."""
         n = len(data)
-        up, down = _Pow.get(n + 1)
-        space = (_SPACE if marks else _APART)[data]
-        edge = np.empty(n + 1, dtype=bool)  # a word may also begin or end where a text does
-        word = ~space
-        cut = np.zeros(n + 1, dtype=bool)
+        word = ~(_SPACE if marks else _APART)[data]
+        cut = np.zeros(n + 1, dtype=bool)  # a word may also begin or end where a text does
         cut[offsets] = True
-        edge[:n] = word
         prev = np.empty(n, dtype=bool)
         prev[:1] = False
         prev[1:] = word[:-1]
@@ -253,15 +199,41 @@ class WordTable:
         ends = word & (~nxt | cut[1 : n + 1])
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends) + 1
-        low = _LOWER[data]
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[low] * up[:n], out=sums[1:])
-        self.hash = mix64((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        self.size = self.end - self.start
+        self.low = np.zeros(n + LANE, dtype=np.uint8)
+        self.low[:n] = _LOWER[data]
+        self._lanes = np.ndarray(n + 1, dtype="<u8", buffer=self.low, strides=(1,))
+        self.hash = self._hashes()
         self.first = np.searchsorted(self.start, offsets)
-        self.data, self.offsets = data, offsets
+
+    def lane(self, which: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8 k to 8 k + 7 of the words `which`, all of which have some there; zero past their ends."""
+        return self._lanes[self.start[which] + LANE * k] & _KEEP[np.minimum(self.size[which] - LANE * k, LANE)]
+
+    def _hashes(self) -> np.ndarray:
+        size = self.size
+        h = mix64((self._lanes[self.start] & _KEEP[np.minimum(size, LANE)]) + size.astype(np.uint64) * _BY_SIZE)
+        k, more = 1, np.flatnonzero((size > LANE) & (size <= LONG))
+        while len(more):
+            h[more] = mix64(h[more] ^ (self.lane(more, k) * _BY_LANE))
+            k += 1
+            more = more[size[more] > LANE * k]
+        for i in np.flatnonzero(size > LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.low[self.start[i] : self.end[i]])
+        return h
+
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether words a[i] and b[i] are equal, byte by byte."""
+        out = self.size[a] == self.size[b]
+        k, on = 0, np.flatnonzero(out)
+        while len(on):
+            out[on] = self.lane(a[on], k) == self.lane(b[on], k)
+            k += 1
+            on = on[out[on] & (self.size[a[on]] > LANE * k)]
+        return out
 
     def word(self, i: int) -> bytes:
-        return bytes(_LOWER[self.data[self.start[i] : self.end[i]]])
+        return self.low[self.start[i] : self.end[i]].tobytes()
 
 
 def text_blocks(texts: pa.Array, most: int = 4 << 20) -> Iterable[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -3,27 +3,33 @@
 1. Documents are cut into overlapping passages (`size` words, one every `stride`), and so are the
    benchmark items. The document frequency of every benchmark term is counted over all passages.
 2. The TF-IDF space has the terms that tell items apart: of each item passage the rarer half of its
-   terms, four at least. Corpus passages with three of them or more have a vector worth a search;
+   terms, four at least. Corpus passages with `least` of them or more have a vector worth a search;
    all others are (nearly) zero in this space. They are kept with their surroundings as term ids.
-3. A randomised SVD of the TF-IDF matrix: partial products A'(A Omega) are added up over the
-   partitions, with power iterations; each sends one matrix of terms x rank to the driver, however
-   many passages there are. The item passages count as rows of weight, so that their directions are
-   in the latent space: a passage that holds an item can't lose it in the projection.
+3. A randomised SVD of the TF-IDF matrix of all these passages, with power iterations: partial
+   products A'(A Omega) are added up over the partitions. The item passages are rows as well, and
+   count as much as the corpus does as a whole (equal sums of squares). `RANK` directions are kept.
 4. Items are the stated queries, passages are scored in blocks: pairs with a latent cosine of
    `cosine` or more are candidates.
-5. A candidate is confirmed by the longest common subsequence of item and surroundings (`lcs` of
-   the item's words), and, where the benchmark has a column `answer`, by the answer's words too.
-   Words that only answers have are terms as well, but never tell items apart.
-
-Items are searched `ITEM_BLOCK` passages at a time, so the matrices stay small for any benchmark.
-
-Edge cases: null or blank text: no passage, clean; null or blank items are never found; items of
-fewer than `least` words are searched as they are; repeated documents each get a row; null doc_id
-is kept; an empty benchmark leaves all clean; extra columns are ignored.
+5. A candidate is confirmed by the longest common subsequence of item passage and surroundings, as a
+   share of the item's words: from `sure` on it alone decides; from `lcs` on the item's answer has to
+   be there too, if it has one; from `loose` on only where it has one and that is there. An answer is
+   the column `answer`, or what follows "answer:" in the item's text. Words that only answers have are
+   terms as well, but never tell items apart.
+
+The corpus is read twice (frequencies, passages) however many items there are. Terms beyond `SPACE`
+share dimensions of the latent space, so its matrices have at most SPACE x RANK numbers; item lists
+grow with the benchmark alone, which is a table that fits the driver.
+
+Edge cases: null or blank text, and text without words: no passage, clean; such items are never found;
+null item_id: found, but not named in item_ids; item ids of any type keep it; items of fewer than `least`
+words are searched as they are; repeated documents each get a row, and rows with one doc_id share
+their verdict; a null doc_id is kept, and clean (a row without a name can't be joined: give rows
+numbers, as the pipeline does); an empty benchmark leaves all clean; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +39,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, WordTable, schema_of, text_blocks, tuned
 
-ITEM_BLOCK = 256
-RANK = 256
+#: Dimensions of the TF-IDF space at most, and of the latent space.
+SPACE, RANK = 1 << 15, 256
+#: Item passages that a block of corpus passages is scored with at a time.
+ITEM_BLOCK = 4096
 #: Lots of terms whose partial products are added up side by side.
 SUMS = 48
 
@@ -113,15 +121,15 @@ def _frequencies(batches: Iterator[pa.RecordBatch], hashes: np.ndarray, size: in
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(df[some], total), pa.int64())], names=["term", "n"])
 
 
-def _selected(batches: Iterator[pa.RecordBatch], hashes: np.ndarray, anchor: np.ndarray, size: int, stride: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Passages with `least` anchor terms or more: doc_id, anchors, and the term ids around them."""
+def _selected(batches: Iterator[pa.RecordBatch], hashes: np.ndarray, place: np.ndarray, size: int, stride: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Passages with `least` anchor terms or more: row id, anchors' places in the space, and the term ids around them."""
     ids, n_terms = TermIds(hashes), len(hashes)
     for batch in batches:
         for i, _, data, offsets in text_blocks(batch.column("text"), 1 << 20):
             w = WordTable(data, offsets, marks=False)
             text, lo, hi = _passages(w.first, size, stride)
             term = ids.of(w.hash)
-            rare = np.where((term >= 0) & anchor[np.maximum(term, 0)], term, -1)
+            rare = np.where((term >= 0) & (place[np.maximum(term, 0)] >= 0), term, -1)
             p, t = _hits(rare, lo, hi, n_terms)
             if not len(p):
                 continue
@@ -133,7 +141,7 @@ def _selected(batches: Iterator[pa.RecordBatch], hashes: np.ndarray, anchor: np.
             doc = batch.column("rid").slice(i).take(pa.array(text[which]))
             near_lo = np.maximum(lo[which] - size // 2, w.first[text[which]])
             near_hi = np.minimum(hi[which] + size // 2, w.first[text[which] + 1])
-            anchors = [t[s : s + m] for s, m in zip(start, n, strict=True)]
+            anchors = [place[t[s : s + m]] for s, m in zip(start, n, strict=True)]
             near = [term[a:b] for a, b in zip(near_lo, near_hi, strict=True)]
             yield pa.RecordBatch.from_arrays([doc, _lists(anchors, np.int32), _lists(near, np.int32)], names=["rid", "anchors", "near"])
 
@@ -174,14 +182,19 @@ def _by_term(term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return order, t, start, n
 
 
+def _gram(flat: np.ndarray, off: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A'(A base) of passages given as lists of places: (places that occur, their rows)."""
+    order, t, start, n = _by_term(flat)
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    return t, _segment_sums(_embedded(flat, off, base), owner[order], start, n)
+
+
 def _product(batches: Iterator[pa.RecordBatch], base: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """This partition's part of A'(A base), as rows by term."""
+    """This partition's part of A'(A base), as rows by place."""
     out = np.zeros(base.shape, dtype=np.float64)
     for b in batches:
-        flat, off = _rows(b.column("anchors"))
-        order, t, start, n = _by_term(flat)
-        owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        out[t] += _segment_sums(_embedded(flat, off, base), owner[order], start, n)
+        t, rows = _gram(*_rows(b.column("anchors")), base)
+        out[t] += rows
     some = np.flatnonzero(np.any(out != 0, axis=1))
     rows = [r.tobytes() for r in out[some].astype(np.float32)]
     yield pa.RecordBatch.from_arrays([pa.array(some % SUMS, pa.int64()), pa.array(some, pa.int64()), pa.array(rows, pa.binary())], names=["lot", "term", "row"])
@@ -200,7 +213,7 @@ def _times(passages: DataFrame, scaled: np.ndarray) -> np.ndarray:
     base = passages.sparkSession.sparkContext.broadcast(scaled.astype(np.float32))
     parts = passages.select("anchors").mapInArrow(lambda it: _product(it, base.value), schema_of("lot long, term long, row binary"))
     out = np.zeros(scaled.shape)
-    for r in parts.groupBy("lot").applyInArrow(_added, schema_of("term long, row binary")).collect():  # terms x rank: fixed by the benchmark
+    for r in parts.groupBy("lot").applyInArrow(_added, schema_of("term long, row binary")).collect():  # at most SPACE x RANK numbers
         out[r["term"]] = np.frombuffer(r["row"], dtype=np.float32)
     return out
 
@@ -224,7 +237,14 @@ def lcs_length(a: list[int], b: np.ndarray) -> int:
 SIDE_BY_SIDE = 8192
 
 
-def _reachable(row: np.ndarray, item: np.ndarray, near: np.ndarray, noff: np.ndarray, member: np.ndarray, words: np.ndarray, lcs: float) -> np.ndarray:
+def _inside(item: np.ndarray, term: np.ndarray, member: np.ndarray, terms: int) -> np.ndarray:
+    """Whether a term is one of an item passage's: `member` has the sorted keys passage * terms + term."""
+    key = item * terms + term
+    at = np.minimum(np.searchsorted(member, key), len(member) - 1)
+    return (member[at] == key) & (term >= 0)
+
+
+def _reachable(row: np.ndarray, item: np.ndarray, near: np.ndarray, noff: np.ndarray, member: np.ndarray, terms: int, words: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Whether enough words around a candidate are the item's: a common subsequence has no other words."""
     out = np.zeros(len(row), dtype=bool)
     for at in range(0, len(row), SIDE_BY_SIDE):
@@ -232,131 +252,129 @@ def _reachable(row: np.ndarray, item: np.ndarray, near: np.ndarray, noff: np.nda
         n = noff[r + 1] - noff[r]
         which = np.repeat(np.arange(len(r)), n)
         place = np.arange(len(which)) + np.repeat(noff[r] - (np.cumsum(n) - n), n)
-        inside = member[i[which], near[place]]
-        out[at : at + SIDE_BY_SIDE] = np.bincount(which[inside], minlength=len(r)) / words[i] >= lcs
+        inside = _inside(i[which], near[place], member, terms)
+        out[at : at + SIDE_BY_SIDE] = np.bincount(which[inside], minlength=len(r)) / words[i] >= share[at : at + SIDE_BY_SIDE]
     return out
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, size: int = 64, stride: int = 32, cosine: float = 0.3, lcs: float = 0.7, least: int = 3, iterations: int = 1) -> DataFrame:
+_ANSWER = re.compile(r"\banswer\s*:\s*", re.IGNORECASE)
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    if not text:
+        return np.zeros(0, dtype=np.uint64)
+    _, _, data, offsets = next(iter(text_blocks(pa.array([text], pa.large_string()), 1 << 40)))
+    return WordTable(data, offsets, marks=False).hash
+
+
+def item_passages(benchmark: DataFrame, size: int, stride: int) -> tuple[DataFrame, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """((nth, item_id), [(nth, word hashes, word hashes of the answer)]) of the items that have words."""
+    answered = "answer" in benchmark.columns
+    names, passages = [], []
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"), (F.col("answer") if answered else F.lit(None)).cast("string").alias("answer")).where("text is not null")
+    for r in rows.orderBy("item_id", "text", "answer").toLocalIterator():
+        text, answer = r["text"], r["answer"]
+        if not answered:
+            text, *told = _ANSWER.split(text, maxsplit=1)
+            answer = told[0] if told else None
+        words, last = _word_hashes(text), _word_hashes(answer)
+        for k in starts_of(len(words), size, stride):
+            passages.append((len(names), words[k : k + size], last))
+        if len(words):
+            names.append((len(names), r["item_id"]))
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    return benchmark.sparkSession.createDataFrame(names, f"nth long, item_id {kind}"), passages
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, size: int = 64, stride: int = 32, cosine: float = 0.3, lcs: float = 0.7, least: int = 3, iterations: int = 1, sure: float = 0.9, loose: float = 0.5) -> DataFrame:
     """(doc_id, contaminated, item_ids, best_lcs), one row for each document."""
     spark = tuned(documents.sparkSession)
     scratch = Scratch(spark, "decontam")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    docs = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = []
-    items = benchmark.select("item_id", "text", *([F.col("answer").cast("string").alias("answer")] if "answer" in benchmark.columns else [])).where("trim(text) <> ''")
-    block: list = []
-    for row in items.orderBy("item_id").toLocalIterator():
-        block.append(row)
-        if len(block) == ITEM_BLOCK:
-            found.append(_search(docs, block, scratch, kind, size, stride, cosine, lcs, least, iterations))
-            block = []
-    if block:
-        found.append(_search(docs, block, scratch, kind, size, stride, cosine, lcs, least, iterations))
-    ids = documents.select("doc_id")
-    if not found:
-        return ids.select("doc_id", F.lit(False).alias("contaminated"), F.array().cast("array<bigint>").alias("item_ids"), F.lit(0.0).alias("best_lcs"))
-    hits = found[0]
-    for f in found[1:]:
-        hits = hits.union(f)
-    per = hits.groupBy("rid").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("lcs").alias("best_lcs"))
+    docs = documents.select(F.col("doc_id").alias("rid"), F.col("text").cast("string").alias("text"))
+    names, passages = item_passages(benchmark, size, stride)
+    ids, none = documents.select("doc_id"), F.array().cast(f"array<{names.schema['item_id'].dataType.simpleString()}>")
+    if not passages:
+        return ids.select("doc_id", F.lit(False).alias("contaminated"), none.alias("item_ids"), F.lit(0.0).alias("best_lcs"))
+    hits = _search(docs, passages, scratch, kind, size, stride, cosine, (loose, lcs, sure), least, iterations)
+    per = hits.join(F.broadcast(names), "nth").groupBy("rid").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("lcs").alias("best_lcs"))
     out = ids.join(per.withColumnRenamed("rid", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), F.coalesce("best_lcs", F.lit(0.0)).alias("best_lcs"))
+    return out.select("doc_id", F.col("best_lcs").isNotNull().alias("contaminated"), F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("best_lcs", F.lit(0.0)).alias("best_lcs"))
+
 
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
-def _search(docs: DataFrame, block: list, scratch: Scratch, kind: str, size: int, stride: int, cosine: float, lcs: float, least: int, iterations: int) -> DataFrame:
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)
+
+
+def _search(docs: DataFrame, passages: list[tuple[int, np.ndarray, np.ndarray]], scratch: Scratch, kind: str, size: int, stride: int, cosine: float, shares: tuple[float, float, float], least: int, iterations: int) -> DataFrame:
+    """(rid, nth, lcs) of the confirmed candidates."""
     spark = docs.sparkSession
-    texts = pa.array([r["text"] for r in block])
-    _, _, data, offsets = next(iter(text_blocks(texts, 1 << 40)))
-    words = WordTable(data, offsets, marks=False)
-    answers = [_answer_words(r) for r in block]
-    hashes = np.unique(np.concatenate([words.hash, *answers]))
-    term = np.searchsorted(hashes, words.hash)
-    text, lo, hi = _passages(words.first, size, stride)
-    # a last passage that the one before nearly holds adds nothing
-    pieces = [(int(block[t]["item_id"]), term[a:b].astype(int).tolist(), np.searchsorted(hashes, answers[t]).tolist()) for t, a, b in zip(text, lo, hi, strict=True)]
-    known = spark.sparkContext.broadcast(hashes)
-    named = docs.withColumnRenamed("doc_id", "rid")
-    freq = named.select("text").mapInArrow(lambda it: _frequencies(it, known.value, size, stride), schema_of("term long, n long")).groupBy("term").agg(F.sum("n").alias("n"))
+    hashes = np.unique(np.concatenate([*[w for _, w, _ in passages], *[a for _, _, a in passages]]))
+    pieces = [(nth, np.searchsorted(hashes, w), np.searchsorted(hashes, a).tolist()) for nth, w, a in passages]
+    known = spark.sparkContext.broadcast(hashes)  # the benchmark's terms
+    freq = docs.select("text").mapInArrow(lambda it: _frequencies(it, known.value, size, stride), schema_of("term long, n long")).groupBy("term").agg(F.sum("n").alias("n"))
     df, total = np.zeros(len(hashes)), 1
     for r in freq.collect():  # a row a benchmark term
         if r["term"] < 0:
             total = max(1, r["n"])
         else:
             df[r["term"]] = r["n"]
-    idf = np.log((1 + total) / (1 + df))
+    idf = np.log((1 + total) / (1 + df)) + 1e-3  # a term that every passage has still has a direction
     anchor = np.zeros(len(hashes), dtype=bool)
-    own: list[np.ndarray] = []
     for _, seq, _ in pieces:
         t = np.unique(seq)
-        t = t[np.argsort(-idf[t], kind="stable")][: max(4, (len(t) + 1) // 2)]
-        anchor[t] = True
-    for _, seq, _ in pieces:
-        t = np.unique(seq)
-        own.append(t[anchor[t]])
+        anchor[t[np.argsort(-idf[t], kind="stable")][: max(4, (len(t) + 1) // 2)]] = True
+    own = [(lambda t: t[anchor[t]])(np.unique(seq)) for _, seq, _ in pieces]
     need = min(least, min(len(t) for t in own))
-    passages = scratch.keep(
-        named.mapInArrow(lambda it: _selected(it, known.value, anchor, size, stride, need), schema_of(f"rid {kind}, anchors array<int>, near array<int>")),
+    dims = min(int(anchor.sum()), SPACE)
+    place = np.where(anchor, (np.cumsum(anchor) - 1) % dims, -1).astype(np.int32)
+    kept = scratch.keep(
+        docs.mapInArrow(lambda it: _selected(it, known.value, place, size, stride, need), schema_of(f"rid {kind}, anchors array<int>, near array<int>")),
         "passages",
     )
-    # the latent space, over anchor terms weighted by idf
-    space = np.flatnonzero(anchor)
-    q = np.zeros((len(pieces), len(hashes)))
-    for i, t in enumerate(own):
-        q[i, t] = idf[t]
-    q = q[:, space]
-    q /= np.linalg.norm(q, axis=1, keepdims=True) + 1e-12
-    # raw term counts meet A = counts * idf: fold idf into the test matrix on both sides
-    wide = lambda x: _spread(x, space, len(hashes))
-    weight = idf[space][:, None]
-    rank = min(len(space), RANK if len(pieces) <= RANK * 3 // 4 else len(pieces) + RANK // 4)
-    basis = np.random.Generator(np.random.PCG64(8)).standard_normal((len(space), rank))
-    heavy = 1e3 * max(1.0, total / 1000)  # items outweigh what the corpus repeats
+    # the latent space: raw counts meet A = counts * idf, so idf is folded into the test matrix on both sides
+    weight = np.zeros((dims, 1))
+    np.maximum.at(weight[:, 0], place[anchor], idf[anchor])
+    items, ioff = _flat([place[t] for t in own])
+    mass = float((df[anchor] * idf[anchor] ** 2).sum()) / float((weight[items] ** 2).sum())  # items weigh what the corpus weighs
+    rank = min(dims, RANK)
+    basis = np.random.Generator(np.random.PCG64(8)).standard_normal((dims, rank))
     for _ in range(1 + iterations):
-        got = weight * _times(passages, wide(weight * basis))[space]
-        basis, _ = np.linalg.qr(got + heavy * (q.T @ (q @ basis)))
-    ask = q @ basis
-    ask /= np.linalg.norm(ask, axis=1, keepdims=True) + 1e-12
-    model = spark.sparkContext.broadcast((wide(weight * basis).astype(np.float32), ask.astype(np.float32), pieces, lcs, cosine))
+        got = _times(kept, weight * basis)
+        t, rows = _gram(items, ioff, weight * basis)
+        got[t] += max(mass, 1.0) * rows
+        basis, _ = np.linalg.qr(weight * got)
+    ask = _unit(_embedded(items, ioff, weight * basis))
+    model = spark.sparkContext.broadcast(((weight * basis).astype(np.float32), ask.astype(np.float32), pieces, len(hashes)))
+    loose, lcs, sure = shares
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, ask, pieces, lcs, cosine = model.value
-        member = np.zeros((len(pieces), len(base) + 1), dtype=bool)  # the last column is for -1, words of no item
-        for i, (_, seq, _) in enumerate(pieces):
-            member[i, seq] = True
+        base, ask, pieces, terms = model.value
+        member = np.unique(np.concatenate([i * terms + seq for i, (_, seq, _) in enumerate(pieces)]))
         words = np.array([len(seq) for _, seq, _ in pieces])
+        floor = np.array([loose if answer else lcs for _, _, answer in pieces])
         for b in batches:
             flat, off = _rows(b.column("anchors"))
-            z = _embedded(flat, off, base)
-            z /= np.linalg.norm(z, axis=1, keepdims=True) + 1e-12
+            z = _unit(_embedded(flat, off, base))
             near, noff = _rows(b.column("near"))
+            near = near.astype(np.int64)
             out: list[tuple[int, int, float]] = []
             for at in range(0, len(z), 1024):
-                p, i = np.nonzero(z[at : at + 1024] @ ask.T >= cosine)
-                p += at
-                some = _reachable(p, i, near, noff, member, words, lcs)
-                for row, item in zip(p[some].tolist(), i[some].tolist(), strict=True):
-                    item_id, seq, answer = pieces[item]
-                    around = near[noff[row] : noff[row + 1]]
-                    share = lcs_length(seq, around[member[item, around]]) / len(seq)
-                    if share >= lcs and (share >= 0.9 or not answer or lcs_length(answer, around) == len(answer)):
-                        out.append((row, item_id, share))
+                for first in range(0, len(ask), ITEM_BLOCK):
+                    p, i = np.nonzero(z[at : at + 1024] @ ask[first : first + ITEM_BLOCK].T >= cosine)
+                    p, i = p + at, i + first
+                    some = _reachable(p, i, near, noff, member, terms, words, floor[i])
+                    for row, item in zip(p[some].tolist(), i[some].tolist(), strict=True):
+                        nth, seq, answer = pieces[item]
+                        around = near[noff[row] : noff[row + 1]]
+                        share = lcs_length(seq.tolist(), around[_inside(np.full(len(around), item), around, member, terms)]) / len(seq)
+                        if share >= sure or share >= floor[item] and (not answer or lcs_length(answer, around) == len(answer)):
+                            out.append((row, nth, share))
             pick = pa.array([r for r, _, _ in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("rid").take(pick), pa.array([i for _, i, _ in out], pa.int64()), pa.array([s for _, _, s in out], pa.float64())], names=["rid", "item_id", "lcs"])
-
-    return passages.mapInArrow(confirm, schema_of(f"rid {kind}, item_id long, lcs double"))
-
+            yield pa.RecordBatch.from_arrays([b.column("rid").take(pick), pa.array([i for _, i, _ in out], pa.int64()), pa.array([s for _, _, s in out], pa.float64())], names=["rid", "nth", "lcs"])
 
-def _spread(x: np.ndarray, space: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((n, x.shape[1]))
-    out[space] = x
-    return out
-
-
-def _answer_words(row) -> np.ndarray:
-    """Word hashes of the item's answer, none without one."""
-    text = row["answer"] if "answer" in row.__fields__ else None
-    if not text:
-        return np.zeros(0, dtype=np.uint64)
-    _, _, data, offsets = next(iter(text_blocks(pa.array([text]), 1 << 40)))
-    return WordTable(data, offsets, marks=False).hash
+    return kept.mapInArrow(confirm, schema_of(f"rid {kind}, nth long, lcs double"))

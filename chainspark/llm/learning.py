@@ -12,9 +12,16 @@ def may_learn(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 != 0
 
 
-def sampled(rows: DataFrame, most: int) -> DataFrame:
-    """At most `most` rows, the same for the same table: those with the smallest hash of doc_id."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def sampled(ids: DataFrame, most: int) -> DataFrame:
+    """At most `most` rows of a table with one row a doc_id, the same for the same table: smallest hashes of doc_id first."""
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def marked(labels: DataFrame, column: str, most: int) -> DataFrame:
+    """(doc_id, y) of at most `most` documents whose label may be used: one row a doc_id, the more frequent label, 1 at a tie."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1)).where(may_learn())
+    one = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(F.col(column).cast("double")) >= 0.5).cast("int").alias("y"))
+    return sampled(one, most)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

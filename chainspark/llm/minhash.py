@@ -10,9 +10,10 @@ form one class and travel as its number; a component is named by its smallest do
    never all pairs); the pairs are confirmed on the sets; components follow.
 3. Buckets whose members are still in different components are merged into clusters (components of
    the candidate stars). In a cluster, members outside its largest component are compared with all
-   its members, block against block, each block pair in a task of its own; a task returns only a
-   spanning forest of the links it confirms. So no link that shares a bucket is lost, and neither
-   rows nor memory grow with the square of a group.
+   its members, block against block; a block pair returns only a spanning forest of the links it
+   confirms. So no link that shares a bucket is lost. A block pair holds about 2 x 512 members,
+   whatever the cluster's size, but their number is (members outside) x (members) / 512 ^ 2: of a
+   cluster that falls into many components, sets travel once a block of the other side.
 4. Components of all confirmed links.
 
 A pair of similarity 0.75 misses all bands with probability (1 - 0.75^4)^32 < 1e-5 if it is long.
@@ -35,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, WordTable, connected_components, mix64, schema_of, tasks, text_blocks, tuned
+from .common import Scratch, WordTable, connected_components, mix64, schema_of, text_blocks, tuned
 
 _RNG = np.random.Generator(np.random.PCG64(77001))
 _STEP = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Members in a block of step 3.
+#: Members in a block of step 3: a wider block means fewer copies of a set, and more memory in a task.
 BLOCK = 512
 
 
@@ -249,7 +250,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _between_components(open_: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Confirmed links (a, b) between different components of one cluster of open buckets."""
-    spark = open_.sparkSession
     cluster = connected_components(open_.select(F.col("hub").alias("a"), F.col("rep").alias("b")), scratch).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
     members = scratch.keep(open_.select("rep", "comp").distinct().join(cluster, "rep"), "clusters")
     sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("m"))
@@ -262,5 +262,5 @@ def _between_components(open_: DataFrame, sets: DataFrame, scratch: Scratch, per
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
     left = dealt.where("minor").select("cluster", "rep", "comp", slot("minors").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("j"), F.lit(0).alias("side"))
     right = dealt.select("cluster", "rep", "comp", F.explode(F.sequence(F.lit(0), blocks("minors") - 1)).alias("i"), slot("all").cast("int").alias("j"), F.lit(1).alias("side"))
-    placed = left.union(right).repartition(tasks(spark), "cluster", "i", "j").join(sets, "rep")
+    placed = left.union(right).join(sets, "rep")
     return placed.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), schema_of("a long, b long"))

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, toxicity
-from .common import read, schema_of
+from .common import read
 from .learning import may_learn
 
 #: The tokenizer of the token queries.
@@ -126,12 +125,7 @@ def op9_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def digest(batches):
-        for b in batches:
-            got = list(zip(*[secret_scan.digests(x) for x in b.column("spans").to_pylist()], strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in got[:3]], *[pa.array(c, pa.string()) for c in got[3:]]], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-
-    return secret_scan.scan(read(spark, sf_dir, "documents")).mapInArrow(digest, schema_of("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"))
+    return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -93,17 +93,25 @@ def high_entropy(run: str) -> bool:
     return False
 
 
-def uncovered(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What ascending spans leave of start..end."""
-    out = []
+def uncovered(runs: list[tuple[int, int]], spans: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, what the spans leave of it) for ascending disjoint runs and spans sorted by start: one pass over both."""
+    merged: list[tuple[int, int]] = []
     for a, b in spans:
-        if a >= end:
-            break
-        if b > start:
-            if a > start:
-                out.append((start, a))
-            start = b
-    return [*out, (start, end)] if start < end else out
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    k = 0
+    for start, end in runs:
+        while k < len(merged) and merged[k][1] <= start:
+            k += 1
+        rest, at, j = [], start, k
+        while j < len(merged) and merged[j][0] < end:
+            if merged[j][0] > at:
+                rest.append((at, merged[j][0]))
+            at = max(at, merged[j][1])
+            j += 1
+        yield start, end, [*rest, (at, end)] if at < end else rest
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
@@ -116,9 +124,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     runs = [m.span() for m in RUN.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    base = sorted((a, b) for a, b, _ in spans)
-    for s, e in runs:
-        rest = uncovered(s, e, base) if base else [(s, e)]
+    for s, e, rest in uncovered(runs, sorted((a, b) for a, b, _ in spans)):
         if rest and high_entropy(text[s:e]):
             spans.append((s, e, "entropy"))
         elif rest != [(s, e)]:
@@ -172,9 +178,21 @@ def redact(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(run, out)
 
 
-def digests(spans: list[dict]) -> tuple[int, int, int, str, str]:
-    """(n_assign, n_access, n_hex, base_sha256, spans) of a row's spans."""
-    all_ = [(x["start"], x["end"], x["kind"]) for x in spans]
-    base = [x for x in all_ if x[2] != "entropy"]
+def digests(spans: list[tuple[int, int, str]]) -> tuple[int, int, int, str, str]:
+    """(n_assign, n_access, n_hex, base_sha256, spans) of a text's spans."""
+    base = [x for x in spans if x[2] != "entropy"]
     n = [sum(k == kind for _, _, k in base) for kind in KINDS[:3]]
-    return (*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(all_))
+    return (*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans))
+
+
+def report(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans string): `scan` in one line a row, in the same pass."""
+    tuned(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = list(zip(*[digests(find(t or "")) for t in b.column("text").to_pylist()], strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in got[:3]], *[pa.array(c, pa.string()) for c in got[3:]]], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema_of(f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"))

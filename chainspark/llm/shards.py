@@ -3,7 +3,7 @@
 Documents keep their doc_id order. Rows are dealt into key ranges; totals by range give each
 range's global start (prefix sums of the totals), a running sum inside the range gives each
 document's, and equal byte targets cut the whole order into shards: a document goes to the shard
-that holds its middle byte. Only (doc_id, size, crc32) is shuffled, never a text.
+that holds its middle byte. Texts are read once, for (doc_id, size, crc32); all else works on that.
 
 Edge cases: a null text has no bytes (size 1) and crc32 0; null doc_id sorts first; rows with one
 doc_id sort by crc32, then size (rows equal in all three are alike, so any order is the same
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import group_starts, key_cuts, range_of, tasks
+from .common import Scratch, group_starts, key_cuts, range_of, tasks
 
 #: Ranges by crc32 inside a range that holds one very frequent doc_id.
 TIES = 16
@@ -27,11 +27,11 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, ranges: int | None = N
     """(doc_id, size, text_crc32, shard, slot, start_byte): `start_byte` counts all bytes before it."""
     spark = documents.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = documents.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit(1).cast("long").alias("one"))
-    cuts = key_cuts(documents.select("doc_id"), "doc_id", ranges or 4 * tasks(spark, 16))
+    rows = Scratch(spark, "shards").keep(documents.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit(1).cast("long").alias("one")), "sizes")
+    cuts = key_cuts(rows, "doc_id", ranges or 4 * tasks(spark, 16))
     tie = F.floor(F.col("text_crc32") * TIES / 2**32).cast("long")
     # by ranges of doc_id, and inside a doc_id by ranges of its texts' checksums: the order is (doc_id, crc32)
-    at_cut = F.col("doc_id").isin(cuts) if cuts and len(cuts) < 2000 else F.lit(False)
+    at_cut = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
     part = (F.lit(2 * TIES) * range_of("doc_id", cuts) + F.when(at_cut, TIES + tie).otherwise(F.lit(0))).cast("long")
     rows = rows.withColumn("part", part)
     totals = rows.groupBy("part").agg(F.sum("size").alias("size"), F.sum("one").alias("one"))

@@ -2,7 +2,8 @@
 
 The word tokenizer drops white space, lowers case and never merges across white space, so the ids of a
 text are those of its words one after another. A worker keeps the ids of words it has met in a table
-by word hash; a block of texts is split, hashed, looked up and put together as arrays. New words are
+by word hash, where a hit counts only if the bytes agree; a block of texts is split, hashed, looked up
+and put together as arrays. New words are
 asked of the library: those of Latin letters many at a time, told apart by the end-of-word mark that
 each word's last id carries. Texts that hold a special token's opening sign are encoded whole.
 """
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, schema_of, text_blocks, tuned
+from .common import LANE, LONG, WordTable, schema_of, text_blocks, tuned
 
 #: Slots of a worker's word table, and ids kept for it; when those are full the table starts anew.
 #: Words of letters that a worker keeps besides. Results depend on none of these.
@@ -53,6 +54,9 @@ class WordEncoder:
         self.key = np.zeros(SLOTS, dtype=np.uint64)
         self.start, self.size = np.zeros(SLOTS, dtype=np.int32), np.zeros(SLOTS, dtype=np.int32)
         self.pool, self.used = np.zeros(1 << 16, dtype=self.width), 0
+        # what tells a word from others with its hash: its length, and its lanes where it has more than one
+        self.bytes, self.lanes_at = np.zeros(SLOTS, dtype=np.uint8), np.zeros(SLOTS, dtype=np.int32)
+        self.lanes, self.lanes_used = np.zeros(1 << 16, dtype=np.uint64), 0
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
@@ -111,18 +115,55 @@ class WordEncoder:
             self.older_cores, self.cores = cores, {}
         return out
 
+    def met(self, words: WordTable, slot: np.ndarray) -> np.ndarray:
+        """Which words the table has: equal hash, length and bytes. Hash and length settle up to eight bytes."""
+        hit = (self.key[slot] == words.hash) & (self.bytes[slot] == words.size)
+        k, on = 0, np.flatnonzero(hit & (words.size > LANE))
+        at = self.lanes_at[slot[on]]
+        while len(on):
+            good = words.lane(on, k) == self.lanes[at + k]
+            hit[on[~good]] = False
+            k += 1
+            good &= words.size[on] > LANE * k
+            on, at = on[good], at[good]
+        return hit
+
+    def keep(self, words: WordTable, new: np.ndarray, first: np.ndarray, n: np.ndarray) -> None:
+        """Puts words of up to `LONG` bytes into the table; of those that meet in a slot the last one stays."""
+        to = (words.hash[new] & np.uint64(SLOTS - 1)).astype(np.int64)
+        _, last = np.unique(to[::-1], return_index=True)
+        last = len(to) - 1 - last
+        new, to = new[last], to[last]
+        self.key[to], self.start[to], self.size[to], self.bytes[to] = words.hash[new], first[last], n[last], words.size[new]
+        wide = words.size[new] > LANE
+        new, to = new[wide], to[wide]
+        count = -(-words.size[new] // LANE)
+        at = self.lanes_used + np.cumsum(count) - count
+        total = int(count.sum())
+        if self.lanes_used + total > len(self.lanes):
+            self.lanes = np.concatenate([self.lanes[: self.lanes_used], np.zeros(max(total, self.lanes_used), dtype=np.uint64)])
+        self.lanes_at[to] = at
+        for k in range(int(count.max(initial=0))):
+            on = np.flatnonzero(count > k)
+            self.lanes[at[on] + k] = words.lane(new[on], k)
+        self.lanes_used += total
+
     def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of text i are ids[first[i]:first[i + 1]]."""
         words = WordTable(data, offsets)
-        h = words.hash
-        if self.used > POOL:
+        if self.used > POOL or self.lanes_used > POOL:
             self.clear()
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot = (words.hash & np.uint64(SLOTS - 1)).astype(np.int64)
         start, size = self.start[slot], self.size[slot]
-        miss = np.flatnonzero(self.key[slot] != h)
+        miss = np.flatnonzero(~self.met(words, slot))
         if len(miss):
-            new, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            raw = self.ids_of([words.word(i).decode("utf-8", "surrogatepass") for i in miss[at].tolist()])
+            _, at, back = np.unique(words.hash[miss], return_index=True, return_inverse=True)
+            # each missing word is asked for under the first one with its hash, unless the bytes differ
+            alike = words.same(miss, miss[at][back])
+            odd = np.flatnonzero(~alike)
+            ask = np.concatenate([miss[at], miss[odd]])
+            back[odd] = len(at) + np.arange(len(odd))
+            raw = self.ids_of([words.word(i).decode("utf-8", "surrogatepass") for i in ask.tolist()])
             n = np.array([len(x) for x in raw], dtype=np.int32) // self.width.itemsize
             more = np.frombuffer(b"".join(raw), dtype=self.width)
             if self.used + len(more) > len(self.pool):
@@ -131,11 +172,8 @@ class WordEncoder:
             first = (self.used + np.cumsum(n) - n).astype(np.int32)
             self.used += len(more)
             start[miss], size[miss] = first[back], n[back]
-            to = (new & np.uint64(SLOTS - 1)).astype(np.int64)
-            # of words that meet in a slot the last one stays, in all three columns
-            _, keep = np.unique(to[::-1], return_index=True)
-            keep = len(to) - 1 - keep
-            self.key[to[keep]], self.start[to[keep]], self.size[to[keep]] = new[keep], first[keep], n[keep]
+            short = np.flatnonzero(words.size[ask] <= LONG)
+            self.keep(words, ask[short], first[short], n[short])
         before = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         total = int(before[-1])
         ids = self.pool[np.repeat(start - before[:-1], size) + np.arange(total)]

@@ -4,19 +4,19 @@ A document is a bag of sentences; only the bag is labelled. Sentence probabiliti
 sigmoid(bias + sum of the weights of the sentence's features) and combine by noisy-or:
 P(document) = 1 - product(1 - P(sentence)). Weights and bias are trained from document labels by
 gradient descent on the log loss of that, so the model itself finds which sentences carry a label,
-and `located` names them.
+and `scored` names them in its column sentences.
 
 Features are words and their character 5-grams (with word ends), so inflected forms count too. They
 are chosen by how much more often toxic training documents hold them: counted by Spark over the
 training sample, the strongest `features` go to the model.
 
-Training is bounded: at most `rows` labelled rows (a parameter), chosen by a hash of doc_id, from
-rows whose crc32(doc_id as text) mod 5 is not 0. Only text is an input of a score. Scores cover every
+Training is bounded: at most `rows` labelled documents (a parameter), one row each, chosen by a hash of
+doc_id, from those whose crc32(doc_id as text) mod 5 is not 0. Only text is an input of a score. Scores cover every
 row and its whole text.
 
 Edge cases: null or empty text scores as one sentence without features; without labels of both
-classes every score is 0; a doc_id labelled twice learns from both rows; repeated documents each
-get a row; null doc_id is scored and not held out; extra columns are ignored.
+classes every score is 0; a doc_id labelled twice has its more frequent label (1 at a tie), one in
+several rows lends the text with the smallest hash; each row gets a score; null doc_id is scored and not held out; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_of, tuned
-from .learning import may_learn, platt, sampled, sigmoid
+from .common import Scratch, schema_of, tuned
+from .learning import marked, platt, sigmoid
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 _OUTSIDE = re.compile(r"^\W+|\W+$")
@@ -153,9 +153,11 @@ def train(bags: Bags, y: np.ndarray, features: int, steps: int = 300, ridge: flo
 def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features: int = 2000, least: int = 5) -> Scorer | None:
     """The model from at most `rows` labelled documents; None without both classes among them."""
     spark = tuned(documents.sparkSession)
-    marked = sampled(labels.where("doc_id is not null and toxic in (0, 1)").where(may_learn()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")), rows)
+    scratch = Scratch(spark, "toxicity")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    train_docs = docs.join(F.broadcast(marked), "doc_id")  # at most `rows` labels
+    mine = docs.join(F.broadcast(marked(labels, "toxic", rows)), "doc_id")  # at most `rows` ids
+    # a doc_id in several rows lends one of its texts, so that there are no more rows than ids
+    train_docs = scratch.keep(mine.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "y", "t.text"), "sample")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct words of each document by class, added up over the partition."""
@@ -170,10 +172,10 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features
         all_ = sorted(got[0].keys() | got[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array([*all_, None], pa.string()), pa.array([*(got[0].get(w, 0) for w in all_), n[0]], pa.int64()), pa.array([*(got[1].get(w, 0) for w in all_), n[1]], pa.int64())], names=["word", "clean", "toxic"])
 
-    counted = train_docs.select("text", "y").mapInArrow(words, schema_of("word string, clean long, toxic long")).groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).cache()
+    counted = train_docs.select("text", "y").mapInArrow(words, schema_of("word string, clean long, toxic long")).groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = scratch.keep(counted, "words")
     total = counted.where("word is null").first()
     if not total or not total["clean"] or not total["toxic"]:
-        counted.unpersist()
         return None
 
     marked_word = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
@@ -192,7 +194,6 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features
         .where((F.col("z") > 3) & (p1 / p0 >= RATIO))
     )
     names = sorted(r["feature"] for r in strong.orderBy(F.desc("z"), "feature").limit(features).collect())
-    counted.unpersist()
     probe = spark.sparkContext.broadcast(names)
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

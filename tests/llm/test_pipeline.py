@@ -45,3 +45,28 @@ def test_stages(spark, tmp_path):
 
 def test_whole_run(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def test_rows_are_judged_by_their_own_text(spark, tmp_path):
+    """Rows that share a doc_id or have none, nulls, repeated rows, extra columns, empty tables."""
+    import random
+
+    rng = random.Random(5)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    a, b, c, item = say(60), say(60), say(60), say(30)
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, b), (None, c), (9, c), (9, c), (11, None), (12, ""), (13, None), (None, f"{say(20)} {item}"), (14, f"{item} {say(20)}"), (14, say(50))]
+    full = [(i, t, "en", "s", None if t is None else len(t), 1, "x") for i, t in rows]
+    docs = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, row int, component_id string").repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    names = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    stages = dict(corpus_pipeline.STAGES)
+    assert names(stages["quality"](spark, docs, str(tmp_path))) == sorted(rows, key=str)
+    kept = stages["minhash_dedup"](spark, docs, str(tmp_path))
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert names(kept) == sorted([(1, a), (5, b), (9, c), *rows[8:]], key=str)
+    assert names(stages["decontaminate"](spark, docs, str(tmp_path))) == sorted([*rows[:11], rows[13]], key=str)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    docs.drop("row", "component_id").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 5, 9, 11, 12, 13, 14}
