@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import Scratch
+
 #: Groups that one window may see when totals are summed; more are summed level by level.
 FAN = 4096
 
@@ -53,3 +55,17 @@ def indexed(df: DataFrame, lead: str, order: list[Column], sums: list[str] | Non
     out = inner.join(first, "_g")
     added = {"_one": "idx"} | {s: f"{s}_before" for s in sums}
     return out.select(*df.columns, *[(F.col(f"_in_{s}") + F.col(f"{s}_before")).cast("long").alias(name) for s, name in added.items()])
+
+
+def ranked(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """`df` with `idx` (from 0) under any order, of strings too: rows are dealt by ranges of the whole order.
+
+    The ranges come from a sample, so the dealt rows are written once; positions are those of a range's
+    rows after all rows of the ranges before.
+    """
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = Scratch(spark, "ranked").keep(df.repartitionByRange(n, *order).withColumn("_g", F.spark_partition_id().cast("long")), "ranges")
+    first = starts(dealt.groupBy("_g").agg(F.count("*").alias("_one")), "_g", ["_one"])
+    inner = dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_g").orderBy(*order)))
+    return inner.join(first, "_g").select(*df.columns, (F.col("_in") - 1 + F.col("_one_before")).cast("long").alias("idx"))

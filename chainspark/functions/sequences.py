@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,37 @@ def pair_score(a: Column, b: Column) -> Column:
     return out.otherwise(F.lit(UNKNOWN)).cast("long")
 
 
+def score_matrix() -> np.ndarray:
+    """Scores by `letter_codes` of two bases; the last row and column are the unknown base."""
+    out = np.full((5, 5), UNKNOWN, dtype=np.int64)
+    for i, c in enumerate("ACGT"):
+        for j, e in enumerate("ACGT"):
+            out[i, j] = SUBSTITUTION[c][e]
+    return out
+
+
+def letter_codes() -> np.ndarray:
+    """0 to 3 for A C G T in either case, 4 for any other byte."""
+    out = np.full(256, 4, dtype=np.int64)
+    for i, c in enumerate("ACGT"):
+        out[ord(c)] = out[ord(c.lower())] = i
+    return out
+
+
+def pairs_total(a: Column, b: Column) -> Column:
+    """The summed scores of two strings' bases side by side, up to the end of the shorter one."""
+    matrix, codes = score_matrix(), letter_codes()
+
+    def total(x: pd.Series, y: pd.Series) -> pd.Series:
+        n = np.minimum(x.str.len(), y.str.len()).to_numpy()
+        left, right = ("".join(s[:k] for s, k in zip(c, n.tolist(), strict=True)).encode() for c in (x, y))
+        sums = np.concatenate([[0], np.cumsum(matrix[codes[np.frombuffer(left, dtype=np.uint8)], codes[np.frombuffer(right, dtype=np.uint8)]])])
+        ends = np.cumsum(n)
+        return pd.Series(sums[ends] - sums[ends - n])
+
+    return F.pandas_udf(total, "long")(a, b)
+
+
 def pair_score_sql(a: str, b: str) -> str:
     """`pair_score` as SQL text."""
     cases = " ".join(f"WHEN '{x}{y}' THEN {s}" for x, row in SUBSTITUTION.items() for y, s in row.items())

@@ -1,8 +1,11 @@
-"""Gapped alignment of two stretches of sequence around a high-scoring pair.
+"""Gapped alignment around high-scoring pairs.
 
-Each pair brings its own two short windows, so rows are independent: Spark deals them out, and a
-task aligns one after another with a banded affine-gap recursion in numpy, a row of the band at a
-time. Results are blocks on absolute coordinates.
+An alignment grows from a place inside a pair in both directions, row by row, over the columns whose
+score stays within the drop of the best one so far; it ends when no column is left, however far away
+that is. Affine gaps, numpy arrays of a row's live columns. Rows are independent: each brings bases
+from around its pair, Spark deals them out, and those that reach the end of their bases while alive
+come again with more of them. A task commits the path up to the best place every `ROWS` rows, so its
+memory doesn't depend on the alignment's length. Results are blocks on absolute coordinates.
 """
 
 from __future__ import annotations
@@ -14,103 +17,151 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import SUBSTITUTION, UNKNOWN
+from ..functions.sequences import letter_codes, score_matrix
+from ..scratch import Scratch
+from .tiles import lengths, with_bases
 
 # --- fixed values: penalties of the alignment
 GAP_OPEN, GAP_EXTEND = 400, 30
 # --- end of fixed values
-_LETTERS = np.full(256, 4, dtype=np.int64)
-for _i, _c in enumerate("ACGT"):
-    _LETTERS[ord(_c)] = _LETTERS[ord(_c.lower())] = _i
-_MATRIX = np.full((5, 5), UNKNOWN, dtype=np.int64)
-for _i, _c in enumerate("ACGT"):
-    for _j, _e in enumerate("ACGT"):
-        _MATRIX[_i, _j] = SUBSTITUTION[_c][_e]
+_LETTERS, _MATRIX = letter_codes(), score_matrix()
 _LOW = -(10**12)
 
 
-def local_alignment(t: str, q: str, band: int | None = None, shift: int = 0) -> tuple[int, list[tuple[int, int, int]]]:
-    """(score, blocks (t, q, size)) of the best local alignment; `band` bounds |q - t - shift|."""
-    a, b = _LETTERS[np.frombuffer(t.encode(), dtype=np.uint8)], _LETTERS[np.frombuffer(q.encode(), dtype=np.uint8)]
+#: Rows of target bases between two commits of a path.
+ROWS = 4096
+#: Bases around a pair at first.
+REACH = 2048
+
+
+def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bool, list[list[int]]]:
+    """(score, rows, columns, alive, blocks) of the best path from the corner over all of `a`, or until the drop ends it."""
     n, m = len(a), len(b)
-    if not n or not m:
-        return 0, []
-    cols = np.arange(1, m + 1)
-    best = np.zeros(m + 1, dtype=np.int64)
-    up = np.full(m + 1, _LOW, dtype=np.int64)
-    trace = np.zeros((n + 1, m + 1), dtype=np.int8)  # 0 stop, 1 diagonal, 2 up, 3 left
-    open_up = np.zeros((n + 1, m + 1), dtype=bool)
-    open_left = np.zeros((n + 1, m + 1), dtype=bool)
-    top, at = 0, (0, 0)
-    for i in range(1, n + 1):
-        opened = best - GAP_OPEN - GAP_EXTEND
-        extended = up - GAP_EXTEND
-        open_up[i] = opened >= extended
-        up = np.maximum(opened, extended)
-        diag = best[:-1] + _MATRIX[a[i - 1], b]
-        row = np.maximum(np.maximum(diag, up[1:]), 0)
-        if band is not None:
-            row = np.where(np.abs(cols - i - shift) <= band, row, 0)
+    width = (max(0, drop - GAP_OPEN) // GAP_EXTEND) + 1  # columns that a gap can add before the drop
+    hi = min(m, width)
+    best = np.append(0, -GAP_OPEN - GAP_EXTEND * np.arange(1, hi + 1, dtype=np.int64))
+    up = np.full(hi + 1, _LOW, dtype=np.int64)
+    lo, top, at = 0, 0, (0, 0)
+    trace: list[tuple[int, np.ndarray]] = [(0, np.append(0, np.full(hi, 3)).astype(np.int8))]
+    i, edge = 0, hi == m
+    while i < n and len(best):
+        i += 1
+        end = min(m, lo + len(best) - 1 + 1 + width)  # last column of this row at most
+        k = end - lo + 1
+        old, old_up = np.full(k, _LOW, dtype=np.int64), np.full(k, _LOW, dtype=np.int64)
+        old[: len(best)], old_up[: len(up)] = best[:k], up[:k]
+        opened, longer = old - GAP_OPEN - GAP_EXTEND, old_up - GAP_EXTEND
+        new_up = np.maximum(opened, longer)
+        diag = np.full(k, _LOW, dtype=np.int64)
+        diag[1:] = old[:-1] + _MATRIX[a[i - 1], b[lo:end]]
+        row = np.maximum(diag, new_up)
         # a gap along the row: the running maximum of what opened it, less what it has cost so far
-        lead = np.maximum.accumulate(np.append(_LOW, row - GAP_OPEN) + np.arange(m + 1) * GAP_EXTEND)
-        left = np.append(_LOW, lead[:-1] - np.arange(1, m + 1) * GAP_EXTEND)
-        score = np.maximum(row, left[1:])
-        if band is not None:
-            score = np.where(np.abs(cols - i - shift) <= band, score, 0)
-        trace[i, 1:] = np.where(score <= 0, 0, np.where(score == diag, 1, np.where(score == up[1:], 2, 3)))
-        open_left[i, 1:] = left[1:] == np.append(_LOW, row[:-1]) - GAP_OPEN - GAP_EXTEND
-        best = np.append(0, score)
-        k = int(score.argmax())
-        if score[k] > top:
-            top, at = int(score[k]), (i, k + 1)
-    i, j = at
+        lead = np.maximum.accumulate(row + np.arange(k) * GAP_EXTEND)
+        left = np.append(_LOW, lead[:-1] - GAP_OPEN - np.arange(1, k) * GAP_EXTEND)
+        score = np.maximum(row, left)
+        step = np.where(score == diag, 1, np.where(score == new_up, 2, 3)) + np.where(opened >= longer, 4, 0)
+        step += np.where(left == np.append(_LOW, row[:-1] - GAP_OPEN - GAP_EXTEND), 8, 0)
+        j = int(score.argmax())
+        if score[j] > top:
+            top, at = int(score[j]), (i, lo + j)
+        live = np.flatnonzero(score >= top - drop)
+        trace.append((lo, step.astype(np.int8)))
+        if not len(live):
+            best = best[:0]
+            break
+        first, last = int(live[0]), int(live[-1])
+        edge |= lo + last == m  # more columns might have served
+        best, up, lo = np.where(score >= top - drop, score, _LOW)[first : last + 1], new_up[first : last + 1], lo + first
     blocks: list[list[int]] = []
-    while i > 0 and j > 0 and trace[i, j]:
-        step = trace[i, j]
-        if step == 1:
+    i, j = at
+    while i or j:
+        begin, steps = trace[i]
+        how = int(steps[j - begin])
+        if how & 3 == 1:
             i, j = i - 1, j - 1
             if blocks and blocks[-1][0] == i + 1 and blocks[-1][1] == j + 1:
-                blocks[-1][0], blocks[-1][1], blocks[-1][2] = i, j, blocks[-1][2] + 1
+                blocks[-1] = [i, j, blocks[-1][2] + 1]
             else:
                 blocks.append([i, j, 1])
-        elif step == 2:
-            while not open_up[i, j]:
+        elif how & 3 == 2:
+            while not trace[i][1][j - trace[i][0]] & 4:
                 i -= 1
             i -= 1
         else:
-            while not open_left[i, j]:
+            while i and not steps[j - begin] & 8:
                 j -= 1
-            j -= 1
-    return top, [tuple(x) for x in reversed(blocks)]
+            j = j - 1 if i else 0
+    return top, at[0], at[1], bool(len(best)) or edge, blocks[::-1]
+
+
+def grown(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, list[list[int]], bool]:
+    """(score, blocks, alive) of the extension from the corner of two stretches of codes; alive where more bases might lengthen it."""
+    total, blocks, i, j = 0, [], 0, 0
+    while True:
+        rows = min(ROWS, len(a) - i)
+        score, di, dj, alive, more = _stretch(a[i : i + rows], b[j : j + 2 * ROWS], drop)
+        for x, y, n in more:
+            if blocks and blocks[-1][0] + blocks[-1][2] == i + x and blocks[-1][1] + blocks[-1][2] == j + y:
+                blocks[-1][2] += n
+            else:
+                blocks.append([i + x, j + y, n])
+        total, i, j = total + score, i + di, j + dj
+        if not alive or not score:
+            return total, blocks, alive
+        if i + ROWS > len(a) and rows < ROWS:  # the window's end, not a commit
+            return total, blocks, True
+
+
+def around(t: str, q: str, t_at: int, q_at: int, drop: int) -> tuple[int, list[tuple[int, int, int]], bool, bool]:
+    """(score, blocks (t, q, size), alive before, alive behind) of the alignment through a pair of places."""
+    a, b = _LETTERS[np.frombuffer(t.encode(), dtype=np.uint8)], _LETTERS[np.frombuffer(q.encode(), dtype=np.uint8)]
+    right, ahead, more = grown(a[t_at:], b[q_at:], drop)
+    left, behind, less = grown(a[:t_at][::-1], b[:q_at][::-1], drop)
+    blocks = [[t_at - x - n, q_at - y - n, n] for x, y, n in reversed(behind)]
+    for x, y, n in ahead:
+        if blocks and blocks[-1][0] + blocks[-1][2] == t_at + x and blocks[-1][1] + blocks[-1][2] == q_at + y:
+            blocks[-1][2] += n
+        else:
+            blocks.append([t_at + x, q_at + y, n])
+    return left + right, [tuple(x) for x in blocks], less, more
 
 
-def windows(pairs: DataFrame, target: DataFrame, query: DataFrame, reach: int) -> DataFrame:
-    """`pairs` (t_chrom, q_chrom, t, q, length) with the bases from `reach` before to `reach` after them."""
-    j = pairs.join(target.select(F.col("chrom").alias("t_chrom"), F.col("seq").alias("t_all")), "t_chrom").join(query.select(F.col("chrom").alias("q_chrom"), F.col("seq").alias("q_all")), "q_chrom")
-    t0, q0 = F.greatest(F.col("t") - reach, F.lit(0)), F.greatest(F.col("q") - reach, F.lit(0))
-    cut = lambda s, lo, end: F.substring(F.col(s), (lo + 1).cast("int"), (end - lo).cast("int"))
-    return j.select(
-        *pairs.columns, t0.alias("t0"), q0.alias("q0"), F.length("t_all").cast("long").alias("t_size"), F.length("q_all").cast("long").alias("q_size"),
-        cut("t_all", t0, F.col("t") + F.col("length") + reach).alias("t_seq"), cut("q_all", q0, F.col("q") + F.col("length") + reach).alias("q_seq"),
-    )
+_FOUND = "t_name string, t_size long, q_name string, q_size long, strand string, score long, blocks array<struct<t:long,q:long,size:long,t_seq:string,q_seq:string>>"
 
 
-def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, reach: int = 300, band: int = 60) -> DataFrame:
+def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, drop: int = 9400, reach: int = REACH) -> DataFrame:
     """(t_name, t_size, q_name, q_size, strand, score, blocks) of alignments of at least `threshold`.
 
-    blocks: array<struct<t, q, size, t_seq, q_seq>>. Pairs that lead to the same alignment give it once.
+    blocks: array<struct<t, q, size, t_seq, q_seq>>. Alignments grow from the middle of their pair and end
+    by the drop or with a sequence, whatever `reach` is: rows that are still alive at the end of their
+    bases are taken again with four times as many. Pairs that lead to the same alignment give it once.
     """
-    rows = windows(pairs, target, query, reach)
-    ddl = "t_name string, t_size long, q_name string, q_size long, strand string, score long, blocks array<struct<t:long,q:long,size:long,t_seq:string,q_seq:string>>"
+    scratch = Scratch(pairs.sparkSession, "gapped")
+    size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
+    half = F.floor(F.col("length") / 2)
+    rows = pairs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), (F.col("t") + half).alias("t"), (F.col("q") + half).alias("q")).distinct()
+    rows = scratch.keep(rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom"), "pairs")
+    cols, done = rows.columns, None
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                score, found = local_alignment(r.t_seq, r.q_seq, band, (r.q - r.q0) - (r.t - r.t0))
-                if score >= threshold:
-                    cut = [{"t": r.t0 + t, "q": r.q0 + q, "size": n, "t_seq": r.t_seq[t : t + n], "q_seq": r.q_seq[q : q + n]} for t, q, n in found]
-                    out.append((str(r.t_chrom), r.t_size, str(r.q_chrom), r.q_size, "+", score, cut))
-            yield pd.DataFrame(out, columns=["t_name", "t_size", "q_name", "q_size", "strand", "score", "blocks"])
+                score, found, less, more = around(r.t_seq, r.q_seq, r.t - r.t0, r.q - r.q0, drop)
+                again = less and (r.t0 > 0 or r.q0 > 0) or more and (r.t1 < r.t_size or r.q1 < r.q_size)
+                cut = [] if again or score < threshold else [{"t": r.t0 + t, "q": r.q0 + q, "size": n, "t_seq": r.t_seq[t : t + n], "q_seq": r.q_seq[q : q + n]} for t, q, n in found]
+                out.append((*(getattr(r, c) for c in cols), bool(again), score, cut))
+            yield pd.DataFrame(out, columns=[*cols, "again", "score", "blocks"])
 
-    return rows.mapInPandas(run, ddl).dropDuplicates(["t_name", "q_name", "strand", "score", "blocks"])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    ddl = f"{kinds}, again boolean, score long, {_FOUND[_FOUND.index('blocks') :]}"
+    while True:
+        at = rows.select("*", F.greatest(F.col("t") - reach, F.lit(0)).alias("t0"), F.least(F.col("t") + reach, F.col("t_size")).alias("t1"), F.greatest(F.col("q") - 2 * reach, F.lit(0)).alias("q0"), F.least(F.col("q") + 2 * reach, F.col("q_size")).alias("q1"))
+        got = scratch.keep(with_bases(with_bases(at, target, "t_chrom", "t0", "t1", "t_seq"), query, "q_chrom", "q0", "q1", "q_seq").mapInPandas(run, ddl), "aligned")
+        some = got.where((~F.col("again")) & (F.col("score") >= threshold))
+        done = some if done is None else done.union(some)
+        rows = got.where("again").select(cols)
+        if rows.isEmpty():
+            break
+        reach *= 4
+    return done.select(F.col("t_chrom").alias("t_name"), "t_size", F.col("q_chrom").alias("q_name"), "q_size", F.lit("+").alias("strand"), "score", "blocks").dropDuplicates(["t_name", "q_name", "strand", "score", "blocks"])

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sequences import base_count
+from .tiles import TILE, tiles
+
 #: Share of the two commonest bases that is still normal.
 NORMAL = 0.80
 LEAST, SURE = 5_000, 200_000
@@ -29,24 +32,25 @@ def masked_factor(masked: Column, total: Column) -> Column:
     return F.least(F.lit(1.0), F.lit(2.0) * (total - masked).cast("double") / F.greatest(total, F.lit(1)).cast("double"))
 
 
-def adjusted(chains: DataFrame) -> DataFrame:
+def adjusted(chains: DataFrame, least: int = LEAST) -> DataFrame:
     """`chains` (score, a, c, g, t, masked) with the factors and whether the chain is kept."""
     total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
     d, m = degenerate_factor(*map(F.col, "acgt")), masked_factor(F.col("masked"), total)
-    keep = (F.col("score") >= SURE) | ((F.col("score") * d >= LEAST) & (F.col("score") * m >= LEAST))
+    keep = (F.col("score") >= SURE) | ((F.col("score") * d >= least) & (F.col("score") * m >= least))
     return chains.withColumns({"degenerate_factor": d, "masked_factor": m, "kept": keep})
 
 
-def composition(chains: DataFrame, blocks: DataFrame, bases: DataFrame) -> DataFrame:
-    """`chains` (cid, t_name, t_start, score) with counts of aligned target bases and masked ones.
+def composition(chains: DataFrame, blocks: DataFrame, genome: DataFrame) -> DataFrame:
+    """`chains` (cid, t_name, t_start, score) with counts of aligned target bases (a, c, g, t) and masked ones.
 
-    blocks: (cid, t_off, size); bases: (chrom, pos, base). Joined by position; counts combine on the
-    map side.
+    blocks: (cid, t_off, size); genome: (chrom, seq), whole or in chunks. Blocks meet the tiles that
+    they touch; counts are taken of strings and combine on the map side.
     """
-    at = blocks.join(chains.select("cid", "t_name", "t_start"), "cid")
-    pos = at.select("cid", F.col("t_name").alias("chrom"), F.explode(F.sequence(F.col("t_start") + F.col("t_off"), F.col("t_start") + F.col("t_off") + F.col("size") - 1)).alias("pos"))
-    up = F.upper("base")
-    n = pos.join(bases, ["chrom", "pos"]).groupBy("cid").agg(
-        *[F.sum((up == b).cast("long")).alias(b.lower()) for b in "ACGT"], F.sum((F.col("base") != up).cast("long")).alias("masked")
-    )
-    return chains.join(n, "cid")
+    at = blocks.join(chains.select("cid", "t_name", "t_start"), "cid").select("cid", F.col("t_name").cast("string").alias("chrom"), (F.col("t_start") + F.col("t_off")).alias("t"), "size").where("size > 0")
+    some = at.select("*", F.explode(F.sequence(F.floor(F.col("t") / TILE), F.floor((F.col("t") + F.col("size") - 1) / TILE))).alias("tile"))
+    j = some.join(tiles(genome), ["chrom", "tile"])
+    lo, hi = F.greatest("t", "at"), F.least(F.col("t") + F.col("size"), F.col("at") + F.length("bases"))
+    part = j.where(lo < hi).select("cid", F.substring("bases", (lo - F.col("at") + 1).cast("int"), (hi - lo).cast("int")).cast("string").alias("s"))
+    n = part.groupBy("cid").agg(*[F.sum(base_count(F.col("s"), b)).cast("long").alias(b.lower()) for b in "ACGT"], F.sum(F.length(F.regexp_replace("s", "[^acgt]", ""))).cast("long").alias("masked"))
+    none = F.lit(0).cast("long")
+    return chains.join(n, "cid", "left").select(*chains.columns, *[F.coalesce(c, none).alias(c) for c in ("a", "c", "g", "t", "masked")])

@@ -3,11 +3,16 @@
 The score of a block as a chain's last one is its own plus the best of its predecessors' scores less
 the cost of the gap between; a predecessor ends before it on both axes. Blocks of one (target, query,
 strand) whose target distance exceeds `max_gap` never chain, so groups fall apart into islands there;
-islands are the unit of work, however long a chromosome pair is.
+islands are the unit of work, however long a chromosome pair is. They are told apart by bins of the
+target axis: the end that earlier bins reach is a running maximum over bins, and a window sees the
+blocks of one bin only. A task takes its islands one after another from a sorted stream, so it holds
+one island at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,9 +26,16 @@ GROUP = ["t_name", "q_name", "q_strand"]
 
 def islands(blocks: DataFrame, max_gap: int) -> DataFrame:
     """`blocks` with `island`: numbered within the group wherever the target gap exceeds `max_gap`."""
-    w = Window.partitionBy(*GROUP).orderBy("t", "q", "aid")
-    far = F.max(F.col("t") + F.col("size")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return blocks.withColumn("island", F.sum((F.col("t") - far > max_gap).cast("long")).over(w)).withColumn("island", F.coalesce("island", F.lit(0)))
+    end, keys = F.col("t") + F.col("size"), [*GROUP, "_bin"]
+    rows = blocks.withColumn("_bin", F.floor(F.col("t") / F.lit(float(max(max_gap, 1)))).cast("long"))
+    earlier = Window.partitionBy(*GROUP).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # a row a bin
+    reached = rows.groupBy(*keys).agg(F.max(end).alias("_end")).select(*keys, F.max("_end").over(earlier).alias("_reached"))
+    inside = Window.partitionBy(*keys).orderBy("t", "q", "aid").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(reached, keys).withColumn("_far", F.greatest("_reached", F.max(end).over(inside)))
+    rows = rows.withColumn("_new", F.coalesce((F.col("t") - F.col("_far") > max_gap).cast("long"), F.lit(0)))
+    before = rows.groupBy(*keys).agg(F.sum("_new").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    upto = Window.partitionBy(*keys).orderBy("t", "q", "aid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(before, keys).withColumn("island", F.col("_before") + F.sum("_new").over(upto)).select(*blocks.columns, "island")
 
 
 def best_chains(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarray, table: str, max_gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +95,22 @@ def chained(blocks: DataFrame, min_score: int = 1000, table: str = "loose", max_
             out[c] = pdf[c].iloc[0]
         return out.loc[out["score"] >= min_score, names]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([one(g) for _, g in pdf.groupby([*GROUP, "island"], sort=False)], ignore_index=True)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # the island that goes on in the next batch
+        for pdf in batches:
+            key = pdf[[*GROUP, "island"]]
+            first = np.flatnonzero(np.append(True, (key.iloc[1:].to_numpy() != key.iloc[:-1].to_numpy()).any(axis=1)))
+            runs = [pdf.iloc[i:j] for i, j in zip(first, np.append(first[1:], len(pdf)), strict=True)]
+            if held and (held[0][[*GROUP, "island"]].iloc[0] == runs[0][[*GROUP, "island"]].iloc[0]).all():
+                held.append(runs.pop(0))
+            if runs:
+                done = [pd.concat(held), *runs[:-1]] if held else runs[:-1]
+                held = [runs[-1]]
+                if done:
+                    yield pd.concat([one(g) for g in done], ignore_index=True)
+        if held:
+            yield one(pd.concat(held))
 
     ddl = "t_name string, q_name string, q_strand string, island long, chain long, score long, n_blocks long, t_start long, t_end long, q_start long, q_end long, members array<long>"
-    # many islands are short: a task takes a lot of them, and an island stays whole
-    lots = 4 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return rows.withColumn("lot", F.pmod(F.xxhash64(*GROUP, "island"), F.lit(lots))).groupBy("lot").applyInPandas(run, ddl)
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return rows.repartition(tasks, *GROUP, "island").sortWithinPartitions(*GROUP, "island").mapInPandas(run, ddl)

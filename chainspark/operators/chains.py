@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.gaps import gap_cost
-from ..functions.ordering import indexed
+from ..functions.ordering import indexed, ranked
+from ..functions.sequences import pairs_total
+from .tiles import TILE, aligned_bases
 
 
 def offsets(blocks: DataFrame) -> DataFrame:
@@ -56,26 +58,24 @@ def scores(blocks: DataFrame, per_base: Column | int = 91, table: str = "loose")
 
 
 def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame, chains: DataFrame, table: str = "loose") -> DataFrame:
-    """(cid, score) from the bases themselves: blocks meet the sequence chunks that they touch.
+    """(cid, score) from the bases themselves: each block's pairs by their substitution scores, less the cost of the gaps.
 
-    chains: (cid, t_name, t_start, q_name, q_start); genomes: (chrom, chunk_start, seq).
+    chains: (cid, t_name, t_start, q_name, q_start, q_size, q_strand), query places counted on the
+    strand; genomes: (chrom, seq) or (chrom, chunk_start, seq). Blocks are cut at the edges of tiles and
+    meet the bases of both sides as strings; pairs with an unknown base count as such.
     """
-    from ..functions.sequences import pair_score
-
     at = offsets(blocks).join(chains, "cid")
-    piece = at.select("cid", "t_name", "q_name", (F.col("t_start") + F.col("t_off")).alias("t"), (F.col("q_start") + F.col("q_off")).alias("q"), "size")
-    pos = piece.select("cid", "t_name", "q_name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1)).alias("k"), "t", "q").select("cid", "t_name", "q_name", (F.col("t") + F.col("k")).alias("tp"), (F.col("q") + F.col("k")).alias("qp"))
-    tb, qb = bases(genome_t).select(F.col("chrom").alias("t_name"), F.col("pos").alias("tp"), F.col("base").alias("tb")), bases(genome_q).select(F.col("chrom").alias("q_name"), F.col("pos").alias("qp"), F.col("base").alias("qb"))
-    aligned = pos.join(tb, ["t_name", "tp"]).join(qb, ["q_name", "qp"]).groupBy("cid").agg(F.sum(pair_score(F.col("tb"), F.col("qb"))).alias("aligned"))
+    cols = ["cid", "t_name", "q_name", "q_strand", "q_size", (F.col("t_start") + F.col("t_off")).alias("t"), (F.col("q_start") + F.col("q_off")).alias("q"), "size"]
+    piece = at.select(*cols).where("size > 0")
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(TILE).cast("long"))).alias("k")
+    piece = piece.select("cid", "t_name", "q_name", "q_strand", "q_size", "t", "q", "size", step).select("cid", "t_name", "q_name", "q_strand", "q_size", (F.col("t") + F.col("k")).alias("t"), (F.col("q") + F.col("k")).alias("q"), F.least(F.col("size") - F.col("k"), F.lit(TILE)).alias("n"))
+    both = aligned_bases(piece, genome_t, genome_q)
+    total = pairs_total(F.col("t_seq"), F.col("q_seq"))
+    aligned = both.groupBy("cid").agg(F.sum(total).alias("aligned"))
     cost = blocks.groupBy("cid").agg(F.sum(gap_cost(F.col("dt"), F.col("dq"), table)).alias("cost"))
     return cost.join(aligned, "cid", "left").select("cid", (F.coalesce("aligned", F.lit(0)) - F.col("cost")).cast("long").alias("score"))
 
 
-def bases(genome: DataFrame) -> DataFrame:
-    """(chrom, pos, base) of chunked sequences (chrom, chunk_start, seq)."""
-    return genome.where(F.length("seq") > 0).select("chrom", "chunk_start", F.posexplode(F.split("seq", "")).alias("k", "base")).where("base <> ''").select("chrom", (F.col("chunk_start") + F.col("k")).alias("pos"), "base")
-
-
 # --- sets of chains ---
 
 
@@ -88,9 +88,15 @@ def merged(*parts: DataFrame) -> DataFrame:
 
 
 def renumbered(chains: DataFrame) -> DataFrame:
+    """`chains` with new_id from 1 in the order of their ids, as a merge renames them; ids that several files use follow each other by score, best first, then by place."""
+    order = [F.col("id").asc(), F.desc("score"), *[F.col(c).asc() for c in ("t_name", "t_start", "q_name", "q_start", "q_strand")]]
+    return ranked(chains, order).withColumn("new_id", F.col("idx") + 1).drop("idx")
+
+
+def numbered_by_score(chains: DataFrame) -> DataFrame:
     """`chains` with new_id from 1, best score first, ties by old id; ranks come from score ranges."""
-    ranked = indexed(chains, "score", [F.desc("score"), F.asc("id")], descending=True)
-    return ranked.withColumn("new_id", F.col("idx") + 1).drop("idx")
+    order = indexed(chains, "score", [F.desc("score"), F.asc("id")], descending=True)
+    return order.withColumn("new_id", F.col("idx") + 1).drop("idx")
 
 
 def by_score(chains: DataFrame) -> DataFrame:

@@ -4,63 +4,82 @@ A baseline chain is matched when a candidate chain with the same names and stran
 target and query, the baseline widened by a tolerance on both sides; one match is enough.
 
 The join is on bins of the target axis beside the names and strands, with the whole condition on the
-joined rows: a semi join, so a baseline chain never multiplies, and a crowded pair of chromosomes
-splits by position.
+joined rows. Bins come in levels, each `FACTOR` times as wide as the one below; a range lies in the
+smallest bin that holds it, whatever its length. Of two ranges that overlap, the smaller bin lies in
+the larger one, so each range is joined as itself with those in the bins above it, and no range is
+copied more often than there are levels.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import indexed
 from ..functions.text import near_boundary
+from ..scratch import Scratch
 
 KEYS = ["t_name", "q_name", "t_strand", "q_strand"]
 PERCENTILES = (10, 25, 50, 75, 90, 95, 99)
 
 
-def _bins(lo: Column, hi: Column, width: int) -> Column:
-    """All bins that [lo, hi) touches; an empty range touches the bin of its place."""
-    at = lambda c: F.floor(c / F.lit(float(width)))
-    return F.sequence(at(lo), at(F.greatest(hi - 1, lo)))
+#: Width of the narrowest bins, and of bins of each level over those of the one below. The last level is one bin.
+WIDTH, FACTOR, LEVELS = 1024, 8, 8
+
+
+def _levels(lo: Column, hi: Column, width: int, above: bool) -> Column:
+    """array<struct<over, level, bin>>: the smallest bin that holds [lo, hi) and those that hold it.
+
+    `over` tells the two joins apart: where it equals `above` the range stands for itself in its own
+    bin; where not, it looks for ranges of the other side in its bins, those that share a bin counted
+    on one side only.
+    """
+    last = F.greatest(hi - 1, lo)
+    at = lambda k, c: F.floor(c / F.lit(float(width * FACTOR**k))).cast("long") if k < LEVELS else F.lit(0).cast("long")
+    holds = [at(k, lo) == at(k, last) for k in range(LEVELS)] + [F.lit(True)]
+    own = F.lit(LEVELS)
+    for k in range(LEVELS - 1, -1, -1):
+        own = F.when(holds[k], k).otherwise(own)
+    entry = lambda over, k: F.struct(F.lit(over).alias("over"), F.lit(k).alias("level"), at(k, lo).alias("bin"))
+    every = F.array(*[entry(flag, k) for k in range(LEVELS + 1) for flag in (True, False)])
+    return F.filter(every, lambda e: F.when(e["over"] == above, e["level"] == own).otherwise(e["level"] > own if above else e["level"] >= own))
 
 
-def matched_ids(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = 65_536) -> DataFrame:
+def _joined(df: DataFrame, lo: str, hi: str, width: int, above: bool) -> DataFrame:
+    return df.select("*", F.explode(_levels(F.col(lo), F.col(hi), width, above)).alias("_e")).select(*df.columns, "_e.over", "_e.level", "_e.bin")
+
+
+def matched_ids(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     """Distinct ids of the matched baseline chains."""
     b = baseline.select("id", *KEYS, (F.col("t_start") - tolerance).alias("t0"), (F.col("t_end") + tolerance).alias("t1"), (F.col("q_start") - tolerance).alias("q0"), (F.col("q_end") + tolerance).alias("q1"))
-    b = b.withColumn("bin", F.explode(_bins(F.col("t0"), F.col("t1"), width)))
     c = candidate.select(*KEYS, F.col("t_start").alias("c_t0"), F.col("t_end").alias("c_t1"), F.col("q_start").alias("c_q0"), F.col("q_end").alias("c_q1"))
-    c = c.withColumn("bin", F.explode(_bins(F.col("c_t0"), F.col("c_t1"), width)))
-    same = [b[k] == c[k] for k in [*KEYS, "bin"]]
-    meet = (F.greatest("t0", "c_t0") < F.least("t1", "c_t1")) & (F.greatest("q0", "c_q0") < F.least("q1", "c_q1"))
-    on = meet
-    for s in same:
-        on = on & s
+    b, c = _joined(b, "t0", "t1", width, True), _joined(c, "c_t0", "c_t1", width, False)
+    on = (F.greatest("t0", "c_t0") < F.least("t1", "c_t1")) & (F.greatest("q0", "c_q0") < F.least("q1", "c_q1"))
+    for k in [*KEYS, "over", "level", "bin"]:
+        on = on & (b[k] == c[k])
     return b.join(c, on, "left_semi").select("id").distinct()
 
 
-def matched(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = 65_536) -> DataFrame:
+def matched(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     return baseline.join(matched_ids(baseline, candidate, tolerance, width), "id", "left_semi")
 
 
-def missing(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = 65_536) -> DataFrame:
+def missing(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     return baseline.join(matched_ids(baseline, candidate, tolerance, width), "id", "left_anti")
 
 
-def overlap_pairs(a: DataFrame, b: DataFrame, width: int = 65_536) -> DataFrame:
-    """(a_id, b_id, t_overlap): pairs of chains with equal names and strands that overlap on both axes.
-
-    Bins as above; a pair that shares several bins is reported in the bin where its overlap begins.
-    """
-    side = lambda df, s: df.select(*KEYS, F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("t_start", "t_end", "q_start", "q_end")]).withColumn("bin", F.explode(_bins(F.col(f"{s}_t_start"), F.col(f"{s}_t_end"), width)))
-    j = side(a, "a").join(side(b, "b"), [*KEYS, "bin"])
+def overlap_pairs(a: DataFrame, b: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(a_id, b_id, t_overlap): pairs of chains with equal names and strands that overlap on both axes; each pair meets once."""
+    side = lambda df, s, above: _joined(df.select(*KEYS, F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("t_start", "t_end", "q_start", "q_end")]), f"{s}_t_start", f"{s}_t_end", width, above)
+    j = side(a, "a", True).join(side(b, "b", False), [*KEYS, "over", "level", "bin"])
     lo, hi = F.greatest("a_t_start", "b_t_start"), F.least("a_t_end", "b_t_end")
-    keep = (lo < hi) & (F.greatest("a_q_start", "b_q_start") < F.least("a_q_end", "b_q_end")) & (F.col("bin") == F.floor(lo / F.lit(float(width))))
+    keep = (lo < hi) & (F.greatest("a_q_start", "b_q_start") < F.least("a_q_end", "b_q_end"))
     return j.where(keep).select("a_id", "b_id", (hi - lo).alias("t_overlap"))
 
 
-def summary(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = 65_536) -> DataFrame:
+def summary(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     """One row: (baseline_chains, candidate_chains, matched, missing, missing_percent)."""
     hit = matched_ids(baseline, candidate, tolerance, width).agg(F.count("*").alias("matched"))
     n = baseline.agg(F.count("*").alias("baseline_chains")).crossJoin(candidate.agg(F.count("*").alias("candidate_chains"))).crossJoin(hit)
@@ -71,14 +90,17 @@ def summary(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, wid
 def score_percentiles(chains: DataFrame, label: str, percentiles: tuple[int, ...] = PERCENTILES) -> DataFrame:
     """(label, pct, score): the score at index p / 100 * n of the ascending scores, and the maximum as 100.
 
-    Ranks come from running counts by score range, and only the asked-for ranks are joined.
+    `chains` is evaluated once, for its number of rows by score; ranks are running sums of that table,
+    and a score holds the ranks from its own sum up to the next.
     """
-    ranked = indexed(chains.select("score"), "score", [F.col("score")])
-    n = F.broadcast(chains.agg(F.count("*").alias("n")))
-    asked = chains.sparkSession.createDataFrame([(p,) for p in (*percentiles, 100)], "pct int").crossJoin(n).where("n > 0")
-    at = F.least(F.col("n") - 1, F.greatest(F.lit(0).cast("long"), F.floor(F.col("pct").cast("double") / 100 * F.col("n")).cast("long")))
-    wanted = F.broadcast(asked.select("pct", at.alias("idx")))
-    return ranked.join(wanted, "idx").select(F.lit(label).alias("label"), "pct", "score")
+    scratch = Scratch(chains.sparkSession, "percentiles")
+    tally = scratch.keep(chains.groupBy("score").agg(F.count("*").alias("rows")), "scores")
+    n = tally.agg(F.sum("rows")).first()[0] or 0
+    asked = [(p, min(n - 1, max(0, math.floor(p / 100 * n)))) for p in (*percentiles, 100)] if n else []
+    wanted = F.broadcast(chains.sparkSession.createDataFrame(asked, "pct int, at long"))
+    ranked = indexed(tally, "score", [F.col("score")], ["rows"])
+    held = (F.col("at") >= F.col("rows_before")) & (F.col("at") < F.col("rows_before") + F.col("rows"))
+    return ranked.join(wanted, held).select(F.lit(label).alias("label"), "pct", "score")
 
 
 def boundary_summary(missed: DataFrame, chunk: int, overlap: int, window: int) -> DataFrame:

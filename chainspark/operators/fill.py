@@ -1,33 +1,86 @@
-"""Gaps of chains filled with local alignments between their two sides."""
+"""Gaps of chains filled with local alignments between their two sides.
+
+Inside a gap both sides are short (20,000 bases at most by default). Words that both have give
+diagonals, the best ungapped stretch on them is the anchor, and the alignment grows from there by the
+same recursion as elsewhere: memory is linear in the gap's length, whatever its sides are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .align import local_alignment
+from ..functions.sequences import letter_codes, score_matrix
+from .align import around
+from .tiles import on_strand, with_bases
+
+_LETTERS, _MATRIX = letter_codes(), score_matrix()
+
+
+def gap_sequences(gaps: DataFrame, target: DataFrame, query: DataFrame, unmask: bool = True) -> DataFrame:
+    """`gaps` (cid, i, t_name, q_name, t_from, t_to, q_from, q_to) with the bases on both sides.
+
+    With columns q_strand and q_size, query places are counted on the strand. Unless `unmask`, masked
+    bases stay lower case and don't seed.
+    """
+    rows = gaps if "q_strand" in gaps.columns else gaps.withColumn("q_strand", F.lit("+")).withColumn("q_size", F.lit(0).cast("long"))
+    got = on_strand(with_bases(rows, target, "t_name", "t_from", "t_to", "t_seq"), query, "q_from", "q_to", "q_seq")
+    shown = (lambda c: F.upper(c).alias(c)) if unmask else F.col
+    return got.select(*gaps.columns, shown("t_seq"), shown("q_seq"))
+
+
+def _words(seq: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, places) of the words of k unmasked, known bases."""
+    raw = np.frombuffer(seq.encode(), dtype=np.uint8)
+    code = np.where((raw >= 97) | (_LETTERS[raw] > 3), -1, _LETTERS[raw])
+    n = len(code) - k + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(code, k)
+    ok = np.flatnonzero((view >= 0).all(axis=1))
+    return view[ok] @ (4 ** np.arange(k, dtype=np.int64)), ok
 
 
-def gap_sequences(gaps: DataFrame, target: DataFrame, query: DataFrame) -> DataFrame:
-    """`gaps` (cid, i, t_name, q_name, t_from, t_to, q_from, q_to) with the bases on both sides, unmasked."""
-    cut = lambda s, lo, hi: F.upper(F.substring(F.col(s), (F.col(lo) + 1).cast("int"), (F.col(hi) - F.col(lo)).cast("int")))
-    j = gaps.join(target.select(F.col("chrom").alias("t_name"), F.col("seq").alias("ts")), "t_name").join(query.select(F.col("chrom").alias("q_name"), F.col("seq").alias("qs")), "q_name")
-    return j.select(*gaps.columns, cut("ts", "t_from", "t_to").alias("t_seq"), cut("qs", "q_from", "q_to").alias("q_seq"))
+def anchor(t: str, q: str, k: int = 11) -> tuple[int, int, int] | None:
+    """(score, t, q) of the middle of the best ungapped stretch on a diagonal with a common word; None without one."""
+    (a, pa), (b, pb) = _words(t, k), _words(q, k)
+    order = np.argsort(b, kind="stable")
+    lo, hi = np.searchsorted(b[order], a, side="left"), np.searchsorted(b[order], a, side="right")
+    diagonals: set[int] = set()
+    for i in np.flatnonzero(hi > lo).tolist():
+        diagonals.update((pb[order[lo[i] : hi[i]]] - pa[i]).tolist())
+    x, y = (_LETTERS[np.frombuffer(s.encode(), dtype=np.uint8)] for s in (t, q))
+    best: tuple[int, int, int] | None = None
+    for d in sorted(diagonals):
+        first = max(0, -d)
+        n = min(len(x) - first, len(y) - first - d)
+        sums = np.append(0, np.cumsum(_MATRIX[x[first : first + n], y[first + d : first + d + n]]))
+        low = np.minimum.accumulate(sums)
+        end = int((sums - low).argmax())
+        score = int(sums[end] - low[end])
+        if best is None or score > best[0]:
+            begin = int(sums[: end + 1].argmin())
+            middle = first + (begin + end) // 2
+            best = (score, middle, middle + d)
+    return best
 
 
-def fillings(gaps: DataFrame, threshold: int = 5000) -> DataFrame:
-    """(cid, i, score, t, q, size): blocks of the best alignment inside each gap, if it reaches `threshold`."""
+def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: int = 9400) -> DataFrame:
+    """(cid, i, score, t, q, size): blocks of the alignment through the best anchor of each gap, if that scores `least` and the alignment `threshold`."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                score, found = local_alignment(r.t_seq, r.q_seq)
-                if score >= threshold:
-                    out += [(r.cid, r.i, score, r.t_from + t, r.q_from + q, n) for t, q, n in found]
+                seed = anchor(r.t_seq, r.q_seq)
+                if seed and seed[0] >= min(least, threshold):
+                    score, found, _, _ = around(r.t_seq, r.q_seq, seed[1], seed[2], drop)
+                    if score >= threshold:
+                        out += [(r.cid, r.i, score, r.t_from + t, r.q_from + q, n) for t, q, n in found]
             yield pd.DataFrame(out, columns=["cid", "i", "score", "t", "q", "size"])
 
     return gaps.mapInPandas(run, "cid long, i long, score long, t long, q long, size long")

@@ -3,8 +3,9 @@
 Next fit is a fold, but where a bin that begins at row i ends depends on i alone: the first row at
 which the sum since i passes the limit, or the members run out. So a block of rows maps each
 possible first bin start inside it to the first one in the next block, whatever came before. Blocks
-are mapped side by side (each with a margin of the rows that follow), the few maps are followed one
-after another, and then every block assigns its bins.
+are mapped side by side (each with a margin of the rows that follow); maps of neighbouring blocks are
+put together, `FAN` at a time and level by level, into maps of ever longer stretches; entries then go
+down the same levels, and every block assigns its bins. All of it runs in tasks of bounded size.
 """
 
 from __future__ import annotations
@@ -17,8 +18,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import indexed
+from ..scratch import Scratch
 
-BLOCK = 1 << 14
+#: Rows of a block, and maps that are put together at a time.
+BLOCK, FAN = 1 << 14, 64
+_MAP = "block long, enter long, leave long, bins long"
+
+
+def _by_block(pdf: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, leave, bins) in order; both arrays by entry."""
+    return [(int(b), g.sort_values("enter")["leave"].to_numpy(), g.sort_values("enter")["bins"].to_numpy()) for b, g in pdf.groupby("block", sort=True)]
+
+
+def _together(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One map of a stretch of neighbouring blocks from theirs. A block shorter than an entry is passed over by it."""
+    blocks = _by_block(pdf)
+    up = int(pdf["up"].iloc[0])
+    at, count = np.arange(len(blocks[0][1])), np.zeros(len(blocks[0][1]), dtype=np.int64)
+    for _, leave, bins in blocks:
+        inside = at < len(leave)
+        count[inside] += bins[at[inside]]
+        at = np.where(inside, leave[np.minimum(at, len(leave) - 1)], at - len(leave))
+    return pd.DataFrame({"block": up, "enter": np.arange(len(at)), "leave": at, "bins": count})
+
+
+def _followed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Where the first bin of each block of a stretch begins, and how many bins began before it, from those of the stretch."""
+    at, count, out = int(pdf["at"].iloc[0]), int(pdf["before"].iloc[0]), []
+    for b, leave, bins in _by_block(pdf):
+        out.append((b, at, count))
+        if at < len(leave):
+            at, count = int(leave[at]), count + int(bins[at])
+        else:
+            at -= len(leave)
+    return pd.DataFrame(out, columns=["block", "at", "before"])
+
+
+def _entries(maps: DataFrame, blocks: int, scratch: Scratch) -> DataFrame:
+    """(block, at, before) of all blocks."""
+    levels = [scratch.keep(maps, "maps")]
+    while blocks > 1:
+        blocks = -(-blocks // FAN)
+        levels.append(scratch.keep(levels[-1].withColumn("up", F.floor(F.col("block") / FAN).cast("long")).groupBy("up").applyInPandas(_together, _MAP), "maps"))
+    at = levels.pop().select("block", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("before")).distinct()
+    while levels:
+        up = at.select(F.col("block").alias("up"), "at", "before")
+        at = levels.pop().withColumn("up", F.floor(F.col("block") / FAN).cast("long")).join(up, "up").groupBy("up").applyInPandas(_followed, "block long, at long, before long")
+    return at
 
 
 def _ends(before: np.ndarray, size: np.ndarray, limit: float, members: int, close_after: bool) -> np.ndarray:
@@ -43,7 +89,7 @@ def next_fit(rows: DataFrame, lead: str, descending: bool, tie: str, limit: floa
     if members >= block:
         raise ValueError("a bin may not have as many members as a block has rows")
     order: list[Column] = [F.col(lead).desc() if descending else F.col(lead).asc(), F.col(tie).asc()]
-    placed = indexed(rows, lead, order, ["size"], descending)
+    placed = Scratch(rows.sparkSession, "ordered").keep(indexed(rows, lead, order, ["size"], descending), "placed")
     own = F.floor(F.col("idx") / block).cast("long")
     copies = F.when((F.col("idx") % block < members + 1) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
     wide = placed.select(F.explode(copies).alias("block"), "idx", F.col("size").cast("long").alias("size"), F.col("size_before").alias("before"))
@@ -58,18 +104,13 @@ def next_fit(rows: DataFrame, lead: str, descending: bool, tie: str, limit: floa
             e = int(end[i])
             leave[i], bins[i] = (leave[e], bins[e] + 1) if e < n else (e - n, 1)
         some = min(n, members + 1)
+        # entries past the end of a short last block lead nowhere; every map has an entry for its first row
         return pd.DataFrame({"block": b, "enter": np.arange(some), "leave": leave[:some], "bins": bins[:some]})
 
-    by_block: dict[int, dict[int, tuple[int, int]]] = {}
-    for r in wide.groupBy("block").applyInPandas(maps, "block long, enter long, leave long, bins long").collect():  # members + 1 rows a block
-        by_block.setdefault(r["block"], {})[r["enter"]] = (r["leave"], r["bins"])
-    at, count, entry = 0, 0, []
-    for b in range(len(by_block)):
-        entry.append((b, at, count))
-        at, more = by_block[b].get(at, (0, 0))
-        count += more
-    spark = rows.sparkSession
-    begins = F.broadcast(spark.createDataFrame(entry, "block long, enter long, bins long"))  # a row a block
+    scratch = Scratch(rows.sparkSession, "nextfit")
+    made = wide.groupBy("block").applyInPandas(maps, _MAP)
+    top = placed.agg(F.max("idx")).first()[0]
+    begins = _entries(made, 0 if top is None else top // block + 1, scratch).select("block", F.col("at").alias("enter"), F.col("before").alias("bins"))
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx", ignore_index=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import indexed
+from ..functions import ordering
 from ..functions.text import bucket_key
 
 
@@ -33,8 +33,8 @@ def merge_sorted(*parts: DataFrame) -> DataFrame:
 
 
 def ranked(psl: DataFrame) -> DataFrame:
-    """`psl` with its place (from 0) among all rows by (t_start, t_end, q_name, q_start, id)."""
-    return indexed(psl, "t_start", [F.col(c) for c in ("t_start", "t_end", "q_name", "q_start", "id")])
+    """`psl` with its place (from 0) in the merge by reference: (t_name, t_start, t_end, q_name, q_start, id)."""
+    return ordering.ranked(psl, [F.col(c) for c in ("t_name", "t_start", "t_end", "q_name", "q_start", "id")])
 
 
 def from_blocks(alignments: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Seeds and ungapped extension between two sequence tables.
 
-Words of both genomes meet in an equi-join on the word; a word that occurs very often on the target
-would make a product, so its count is bounded by `most`, as aligners do with repeats (a feature of
-the operator: masked and repeated words don't seed). Extension walks each diagonal from a seed in
-both directions while the running score stays within the drop of its maximum, as window functions
-over positions.
+Words of both genomes meet in an equi-join on the word. A word that occurs very often on both sides
+makes a product, which is what its hits are; `most` leaves words of many target places out, as aligners
+do with repeats, and `None` keeps all. Extension walks each diagonal from a seed in both directions
+while the running score stays within the drop of its maximum: stretch by stretch, for those runs only
+that the drop has not ended yet.
 """
 
 from __future__ import annotations
@@ -13,17 +13,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.sequences import pair_score
+from ..functions.sequences import pair_score, pairs_total
+from ..scratch import Scratch
+from .tiles import fetched, lengths, with_bases
 
 
 def kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
-    """(chrom, pos, word): the words of k unmasked, known bases that begin at every `step`-th base."""
+    """(chrom, pos, word): the words of k unmasked, known bases that begin at every `step`-th base.
+
+    genome: (chrom, seq), or (chrom, chunk_start, seq) whose chunks overlap by k - 1 bases (`overlapping`).
+    """
     # slices of bytes take constant time, of characters they walk the sequence from its start; the
     # outer lambda's variable holds the bytes, so the expression behind `seq` runs once a row
     raw = F.array(F.encode("seq", "US-ASCII"))
+    base = F.col("chunk_start") if "chunk_start" in genome.columns else F.lit(0)
     words = F.flatten(F.transform(raw, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - k + 1, F.lit(step)), lambda i: F.substring(r, i, F.lit(k)))))
-    at = genome.where(F.length("seq") >= k).select("chrom", F.posexplode(words).alias("i", "w"))
-    return at.select("chrom", (F.col("i") * step).cast("long").alias("pos"), F.col("w").cast("string").alias("word")).where(~F.col("word").rlike("[^ACGT]"))
+    at = genome.where(F.length("seq") >= k).select("chrom", base.cast("long").alias("base"), F.posexplode(words).alias("i", "w"))
+    return at.select("chrom", (F.col("base") + F.col("i") * step).cast("long").alias("pos"), F.col("w").cast("string").alias("word")).where(~F.col("word").rlike("[^ACGT]"))
+
+
+def overlapping(genome: DataFrame, k: int, width: int = 1 << 16) -> DataFrame:
+    """(chrom, chunk_start, seq): stretches of `width` bases and the k - 1 that follow, so that each word lies in one."""
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(width).cast("long"))).alias("start")
+    at = lengths(genome).select("chrom", "size", step).select("chrom", "start", F.least("size", F.col("start") + width + k - 1).alias("end"))
+    return fetched(at, genome).select("chrom", F.col("start").alias("chunk_start"), "seq")
 
 
 def word_counts(words: DataFrame) -> DataFrame:
@@ -53,25 +66,17 @@ def seed_runs(hits: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("t_chrom", "q_chrom", "diag", "run").agg(F.min("t_pos").alias("t"), (F.max("t_pos") + k - F.min("t_pos")).alias("length")).select("t_chrom", "q_chrom", "t", (F.col("t") - F.col("diag")).alias("q"), "length")
 
 
-def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, reach: int) -> DataFrame:
-    """(t_chrom, q_chrom, t, q, length, score): exact runs with up to `reach` bases on both sides.
-
-    On each side the score is summed base by base; the walk ends where it has fallen more than `drop`
-    below its best, and the best place (nearest on ties, 0 if none is above it) is taken.
-    """
-    seqs = runs.join(target.select(F.col("chrom").alias("t_chrom"), F.col("seq").alias("t_seq")), "t_chrom").join(query.select(F.col("chrom").alias("q_chrom"), F.col("seq").alias("q_seq")), "q_chrom")
-    span = lambda seq, lo, n: F.substring(F.col(seq), (F.greatest(lo, F.lit(0)) + 1).cast("int"), F.greatest(n, F.lit(0)).cast("int"))
+def _walked(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int) -> DataFrame:
+    """`rows` (t_chrom, q_chrom, t, q, length, t_size, q_size, core, and _sum, _best, _at, _k of one side) walked on by `reach` bases; `_over` where that side is done."""
     t_end, q_end = F.col("t") + F.col("length"), F.col("q") + F.col("length")
-    ahead = F.least(F.lit(reach), F.length("t_seq") - t_end, F.length("q_seq") - q_end)
-    back = F.least(F.lit(reach), F.col("t"), F.col("q"))
-    cut = seqs.select(
-        "t_chrom", "q_chrom", "t", "q", "length",
-        span("t_seq", F.col("t"), F.col("length")).alias("core_t"), span("q_seq", F.col("q"), F.col("length")).alias("core_q"),
-        span("t_seq", t_end, ahead).alias("right_t"), span("q_seq", q_end, ahead).alias("right_q"),
-        F.reverse(span("t_seq", F.col("t") - back, back)).alias("left_t"), F.reverse(span("q_seq", F.col("q") - back, back)).alias("left_q"),
-    )
-    base = lambda a, b: F.zip_with(F.split(a, ""), F.split(b, ""), pair_score)
-    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("k"), F.lit(False).alias("over"))
+    room = F.least(F.col("t_size") - t_end, F.col("q_size") - q_end) if ahead else F.least("t", "q")
+    n = F.least(F.lit(reach), room - F.col("_k"))
+    lo = (lambda c, end: end + F.col("_k")) if ahead else (lambda c, end: F.col(c) - F.col("_k") - n)
+    at = rows.withColumn("_n", n).withColumn("_t0", lo("t", t_end)).withColumn("_q0", lo("q", q_end)).withColumn("_t1", F.col("_t0") + n).withColumn("_q1", F.col("_q0") + n)
+    at = with_bases(with_bases(at, target, "t_chrom", "_t0", "_t1", "_a"), query, "q_chrom", "_q0", "_q1", "_b")
+    turn = (lambda c: c) if ahead else F.reverse
+    score = F.zip_with(F.split(turn(F.col("_a")), ""), F.split(turn(F.col("_b")), ""), pair_score)
+    start = F.struct(F.col("_sum").alias("sum"), F.col("_best").alias("best"), F.col("_at").alias("at"), F.col("_k").alias("k"), F.lit(False).alias("over"))
 
     def step(a, s):
         total = a["sum"] + s
@@ -80,11 +85,49 @@ def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, re
             total.alias("sum"), F.when(up, total).otherwise(a["best"]).alias("best"), F.when(up, a["k"] + 1).otherwise(a["at"]).alias("at"), (a["k"] + 1).cast("long").alias("k"), (a["over"] | (a["best"] - total > drop)).alias("over")
         )
 
-    walk = lambda side: F.when(F.length(f"{side}_t") > 0, F.aggregate(base(F.col(f"{side}_t"), F.col(f"{side}_q")), zero, step)).otherwise(zero)
-    got = cut.select("t_chrom", "q_chrom", "t", "q", "length", F.aggregate(base(F.col("core_t"), F.col("core_q")), F.lit(0).cast("long"), lambda a, s: a + s).alias("core"), walk("right").alias("r"), walk("left").alias("l"))
-    return got.select("t_chrom", "q_chrom", (F.col("t") - F.col("l.at")).alias("t"), (F.col("q") - F.col("l.at")).alias("q"), (F.col("length") + F.col("l.at") + F.col("r.at")).cast("long").alias("length"), (F.col("core") + F.col("r.best") + F.col("l.best")).alias("score")).distinct()
+    got = at.withColumn("_w", F.when(F.col("_n") > 0, F.aggregate(score, start, step)).otherwise(start))
+    over = F.col("_w.over") | (F.col("_w.k") >= room)
+    return got.select(*[c for c in rows.columns if not c.startswith("_")], F.col("_w.sum").alias("_sum"), F.col("_w.best").alias("_best"), F.col("_w.at").alias("_at"), F.col("_w.k").alias("_k"), over.alias("_over"))
+
+
+def _side(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int, scratch: Scratch) -> DataFrame:
+    """`rows` with (best, at) of one side: the best score beyond the run, and the bases that lead to it."""
+    zero = F.lit(0).cast("long")
+    on, done = rows.withColumns({"_sum": zero, "_best": zero, "_at": zero, "_k": zero}), None
+    while True:
+        on, n = scratch.counted(_walked(on, target, query, ahead, drop, reach), "walked")
+        ended = on.where("_over")
+        done = ended if done is None else done.union(ended)
+        left = on.where("not _over").drop("_over")
+        if not n or left.isEmpty():
+            break
+        on, reach = left, reach * 8
+    return done.select(*rows.columns, F.col("_best").alias("best"), F.col("_at").alias("at"))
 
 
-def hsps(hits: DataFrame, k: int, target: DataFrame, query: DataFrame, threshold: int, drop: int = 910, reach: int = 200) -> DataFrame:
+def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, reach: int = 128) -> DataFrame:
+    """(t_chrom, q_chrom, t, q, length, score): exact runs with what lies around them.
+
+    On each side the score is summed base by base; the walk ends where it has fallen more than `drop`
+    below its best, or where a sequence ends, and the best place (nearest on ties, 0 if none is above
+    it) is taken. `reach` is the length of the first stretch that is looked at; results don't depend on it.
+    """
+    scratch = Scratch(runs.sparkSession, "extension")
+    size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
+    names = {c: runs.schema[c].dataType for c in ("t_chrom", "q_chrom")}
+    rows = runs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), "t", "q", "length")
+    rows = rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom")
+    rows = with_bases(rows.withColumn("_t1", F.col("t") + F.col("length")), target, "t_chrom", "t", "_t1", "_core").withColumn("core", pairs_total(F.col("_core"), F.col("_core"))).drop("_t1", "_core")
+    rows = scratch.keep(rows, "runs")
+    key = ["t_chrom", "q_chrom", "t", "q", "length"]
+    right, left = _side(rows, target, query, True, drop, reach, scratch), _side(rows, target, query, False, drop, reach, scratch)
+    both = right.select(*key, "core", F.col("best").alias("r"), F.col("at").alias("r_at")).join(left.select(*key, F.col("best").alias("l"), F.col("at").alias("l_at")), key)
+    return both.select(
+        F.col("t_chrom").cast(names["t_chrom"]).alias("t_chrom"), F.col("q_chrom").cast(names["q_chrom"]).alias("q_chrom"), (F.col("t") - F.col("l_at")).alias("t"), (F.col("q") - F.col("l_at")).alias("q"),
+        (F.col("length") + F.col("l_at") + F.col("r_at")).cast("long").alias("length"), (F.col("core") + F.col("r") + F.col("l")).alias("score"),
+    ).distinct()
+
+
+def hsps(hits: DataFrame, k: int, target: DataFrame, query: DataFrame, threshold: int, drop: int = 910, reach: int = 128) -> DataFrame:
     """High-scoring pairs of at least `threshold`."""
     return extended(seed_runs(hits, k), target, query, drop, reach).where(F.col("score") >= threshold)

@@ -22,6 +22,7 @@ class Params:
     lastz_l: int = 3000
     lastz_k: int = 2400
     seed_length: int = 12
+    #: Words with more places on the target don't seed, as with any aligner's repeat limit; None keeps all.
     seed_limit: int | None = 200
     min_chain_score: int = 1000
     linear_gap: str = "loose"
@@ -32,6 +33,7 @@ class Params:
     skip_clean: bool = False
     fill_files: int = 1000
     fill_score: int = 5000
+    fill_k: int = 2000
     fill_gap_min: int = 30
     fill_gap_max: int = 20_000
     clean_fold: float = 2.5

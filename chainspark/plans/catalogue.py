@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, text
 from ..functions.gaps import gap_cost, gap_cost_sql
-from ..operators import align, antirepeat, bundle, chaining, chains, compare, fill, nets, partition, psl, seeds
+from ..operators import align, antirepeat, bundle, chaining, chains, compare, fill, nets, partition, psl, seeds, tiles
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,9 +110,10 @@ def unbundled(spark, d):
     return bundle.unbundled(a.sizes(spark, d), a.present(spark, d))
 
 
-@query(f"WITH {a.SIZES_SQL}, {a.PRESENT_SQL} SELECT chrom, size FROM sizes WHERE chrom NOT IN (SELECT chrom FROM present)")
+@query(f"WITH {a.SIZES_SQL}, {a.PRESENT_SQL} SELECT chrom, size FROM sizes WHERE chrom NOT IN (SELECT chrom FROM present WHERE chrom % 3 <> 0)")
 def skipped_chroms(spark, d):
-    return bundle.skipped(a.sizes(spark, d), a.present(spark, d))
+    """Chromosomes without alignments, where every third one has none."""
+    return bundle.skipped(a.sizes(spark, d), a.present(spark, d).where("chrom % 3 <> 0"))
 
 
 @query("""WITH dup AS (SELECT l_partkey AS chrom, (l_quantity * 1000 + l_suppkey)::BIGINT AS size, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey AS ord FROM lineitem)
@@ -146,10 +147,13 @@ def pair_cross(spark, d):
     return partition.pairs(*_parts(spark, d))
 
 
-@query(f"WITH RECURSIVE {PARTS_SQL} SELECT n AS expected, n AS actual, 0::BIGINT AS missing FROM (SELECT (SELECT count(*) FROM ref_parts) * (SELECT count(*) FROM query_parts) AS n)")
+@query(f"""WITH RECURSIVE {PARTS_SQL}, n AS (SELECT (SELECT count(*) FROM ref_parts) AS r, (SELECT count(*) FROM query_parts) AS q, (SELECT count(*) FROM ref_parts WHERE part NOT LIKE 'BULK%') AS done)
+SELECT r * q AS expected, done * q AS actual, (r - done) * q AS missing FROM n""")
 def pair_integrity(spark, d):
+    """Pairs that a run still owes when only those of whole reference chunks are there."""
     r, q = _parts(spark, d)
-    return partition.checked_pairs(r, q, partition.pairs(r, q))
+    done = partition.pairs(r, q).where(~text.is_bulk(F.col("reference_part")))
+    return partition.checked_pairs(r, q, done)
 
 
 INTERVALS_SQL = """{0}_iv AS (SELECT part, split_part(part, ':', 2) AS chrom, split_part(split_part(part, ':', 3), '-', 1)::BIGINT AS s, split_part(split_part(part, ':', 3), '-', 2)::BIGINT AS e FROM {0}_parts WHERE part NOT LIKE 'BULK%'
@@ -211,7 +215,7 @@ def psl_split_by_ref(spark, d):
     return psl.totals_by_reference(a.psl(spark, d))
 
 
-@query(f"WITH {a.PSL_SQL} SELECT *, row_number() OVER (ORDER BY t_start, t_end, q_name, q_start, id) - 1 AS idx FROM psl")
+@query(f"WITH {a.PSL_SQL} SELECT *, row_number() OVER (ORDER BY t_name, t_start, t_end, q_name, q_start, id) - 1 AS idx FROM psl")
 def psl_merge_sorted(spark, d):
     p = a.psl(spark, d)
     return psl.ranked(p.where("strand = '+'").unionByName(p.where("strand <> '+'")))
@@ -269,7 +273,7 @@ def top_missing(spark, d):
 ON c.t_name = b.t_name AND c.q_name = b.q_name AND c.t_strand = b.t_strand AND c.q_strand = b.q_strand
 AND greatest(b.t_start, c.t_start) < least(b.t_end, c.t_end) AND greatest(b.q_start, c.q_start) < least(b.q_end, c.q_end)""")
 def overlap_pairs(spark, d):
-    return compare.overlap_pairs(*_sides(spark, d), width=2_000)
+    return compare.overlap_pairs(*_sides(spark, d))
 
 
 # --- chains ------------------------------------------------------------------------------------------
@@ -335,7 +339,27 @@ def chain_score(spark, d):
     return chains.scores(a.blocks(spark, d))
 
 
-@query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)}, row_number() OVER (ORDER BY score DESC, id) AS new_id FROM headers")
+#: The orders' chains laid over the documents' bases: where they begin, modulo a sequence's length.
+_LAID_SQL = f"""{OFFSETS_SQL}, {a.GENOME_SQL}, n AS (SELECT count(*) AS n FROM genome),
+laid AS (SELECT o.cid, o.i, o.size, o.dt, o.dq, o.cid % n AS t_name, (o.cid * 7) % n AS q_name, CASE WHEN o.cid % 3 = 0 THEN '-' ELSE '+' END AS q_strand, o.cid % 50 + t_off AS t, o.cid % 30 + q_off AS q FROM offs o CROSS JOIN n),
+pos AS (SELECT cid, substring(g.seq, (t + k + 1)::BIGINT, 1) AS x,
+    CASE WHEN q_strand = '-' THEN translate(substring(p.seq, (length(p.seq) - q - k)::BIGINT, 1), 'ACGTacgt', 'TGCAtgca') ELSE substring(p.seq, (q + k + 1)::BIGINT, 1) END AS y
+  FROM (SELECT *, unnest(range(0, size)) AS k FROM laid) l JOIN genome g ON g.chrom = l.t_name JOIN genome p ON p.chrom = l.q_name
+  WHERE t + k < length(g.seq) AND q + k < length(p.seq))"""
+
+
+@query(f"""WITH {_LAID_SQL}, hit AS (SELECT cid, sum({sequences.pair_score_sql('x', 'y')})::BIGINT AS s FROM pos GROUP BY cid), cost AS (SELECT cid, sum({gap_cost_sql('dt', 'dq')})::BIGINT AS c, sum(size)::BIGINT AS bases FROM blocks GROUP BY cid)
+SELECT cid, (coalesce(s, 0) - c)::BIGINT AS score FROM cost LEFT JOIN hit USING (cid)""")
+def sequence_score(spark, d):
+    """Chains rescored from the bases under their blocks, on both strands."""
+    b, g = a.blocks(spark, d), a.genome(spark, d)
+    n = F.broadcast(g.agg(F.count("*").alias("n")))
+    heads = b.select("cid").distinct().crossJoin(n).select("cid", (F.col("cid") % F.col("n")).alias("t_name"), (F.col("cid") % 50).alias("t_start"), ((F.col("cid") * 7) % F.col("n")).alias("q_name"), (F.col("cid") % 30).alias("q_start"), F.when(F.col("cid") % 3 == 0, "-").otherwise("+").alias("q_strand"))
+    size = g.select(F.col("chrom").alias("q_name"), F.length("seq").cast("long").alias("q_size"))
+    return chains.sequence_scores(b, g, g, heads.join(size, "q_name"))
+
+
+@query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)}, row_number() OVER (ORDER BY id, score DESC, t_name, t_start, q_name, q_start, q_strand) AS new_id FROM headers")
 def merge_renumber(spark, d):
     return chains.renumbered(chains.merged(*_sides(spark, d)))
 
@@ -379,8 +403,8 @@ def unmasked(spark, d):
 
 @query(f'WITH {a.SIZES_SQL}, {a.GENOME_SQL}, {CHUNKS_SQL} SELECT c.chrom, "start", "end", substring(seq, "start" + 1, "end" - "start") AS seq FROM chunks c JOIN genome g USING (chrom)')
 def subsequence(spark, d):
-    c = partition.chunks(a.sizes(spark, d), CHUNK, OVERLAP).join(a.genome(spark, d), "chrom")
-    return c.select("chrom", "start", "end", sequences.subsequence(F.col("seq"), F.col("start"), F.col("end")).alias("seq"))
+    c = partition.chunks(a.sizes(spark, d), CHUNK, OVERLAP)
+    return tiles.with_bases(c, a.genome(spark, d), "chrom", "start", "end", "seq")
 
 
 KMERS_SQL = """{0}_words AS (SELECT * FROM (SELECT chrom, p AS pos, substring(seq, p + 1, {1}) AS word FROM (SELECT chrom, seq, unnest(range(0, length(seq) - {1} + 1)) AS p FROM {0} WHERE length(seq) >= {1})) WHERE NOT regexp_matches(word, '[^ACGT]'))"""
@@ -407,7 +431,7 @@ def diagonal_bins(spark, d):
     return seeds.diagonals(_hits(spark, d), 64)
 
 
-DROP, REACH, HSP_SCORE = 910, 120, 2400
+DROP, HSP_SCORE = 910, 2400
 
 
 def _side_sql(name: str, t_from: str, q_from: str, t_sign: str, n: str) -> str:
@@ -423,7 +447,7 @@ def _side_sql(name: str, t_from: str, q_from: str, t_sign: str, n: str) -> str:
 HSP_SQL = f"""{HITS_SQL}, marked AS (SELECT *, t_pos - q_pos AS diag, CASE WHEN t_pos - lag(t_pos) OVER (PARTITION BY t_chrom, q_chrom, t_pos - q_pos ORDER BY t_pos) <= {WORD} THEN 0 ELSE 1 END AS new_run FROM hits),
 numbered AS (SELECT *, sum(new_run) OVER (PARTITION BY t_chrom, q_chrom, diag ORDER BY t_pos) AS run FROM marked),
 runs AS (SELECT t_chrom, q_chrom, diag, run, min(t_pos) AS t, min(t_pos) - diag AS q, max(t_pos) + {WORD} - min(t_pos) AS length FROM numbered GROUP BY 1, 2, 3, 4),
-long_runs AS (SELECT runs.*, row_number() OVER (ORDER BY t_chrom, q_chrom, diag, run) AS rid, least({REACH}, length(g.seq) - t - length, length(p.seq) - q - length) AS ahead, least({REACH}, t, q) AS back
+long_runs AS (SELECT runs.*, row_number() OVER (ORDER BY t_chrom, q_chrom, diag, run) AS rid, least(length(g.seq) - t - length, length(p.seq) - q - length) AS ahead, least(t, q) AS back
   FROM runs JOIN genome g ON g.chrom = t_chrom JOIN query_genome p ON p.chrom = q_chrom),
 core_pos AS (SELECT r.rid, {sequences.pair_score_sql("substring(g.seq, (t + k + 1)::BIGINT, 1)", "substring(p.seq, (q + k + 1)::BIGINT, 1)")} AS s
   FROM (SELECT *, unnest(range(0, length)) AS k FROM long_runs) r JOIN genome g ON g.chrom = r.t_chrom JOIN query_genome p ON p.chrom = r.q_chrom),
@@ -436,7 +460,7 @@ hsps AS (SELECT DISTINCT t_chrom, q_chrom, t - coalesce(b.at, 0) AS t, q - coale
 
 @query(f"WITH {HSP_SQL} SELECT * FROM hsps WHERE score >= {HSP_SCORE}")
 def ungapped_hsps(spark, d):
-    return seeds.hsps(_hits(spark, d), WORD, a.genome(spark, d), a.query_genome(spark, d), HSP_SCORE, DROP, REACH)
+    return seeds.hsps(_hits(spark, d), WORD, a.genome(spark, d), a.query_genome(spark, d), HSP_SCORE, DROP)
 
 
 _COMP_SQL = f"comp AS (SELECT chrom, length(seq)::BIGINT * 20 AS score, {', '.join(_COUNT.format(b, b.lower()) for b in 'ACGT')}, length(regexp_replace(seq, '[^acgt]', '', 'g'))::BIGINT AS masked FROM genome)"
@@ -468,7 +492,7 @@ def antirepeat_masked(spark, d):
 
 def _gapped(spark, d):
     t, q = a.genome(spark, d), a.query_genome(spark, d)
-    return align.gapped(seeds.hsps(_hits(spark, d), WORD, t, q, HSP_SCORE, DROP, REACH), t, q, threshold=3000)
+    return align.gapped(seeds.hsps(_hits(spark, d), WORD, t, q, HSP_SCORE, DROP), t, q, threshold=3000)
 
 
 @query()
@@ -533,25 +557,41 @@ def clean_suspects(spark, d):
     return nets.suspects(c, g, fold=2.5, max_suspect=100_000, min_broken=5_000, width=512)
 
 
+_ALIGNED_SQL = f"""WITH {_LAID_SQL}, heads AS (SELECT cid, sum(size * 91 - {gap_cost_sql('dt', 'dq')})::BIGINT AS score FROM blocks GROUP BY cid),
+n4 AS (SELECT cid, {', '.join(f"coalesce(sum((upper(x) = '{b}')::BIGINT), 0)::BIGINT AS {b.lower()}" for b in 'ACGT')}, coalesce(sum((x <> upper(x) AND x <> 'n')::BIGINT), 0)::BIGINT AS masked
+  FROM (SELECT cid, substring(g.seq, (t + k + 1)::BIGINT, 1) AS x FROM (SELECT *, unnest(range(0, size)) AS k FROM laid) l JOIN genome g ON g.chrom = l.t_name) WHERE x <> '' GROUP BY cid),
+f AS (SELECT cid, score, coalesce(a, 0)::BIGINT AS a, coalesce(c, 0)::BIGINT AS c, coalesce(g, 0)::BIGINT AS g, coalesce(t, 0)::BIGINT AS t, coalesce(masked, 0)::BIGINT AS masked FROM heads LEFT JOIN n4 USING (cid)),
+share AS (SELECT *, (a + c + g + t - list_sort([a, c, g, t])[1] - list_sort([a, c, g, t])[2])::DOUBLE / greatest(a + c + g + t, 1)::DOUBLE - 0.8::DOUBLE AS over_, least(1.0::DOUBLE, 2.0::DOUBLE * (a + c + g + t - masked)::DOUBLE / greatest(a + c + g + t, 1)::DOUBLE) AS m FROM f)
+SELECT cid, score, a, c, g, t, masked, score >= 200000 OR (CASE WHEN over_ > 0 THEN score * (1.01::DOUBLE - over_ / (1 - 0.8::DOUBLE)) ELSE score * 1.0::DOUBLE END >= 5000 AND score * m >= 5000) AS kept FROM share"""
+
+
+@query(_ALIGNED_SQL)
+def antirepeat_aligned(spark, d):
+    """Both anti-repeat tests on the bases under the blocks of the orders' chains."""
+    b, g = a.blocks(spark, d), a.genome(spark, d)
+    n = F.broadcast(g.agg(F.count("*").alias("n")))
+    heads = chains.scores(b).crossJoin(n).select("cid", "score", (F.col("cid") % F.col("n")).alias("t_name"), (F.col("cid") % 50).alias("t_start"))
+    got = antirepeat.adjusted(antirepeat.composition(heads, chains.offsets(b), g))
+    return got.select("cid", "score", "a", "c", "g", "t", "masked", "kept")
+
+
 @query()
 def repeat_fill(spark, d):
-    """Local alignments inside every fillable gap of the orders' chains, over the documents' bases."""
-    g = chains.fillable(chains.gaps(a.blocks(spark, d)))
-    names = a.table(spark, d, "documents").agg(F.count("*").alias("n"))
-    named = g.crossJoin(F.broadcast(names)).select("cid", "i", F.pmod(F.col("cid"), F.col("n")).alias("t_name"), F.pmod(F.col("cid"), F.col("n")).alias("q_name"), "t_from", "t_to", "q_from", "q_to")
-    rows = fill.gap_sequences(named, a.genome(spark, d), a.genome(spark, d))
-    return fill.fillings(rows, threshold=1000)
+    """Local alignments inside every fillable gap of the orders' chains, over the documents' bases, on both strands."""
+    g, bases = chains.fillable(chains.gaps(a.blocks(spark, d))), a.genome(spark, d)
+    names = bases.agg(F.count("*").alias("n"))
+    name = F.pmod(F.col("cid"), F.col("n"))
+    named = g.crossJoin(F.broadcast(names)).select("cid", "i", name.alias("t_name"), name.alias("q_name"), F.when(F.col("cid") % 5 == 0, "-").otherwise("+").alias("q_strand"), "t_from", "t_to", "q_from", "q_to")
+    size = bases.select(F.col("chrom").alias("q_name"), F.length("seq").cast("long").alias("q_size"))
+    return fill.fillings(fill.gap_sequences(named.join(size, "q_name"), bases, bases), threshold=1000)
 
 
 @query()
 def full_run(spark, d):
     """From two genomes to cleaned chains: documents against benchmark items, both strands."""
-    import tempfile
-    import uuid
-
     from ..params import Params
+    from ..scratch import Scratch
     from .run import Run
 
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp()
-    p = Params(seed_length=WORD, seed_limit=None, reference_chunk=WIDE_CHUNK, query_chunk=QUERY_CHUNK, query_overlap=OVERLAP, antirepeat_min_score=1000, clean_min_broken=2000)
-    return Run(spark, a.genome(spark, d), a.query_genome(spark, d), p, f"{at}/run-{uuid.uuid4().hex}").run()
+    p = Params(seed_length=WORD, seed_limit=None, antirepeat_min_score=1000, clean_min_broken=2000, bundle_max_bases=MAX_BASES, reference_chunk=WIDE_CHUNK, query_chunk=QUERY_CHUNK, query_overlap=OVERLAP, fill_files=16)
+    return Run(spark, a.genome(spark, d), a.query_genome(spark, d), p, Scratch(spark, "run").root).run()

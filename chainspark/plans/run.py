@@ -1,48 +1,89 @@
 """Whole runs: from two genomes to cleaned chains, or from a later stage's input.
 
-Every stage is a table below the output folder, written once; a run that begins later reads the
-table of the stage before. Stages: `chains`, `antirepeat`, `merged`, `filled`, `cleaned`, `final`.
+Every stage is a table below the output folder, written once and counted; a run that begins later
+reads the table of the stage before. Stages: `partitions`, `bundles`, `chains`, `antirepeat`, `filled`,
+`suspects`, `final`.
+
+The partitions are the run's account of both genomes (chunks and bulks, and how many pairs they make).
+Words, extensions, gap fills and scores fetch the bases they need by place, so no chromosome is ever a
+row, and alignments aren't cut where a chunk ends.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import align, antirepeat, chaining, chains, fill, nets, seeds
+from ..functions.sequences import reverse_complement
+from ..operators import align, antirepeat, bundle, chaining, chains, fill, nets, partition, psl, seeds
+from ..operators.tiles import lengths
 from ..params import Params
 
 
 class Run:
-    """One pair of genomes, (chrom, seq) each, with chromosomes as rows of bounded length."""
+    """One pair of genomes, each (chrom, seq) or, as the sources give them, (chrom, chunk_start, seq)."""
 
     def __init__(self, spark: SparkSession, target: DataFrame, query: DataFrame, params: Params, out: str):
-        self.spark, self.target, self.query, self.p, self.out = spark, target, query, params.validate(), out.rstrip("/")
-
-    def kept(self, df: DataFrame, stage: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.out}/{stage}")
-        return self.read(stage)
+        text = lambda g: g.withColumn("chrom", F.col("chrom").cast("string"))
+        self.spark, self.target, self.query, self.p, self.out = spark, text(target), text(query), params.validate(), out.rstrip("/")
+        self.counts: dict[str, int] = {}
+
+    def kept(self, df: DataFrame, stage: str, by: str | None = None) -> DataFrame:
+        """`df` as the table of a stage; an error unless it holds as many rows as were written."""
+        seen, path = Observation(), f"{self.out}/{stage}"
+        w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        (w.partitionBy(by) if by else w).parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.counts[stage] = int(seen.get["n"])
+        if back.count() != self.counts[stage]:
+            raise RuntimeError(f"stage {stage} lost rows")
+        return back
 
     def read(self, stage: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.out}/{stage}")
 
-    # --- stages; each returns chains as rows of blocks (cid, t_name, q_name, q_strand, t, q, size) ---
+    # --- stages ---
+
+    def partitions(self) -> DataFrame:
+        """(side, kind, no, part) of both genomes."""
+        sides = []
+        for side, genome, chunk, overlap in (("reference", self.target, self.p.reference_chunk, self.p.reference_overlap), ("query", self.query, self.p.query_chunk, self.p.query_overlap)):
+            sizes = lengths(genome).withColumn("ord", F.lit(0).cast("long"))
+            sides.append(partition.partitions(sizes, chunk, overlap, f"{side}.2bit").select(F.lit(side).alias("side"), "*"))
+        return sides[0].union(sides[1])
+
+    def expected_pairs(self) -> int:
+        """How many pairs of partitions a run covers."""
+        parts = self.read("partitions")
+        return int(partition.expected_pairs(parts.where("side = 'reference'"), parts.where("side = 'query'")).first()["expected"])
+
+    def strands(self) -> list[tuple[str, DataFrame]]:
+        """The query as it is, and its reverse complement with places counted on it."""
+        q = self.query if "chunk_start" in self.query.columns else self.query.withColumn("chunk_start", F.lit(0).cast("long"))
+        turned = q.join(lengths(q), "chrom").select("chrom", (F.col("size") - F.col("chunk_start") - F.length("seq")).alias("chunk_start"), reverse_complement(F.col("seq")).alias("seq"))
+        return [("+", q.select("chrom", "chunk_start", "seq")), ("-", turned)]
 
     def aligned(self) -> DataFrame:
-        """Blocks of gapped alignments on both strands of the query."""
-        parts = []
-        words = seeds.kmers(self.target, self.p.seed_length)
-        for strand in "+-":
-            q = self.query
-            if strand == "-":
-                from ..functions.sequences import reverse_complement
-
-                q = q.select("chrom", reverse_complement(F.col("seq")).alias("seq"))
-            hits = seeds.seed_hits(words, seeds.kmers(q, self.p.seed_length), self.p.seed_limit)
-            found = align.gapped(seeds.hsps(hits, self.p.seed_length, self.target, q, self.p.lastz_k), self.target, q, self.p.lastz_l)
-            parts.append(found.withColumn("strand", F.lit(strand)))
-        rows = chains.merged(*parts)
-        b = rows.select("t_name", "q_name", F.col("strand").alias("q_strand"), F.explode("blocks").alias("b")).select("t_name", "q_name", "q_strand", "b.t", "b.q", "b.size").distinct()
+        """PSL rows of gapped alignments on both strands of the query."""
+        parts, k = [], self.p.seed_length
+        words = seeds.kmers(seeds.overlapping(self.target, k), k)
+        for strand, q in self.strands():
+            hits = seeds.seed_hits(words, seeds.kmers(seeds.overlapping(q, k), k), self.p.seed_limit)
+            found = align.gapped(seeds.hsps(hits, k, self.target, q, self.p.lastz_k), self.target, q, self.p.lastz_l, self.p.lastz_y)
+            parts.append(psl.from_blocks(found.withColumn("strand", F.lit(strand))))
+        return chains.merged(*parts)
+
+    def bundles(self, rows: DataFrame) -> DataFrame:
+        """Alignments with the bundle of their reference chromosome, largest chromosomes first."""
+        sizes = lengths(self.target).withColumn("ord", F.lit(0).cast("long"))
+        return bundle.bundled_rows(rows, bundle.bundles(sizes, rows.select(F.col("t_name").alias("chrom")), self.p.bundle_max_bases))
+
+    @staticmethod
+    def blocks(rows: DataFrame) -> DataFrame:
+        """(t_name, q_name, q_strand, t, q, size, aid): distinct blocks of PSL rows."""
+        b = rows.select("t_name", "q_name", F.col("strand").alias("q_strand"), F.explode(F.arrays_zip("t_starts", "q_starts", "block_sizes")).alias("b"))
+        b = b.select("t_name", "q_name", "q_strand", F.col("b.t_starts").alias("t"), F.col("b.q_starts").alias("q"), F.col("b.block_sizes").alias("size")).distinct()
         return b.withColumn("aid", F.xxhash64("t_name", "q_name", "q_strand", "t", "q", "size"))
 
     def chain(self, blocks: DataFrame) -> DataFrame:
@@ -53,42 +94,32 @@ class Run:
         return blocks.join(member, "aid").select("cid", "score", "t_name", "q_name", "q_strand", "t", "q", "size")
 
     def without_repeats(self, rows: DataFrame) -> DataFrame:
-        seq = self.target.select(F.col("chrom").cast("string").alias("t_name"), "seq")
-        cut = rows.join(seq, "t_name").select("cid", "score", F.substring("seq", (F.col("t") + 1).cast("int"), F.col("size").cast("int")).alias("s"))
-        up = F.upper("s")
-        count = lambda b: F.sum(F.length("s") - F.length(F.replace(up, F.lit(b), F.lit("")))).cast("long")
-        per = cut.groupBy("cid", "score").agg(*[count(b).alias(b.lower()) for b in "ACGT"], F.sum(F.length(F.regexp_replace("s", "[^acgt]", ""))).cast("long").alias("masked"))
-        total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
-        d, m = antirepeat.degenerate_factor(*map(F.col, "acgt")), antirepeat.masked_factor(F.col("masked"), total)
-        least = self.p.antirepeat_min_score
-        good = per.where((F.col("score") >= antirepeat.SURE) | ((F.col("score") * d >= least) & (F.col("score") * m >= least)))
+        heads = rows.select("cid", "score", "t_name").distinct().withColumn("t_start", F.lit(0).cast("long"))
+        good = antirepeat.adjusted(antirepeat.composition(heads, rows.select("cid", F.col("t").alias("t_off"), "size"), self.target), self.p.antirepeat_min_score).where("kept")
         return rows.join(good.select("cid"), "cid", "left_semi")
 
     def filled(self, rows: DataFrame) -> DataFrame:
-        """The chains with alignments found inside their gaps."""
-        from pyspark.sql.window import Window
-
+        """The chains with alignments found inside their gaps, on the chain's strand."""
         w = Window.partitionBy("cid").orderBy("t", "q")
         g = rows.select("cid", "t_name", "q_name", "q_strand", F.row_number().over(w).cast("long").alias("i"), (F.col("t") + F.col("size")).alias("t_from"), F.lead("t").over(w).alias("t_to"), (F.col("q") + F.col("size")).alias("q_from"), F.lead("q").over(w).alias("q_to")).where("t_to is not null")
-        plus = g.where("q_strand = '+'").drop("q_strand")
-        some = chains.fillable(plus, self.p.fill_gap_min, self.p.fill_gap_max)
-        named = lambda x: x.select(F.col("chrom").cast("string").alias("chrom"), "seq")
-        found = fill.fillings(fill.gap_sequences(some, named(self.target), named(self.query)), self.p.fill_score)
+        some = chains.fillable(g, self.p.fill_gap_min, self.p.fill_gap_max).join(lengths(self.query).select(F.col("chrom").alias("q_name"), F.col("size").alias("q_size")), "q_name")
+        inside = fill.gap_sequences(some, self.target, self.query, not self.p.skip_unmask).repartition(self.p.fill_files, "cid", "i")
+        found = fill.fillings(inside, self.p.fill_score, self.p.fill_k, self.p.lastz_y)
         heads = rows.select("cid", "score", "t_name", "q_name", "q_strand").distinct()
         return fill.spliced(rows, found).join(heads, "cid").select("cid", "score", "t_name", "q_name", "q_strand", "t", "q", "size")
 
     def rescored(self, rows: DataFrame) -> DataFrame:
-        """One row a chain: header, new score, block list; numbered by score."""
-        from pyspark.sql.window import Window
-
+        """One row a chain: header, score of its bases less its gaps, block list; numbered by score."""
         w = Window.partitionBy("cid").orderBy("t", "q")
         nxt = rows.select("*", (F.lead("t").over(w) - F.col("t") - F.col("size")).alias("dt0"), (F.lead("q").over(w) - F.col("q") - F.col("size")).alias("dq0"), F.row_number().over(w).alias("i"))
         b = nxt.select("cid", "t_name", "q_name", "q_strand", "t", "q", "size", F.col("i").cast("long").alias("i"), F.coalesce("dt0", F.lit(0)).alias("dt"), F.coalesce("dq0", F.lit(0)).alias("dq"))
         heads = b.groupBy("cid", "t_name", "q_name", "q_strand").agg(F.min("t").alias("t_start"), F.max(F.col("t") + F.col("size")).alias("t_end"), F.min("q").alias("q_start"), F.max(F.col("q") + F.col("size")).alias("q_end"))
-        size = lambda df, n: df.select(F.col("chrom").cast("string").alias(f"{n}_name"), F.length("seq").cast("long").alias(f"{n}_size"))
-        out = heads.join(chains.scores(b, table=self.p.linear_gap), "cid").join(chains.nested(b), "cid").join(size(self.target, "t"), "t_name").join(size(self.query, "q"), "q_name")
+        size = lambda g, n: lengths(g).select(F.col("chrom").alias(f"{n}_name"), F.col("size").alias(f"{n}_size"))
+        heads = heads.join(size(self.target, "t"), "t_name").join(size(self.query, "q"), "q_name")
+        score = chains.sequence_scores(b.select("cid", "i", "size", "dt", "dq"), self.target, self.query, heads.select("cid", "t_name", "t_start", "q_name", "q_start", "q_size", "q_strand"), self.p.linear_gap)
+        out = heads.join(score, "cid").join(chains.nested(b), "cid")
         out = out.withColumn("id", F.col("cid").cast("string")).withColumn("t_strand", F.lit("+"))
-        return chains.renumbered(out).withColumn("id", F.col("new_id").cast("string")).drop("new_id", "cid")
+        return chains.numbered_by_score(out).withColumn("id", F.col("new_id").cast("string")).drop("new_id", "cid")
 
     def cleaned(self, table: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(chains without suspects, the suspects as BED)."""
@@ -104,8 +135,9 @@ class Run:
         """The final chains, from the stage that the parameters name."""
         begin = self.p.begin()
         if begin == "full":
-            blocks = self.kept(self.aligned(), "blocks")
-            self.kept(self.chain(blocks), "chains")
+            self.kept(self.partitions(), "partitions")
+            bundled = self.kept(self.bundles(self.kept(self.aligned(), "psl")), "bundles", "bundle")
+            self.kept(self.chain(self.blocks(bundled)), "chains")
         if begin in ("full", "antirepeat"):
             self.kept(self.without_repeats(self.read("chains")), "antirepeat")
         if begin != "clean":

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainspark.functions import gaps, sequences, text
-from chainspark.functions.ordering import indexed
-from chainspark.operators import align, bundle, chaining, chains, compare, nets, nextfit, partition
+from chainspark.functions.ordering import indexed, ranked
+from chainspark.operators import align, bundle, chaining, chains, compare, fill, nets, nextfit, partition, seeds, tiles
 from chainspark.params import Params, from_mapping
 
 
@@ -147,20 +147,25 @@ def test_chain_invariants(spark):
     assert chains.gaps(one).count() == 0 and chains.headers(one).first().t_span == 564
 
 
-def plain_local(t, q):
-    """Three-matrix affine recursion, cell by cell."""
+def plain_extension(t, q):
+    """The best score of an affine alignment that begins at the corner, cell by cell."""
     low = -(10**9)
     n, m = len(t), len(q)
-    h = [[0] * (m + 1) for _ in range(n + 1)]
+    h = [[low] * (m + 1) for _ in range(n + 1)]
     e = [[low] * (m + 1) for _ in range(n + 1)]
     f = [[low] * (m + 1) for _ in range(n + 1)]
-    top = 0
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            e[i][j] = max(h[i - 1][j] - 430, e[i - 1][j] - 30)
-            f[i][j] = max(h[i][j - 1] - 430, f[i][j - 1] - 30)
-            s = sequences.SUBSTITUTION.get(t[i - 1].upper(), {}).get(q[j - 1].upper(), sequences.UNKNOWN)
-            h[i][j] = max(0, h[i - 1][j - 1] + s, e[i][j], f[i][j])
+    top = h[0][0] = 0
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if i:
+                e[i][j] = max(h[i - 1][j] - 430, e[i - 1][j] - 30)
+            if j:
+                f[i][j] = max(h[i][j - 1] - 430, f[i][j - 1] - 30)
+            if i and j:
+                s = sequences.SUBSTITUTION.get(t[i - 1].upper(), {}).get(q[j - 1].upper(), sequences.UNKNOWN)
+                h[i][j] = max(h[i - 1][j - 1] + s, e[i][j], f[i][j])
+            elif i or j:
+                h[i][j] = max(e[i][j], f[i][j])
             top = max(top, h[i][j])
     return top
 
@@ -173,17 +178,179 @@ def rescored(t, q, blocks):
     return total
 
 
-def test_gapped_alignment_against_the_plain_recursion():
+def mutated(rng, t, rate, gaps=2, longest=4):
+    q = "".join(rng.choice("ACGT") if rng.random() < rate else c for c in t)
+    for _ in range(gaps):
+        cut = rng.randrange(len(q) + 1)
+        q = q[:cut] + "".join(rng.choice("ACGT") for _ in range(rng.randrange(longest))) + q[cut + rng.randrange(longest) :]
+    return q
+
+
+def dna(rng, n):
+    return "".join(rng.choice("ACGT") for _ in range(n))
+
+
+def test_extension_against_the_plain_recursion():
     rng = random.Random(4)
-    for _ in range(40):
-        t = "".join(rng.choice("ACGT") for _ in range(rng.randrange(5, 70)))
-        cut = rng.randrange(len(t))
-        q = t[:cut] + "".join(rng.choice("ACGT") for _ in range(rng.randrange(4))) + t[cut + rng.randrange(4) :]
-        q = "".join(rng.choice("ACGT") if rng.random() < 0.05 else c for c in q)
-        score, blocks = align.local_alignment(t, q)
-        assert score == plain_local(t, q)
-        assert score == rescored(t, q, blocks)
-    assert align.local_alignment("", "ACGT") == (0, [])
+    codes = sequences.letter_codes()
+    as_codes = lambda s: codes[np.frombuffer(s.encode(), dtype=np.uint8)]
+    for _ in range(60):
+        t = dna(rng, rng.randrange(0, 70))
+        q = mutated(rng, t, 0.1, 3, 6) if rng.random() < 0.8 else dna(rng, rng.randrange(0, 40))
+        score, blocks, _ = align.grown(as_codes(t), as_codes(q), 10**6)
+        assert score == plain_extension(t, q)
+        assert score == rescored(t, q, [(0, 0, 0), *blocks]) if blocks else score == 0
+    t = dna(rng, 30) + dna(rng, 300) + dna(rng, 30)
+    score, _, alive = align.grown(as_codes(t), as_codes(t[:30] + dna(rng, 300) + t[330:]), 910)
+    assert score == plain_extension(t[:30], t[:30]) and not alive  # the drop ends it, whatever follows
+
+
+def test_alignments_are_as_long_as_the_drop_allows(spark, monkeypatch):
+    """Indels far longer than a band, alignments far longer than a window, and commits on the way."""
+    rng = random.Random(14)
+    monkeypatch.setattr(align, "ROWS", 512)
+    t = dna(rng, 9000)
+    q = t[:2000] + t[2150:5000] + dna(rng, 180) + mutated(rng, t[5000:], 0.03, 10)
+    target, query = spark.createDataFrame([("a", t), ("b", dna(rng, 500))], "chrom string, seq string"), spark.createDataFrame([("x", q)], "chrom string, seq string")
+    pairs = spark.createDataFrame([("a", "x", 1000, 1000, 40), ("a", "x", 3000, 2850, 40)], "t_chrom string, q_chrom string, t long, q long, length long")
+    got = align.gapped(pairs, target, query, 3000, reach=300).collect()
+    for r in got:
+        blocks = [(b.t, b.q, b.size) for b in r.blocks]
+        assert blocks[0][:2] == (0, 0) and blocks[-1][0] + blocks[-1][2] > 8900
+        assert r.score == rescored(t, q, blocks)
+        assert all(b.t_seq == t[b.t : b.t + b.size] and b.q_seq == q[b.q : b.q + b.size] for b in r.blocks)
+    assert len({r.score for r in got}) == 1
+
+
+def test_ungapped_extension_ends_by_the_drop_only(spark):
+    rng = random.Random(15)
+    t = dna(rng, 3000)
+    q = t[:1500] + dna(rng, 300) + t[1800:]
+    target, query = spark.createDataFrame([("a", t)], "chrom string, seq string"), spark.createDataFrame([("x", q)], "chrom string, seq string")
+    runs = spark.createDataFrame([("a", "x", 700, 700, 20)], "t_chrom string, q_chrom string, t long, q long, length long")
+    for reach in (16, 5000):
+        r = seeds.extended(runs, target, query, 910, reach).first()
+        assert r.t == 0 and 1500 <= r.length < 1530
+
+
+def test_fillings_on_both_strands(spark):
+    rng = random.Random(16)
+    t, turn = dna(rng, 4000), str.maketrans("ACGT", "TGCA")
+    inner = mutated(rng, t[1000:3000], 0.04, 2)
+    q = dna(rng, 500) + inner + dna(rng, 400)
+    minus = q[::-1].translate(turn)
+    genomes = spark.createDataFrame([("a", t)], "chrom string, seq string"), spark.createDataFrame([("x", q.lower()), ("y", minus)], "chrom string, seq string")
+    gaps = spark.createDataFrame([(1, 1, "a", "x", "+", len(q), 900, 3100, 300, len(q) - 100), (2, 1, "a", "y", "-", len(q), 900, 3100, 300, len(q) - 100), (3, 1, "a", "x", "+", len(q), 0, 50, 0, 50)], "cid long, i long, t_name string, q_name string, q_strand string, q_size long, t_from long, t_to long, q_from long, q_to long")
+    got = fill.fillings(fill.gap_sequences(gaps, *genomes)).collect()
+    assert {r.cid for r in got} == {1, 2}
+    by = {c: sorted((r.t, r.q, r.size) for r in got if r.cid == c) for c in (1, 2)}
+    assert by[1] == by[2]
+    assert by[1][0][0] <= 1005 and abs(by[1][-1][0] + by[1][-1][2] - 3000) <= 10
+    assert got[0].score == rescored(t, q, by[1])
+    assert fill.fillings(fill.gap_sequences(gaps, *genomes, unmask=False)).where("cid = 1").count() == 0
+
+
+def test_scores_of_bases(spark):
+    rng = random.Random(18)
+    t, q = dna(rng, 20_000), dna(rng, 15_000)
+    rows, heads, want = [], [], {}
+    for c in range(12):
+        t0, q0, at_t, at_q, total = rng.randrange(3000), rng.randrange(2000), 0, 0, 0
+        s = q if c % 2 else q[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        for i in range(6):
+            n, dt, dq = rng.randrange(1, 2400), rng.choice([0, 7, 90]) if i < 5 else 0, rng.choice([0, 3]) if i < 5 else 0
+            n = min(n, 15_000 - q0 - at_q)
+            rows.append((c, i, n, dt, dq))
+            total += sum(sequences.SUBSTITUTION[t[t0 + at_t + k]][s[q0 + at_q + k]] for k in range(n)) - int(gaps.gap_cost_value([dt], [dq])[0])
+            at_t, at_q = at_t + n + dt, at_q + n + dq
+        heads.append((c, "a", t0, "x", q0, len(q), "+" if c % 2 else "-"))
+        want[c] = total
+    cut = lambda s, n: [(s[0], i, s[1][i : i + n]) for i in range(0, len(s[1]), n)]
+    genome = lambda name, s: spark.createDataFrame(cut((name, s), 1000), "chrom string, chunk_start long, seq string")
+    got = chains.sequence_scores(spark.createDataFrame(rows, "cid long, i long, size long, dt long, dq long"), genome("a", t), genome("x", q), spark.createDataFrame(heads, "cid long, t_name string, t_start long, q_name string, q_start long, q_size long, q_strand string"))
+    assert {r.cid: r.score for r in got.collect()} == want
+
+
+def test_ranges_of_chunked_sequences(spark):
+    rng = random.Random(19)
+    s = dna(rng, 10_000)
+    g = spark.createDataFrame([("a", i, s[i : i + 700]) for i in range(0, 10_000, 700)], "chrom string, chunk_start long, seq string")
+    want = [(rng.randrange(10_000), rng.randrange(10_100)) for _ in range(40)] + [(0, 10_000), (5, 5)]
+    got = tiles.fetched(spark.createDataFrame([("a", x, y) for x, y in want] + [("none", 0, 3)], "chrom string, start long, end long"), g, 512).collect()
+    assert {(r.chrom, r.start, r.end): r.seq for r in got} == {("a", x, y): s[x : max(x, y)] for x, y in want} | {("none", 0, 3): ""}
+    words = seeds.kmers(seeds.overlapping(g, 12, 256), 12).collect()
+    assert sorted((r.pos, r.word) for r in words) == [(i, s[i : i + 12]) for i in range(10_000 - 11)]
+
+
+def plain_chains(rows, max_gap):
+    """The recursion over all blocks of one group, each against each."""
+    rows = sorted(rows, key=lambda r: (r[4], r[5], r[3]))
+    total, back = [], []
+    for j, (*_, t, q, n) in enumerate(rows):
+        best, k = 0, None
+        for i in range(j):
+            et, eq = rows[i][4] + rows[i][6], rows[i][5] + rows[i][6]
+            if et <= t and eq <= q and t - et <= max_gap:
+                gain = total[i] - int(gaps.gap_cost_value([t - et], [q - eq])[0])
+                if gain > best:
+                    best, k = gain, i
+        total.append(91 * n + best)
+        back.append(k)
+    return max(total)
+
+
+@pytest.mark.parametrize("max_gap", [60, 500])
+def test_chaining_finds_the_best_chain_of_each_group(spark, max_gap):
+    rng = random.Random(20)
+    rows = [(rng.choice("tu"), "q", rng.choice("+-"), i, rng.randrange(4000), rng.randrange(4000), rng.randrange(5, 40)) for i in range(160)]
+    df = spark.createDataFrame(rows, "t_name string, q_name string, q_strand string, aid long, t long, q long, size long")
+    best = {}
+    for c in chaining.chained(df, 0, "loose", max_gap=max_gap).collect():
+        best[c.t_name, c.q_strand] = max(best.get((c.t_name, c.q_strand), 0), c.score)
+    groups = {(r[0], r[2]) for r in rows}
+    assert best == {g: plain_chains([r for r in rows if (r[0], r[2]) == g], max_gap) for g in groups}
+    numbers = chaining.islands(df, max_gap).collect()
+    for g in groups:
+        reach, island = None, -1
+        for r in sorted((r for r in numbers if (r.t_name, r.q_strand) == g), key=lambda r: (r.t, r.q, r.aid)):
+            island += reach is None or r.t - reach > max_gap
+            reach = max(r.t + r["size"], reach or 0)
+            assert r.island == island
+
+
+def test_ranks_of_any_order(spark):
+    rng = random.Random(21)
+    rows = [(rng.choice(["chr1", "chr10", "chr2", "x"]), rng.randrange(5), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "name string, v long, i long").repartition(5)
+    got = ranked(df, [F.col("name").asc(), F.col("v").desc(), F.col("i").asc()], 7).orderBy("idx").collect()
+    assert [(r.name, r.v, r.i) for r in got] == sorted(rows, key=lambda r: (r[0], -r[1], r[2])) and [r.idx for r in got] == list(range(300))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_next_fit_over_many_levels(spark, monkeypatch, fan):
+    monkeypatch.setattr(nextfit, "FAN", fan)
+    rng = random.Random(22)
+    values = [rng.choice([0, 1, 3, 8, 20, 44]) for _ in range(500)]
+    got = nextfit.next_fit(sizes_of(spark, values), "ord", False, "chrom", 60, 7, False, block=16)
+    assert [r.bin for r in got.orderBy("pos").collect()] == nextfit.sequential(iter(values), 60, 7, False)
+
+
+def test_long_and_short_ranges_meet(spark):
+    """Ranges of all sizes, across the edges of bins of every level."""
+    rng = random.Random(23)
+
+    def some(n):
+        out = []
+        for i in range(n):
+            size = int(10 ** rng.uniform(0, 7))
+            t = rng.choice([rng.randrange(10**7), 8**rng.randrange(3, 8) * rng.randrange(1, 4) - rng.randrange(5)])
+            out.append(header(i, t, t + size, 0, 100, 1, "a", "+"))
+        return out
+
+    a, b = some(150), some(150)
+    want = sorted((x[0], y[0]) for x in a for y in b if max(x[4], y[4]) < min(x[5], y[5]))
+    got = compare.overlap_pairs(spark.createDataFrame(a, HEADER), spark.createDataFrame(b, HEADER), 16).collect()
+    assert sorted((r.a_id, r.b_id) for r in got) == want
 
 
 def test_chaining_keeps_blocks_colinear(spark):
