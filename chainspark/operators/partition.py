@@ -53,6 +53,16 @@ def partitions(sizes: DataFrame, chunk: int, overlap: int = 0, file: str = "geno
     return regular.union(packed.select(F.lit("bulk").alias("kind"), F.col("bulk_no"), text.bulk_string(F.col("bulk_no"), name, F.col("chroms")).alias("part")))
 
 
+def ordered(sizes: DataFrame, chunk: int, overlap: int = 0, file: str = "genome.2bit") -> DataFrame:
+    """(place, part): the partition list in its order, chunks as their chromosomes come in the size list, then bulks by number."""
+    regular = chunks(sizes, chunk, overlap).join(sizes.select("chrom", "ord"), "chrom")
+    text_of = text.partition_string(F.lit(file), F.col("chrom"), F.col("start"), F.col("end"))
+    none = F.lit(0).cast("long")
+    first = regular.select(F.struct(F.lit(False).alias("bulk"), F.col("ord"), F.col("chrom").cast("string").alias("chrom"), F.col("start")).alias("place"), text_of.alias("part"))
+    packed = partitions(sizes, chunk, overlap, file).where("kind = 'bulk'")
+    return first.union(packed.select(F.struct(F.lit(True).alias("bulk"), F.col("no").alias("ord"), F.lit("").alias("chrom"), none.alias("start")), "part"))
+
+
 def pairs(reference: DataFrame, query: DataFrame) -> DataFrame:
     """(reference_part, query_part): every reference partition with every query partition.
 

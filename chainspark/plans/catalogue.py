@@ -374,6 +374,19 @@ def filter_min_score(spark, d):
     return chains.at_least(chains.scores(a.blocks(spark, d)), 1000)
 
 
+@query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)} FROM headers WHERE score >= 20000 AND t_name = 'A' AND q_name = 'F' AND q_strand = '-'")
+def filter_by_fields(spark, d):
+    """Chains of one reference, query and strand that score enough."""
+    return chains.selected(a.headers(spark, d).select(_COLUMNS), min_score=20_000, t_name="A", q_name="F", strand="-")
+
+
+@query(f"WITH {a.BLOCKS_SQL} SELECT cid AS id, count(*) AS n_blocks FROM blocks GROUP BY cid HAVING max(greatest(dt, dq)) <= 40")
+def filter_by_gaps(spark, d):
+    """Chains without a gap of over 40 bases."""
+    nested = chains.nested(a.blocks(spark, d)).withColumnRenamed("cid", "id")
+    return chains.selected(nested, max_gap=40).select("id", F.size("blocks").cast("long").alias("n_blocks"))
+
+
 @query(f"WITH {SCORES_SQL} SELECT cid % 16 AS file, count(*) AS chains, sum(score)::BIGINT AS score FROM scores GROUP BY 1")
 def split_chunks(spark, d):
     """The deal of all chains over 16 files, by file."""

@@ -41,9 +41,9 @@ def chain_lines(chains: DataFrame) -> DataFrame:
     return chains.select(F.concat(head, F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("value"))
 
 
-def write_chains(chains: DataFrame, path: str, gzip: bool = True) -> None:
-    """Text parts in the order of the rows; sort before for a sorted file set."""
-    w = chain_lines(chains).write.mode("overwrite").option("lineSep", "\n")
+def write_chains(chains: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite") -> None:
+    """Text parts in the order of the rows; sort before for a sorted file set. `mode` append adds to what is there."""
+    w = chain_lines(chains).write.mode(mode).option("lineSep", "\n")
     (w.option("compression", "gzip") if gzip else w).text(path)
 
 
@@ -60,16 +60,16 @@ def read_psl(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*out)
 
 
-def write_psl(psl: DataFrame, path: str, by: str | None = None) -> None:
-    """PSL text; `by` is a column whose values become folders."""
+def write_psl(psl: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
+    """PSL text; `by` is a column whose values become folders, as bundles and references do."""
     cell = lambda f: F.concat(F.array_join(f.name, ","), F.lit(",")) if f.dataType.simpleString().startswith("array") else F.col(f.name).cast("string")
     out = psl.select(F.concat_ws("\t", *[cell(f) for f in PSL.fields]).alias("value"), *([by] if by else []))
-    w = out.write.mode("overwrite")
+    w = out.write.mode(mode)
     (w.partitionBy(by) if by else w).text(path)
 
 
-def write_bed(rows: DataFrame, path: str) -> None:
-    rows.select(*BED.names).write.mode("overwrite").option("sep", "\t").csv(path)
+def write_bed(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    rows.select(*BED.names).write.mode(mode).option("sep", "\t").csv(path)
 
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
@@ -94,3 +94,8 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     """(part) of a partition list, blanks trimmed and empty lines dropped."""
     return spark.read.text(path).select(F.trim("value").alias("part")).where("part <> ''")
+
+
+def write_partitions(parts: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A partition list in its order: parts (place, part) of `partition.ordered`; the files in name order are the list."""
+    parts.orderBy("place").select("part").write.mode(mode).text(path)

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import gzip
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,6 +188,24 @@ def read_twobit(spark: SparkSession, path: str, chroms: list[str] | None = None,
     return spark.read.format("twobit").option("chunk", chunk).option("chroms", ",".join(chroms or [])).load(path)
 
 
+def read_listed(spark: SparkSession, lists: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Sequences that a .lst file names: (path, chrom) of `chain_text.read_list`; a path without a chromosome means all of it.
+
+    A list names files, so it is short; of a 2bit file only the chromosomes asked for are opened.
+    """
+    by: dict[str, list[str] | None] = {}
+    for r in lists.distinct().orderBy("path", "chrom").toLocalIterator():
+        if not r["chrom"]:
+            by[r["path"]] = None
+        elif by.get(r["path"], []) is not None:
+            by.setdefault(r["path"], []).append(r["chrom"])
+    out = spark.createDataFrame([], SEQUENCE)
+    for path, chroms in by.items():
+        some = read_twobit(spark, path, chroms, chunk) if path.endswith(".2bit") else read_fasta(spark, path, chunk)
+        out = out.union(some if chroms is None or path.endswith(".2bit") else some.where(F.col("chrom").isin(chroms)))
+    return out
+
+
 def read_genome(spark: SparkSession, path: str) -> DataFrame:
     """By suffix: .2bit, else FASTA."""
     return read_twobit(spark, path) if path.endswith(".2bit") else read_fasta(spark, path)
@@ -201,30 +221,111 @@ def write_genome(genome: DataFrame, path: str) -> None:
     genome.write.partitionBy("chrom").mode("overwrite").parquet(path)
 
 
-def encoded_twobit(sequences: list[tuple[str, str]]) -> bytes:
-    """A small 2bit file, version 0, for fixtures and exports of single scaffolds."""
-    def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-        lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        return lo, hi - lo
+class _Record:
+    """A chromosome's 2bit record, put together from chunks in order: packed bases, and runs of unknown and masked ones."""
 
-    bodies = []
-    for _, s in sequences:
-        raw = np.frombuffer(s.encode(), dtype=np.uint8)
+    def __init__(self) -> None:
+        self.size, self.packed, self.left = 0, [], np.zeros(0, dtype=np.uint8)
+        self.runs: list[list[list[int]]] = [[], []]
+
+    def add(self, seq: bytes) -> None:
+        raw = np.frombuffer(seq, dtype=np.uint8)
         up = raw & ~np.uint8(32)
+        for runs, mask in zip(self.runs, (up == ord("N"), (raw & 32) > 0), strict=True):
+            edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+            for lo, hi in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+                if runs and runs[-1][0] + runs[-1][1] == self.size + lo:
+                    runs[-1][1] += hi - lo
+                else:
+                    runs.append([self.size + lo, hi - lo])
         code = np.zeros(len(raw), dtype=np.uint8)
         for i, c in enumerate(CODES):
             code[up == ord(c)] = i
-        code = np.pad(code, (0, -len(code) % 4)).reshape(-1, 4)
-        packed = (code << np.array([6, 4, 2, 0], dtype=np.uint8)).sum(axis=1).astype(np.uint8)
+        code = np.concatenate([self.left, code])
+        whole = len(code) // 4 * 4
+        self.left = code[whole:]
+        self.packed.append(self._bytes(code[:whole]))
+        self.size += len(raw)
+
+    @staticmethod
+    def _bytes(code: np.ndarray) -> bytes:
+        return (code.reshape(-1, 4) << np.array([6, 4, 2, 0], dtype=np.uint8)).sum(axis=1).astype(np.uint8).tobytes()
+
+    def parts(self) -> Iterator[bytes]:
         u = lambda x: np.asarray(x, dtype="<u4").tobytes()
-        body = u([len(raw)])
-        for lo, n in (runs(up == ord("N")), runs((raw & 32) > 0)):
-            body += u([len(lo)]) + u(lo) + u(n)
-        bodies.append(body + u([0]) + packed.tobytes())
-    at = 16 + sum(5 + len(n.encode()) for n, _ in sequences)
-    head = struct.pack("<IIII", MAGIC, 0, len(sequences), 0)
-    for (n, _), body in zip(sequences, bodies, strict=True):
-        head += bytes([len(n.encode())]) + n.encode() + struct.pack("<I", at)
-        at += len(body)
-    return head + b"".join(bodies)
+        yield u([self.size])
+        for runs in self.runs:
+            yield u([len(runs)]) + u([r[0] for r in runs]) + u([r[1] for r in runs])
+        yield u([0])
+        yield from self.packed
+        yield self._bytes(np.pad(self.left, (0, -len(self.left) % 4))) if len(self.left) else b""
+
+
+def encoded_twobit(sequences: list[tuple[str, str]]) -> bytes:
+    """A small 2bit file, version 0, for fixtures and exports of single scaffolds."""
+    bodies = []
+    for _, s in sequences:
+        record = _Record()
+        record.add(s.encode())
+        bodies.append(b"".join(record.parts()))
+    return _index([(n, len(b)) for (n, _), b in zip(sequences, bodies, strict=True)], 0) + b"".join(bodies)
+
+
+def _index(records: list[tuple[str, int]], version: int) -> bytes:
+    """Header and index of a 2bit file whose records have these names and lengths."""
+    wide = 8 if version else 4
+    at = 16 + sum(1 + wide + len(n.encode()) for n, _ in records)
+    head = [struct.pack("<IIII", MAGIC, version, len(records), 0)]
+    for n, size in records:
+        head.append(bytes([len(n.encode())]) + n.encode() + struct.pack("<Q" if version else "<I", at))
+        at += size
+    return b"".join(head)
+
+
+def write_twobit(genome: DataFrame, path: str) -> None:
+    """A 2bit file of a genome of any size, with 64-bit places (version 1).
+
+    Tasks write the records of their chromosomes beside the file, chunk by chunk from sorted rows, one
+    packed chromosome in memory at a time; the driver then strings records together without reading
+    them whole. Chromosomes come in the order of their names.
+    """
+    spark = genome.sparkSession
+    base = F.col("chunk_start") if "chunk_start" in genome.columns else F.lit(0).cast("long")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows = genome.select(F.col("chrom").cast("string").alias("chrom"), base.alias("start"), "seq").repartition(n, "chrom").sortWithinPartitions("chrom", "start")
+    beside = f"{path}.records-{uuid.uuid4().hex[:12]}"
+
+    def run(batches):
+        fs, root = _open(beside)
+        fs.create_dir(root, recursive=True)
+        chrom, record = None, None
+
+        def close():
+            own = f"{root}/{uuid.uuid4().hex}"
+            size = 0
+            with fs.open_output_stream(own) as f:
+                for part in record.parts():
+                    f.write(part)
+                    size += len(part)
+            return pa.RecordBatch.from_arrays([pa.array([chrom]), pa.array([own]), pa.array([size], pa.int64())], names=["chrom", "file", "size"])
+
+        for b in batches:
+            for c, s in zip(b.column("chrom").to_pylist(), b.column("seq").to_pylist(), strict=True):
+                if c != chrom:
+                    if record is not None:
+                        yield close()
+                    chrom, record = c, _Record()
+                record.add(s.encode())
+        if record is not None:
+            yield close()
+
+    found = sorted(rows.mapInArrow(run, "chrom string, file string, size long").collect())  # a row a chromosome
+    fs, at = _open(path)
+    with fs.open_output_stream(at) as out:
+        out.write(_index([(r["chrom"], r["size"]) for r in found], 1))
+        for r in found:
+            with fs.open_input_stream(r["file"]) as f:
+                while block := f.read(1 << 20):
+                    out.write(block)
+    if found:
+        fs.delete_dir(_open(beside)[1])

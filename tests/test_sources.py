@@ -116,3 +116,61 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got.count() == 4
     assert {r.t_name: r.chains for r in ingest.totals(got).collect()} == {"chr1": 2, "chr2": 2}
     assert got.agg(F.max("score")).first()[0] == 300
+
+
+def test_twobit_of_chunks_and_lists(spark, tmp_path):
+    import random
+
+    rng = random.Random(9)
+    seqs = {f"c{i:02d}": "".join(rng.choice("ACGTacgtNn") * rng.randrange(1, 9) for _ in range(rng.randrange(0, 400))) for i in range(9)}
+    rows = [(c, i, s[i : i + 37]) for c, s in seqs.items() for i in range(0, max(len(s), 1), 37)]
+    rng.shuffle(rows)
+    path = f"file://{tmp_path}/all.2bit"
+    sequences.write_twobit(spark.createDataFrame(rows, "chrom string, chunk_start long, seq string"), path)
+    whole = lambda df: {r.chrom: "".join(x.seq for x in sorted(r.parts, key=lambda x: x.chunk_start)) for r in df.groupBy("chrom").agg(F.collect_list(F.struct("chunk_start", "seq")).alias("parts")).collect()}
+    assert whole(sequences.read_twobit(spark, path, chunk=64)) == seqs
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["all.2bit"]
+    (tmp_path / "some.fa").write_text(">x\nACGT\n>y\nGGTT\n")
+    (tmp_path / "a.lst").write_text(f"{path.removeprefix('file://')}:c03\n\n{path.removeprefix('file://')}:c05:ignored\n{tmp_path}/some.fa:y\n")
+    got = whole(sequences.read_listed(spark, chain_text.read_list(spark, str(tmp_path / "a.lst"))))
+    assert got == {"c03": seqs["c03"], "c05": seqs["c05"], "y": "GGTT"}
+    (tmp_path / "b.lst").write_text(f"{tmp_path}/some.fa\n{tmp_path}/some.fa:y\n")
+    assert whole(sequences.read_listed(spark, chain_text.read_list(spark, str(tmp_path / "b.lst")))) == {"x": "ACGT", "y": "GGTT"}
+
+
+def test_partition_list_in_order_and_appended(spark, tmp_path):
+    from chainspark.operators import partition
+
+    s = spark.createDataFrame([("big", 2500, 0), ("small", 100, 1), ("mid", 1200, 2), ("tiny", 50, 3)], "chrom string, size long, ord long")
+    want = ["g:big:0-1000", "g:big:1000-2000", "g:big:2000-2500", "g:mid:0-1000", "g:mid:1000-1200", "BULK_1:g:small:tiny"]
+    for _ in range(2):
+        chain_text.write_partitions(partition.ordered(s, 1000, 0, "g"), str(tmp_path / "p"), mode="append")
+    lines = [x for f in sorted((tmp_path / "p").glob("part-*")) for x in f.read_text().splitlines()]
+    assert sorted(lines) == sorted(want * 2)
+    chain_text.write_partitions(partition.ordered(s, 1000, 0, "g"), str(tmp_path / "q"))
+    assert [x for f in sorted((tmp_path / "q").glob("part-*")) for x in f.read_text().splitlines()] == want
+
+
+def test_bundles_are_folders(spark, tmp_path):
+    from chainspark.operators import bundle
+    from chainspark.schemas import PSL
+
+    row = lambda name: (9, 1, 0, 0, 0, 0, 0, 0, "+", "q", 50, 0, 10, name, 99, 5, 15, 1, [10], [0], [5])
+    rows = spark.createDataFrame([row("a"), row("a"), row("b"), row("c"), row("nowhere")], PSL)
+    s = spark.createDataFrame([("a", 10, 0), ("b", 20, 1), ("c", 5, 2), ("d", 9, 3)], "chrom string, size long, ord long")
+    put = bundle.bundles(s, rows.select(F.col("t_name").alias("chrom")), 12)
+    chain_text.write_psl(bundle.bundled_rows(rows, put), str(tmp_path / "b"), by="bundle")
+    assert sorted(x.name for x in (tmp_path / "b").iterdir() if x.is_dir()) == ["bundle=0", "bundle=1"]
+    assert sorted(r.t_name for r in chain_text.read_psl(spark, str(tmp_path / "b" / "bundle=1")).collect()) == ["a", "a", "c"]
+
+
+def test_psl_of_blocks_by_hand(spark):
+    from chainspark.operators import psl
+
+    blocks = [(5, 2, 4, "ACGt", "ACCT"), (9, 8, 3, "NAC", "GAC")]
+    df = spark.createDataFrame([("q", 40, "-", "t", 100, blocks)], "q_name string, q_size long, strand string, t_name string, t_size long, blocks array<struct<t:long,q:long,size:long,t_seq:string,q_seq:string>>")
+    r = psl.from_blocks(df).first()
+    assert (r.matches, r.mismatches, r.rep_matches, r.n_count) == (5, 1, 1, 1)
+    assert (r.q_num_insert, r.q_base_insert, r.t_num_insert, r.t_base_insert) == (1, 2, 0, 0)
+    assert (r.q_start, r.q_end, r.t_start, r.t_end) == (40 - 11, 40 - 2, 5, 12)
+    assert (r.block_count, r.block_sizes, r.q_starts, r.t_starts) == (2, [4, 3], [2, 8], [5, 9])
