@@ -28,16 +28,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton's method; the last one is the bias."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x1.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 25, rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton's method; the last one is the bias.
+
+    `y` and `weight` belong to x[rows] (all rows by default). Sums run over 4096 rows at a time, so no
+    copy of `x` is made.
+    """
+    rows = np.arange(len(x)) if rows is None else rows
+    w = np.zeros(x.shape[1] + 1)
     pull = np.full(len(w), ridge)
     pull[-1] = 1e-6
     for _ in range(steps):
-        p = sigmoid(x1 @ w)
-        g = x1.T @ (weight * (p - y)) + pull * w
-        h = (x1 * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x1 + np.diag(pull)
+        g, h = pull * w, np.diag(pull)
+        for at in range(0, len(rows), 4096):
+            part = x[rows[at : at + 4096]].astype(np.float64)
+            part = np.hstack([part, np.ones((len(part), 1))])
+            wt = weight[at : at + 4096]
+            p = sigmoid(part @ w)
+            g += part.T @ (wt * (p - y[at : at + 4096]))
+            h += (part * (wt * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ part
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-6:

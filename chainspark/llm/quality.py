@@ -130,14 +130,16 @@ class Model:
     def __init__(self, content: np.ndarray, meta: np.ndarray, y: np.ndarray, known: np.ndarray, rounds: int, share: float):
         """y: labels, -1 where unknown; known: 0 pool, 1 learn, 2 calibrate."""
         views = [_bent(content, CONTENT), _bent(meta, META)]
-        self.mean = [v.mean(axis=0) for v in views]
-        self.std = [v.std(axis=0) + 1e-6 for v in views]
-        views = [(v - m) / s for v, m, s in zip(views, self.mean, self.std, strict=True)]
+        self.mean = [v.mean(axis=0, dtype=np.float64) for v in views]
+        self.std = [v.std(axis=0, dtype=np.float64) + 1e-6 for v in views]
+        for v, m, s in zip(views, self.mean, self.std, strict=True):
+            v -= m.astype(v.dtype)
+            v /= s.astype(v.dtype)
         learn, pool, hold = (np.flatnonzero(known == k) for k in (1, 0, 2))
         taught = [(learn, y[learn].astype(float)) for _ in views]  # rows and labels of each view
         rate = y[learn].mean()
         free = [np.ones(len(pool), dtype=bool) for _ in views]
-        self.w = [logistic(v[r], t, np.ones(len(r))) for v, (r, t) in zip(views, taught, strict=True)]
+        self.w = [logistic(v, t, np.ones(len(r)), rows=r) for v, (r, t) in zip(views, taught, strict=True)]
         self.exchanged = 0
         for _ in range(rounds if len(pool) else 0):
             give = []
@@ -156,7 +158,7 @@ class Model:
                 taught[other] = (np.concatenate([rows, pool[up], pool[down]]), np.concatenate([t, np.ones(len(up)), np.zeros(len(down))]))
                 self.exchanged += len(up) + len(down)
             # a pseudo-label counts less than a label
-            self.w = [logistic(v[r], t, np.where(np.arange(len(r)) < len(learn), 1.0, 0.5)) for v, (r, t) in zip(views, taught, strict=True)]
+            self.w = [logistic(v, t, np.where(np.arange(len(r)) < len(learn), 1.0, 0.5), rows=r) for v, (r, t) in zip(views, taught, strict=True)]
         raw = [v[hold] @ w[:-1] + w[-1] for v, w in zip(views, self.w, strict=True)]
         self.scale = [platt(z, y[hold]) for z in raw]
         calibrated = np.stack([a * z + b for z, (a, b) in zip(raw, self.scale, strict=True)], axis=1)
@@ -189,7 +191,7 @@ def fitted(documents: DataFrame, labels: DataFrame, labelled: int = 12_000, pool
     y = rows["y"].to_numpy()
     if len(set(y[y >= 0])) < 2:
         return None
-    x = np.stack([np.frombuffer(r, dtype=np.float32) for r in rows["x"]]).astype(np.float64)
+    x = np.frombuffer(b"".join(rows.pop("x")), dtype=np.float32).reshape(len(y), -1)
     known = np.where(y < 0, 0, np.where(np.arange(len(y)) % 4 == 3, 2, 1))
     for k in (1, 2):
         if len(set(y[known == k])) < 2:
