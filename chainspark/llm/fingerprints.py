@@ -18,7 +18,7 @@ Fingerprint string: `digest:length` for each distinct chunk, ascending, comma-jo
 hex digits, length its bytes times its number of occurrences. An empty text has the empty string.
 
 Edge cases: null text is empty; likeness of equal fingerprints is 1, of an empty to another 0; null
-doc_id sorts first; rows with one doc_id sort by text; a single document is its own next one; an
+doc_id sorts first; rows with one doc_id sort by four bits of their text's hash, then by text; a single document is its own next one; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import key_cuts, range_of, schema_of, tasks, tuned
+from .common import key_cuts, key_parts, schema_of, tasks, tuned
 
 GEAR = np.random.Generator(np.random.PCG64(90125)).integers(0, 2**32, 256, dtype=np.uint32)
 WINDOW = 32
@@ -152,18 +152,22 @@ def compared_with_next(documents: DataFrame) -> DataFrame:
     spark = tuned(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     cuts = key_cuts(docs.select("doc_id"), "doc_id", 2 * tasks(spark, 8))
-    docs = docs.withColumn("part", range_of("doc_id", cuts).cast("int")).withColumn("borrowed", F.lit(0))
-    order = F.struct(F.col("doc_id").isNotNull().alias("x"), F.coalesce("doc_id", F.lit(0)).alias("y"))
+    # a very frequent doc_id is dealt by its texts' hashes as well, so rows with one doc_id follow each other by hash
+    docs = docs.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 60).cast("long"))
+    docs = docs.withColumn("part", key_parts("doc_id", cuts, F.col("tie"))).withColumn("borrowed", F.lit(0))
+    order = F.struct(F.col("doc_id").isNotNull().alias("x"), F.coalesce("doc_id", F.lit(0)).alias("y"), F.col("tie").alias("z"))
     firsts = sorted(docs.select("part", order.alias("o")).groupBy("part").agg(F.min("o").alias("o")).collect())  # a row a range
     if not firsts:
         return spark.createDataFrame([], "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-    lend = [(int(firsts[i - 1]["part"]), bool(r["o"]["x"]), int(r["o"]["y"])) for i, r in enumerate(firsts)]
-    lent = F.broadcast(spark.createDataFrame(lend, "to int, x boolean, y long"))
-    ids = [y for _, x, y in lend if x]
-    wanted = F.col("doc_id").isin(ids) | F.lit(not all(x for _, x, _ in lend)) & F.col("doc_id").isNull()
-    heads = docs.where(wanted).join(lent, (F.coalesce("doc_id", F.lit(0)) == F.col("y")) & (F.col("doc_id").isNotNull() == F.col("x")))
-    heads = heads.groupBy("to").agg(F.min_by(F.struct("doc_id", "text"), "text").alias("d")).select("d.doc_id", "d.text", F.col("to").alias("part"), F.lit(1).alias("borrowed"))
-    rows = docs.union(heads).repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", "borrowed", "doc_id", "text")
+    lend = [(int(firsts[i - 1]["part"]), bool(r["o"]["x"]), int(r["o"]["y"]), int(r["o"]["z"])) for i, r in enumerate(firsts)]
+    lent = F.broadcast(spark.createDataFrame(lend, "to long, x boolean, y long, z long"))
+    ids = [y for _, x, y, _ in lend if x]
+    wanted = F.col("doc_id").isin(ids) | F.lit(not all(x for _, x, *_ in lend)) & F.col("doc_id").isNull()
+    heads = docs.where(wanted).join(lent, (F.coalesce("doc_id", F.lit(0)) == F.col("y")) & (F.col("doc_id").isNotNull() == F.col("x")) & (F.col("tie") == F.col("z")))
+    heads = heads.groupBy("to").agg(F.min_by(F.struct("doc_id", "text", "tie"), "text").alias("d")).select("d.doc_id", "d.text", "d.tie", F.col("to").alias("part"), F.lit(1).alias("borrowed"))
+    place = F.broadcast(spark.createDataFrame([(int(r["part"]), i) for i, r in enumerate(firsts)], "part long, place int"))
+    rows = docs.unionByName(heads).join(place, "part").repartitionById(len(firsts), F.col("place")).sortWithinPartitions("part", "borrowed", "doc_id", "tie", "text")
+    rows = rows.select("doc_id", "text", "part", "borrowed")
     ddl = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return rows.mapInArrow(_walk, schema_of(ddl))
 

@@ -4,18 +4,20 @@ Files below a store's folder:
 
 * `payload/<shard>.ids`: raw ids, little-endian, of the documents of a shard one after another, in
   ascending key order; shards are key ranges, so the payloads in shard order are in key order;
-* `index/<part>.mph`: for the keys whose hash falls to this part, a minimal perfect hash (bucket
-  displacements) and, slot by slot, a stored fingerprint, the shard, the place and the length.
+* `index/<file>.mph`: parts one after another, then their places. For the keys whose hash falls to a
+  part, it has a minimal perfect hash (bucket displacements) and, slot by slot, a stored fingerprint,
+  the shard, the place and the length.
 
 A lookup hashes the key, reads one displacement and one slot and compares the fingerprint: constant
 time however large the store is; a key that isn't there fails the fingerprint (but for 2^-32).
-Building and lookup are by part, each of about `PART_KEYS` keys.
+Building and lookup are by part, each of about `PART_KEYS` keys, `FILE_PARTS` at most to a file; a
+shard has about `SHARD_BYTES` of text at most, so numbers of files grow with the data, sizes don't.
 
 Tasks write to a name of their own and rename, so a task that runs again, or twice, leaves the same
 file. Paths go through pyarrow's file systems, so local, HDFS, S3 and GCS folders work.
 
 Edge cases: a null text has only the end id; rows with one key are told apart by their number in
-the order (key, ids); null keys come first and can be looked up like others; an empty table gives
+the order (key, ids), and are written by one task (keys are meant to be names); null keys come first and can be looked up like others; an empty table gives
 an empty store; extra columns are ignored.
 """
 
@@ -29,15 +31,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import Scratch, group_starts, key_cuts, mix64, range_of, schema_of, tasks, tuned
 from .tokens import tokenised
 
-PART_KEYS = 20_000
-_MAGIC = b"MPHIDX01"
+PART_KEYS, FILE_PARTS, SHARD_BYTES = 20_000, 256, 256 << 20
+_MAGIC, _END = b"MPHIDX01", b"MPHEND01"
+_PLACE = np.dtype([("part", "<u8"), ("at", "<u8"), ("size", "<u8")])
 _SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("length", "<u4")])
 
 
@@ -45,7 +48,8 @@ _SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("length", "
 class Store:
     path: str
     width: int  # bytes of an id
-    parts: int  # index files
+    parts: int  # parts of the index
+    files: int  # files that hold them
     shards: DataFrame  # shard, tokens_before: ids in all earlier shards
 
 
@@ -53,16 +57,6 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + path)
 
 
-def _write(path: str, chunks: Iterator[bytes]) -> None:
-    fs, at = _open(path)
-    fs.create_dir(at.rpartition("/")[0], recursive=True)
-    own = f"{at}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(own) as f:
-        for c in chunks:
-            f.write(c)
-    fs.move(own, at)
-
-
 # --- the hash ---
 
 
@@ -146,6 +140,11 @@ def mark_of(h0: np.ndarray, h1: np.ndarray) -> np.ndarray:
     return (mix64(h0 ^ (h1 >> np.uint64(7))) >> np.uint64(32)).astype(np.uint32)
 
 
+def _file_of(part: Column, parts: int, files: int) -> Column:
+    """The index file of a part: neighbours lie together."""
+    return F.floor(part.cast("long") * files / parts).cast("int")
+
+
 def _hashed(df: DataFrame, parts: int) -> DataFrame:
     h0, h1 = F.xxhash64("key", "nth"), F.xxhash64(F.lit("second"), "nth", "key")
     return df.withColumn("h0", h0).withColumn("h1", h1).withColumn("part", F.pmod(h0, F.lit(parts)).cast("int"))
@@ -184,14 +183,59 @@ def _payload(batches: Iterator[pa.RecordBatch], path: str, width: int) -> Iterat
     close()
 
 
+def _indexed(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Writes index files, rows sorted by (file, part): a part at a time, the places of all parts at the end."""
+    fs, root = _open(path)
+    fs.create_dir(root, recursive=True)
+    held: list[pa.RecordBatch] = []  # rows of one part
+    out, own, file, keys, places = None, "", None, 0, []
+
+    def flush() -> None:
+        nonlocal out, own, file, keys, places
+        t = pa.Table.from_batches(held)
+        get = lambda c: t.column(c).to_numpy()
+        if out is None:
+            out, own, file = fs.open_output_stream(f"{root}/{(name := uuid.uuid4().hex)}"), f"{root}/{name}", int(get("file")[0])
+        raw = Index.packed(get("h0").view(np.uint64), get("h1").view(np.uint64), get("shard"), get("at"), get("length"))
+        places.append((int(get("part")[0]), out.tell(), len(raw)))
+        out.write(raw)
+        keys += t.num_rows
+        held.clear()
+
+    def close() -> pa.RecordBatch:
+        nonlocal out, keys, places
+        table = np.array(places, dtype=_PLACE)
+        out.write(table.tobytes() + np.array([len(table)], dtype="<u8").tobytes() + _END)
+        out.close()
+        fs.move(own, f"{root}/{file:06d}.mph")
+        done = pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), pa.array([keys], pa.int64())], names=["file", "keys"])
+        out, keys, places = None, 0, []
+        return done
+
+    for b in batches:
+        part = b.column("part").to_numpy()
+        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if lo == hi:
+                continue
+            if held and held[-1].column("part")[0].as_py() != part[lo]:
+                flush()
+            if out is not None and file != b.column("file")[lo].as_py():
+                yield close()
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        flush()
+        yield close()
+
+
 def write_store(documents: DataFrame, key: str, path: str, tokenizer: str, end_id: int) -> Store:
     """Tokenises `documents` and writes a store; keys are 64-bit integers."""
     spark = tuned(documents.sparkSession)
     scratch = Scratch(spark, "store-index")
     rows = documents.select(F.col(key).cast("long").alias("key"), "text")
     coded, width = tokenised(rows, tokenizer, end_id, ["key"])
-    n = tasks(spark)
-    cuts = key_cuts(rows.select("key"), "key", n)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cuts = key_cuts(rows.select("key"), "key", max(tasks(spark), -(-size // SHARD_BYTES)))
     ranged = coded.withColumn("shard", range_of("key", cuts)).repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", "key", "ids")
     places = scratch.keep(
         ranged.select("shard", "key", "ids").mapInArrow(lambda it: _payload(it, f"{path}/payload", width.itemsize), schema_of("key long, nth long, shard long, at long, length long")),
@@ -200,26 +244,44 @@ def write_store(documents: DataFrame, key: str, path: str, tokenizer: str, end_i
     count = places.count()
     parts = max(1, -(-count // PART_KEYS))
 
-    def index(table: pa.Table) -> pa.Table:
-        get = lambda c: table.column(c).to_numpy()
-        part = int(get("part")[0])
-        _write(f"{path}/index/{part:06d}.mph", iter([Index.packed(get("h0").view(np.uint64), get("h1").view(np.uint64), get("shard"), get("at"), get("length"))]))
-        return pa.table({"part": pa.array([part], pa.int32()), "keys": pa.array([table.num_rows], pa.int64())})
-
-    built = scratch.keep(_hashed(places, parts).groupBy("part").applyInArrow(index, schema_of("part int, keys long")), "parts")
+    files = max(min(parts, tasks(spark)), -(-parts // FILE_PARTS))
+    dealt = _hashed(places, parts).withColumn("file", _file_of(F.col("part"), parts, files)).repartitionById(files, F.col("file")).sortWithinPartitions("file", "part")
+    cols = ["file", "part", "h0", "h1", "shard", "at", "length"]
+    built = scratch.keep(dealt.select(cols).mapInArrow(lambda it: _indexed(it, f"{path}/index"), schema_of("file int, keys long")), "files")
     if (built.agg(F.sum("keys")).first()[0] or 0) != count:
         raise RuntimeError("the index does not hold every key")
     totals = places.groupBy("shard").agg(F.sum("length").alias("tokens"))
-    return Store(path, width.itemsize, parts, scratch.keep(group_starts(totals, "shard", ["tokens"], groups=len(cuts) + 1), "shards"))
+    return Store(path, width.itemsize, parts, files, scratch.keep(group_starts(totals, "shard", ["tokens"], groups=len(cuts) + 1), "shards"))
 
 
 # --- reading ---
 
 
+class IndexFile:
+    """An open index file: where its parts lie."""
+
+    def __init__(self, f: pa.NativeFile):
+        self.f, size = f, f.size()
+        f.seek(size - 16)
+        n, end = int(np.frombuffer(f.read(8), dtype="<u8")[0]), f.read(8)
+        if end != _END:
+            raise ValueError("not an index file")
+        f.seek(size - 16 - n * _PLACE.itemsize)
+        self.places = {int(p["part"]): (int(p["at"]), int(p["size"])) for p in np.frombuffer(f.read(n * _PLACE.itemsize), dtype=_PLACE)}
+
+    def part(self, number: int) -> Index | None:
+        """The part's hash and slots; None for a part without keys."""
+        if number not in self.places:
+            return None
+        at, size = self.places[number]
+        self.f.seek(at)
+        return Index(self.f.read(size))
+
+
 def _places(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Looks keys up, rows sorted by part; keys that are not in the store give no row."""
+    """Looks keys up, rows sorted by (file, part); keys that are not in the store give no row."""
     fs, root = _open(path)
-    part, index = None, None
+    file, opened, part, index = None, None, None, None
     for b in batches:
         p = b.column("part").to_numpy()
         edges = [0, *(np.flatnonzero(p[1:] != p[:-1]) + 1).tolist(), len(p)]
@@ -227,9 +289,15 @@ def _places(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             if lo == hi:
                 continue
             if p[lo] != part:
-                part = int(p[lo])
-                with fs.open_input_file(f"{root}/{part:06d}.mph") as f:
-                    index = Index(f.read())
+                part, now = int(p[lo]), b.column("file")[lo].as_py()
+                if now != file:
+                    if opened is not None:
+                        opened.f.close()
+                    file, at = now, f"{root}/{now:06d}.mph"
+                    opened = IndexFile(fs.open_input_file(at)) if fs.get_file_info(at).type == pafs.FileType.File else None
+                index = opened.part(part) if opened is not None else None
+            if index is None:
+                continue
             s = b.slice(lo, hi - lo)
             ok, got = index.find(s.column("h0").to_numpy().view(np.uint64), s.column("h1").to_numpy().view(np.uint64))
             keep = pa.array(np.flatnonzero(ok))
@@ -263,7 +331,8 @@ def lookup(store: Store, keys: DataFrame) -> DataFrame:
     spark = keys.sparkSession
     rows = _hashed(keys.select(F.col("key").cast("long").alias("key"), F.col("nth").cast("long").alias("nth")), store.parts)
     path = f"{store.path}/index"
-    rows = rows.repartition(max(1, min(tasks(spark), store.parts)), "part").sortWithinPartitions("part")
+    rows = rows.withColumn("file", _file_of(F.col("part"), store.parts, store.files))
+    rows = rows.repartition(max(1, min(tasks(spark), store.parts)), "part").sortWithinPartitions("file", "part")
     return rows.mapInArrow(lambda it: _places(it, path), schema_of("key long, nth long, shard long, at long, length long"))
 
 
