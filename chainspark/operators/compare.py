@@ -4,10 +4,10 @@ A baseline chain is matched when a candidate chain with the same names and stran
 target and query, the baseline widened by a tolerance on both sides; one match is enough.
 
 The join is on bins of the target axis beside the names and strands, with the whole condition on the
-joined rows. Bins come in levels, each `FACTOR` times as wide as the one below; a range lies in the
-smallest bin that holds it, whatever its length. Of two ranges that overlap, the smaller bin lies in
-the larger one, so each range is joined as itself with those in the bins above it, and no range is
-copied more often than there are levels.
+joined rows. Bins come in levels, each `FACTOR` times as wide as the one below; a range belongs to the
+first level whose bins are as wide as it is long, so it touches two of them at most, whatever its
+length. Two ranges meet at the higher of their levels; a side is copied to those levels only that
+the other side has.
 """
 
 from __future__ import annotations
@@ -29,33 +29,44 @@ PERCENTILES = (10, 25, 50, 75, 90, 95, 99)
 WIDTH, FACTOR, LEVELS = 1024, 8, 8
 
 
-def _levels(lo: Column, hi: Column, width: int, above: bool) -> Column:
-    """array<struct<over, level, bin>>: the smallest bin that holds [lo, hi) and those that hold it.
+def _level(lo: Column, hi: Column, width: int) -> Column:
+    out = F.lit(LEVELS)
+    for k in range(LEVELS - 1, -1, -1):
+        out = F.when(hi - lo <= width * FACTOR**k, k).otherwise(out)
+    return out
+
+
+def _binned(df: DataFrame, lo: str, hi: str, width: int, above: bool, others: list[int]) -> DataFrame:
+    """`df` with (over, level, bin) for each bin in which a row may meet the other side.
 
-    `over` tells the two joins apart: where it equals `above` the range stands for itself in its own
-    bin; where not, it looks for ranges of the other side in its bins, those that share a bin counted
-    on one side only.
+    Where `over` equals `above` the row stands for itself, in the bins of its own level; where not, it
+    looks for rows of the levels `others` over its own. Equal levels count on one side only.
     """
-    last = F.greatest(hi - 1, lo)
-    at = lambda k, c: F.floor(c / F.lit(float(width * FACTOR**k))).cast("long") if k < LEVELS else F.lit(0).cast("long")
-    holds = [at(k, lo) == at(k, last) for k in range(LEVELS)] + [F.lit(True)]
-    own = F.lit(LEVELS)
+    own, last = _level(F.col(lo), F.col(hi), width), F.greatest(F.col(hi) - 1, F.col(lo))
+    at = lambda c, k: F.floor(c / F.lit(float(width * FACTOR**k))).cast("long") if k < LEVELS else F.lit(0).cast("long")
+    bins = lambda over, k: F.transform(F.sequence(at(F.col(lo), k), at(last, k)), lambda b: F.struct(F.lit(over).alias("over"), F.lit(k).alias("level"), b.alias("bin")))
+    none = F.array().cast("array<struct<over:boolean,level:int,bin:bigint>>")
+    mine = bins(above, LEVELS)
     for k in range(LEVELS - 1, -1, -1):
-        own = F.when(holds[k], k).otherwise(own)
-    entry = lambda over, k: F.struct(F.lit(over).alias("over"), F.lit(k).alias("level"), at(k, lo).alias("bin"))
-    every = F.array(*[entry(flag, k) for k in range(LEVELS + 1) for flag in (True, False)])
-    return F.filter(every, lambda e: F.when(e["over"] == above, e["level"] == own).otherwise(e["level"] > own if above else e["level"] >= own))
+        mine = F.when(F.col("_own") == k, bins(above, k)).otherwise(mine)
+    if others:  # a row stands for itself only where the other side has rows that look for it
+        met = F.col("_own") >= others[0] if above else F.col("_own") > others[0]
+        mine = F.when(met, mine).otherwise(none)
+    higher = [F.when(F.col("_own") < k if above else F.col("_own") <= k, bins(not above, k)).otherwise(none) for k in others]
+    return df.withColumn("_own", own).select("*", F.explode(F.concat(mine, *higher)).alias("_e")).select(*df.columns, "_e.over", "_e.level", "_e.bin")
 
 
-def _joined(df: DataFrame, lo: str, hi: str, width: int, above: bool) -> DataFrame:
-    return df.select("*", F.explode(_levels(F.col(lo), F.col(hi), width, above)).alias("_e")).select(*df.columns, "_e.over", "_e.level", "_e.bin")
+def _sides(a: DataFrame, b: DataFrame, a_range: tuple[str, str], b_range: tuple[str, str], width: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides by bin; the levels that a side has are a few numbers."""
+    have = [sorted(r[0] for r in df.select(_level(F.col(lo), F.col(hi), width).alias("k")).distinct().collect()) for df, (lo, hi) in ((a, a_range), (b, b_range))]
+    return _binned(a, *a_range, width, True, have[1]), _binned(b, *b_range, width, False, have[0])
 
 
 def matched_ids(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     """Distinct ids of the matched baseline chains."""
     b = baseline.select("id", *KEYS, (F.col("t_start") - tolerance).alias("t0"), (F.col("t_end") + tolerance).alias("t1"), (F.col("q_start") - tolerance).alias("q0"), (F.col("q_end") + tolerance).alias("q1"))
     c = candidate.select(*KEYS, F.col("t_start").alias("c_t0"), F.col("t_end").alias("c_t1"), F.col("q_start").alias("c_q0"), F.col("q_end").alias("c_q1"))
-    b, c = _joined(b, "t0", "t1", width, True), _joined(c, "c_t0", "c_t1", width, False)
+    b, c = _sides(b, c, ("t0", "t1"), ("c_t0", "c_t1"), width)
     on = (F.greatest("t0", "c_t0") < F.least("t1", "c_t1")) & (F.greatest("q0", "c_q0") < F.least("q1", "c_q1"))
     for k in [*KEYS, "over", "level", "bin"]:
         on = on & (b[k] == c[k])
@@ -71,11 +82,16 @@ def missing(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, wid
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(a_id, b_id, t_overlap): pairs of chains with equal names and strands that overlap on both axes; each pair meets once."""
-    side = lambda df, s, above: _joined(df.select(*KEYS, F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("t_start", "t_end", "q_start", "q_end")]), f"{s}_t_start", f"{s}_t_end", width, above)
-    j = side(a, "a", True).join(side(b, "b", False), [*KEYS, "over", "level", "bin"])
+    """(a_id, b_id, t_overlap): pairs of chains with equal names and strands that overlap on both axes.
+
+    A pair that shares two bins is reported in the one where its overlap begins.
+    """
+    side = lambda df, s: df.select(*KEYS, F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("t_start", "t_end", "q_start", "q_end")])
+    left, right = _sides(side(a, "a"), side(b, "b"), ("a_t_start", "a_t_end"), ("b_t_start", "b_t_end"), width)
+    j = left.join(right, [*KEYS, "over", "level", "bin"])
     lo, hi = F.greatest("a_t_start", "b_t_start"), F.least("a_t_end", "b_t_end")
-    keep = (lo < hi) & (F.greatest("a_q_start", "b_q_start") < F.least("a_q_end", "b_q_end"))
+    first = F.when(F.col("level") == LEVELS, 0).otherwise(F.floor(lo / (F.lit(float(width)) * F.pow(F.lit(float(FACTOR)), "level"))))
+    keep = (lo < hi) & (F.greatest("a_q_start", "b_q_start") < F.least("a_q_end", "b_q_end")) & (F.col("bin") == first)
     return j.where(keep).select("a_id", "b_id", (hi - lo).alias("t_overlap"))
 
 
