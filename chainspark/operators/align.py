@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import letter_codes, score_matrix
 from ..scratch import Scratch
-from .tiles import lengths, with_bases
+from .tiles import lengths, tiles, with_bases
 
 # --- fixed values: penalties of the alignment
 GAP_OPEN, GAP_EXTEND = 400, 30
@@ -138,6 +138,7 @@ def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int
     """
     scratch = Scratch(pairs.sparkSession, "gapped")
     size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
+    target, query = scratch.keep(tiles(target), "target"), scratch.keep(tiles(query), "query")  # each round reads them again
     half = F.floor(F.col("length") / 2)
     rows = pairs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), (F.col("t") + half).alias("t"), (F.col("q") + half).alias("q")).distinct()
     rows = scratch.keep(rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom"), "pairs")

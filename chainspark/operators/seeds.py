@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from ..functions.sequences import pair_score, pairs_total
 from ..scratch import Scratch
-from .tiles import fetched, lengths, with_bases
+from .tiles import fetched, lengths, tiles, with_bases
 
 
 def kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
@@ -116,6 +116,7 @@ def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, re
     size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
     names = {c: runs.schema[c].dataType for c in ("t_chrom", "q_chrom")}
     rows = runs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), "t", "q", "length")
+    target, query = scratch.keep(tiles(target), "target"), scratch.keep(tiles(query), "query")  # each stretch reads them again
     rows = rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom")
     rows = with_bases(rows.withColumn("_t1", F.col("t") + F.col("length")), target, "t_chrom", "t", "_t1", "_core").withColumn("core", pairs_total(F.col("_core"), F.col("_core"))).drop("_t1", "_core")
     rows = scratch.keep(rows, "runs")

@@ -16,7 +16,9 @@ TILE = 4096
 
 
 def tiles(genome: DataFrame, width: int = TILE) -> DataFrame:
-    """(chrom, tile, at, bases): pieces of (chrom, seq) or (chrom, chunk_start, seq) that lie in one tile each."""
+    """(chrom, tile, at, bases): pieces of (chrom, seq) or (chrom, chunk_start, seq) that lie in one tile each; tiles stay as they are."""
+    if "tile" in genome.columns:
+        return genome
     base = F.col("chunk_start").cast("long") if "chunk_start" in genome.columns else F.lit(0).cast("long")
     rows = genome.where("length(seq) > 0").select(F.col("chrom").cast("string").alias("chrom"), base.alias("base"), F.encode("seq", "US-ASCII").alias("raw"))
     end = F.col("base") + F.length("raw")
@@ -27,7 +29,9 @@ def tiles(genome: DataFrame, width: int = TILE) -> DataFrame:
 
 
 def lengths(genome: DataFrame) -> DataFrame:
-    """(chrom, size) of sequences, whole or in chunks."""
+    """(chrom, size) of sequences, whole, in chunks or in tiles."""
+    if "tile" in genome.columns:
+        return genome.groupBy("chrom").agg(F.max(F.col("at") + F.length("bases")).cast("long").alias("size"))
     base = F.col("chunk_start") if "chunk_start" in genome.columns else F.lit(0)
     return genome.groupBy(F.col("chrom").cast("string").alias("chrom")).agg(F.max(base + F.length("seq")).cast("long").alias("size"))
 
