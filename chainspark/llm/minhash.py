@@ -227,6 +227,7 @@ def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 75, bands:
     edges = links.select(F.col("hub").alias("a"), F.col("rep").alias("b")).union(more)
     # 4. components of all links; members of a class share its component
     final = connected_components(edges, scratch)
+    scratch.drop(member, names, sets, stars, links, open_)  # what is left to do reads signatures, classes and components
     classes = reps.select(*digest, "rep", "least").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     smallest = classes.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
     classes = classes.join(smallest, "root", "left").select(*digest, F.coalesce("component", "least").alias("component"))
