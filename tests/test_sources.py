@@ -174,3 +174,12 @@ def test_psl_of_blocks_by_hand(spark):
     assert (r.q_num_insert, r.q_base_insert, r.t_num_insert, r.t_base_insert) == (1, 2, 0, 0)
     assert (r.q_start, r.q_end, r.t_start, r.t_end) == (40 - 11, 40 - 2, 5, 12)
     assert (r.block_count, r.block_sizes, r.q_starts, r.t_starts) == (2, [4, 3], [2, 8], [5, 9])
+
+
+def test_genome_store_opens_one_chromosome(spark, tmp_path):
+    rows = [("a", 0, "ACGT"), ("a", 4, "GG"), ("b", 0, "TTT")]
+    sequences.write_genome(spark.createDataFrame(rows, "chrom string, chunk_start long, seq string"), str(tmp_path / "g"))
+    back = spark.read.parquet(str(tmp_path / "g"))
+    one = back.where("chrom = 'a'")
+    assert sorted((r.chrom, r.chunk_start, r.seq) for r in one.collect()) == rows[:2]
+    assert {r.chrom: r["size"] for r in sequences.lengths(back).collect()} == {"a": 6, "b": 3}
