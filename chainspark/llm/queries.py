@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, toxicity
+from . import bitslice, chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, toxicity
 from .common import read
 from .learning import may_learn
 
@@ -128,6 +128,26 @@ def op10_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
+# --- 11 ---
+
+
+def op11_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(read(spark, sf_dir, "embeddings"), k=5, every=50).select("query_id", "rank", "vec_id", "score")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id::BIGINT AS vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q, row_number() OVER () AS nth FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, a.nth AS asker, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.nth <> b.nth
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY asker ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM r WHERE place <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -141,7 +161,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_latent_decontam,
         op9_mil_toxicity,
         op10_entropy_secrets,
+        op11_bitslice_topk,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op11_bitslice_topk": OP11_SQL}
