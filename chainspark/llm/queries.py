@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, toxicity
+from . import bitslice, chat, decontam, fingerprints, merkle, minhash, packing, quality, secret_scan, shards, token_store, toxicity
 from .common import read
 from .learning import may_learn
 
@@ -148,6 +148,52 @@ WITH v AS (
 SELECT query_id, place::INTEGER AS rank, vec_id, score FROM r WHERE place <= 5
 """
 
+# --- 12 ---
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id has a crc32 that 7 divides are tampered with: one more in n_chars."""
+    more = merkle.leaf(n_chars=F.col("n_chars").cast("decimal(20,0)") + 1)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, more)
+    out = merkle.manifest(read(spark, sf_dir, "documents"), tampered)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "lang_no", "position")
+
+
+#: crc32 of an ASCII string {s}, bit by bit; DuckDB has no function for it.
+ASCII_CRC32_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen({s}) + 1), lambda i: ascii(substr({s}, i, 1))::BIGINT)),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+_LEAF_SQL = "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id::BIGINT AS id, doc_id::VARCHAR AS doc_id, source, lang, n_chars::VARCHAR AS n_chars, (n_chars + 1)::VARCHAR AS more, text FROM documents
+), l AS (
+  SELECT id, lang, {_LEAF_SQL.format(n_chars="n_chars")} AS leaf, CASE WHEN coalesce({ASCII_CRC32_SQL.format(s="doc_id")} % 7 = 0, false) THEN {_LEAF_SQL.format(n_chars="more")} END AS tampered FROM d
+), p AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY id NULLS FIRST, leaf) - 1 AS pos,
+    ceil(log2(count(*) OVER (PARTITION BY lang)))::INTEGER AS deep FROM l
+), nodes AS (
+  SELECT 0 AS k, tree, pos AS node, deep, leaf AS h FROM p
+  UNION ALL SELECT k + 1, tree, node >> 1, deep, sha256(string_agg(h, '' ORDER BY node)) FROM nodes WHERE k < deep GROUP BY k, tree, node >> 1, deep
+), subroots AS (
+  SELECT tree, h, ceil(log2(count(*) OVER ()))::INTEGER AS deep FROM nodes WHERE k = deep
+), tops AS (
+  SELECT 0 AS k, tree AS node, deep, h FROM subroots
+  UNION ALL SELECT k + 1, node >> 1, deep, sha256(string_agg(h, '' ORDER BY node)) FROM tops WHERE k < deep GROUP BY k, node >> 1, deep
+), every AS (
+  SELECT k, tree, node, h, deep AS last FROM nodes UNION ALL SELECT 1000 + k, -1, node, h, 1000 + deep FROM tops
+), walk AS (
+  SELECT id, tree AS own, pos, leaf, tree, pos AS spot, 0 AS k, deep AS last, '' AS proof, coalesce(tampered, leaf) AS fold FROM p
+  UNION ALL SELECT w.id, w.own, w.pos, w.leaf, CASE WHEN w.k = w.last THEN -1 ELSE w.tree END, CASE WHEN w.k = w.last THEN w.own ELSE w.spot >> 1 END, CASE WHEN w.k = w.last THEN 1000 ELSE w.k + 1 END,
+    CASE WHEN w.k = w.last THEN (SELECT 1000 + max(deep) FROM subroots) ELSE w.last END, CASE WHEN w.k = w.last THEN w.proof ELSE w.proof || coalesce(s.h, '') END,
+    CASE WHEN w.k = w.last THEN w.fold WHEN w.spot & 1 = 1 THEN sha256(s.h || w.fold) ELSE sha256(w.fold || coalesce(s.h, '')) END
+  FROM walk AS w LEFT JOIN every AS s ON s.tree = w.tree AND s.k = w.k AND s.node = xor(w.spot, 1) WHERE w.k < w.last OR w.tree >= 0
+)
+SELECT w.id AS doc_id, w.leaf, r.h AS subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.fold AS folded_root, w.fold = t.h AS verified, w.own AS lang_no, w.pos AS position
+FROM walk AS w JOIN subroots AS r ON r.tree = w.own JOIN tops AS t ON t.k = t.deep WHERE w.tree = -1 AND w.k = w.last
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -162,7 +208,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mil_toxicity,
         op10_entropy_secrets,
         op11_bitslice_topk,
+        op12_merkle_manifest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op11_bitslice_topk": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op11_bitslice_topk": OP11_SQL, "op12_merkle_manifest": OP12_SQL}

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainspark.llm import bitslice
+from chainspark.llm import bitslice, merkle
 
 # --- 11 ---
 
@@ -64,3 +64,73 @@ def test_sliced_scores_are_products(seed):
     for q in rng.integers(-300, 300, (5, 9)):
         want = sorted(((-int(s), r) for r, s in enumerate(values @ q) if r != 3))[:7]
         assert [(-s, r) for r, s in block.top(q, 7, 3)] == want
+
+
+# --- 12 ---
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, tree long, row long, leaf string"
+
+
+def table(spark, rows):
+    """documents with columns whose names clash with the operators' own; rows: (doc_id, text, lang, source, n_chars)."""
+    return spark.createDataFrame([(*r, 0, 0, "x") for r in rows], DOCS).repartition(3)
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def plain_leaf(r, more=0):
+    i, text, lang, source, n = r
+    put = lambda x: "-" if x is None else f"{len(str(x).encode())}:{x}"
+    return sha("".join(map(put, (i, source, lang, n if n is None else n + more, text))))
+
+
+def plain_ways(hashes):
+    """(siblings with their side, for each leaf; the root) of a tree over hashes."""
+    ways, at = [[] for _ in hashes], list(range(len(hashes)))
+    while len(hashes) > 1:
+        for x, i in enumerate(at):
+            other = i ^ 1
+            ways[x].append(("", "") if other >= len(hashes) else (hashes[other], "") if other < i else ("", hashes[other]))
+        hashes = [sha("".join(hashes[i : i + 2])) for i in range(0, len(hashes), 2)]
+        at = [i // 2 for i in at]
+    return ways, hashes[0]
+
+
+def plain_manifest(rows):
+    langs = {}
+    for r in rows:
+        langs.setdefault(r[2], []).append(r)
+    order = sorted(langs, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {x: sorted(langs[x], key=lambda r: (r[0] is not None, r[0] or 0, plain_leaf(r))) for x in order}
+    inner = {x: plain_ways([plain_leaf(r) for r in trees[x]]) for x in order}
+    above, root = plain_ways([inner[x][1] for x in order])
+    out = []
+    for x, up in zip(order, above, strict=True):
+        for r, way in zip(trees[x], inner[x][0], strict=True):
+            fold = plain_leaf(r, r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0)
+            for a, b in way + up:
+                fold = sha(a + fold + b)
+            out.append((r[0], plain_leaf(r), inner[x][1], root, sha("".join(a + b for a, b in way + up)), fold, fold == root))
+    return out
+
+
+@pytest.mark.parametrize(("levels", "langs"), [(1, 3), (2, 9), (10, 2)])
+def test_manifest_against_plain_trees(spark, levels, langs):
+    rng = random.Random(levels)
+    names = [None, "en", "", "é", "zz", *[f"l{i}" for i in range(20)]][:langs]
+    rows = [(i, f"text {i} é", names[min(rng.randrange(2 * langs), langs - 1)], rng.choice([None, "s"]), rng.choice([None, i])) for i in range(120)]
+    rows += [(5, "again", names[0], None, 1), (7, None, names[0], "", 0), (7, None, names[0], "", 0), (None, "no id", names[1], "s", 4), (None, "", names[1], "s", 0), (-3, "x" * 100_000, names[1], "s", 2**62)]
+    rows += [(1000, "only one", "single", "s", 8)]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf(n_chars=F.col("n_chars").cast("decimal(20,0)") + 1))
+    got = merkle.manifest(table(spark, rows), tampered, levels).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain_manifest(rows), key=key)
+
+
+def test_manifest_of_few_rows(spark):
+    assert merkle.manifest(table(spark, [])).collect() == []
+    one = (4, "a", None, None, None)
+    r = merkle.manifest(table(spark, [one])).first()
+    assert (r["leaf"], r["subroot"], r["root"], r["proof_sha256"], r["verified"]) == (plain_leaf(one), plain_leaf(one), plain_leaf(one), sha(""), True)
