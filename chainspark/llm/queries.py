@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslice, chat, decontam, fingerprints, merkle, minhash, packing, quality, secret_scan, shards, token_store, toxicity
+from . import bitslice, chat, decontam, fingerprints, merkle, minhash, packing, quality, resample, secret_scan, shards, token_store, toxicity
 from .common import read
 from .learning import may_learn
 
@@ -194,6 +194,39 @@ SELECT w.id AS doc_id, w.leaf, r.h AS subroot, t.h AS root, sha256(w.proof) AS p
 FROM walk AS w JOIN subroots AS r ON r.tree = w.own JOIN tops AS t ON t.k = t.deep WHERE w.tree = -1 AND w.k = w.last
 """
 
+# --- 13 ---
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=10, least=20, buckets=10_000, n=1, seed=2024)
+
+
+OP13_SQL = r"""
+WITH tab AS MATERIALIZED (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY i) AS t FROM range(256) AS r(i)
+), w AS MATERIALIZED (
+  SELECT which, nth, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM (SELECT 's' AS which, row_number() OVER () AS nth, doc_id AS id, text FROM documents UNION ALL SELECT 't', 0, NULL, text FROM benchmark)
+), u AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen(word) + 1), lambda i: ('0x' || substr(hex(encode(word)), 2 * i - 1, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM w), tab
+), b AS (
+  SELECT bucket, count(*) FILTER (WHERE which = 's')::DOUBLE AS s, count(*) FILTER (WHERE which = 't')::DOUBLE AS t FROM w JOIN u USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM b) + 10000) / ((s + 1) * ((SELECT sum(t) FROM b) + 10000))))::BIGINT AS gain FROM b
+), d AS (
+  SELECT nth, id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM w JOIN u USING (word) JOIN g USING (bucket) WHERE which = 's' GROUP BY nth, id
+), a AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM (SELECT doc_id, row_number() OVER () AS nth FROM documents) AS o LEFT JOIN d USING (nth)
+), r AS (
+  SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id) AS place, 10 * count(*) FILTER (WHERE n_features >= 20) OVER () // 100 AS k FROM a
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank FROM r
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -209,7 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_entropy_secrets,
         op11_bitslice_topk,
         op12_merkle_manifest,
+        op13_importance_resample,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op11_bitslice_topk": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1_SQL, "op11_bitslice_topk": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_importance_resample": OP13_SQL}

@@ -11,7 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainspark.llm import bitslice, merkle
+from chainspark.llm import bitslice, merkle, resample
+from chainspark.llm.common import Scratch
+from chainspark.llm.ordered import positions
 
 # --- 11 ---
 
@@ -134,3 +136,66 @@ def test_manifest_of_few_rows(spark):
     one = (4, "a", None, None, None)
     r = merkle.manifest(table(spark, [one])).first()
     assert (r["leaf"], r["subroot"], r["root"], r["proof_sha256"], r["verified"]) == (plain_leaf(one), plain_leaf(one), plain_leaf(one), sha(""), True)
+
+
+# --- 13 ---
+
+
+def runs(text, n=1):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return [zlib.crc32(" ".join(w[i : i + k]).encode()) for k in range(1, n + 1) for i in range(len(w) - k + 1)], len(w)
+
+
+def plain_draw(rows, target, percent, least, buckets, n):
+    s, t = Counter(), Counter()
+    for r in rows:
+        s.update(h % buckets for h in runs(r[1], n)[0])
+    for x in target:
+        t.update(h % buckets for h in runs(x, n)[0])
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (s.total() + buckets) / ((s[b] + 1) * (t.total() + buckets))))
+    out = []
+    for i, text, *_ in rows:
+        found, words = runs(text, n)
+        h = int(sha(f"2024:{'' if i is None else i}")[:8], 16)
+        weight = sum(gain(f % buckets) for f in found)
+        out.append([i, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), words >= least])
+    able = sorted((r for r in out if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    rank = {id(r): p + 1 for p, r in enumerate(able[: percent * len(able) // 100])}
+    return [(*r[:4], rank.get(id(r))) for r in out]
+
+
+@pytest.mark.parametrize(("n", "percent", "buckets"), [(1, 10, 10_000), (2, 37, 50), (3, 100, 1000)])
+def test_resampling_against_a_plain_draw(spark, n, percent, buckets):
+    rng = random.Random(n)
+    words = ["alpha", "Beta", "x1", "é", "漢字", "don't", "w" * 70, "v" * 200, "a-b", "\x7fz\x1cq"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 60))), "en", "s", 0) for i in range(150)]
+    rows += [(200, None, None, None, None), (201, "", "en", "s", 0), (None, "alpha " * 30, "en", "s", 0), (-4, "beta x1 " * 9000, "en", "s", 0), (2**62, "x1 " * 25, "en", "s", 0)]
+    rows += [(300, "same text of it " * 10, "en", "s", 0)] * 5  # equal keys
+    target = ["alpha x1 x1 alpha", None, "beta é"]
+    got = resample.resampled(table(spark, rows), spark.createDataFrame([(x, 1) for x in target], "text string, weight int"), percent, 20, buckets, n)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain_draw(rows, target, percent, 20, buckets, n), key=key)
+
+
+def test_resampling_of_few_rows(spark):
+    empty = spark.createDataFrame([], "text string")
+    assert resample.resampled(table(spark, []), empty).collect() == []
+    (r,) = resample.resampled(table(spark, [(1, "one two", "en", "s", 0)]), empty).collect()
+    assert (r["n_features"], r["rank"]) == (2, None)
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 40, 79, 80, 99])
+def test_kth_key(spark, k):
+    rng = random.Random(k)
+    rows = [(rng.choice([-(2**63), -5, -4, 0, 3, 4096, 2**40, 2**63 - 1]), i) for i in range(80)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = df.where(resample.up_to_kth(df, [F.col("a"), F.col("b")], k)).collect()
+    assert sorted(map(tuple, got)) == sorted(rows)[:k]
+
+
+def test_positions(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(500)], "a int, idx_ long").repartition(5)
+    got = positions(df, [F.desc("a"), F.col("idx_")], Scratch(spark, "test"), "p", 6).orderBy("idx").collect()
+    assert [(r["a"], r["idx_"]) for r in got] == sorted(((i % 7, i) for i in range(500)), key=lambda x: (-x[0], x[1]))
+    assert [r["idx"] for r in got] == list(range(500))
