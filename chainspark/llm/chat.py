@@ -1,13 +1,15 @@
 """Chat formatting with typed content parts, in DataFrame functions only.
 
 A message holds an array of parts (text, image, audio, document). Each part is visited in order
-and becomes text: text parts are escaped, the others become a placeholder `[kind:index]` and an
-attachment record with the number of tokens the placeholder stands for.
+and becomes text: text parts are escaped, the others become a placeholder `[kind:index]`, the kind escaped
+as well, and an attachment record with the number of tokens the placeholder stands for.
 
 Template: every turn is `<s>` role newline content `</s>`. Inside roles and texts no `<`, `[` or
 single backslash is left: backslash becomes `\\e`, `<` becomes `\\l`, `[` becomes `\\b`. So no
-control string of this template, nor of another that begins with these signs, survives in a text,
-and `unescaped` gives back exactly what went in.
+control string of this template, nor of another that begins with these signs, survives in a text, a role
+or a kind (where `]` becomes `\\k` and `:` becomes `\\c` too), and a `[` is a placeholder's, never a text's.
+`parsed_turns` gives back exactly what went in: roles, text, and the parts in order, so a text `[image:0]`
+and an image are told apart (neighbouring text parts are one, empty ones none).
 
 Loss mask: for each assistant turn the text parts only, as (start, length) code points of the
 formatted conversation; role header, placeholders and `</s>` are outside.
@@ -44,6 +46,15 @@ def unescaped_role(c: Column) -> Column:
     return unescaped(F.replace(c, F.lit("\\n"), F.lit("\n")))
 
 
+def escaped_kind(c: Column) -> Column:
+    """As `escaped`, and the signs that end a placeholder's parts become `\\k` and `\\c`."""
+    return F.replace(F.replace(escaped(c), F.lit("]"), F.lit("\\k")), F.lit(":"), F.lit("\\c"))
+
+
+def unescaped_kind(c: Column) -> Column:
+    return unescaped(F.replace(F.replace(c, F.lit("\\c"), F.lit(":")), F.lit("\\k"), F.lit("]")))
+
+
 def unescaped(c: Column) -> Column:
     c = F.replace(F.replace(c, F.lit("\\l"), F.lit("<")), F.lit("\\b"), F.lit("["))
     return F.replace(c, F.lit("\\e"), F.lit("\\"))
@@ -79,7 +90,7 @@ def _pieces(parts: Column, before: Column) -> Column:
     """
     placed = F.transform(parts, lambda p, i: F.struct(i.alias("pos"), p.alias("p")))
     texts = F.transform(F.filter(placed, lambda x: _is_text(x["p"])), lambda x: F.struct(x["pos"].alias("pos"), escaped(F.coalesce(x["p"]["text"], F.lit(""))).alias("s"), F.lit(True).alias("plain")))
-    name = lambda x, i: F.concat(F.lit("["), x["p"]["kind"], F.lit(":"), (before + i).cast("string"), F.lit("]"))
+    name = lambda x, i: F.concat(F.lit("["), escaped_kind(x["p"]["kind"]), F.lit(":"), (before + i).cast("string"), F.lit("]"))
     media = F.transform(F.filter(placed, lambda x: ~_is_text(x["p"])), lambda x, i: F.struct(x["pos"].alias("pos"), name(x, i).alias("s"), F.lit(False).alias("plain")))
     return F.sort_array(F.concat(texts, media))
 
@@ -124,11 +135,30 @@ def format_chats(messages: DataFrame) -> DataFrame:
 
 
 def parsed_turns(formatted: Column) -> Column:
-    """array<struct<role, text>> read back from a formatted conversation; placeholders stay as they are."""
+    """array<struct<role, text, parts>> read back from a formatted conversation.
+
+    `text` is that of all text parts; `parts` is array<struct<kind, text, index>>, where an attachment has
+    its index and no text.
+    """
     rows = F.split(formatted, END)
     rows = F.slice(rows, 1, F.size(rows) - 1)
     body = lambda t: F.substring(t, len(BEGIN) + 1, 2**31 - 1)
-    return F.transform(rows, lambda t: F.struct(unescaped_role(F.substring_index(body(t), "\n", 1)).alias("role"), unescaped(_after(body(t), "\n")).alias("text")))
+
+    def turn(t: Column) -> Column:
+        # what follows a bracket is kind, index and the text after them
+        pieces = F.split(_after(body(t), "\n"), "\\[")
+        texts = F.transform(pieces, lambda s, i: F.when(i == 0, s).otherwise(_after(s, "]")))
+        return F.struct(unescaped_role(F.substring_index(body(t), "\n", 1)).alias("role"), unescaped(F.array_join(texts, "")).alias("text"), _parts(pieces).alias("parts"))
+
+    return F.transform(rows, turn)
+
+
+def _parts(pieces: Column) -> Column:
+    """The parts of a turn's content, which was split at `[`."""
+    text = lambda s: F.struct(F.lit("text").alias("kind"), unescaped(s).alias("text"), F.lit(None).cast("int").alias("index"))
+    media = lambda s: F.struct(unescaped_kind(F.substring_index(s, ":", 1)).alias("kind"), F.lit(None).cast("string").alias("text"), F.substring_index(F.substring_index(s, "]", 1), ":", -1).cast("int").alias("index"))
+    rest = F.flatten(F.transform(F.slice(pieces, 2, F.size(pieces)), lambda s: F.array(media(s), text(_after(s, "]")))))
+    return F.filter(F.concat(F.array(text(F.get(pieces, 0))), rest), lambda p: p["text"].isNull() | (p["text"] != ""))
 
 
 def _after(c: Column, sep: str) -> Column:
