@@ -2,9 +2,11 @@
 
 A document is a bag of sentences; only the bag is labelled. Sentence probabilities are
 sigmoid(bias + sum of the weights of the sentence's features) and combine by noisy-or:
-P(document) = 1 - product(1 - P(sentence)). Weights and bias are trained from document labels by
-gradient descent on the log loss of that, so the model itself finds which sentences carry a label,
-and `scored` names them in its column sentences.
+P(document) = 1 - (1 - P0) * product(1 - P(sentence) beyond P0), where P0 = sigmoid(bias) is the background
+of a document, counted once: a sentence adds what its features raise it above P0, one without features
+nothing, so a clean text's score doesn't grow with its length. Weights and bias are trained from
+document labels by gradient descent on the log loss of that, so the model itself finds which sentences
+carry a label, and `scored` names them in its column sentences.
 
 Features are words and their character 5-grams (with word ends), so inflected forms count too. They
 are chosen by how much more often toxic training documents hold them: counted by Spark over the
@@ -14,7 +16,7 @@ Training is bounded: at most `rows` labelled documents (a parameter), one row ea
 doc_id, from those whose crc32(doc_id as text) mod 5 is not 0. Only text is an input of a score. Scores cover every
 row and its whole text.
 
-Edge cases: null or empty text scores as one sentence without features; without labels of both
+Edge cases: null or empty text has the score of the background, as any without features; without labels of both
 classes every score is 0; a doc_id labelled twice has its more frequent label (1 at a tie), one in
 several rows lends the text with the smallest hash; each row gets a score; null doc_id is scored and not held out; extra columns are ignored.
 """
@@ -77,15 +79,14 @@ class Scorer:
         for w in words.difference(self.seen):
             self.seen[w] = tuple({at[f] for f in features_of(w) if f in at})
 
-    def bag(self, text: str) -> tuple[int, list[tuple[int, int, list[int]]]]:
-        """(number of sentences, those with features: start, end, feature numbers)."""
+    def bag(self, text: str) -> list[tuple[int, int, list[int]]]:
+        """The sentences with features: start, end, feature numbers."""
         if self.plain(text):
-            return max(1, len(SENTENCE.findall(text))), []
+            return []
         self.learn(set(text.split()))
         seen = self.seen
-        found, n = [], 0
+        found = []
         for m in SENTENCE.finditer(text):
-            n += 1
             own: set[int] = set()
             for w in m[0].split():
                 f = seen.get(w)
@@ -96,16 +97,16 @@ class Scorer:
                     own.update(f)
             if own:
                 found.append((m.start(), m.end(), sorted(own)))
-        return max(1, n), found
+        return found
 
     def sentence(self, own: list[int]) -> float:
         return float(sigmoid(np.array(self.bias + self.weight[own].sum())))
 
     def score(self, text: str, least: float = 0.5) -> tuple[float, list[tuple[int, int, float]]]:
         """(noisy-or score, sentences of probability `least` or more)."""
-        n, found = self.bag(text)
-        p = [(s, e, self.sentence(own)) for s, e, own in found]
-        clean = (n - len(p)) * np.log1p(-float(sigmoid(np.array(self.bias)))) + sum(np.log1p(-min(x, 1 - 1e-12)) for _, _, x in p)
+        p = [(s, e, self.sentence(own)) for s, e, own in self.bag(text)]
+        base = np.log1p(-float(sigmoid(np.array(self.bias))))
+        clean = base + sum(min(0.0, np.log1p(-min(x, 1 - 1e-12)) - base) for _, _, x in p)
         return float(calibrated(np.array([-np.expm1(clean)]), self.scale)[0]), [x for x in p if x[2] >= least]
 
 
@@ -117,31 +118,31 @@ def calibrated(q: np.ndarray, scale: tuple[float, float]) -> np.ndarray:
 class Bags:
     """Bags of sentences as flat arrays: feature numbers, the sentence of each, the bag of each sentence."""
 
-    def __init__(self, n: np.ndarray, sizes: list[np.ndarray], flat: list[np.ndarray]):
-        """n: sentences of each bag; sizes: features of each sentence that has some; flat: those features."""
+    def __init__(self, sizes: list[np.ndarray], flat: list[np.ndarray]):
+        """For each bag, sizes: features of each sentence that has some; flat: those features."""
         join = lambda x: np.concatenate([*x, np.zeros(0, dtype=np.uint16)]).astype(np.int32)
-        self.count, size, self.flat = len(n), join(sizes), join(flat)
+        self.count, size, self.flat = len(sizes), join(sizes), join(flat)
         found = np.array([len(s) for s in sizes], dtype=np.int64)
         self.owner = np.repeat(np.arange(self.count, dtype=np.int32), found)
         self.sent = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        self.rest = n - found.astype(float)
 
 
 def train(bags: Bags, y: np.ndarray, features: int, steps: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float, tuple[float, float]]:
     """Weights, bias and calibration of the noisy-or model, by Adam on the whole sample."""
-    n, flat, sent, owner, rest = bags.count, bags.flat, bags.sent, bags.owner, bags.rest
+    n, flat, sent, owner = bags.count, bags.flat, bags.sent, bags.owner
     size = np.zeros(len(owner))
     w, b = np.zeros(features), -6.0
     m1, v1 = np.zeros(features + 1), np.zeros(features + 1)
     for t in range(1, steps + 1):
         z = b + np.bincount(sent, weights=w[flat], minlength=len(size)) if len(size) else np.zeros(0)
         p, p0 = sigmoid(z), float(sigmoid(np.array(b)))
-        log_clean = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n) + rest * np.log1p(-p0)
+        up = p >= p0  # sentences that say no less than the background
+        log_clean = np.log1p(-p0) + np.bincount(owner, weights=np.where(up, np.log1p(-np.minimum(p, 1 - 1e-9)) - np.log1p(-p0), 0.0), minlength=n)
         q = np.clip(-np.expm1(log_clean), 1e-9, 1 - 1e-9)
         # d loss / d log_clean: clean bags push it up, toxic bags down
         d = np.where(y == 1, (1 - q) / q, -1.0)
-        gz = -p * d[owner]  # d log(1 - p) / d z = -p
-        grad = np.append(np.bincount(flat, weights=gz[sent], minlength=features) / n + ridge * w, (gz.sum() - (rest * p0 * d).sum()) / n)
+        gz = np.where(up, -p * d[owner], 0.0)  # d log(1 - p) / d z = -p
+        grad = np.append(np.bincount(flat, weights=gz[sent], minlength=features) / n + ridge * w, (gz.sum() + p0 * (d[owner] * up).sum() - p0 * d.sum()) / n)
         m1 = 0.9 * m1 + 0.1 * grad
         v1 = 0.999 * v1 + 0.001 * grad**2
         step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(v1 / (1 - 0.999**t)) + 1e-9)
@@ -200,13 +201,13 @@ def fitted(documents: DataFrame, labels: DataFrame, rows: int = 16_000, features
         own = Scorer(probe.value, np.zeros(len(probe.value)), 0.0)
         for b in batches:
             got = [own.bag(t) for t in b.column("text").to_pylist()]
-            sizes = [np.array([len(own_) for _, _, own_ in f], dtype=np.uint16).tobytes() for _, f in got]
-            flat = [np.array([x for _, _, own_ in f for x in own_], dtype=np.uint16).tobytes() for _, f in got]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([n for n, _ in got], pa.int64()), pa.array(sizes, pa.binary()), pa.array(flat, pa.binary())], names=["doc_id", "y", "n", "sizes", "flat"])
+            sizes = [np.array([len(own_) for _, _, own_ in f], dtype=np.uint16).tobytes() for f in got]
+            flat = [np.array([x for _, _, own_ in f for x in own_], dtype=np.uint16).tobytes() for f in got]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(sizes, pa.binary()), pa.array(flat, pa.binary())], names=["doc_id", "y", "sizes", "flat"])
 
     # at most `rows` rows, of feature numbers only, two bytes each
-    got = train_docs.mapInArrow(bags, schema_of("doc_id long, y int, n long, sizes binary, flat binary")).toPandas().sort_values(["doc_id", "y"], kind="stable")
-    bag = Bags(got["n"].to_numpy(), [np.frombuffer(x, dtype=np.uint16) for x in got["sizes"]], [np.frombuffer(x, dtype=np.uint16) for x in got["flat"]])
+    got = train_docs.mapInArrow(bags, schema_of("doc_id long, y int, sizes binary, flat binary")).toPandas().sort_values(["doc_id", "y"], kind="stable")
+    bag = Bags([np.frombuffer(x, dtype=np.uint16) for x in got["sizes"]], [np.frombuffer(x, dtype=np.uint16) for x in got["flat"]])
     return Scorer(names, *train(bag, got["y"].to_numpy(), len(names)))
 
 
