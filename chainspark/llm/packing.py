@@ -104,7 +104,7 @@ def placed(tokens: DataFrame, window: int, weights: dict[str | None, float] | No
     pieces = pieces.where("lo < hi").select("rid", "doc_id", *queue, *(["span"] if names else []), "window", (F.col("lo") - F.col("begin")).alias("start"), (F.col("hi") - F.col("lo")).alias("n"))
     spans = len(names) + 1
     group = F.col("window") * spans + F.col("span") if names else F.floor(F.col("window") / WINDOW_GROUP)
-    out = ordered_prefix(pieces.withColumn("group", group.cast("long")), "group", ["window", *queue, "doc_id", "rid"], ["n"], groups=windows * spans + 1)
+    out = ordered_prefix(pieces.withColumn("group", group.cast("long")), "group", ["window", *queue, "doc_id", "rid", "start"], ["n"], groups=windows * spans + 1)
     return out.select("rid", "doc_id", "start", "n", "window", F.col("n_before").cast("long").alias("at"))
 
 
@@ -131,18 +131,26 @@ def _by_size(rows: DataFrame, windows: int) -> DataFrame:
         exact = F.when(sent(m) <= place, m + 1).when(sent(m - 1) > place, m - 1).otherwise(m)  # where doubles round
         return F.least(F.greatest(exact, F.lit(1)), F.lit(windows)) - 1
 
-    rows = rows.withColumn("w0", window_of(F.col("begin"))).withColumn("w1", window_of(F.col("end") - 1))
-    k = F.explode(F.sequence("w0", F.greatest("w0", "w1"))).alias("window")
-    rows = rows.select("*", k)
-    lo = F.when(F.col("window") == F.col("w0"), F.col("begin")).otherwise(_clipped(sent(F.col("window"))))
-    hi = F.when(F.col("window") >= F.col("w1"), F.col("end")).otherwise(_clipped(sent(F.col("window") + 1)))
-    return rows.withColumn("lo", lo).withColumn("hi", hi)
+    # a queue with grains sends each of them whole, in one window: as many rows as grains, not windows
+    small = F.col("grain") > 1
+    grain = lambda place: F.floor(place / F.col("grain")).cast("long")
+    rows = rows.withColumn("w0", window_of(F.col("begin"))).withColumn("w1", F.greatest("w0", window_of(F.col("end") - 1)))
+    rows = rows.select("*", F.explode(F.sequence(F.when(small, grain(F.col("begin"))).otherwise(F.col("w0")), F.when(small, grain(F.col("end") - 1)).otherwise(F.col("w1")))).alias("step"))
+    first = F.col("step") * F.col("grain")
+    lo = F.when(small, F.greatest("begin", first)).when(F.col("step") == F.col("w0"), F.col("begin")).otherwise(_clipped(sent(F.col("step"))))
+    hi = F.when(small, F.least("end", first + F.col("grain"))).when(F.col("step") >= F.col("w1"), F.col("end")).otherwise(_clipped(sent(F.col("step") + 1)))
+    return rows.select("*", F.when(small, window_of(first)).otherwise(F.col("step")).alias("window"), lo.alias("lo"), hi.alias("hi"))
 
 
 def _by_weights(rows: DataFrame, sizes: DataFrame, window: int, windows: int, scratch: Scratch) -> DataFrame:
     """As `_by_size`, credit by weights: a queue has w * time until it ends, and window k ends at the time by which all have sent k windows."""
     spark = rows.sparkSession
     w = F.col("w").cast("double")
+    # a queue with grains sends each of them whole: its rows are cut at grains, pieces of one window meet again below
+    small, g = F.col("grain") > 1, F.col("g") * F.col("grain")
+    steps = F.when(small, F.sequence(F.floor(F.col("begin") / F.col("grain")), F.floor((F.col("end") - 1) / F.col("grain")))).otherwise(F.array(F.lit(0).cast("long")))
+    same = [c for c in rows.columns if c not in ("begin", "end")]
+    rows = rows.select("*", F.explode(steps).alias("g")).select(*same, F.col("begin").alias("head"), F.when(small, F.greatest("begin", g)).otherwise(F.col("begin")).alias("begin"), F.when(small, F.least("end", g + F.col("grain"))).otherwise(F.col("end")).alias("end"))
     rows = scratch.keep(rows.withColumn("t0", _needed(F.col("begin")) / w).withColumn("t1", _needed(F.col("end") - 1) / w), "timed")
     ends = sizes.select((F.col("queue_total") / w).alias("time"), F.col("queue_total").alias("t"), "w")
     weight = ends.agg(F.sum("w")).first()[0]
@@ -166,7 +174,9 @@ def _by_weights(rows: DataFrame, sizes: DataFrame, window: int, windows: int, sc
     lo = F.when(F.col("window") == F.col("w0"), F.col("begin")).otherwise(_clipped(_credit(F.col("from") * w)))
     hi = F.when(F.col("window") == F.col("w1"), F.col("end")).otherwise(_clipped(_credit(F.col("to") * w)))
     many = many.withColumn("lo", lo).withColumn("hi", hi)
-    return one.unionByName(many.select(*one.columns))
+    out = one.unionByName(many.select(*one.columns)).withColumn("begin", F.col("head"))
+    of = [*same, "begin", "window"]
+    return out.where(~small).select(*of, "lo", "hi").unionByName(out.where(small).groupBy(*of).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
 
 
 def _summed(points: DataFrame, ends: DataFrame, key: str) -> DataFrame:
