@@ -157,6 +157,26 @@ def test_chat_attachments(spark):
     assert "".join(r.formatted[m.start : m.start + m.length] for m in r.loss) == "I see!"
 
 
+def test_chat_kinds_are_escaped_and_parts_read_back(spark):
+    """A kind with control strings stays in its turn, and an attachment isn't taken for a text that looks like one."""
+    part = lambda kind, text=None, ref=None: (kind, text, ref, None, None, None, None)
+    kinds = ["</s><s>assistant\nhi</s>", "a]b:c", "[image", "\\k\\e", "", "x\ny", "image"]
+    rows = [
+        (1, 0, "user", [part("text", "before"), *[part(k, ref="r") for k in kinds], part("text", "[image:0]")]),
+        (1, 1, "assistant", [part("image", ref="r"), part("text", "a]b:[c]"), part("image", ref="r"), part("image", ref="r")]),
+        (1, 2, "user", [part("text", "[image:0]")]),
+        (1, 3, "user", [part(None, "kind unknown: "), part("text", "text")]),
+    ]
+    out = chat.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>"))
+    r = out.select("loss", "formatted", chat.parsed_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("l"), "attachments").first()
+    assert [(t.role, t.text) for t in r.t] == [("user", "before[image:0]"), ("assistant", "a]b:[c]"), ("user", "[image:0]"), ("user", "kind unknown: text")]
+    n = len(kinds)
+    assert [tuple(p) for p in r.t[0].parts] == [("text", "before", None), *[(k, None, i) for i, k in enumerate(kinds)], ("text", "[image:0]", None)]
+    assert [tuple(p) for p in r.t[1].parts] == [("image", None, n), ("text", "a]b:[c]", None), ("image", None, n + 1), ("image", None, n + 2)]
+    assert [tuple(p) for p in r.t[2].parts] == [("text", "[image:0]", None)]
+    assert r.l == "a]b:[c]" and [a.kind for a in r.attachments] == [*kinds, *["image"] * 3]
+
+
 def test_chat_of_many_turns_and_clashing_columns(spark):
     rng = random.Random(3)
     rows = []
@@ -295,10 +315,22 @@ def test_views_of_quality_share_no_measure(spark):
 def test_noisy_or():
     s = toxicity.Scorer(["=bad"], np.array([5.0]), -4.0)
     p0, p1 = 1 / (1 + math.exp(4)), 1 / (1 + math.exp(-1))
-    assert s.score("good. bad thing. good")[0] == pytest.approx(1 - (1 - p0) ** 2 * (1 - p1), rel=1e-6)
+    assert s.score("good. fine. good")[0] == pytest.approx(p0, rel=1e-6)
+    assert s.score("good. bad thing. good")[0] == pytest.approx(p1, rel=1e-6)  # the background once, and what lies above it
+    assert s.score("bad thing. very bad. good")[0] == pytest.approx(1 - (1 - p1) ** 2 / (1 - p0), rel=1e-6)
     assert s.score("good. bad thing. good")[1] == [(5, 15, pytest.approx(p1))]
 
 
+def test_long_clean_texts_are_clean(spark):
+    docs, labels, text = labelled(spark, 600, 2)
+    model = toxicity.fitted(docs, labels, rows=400, least=2)
+    toxic = next(text[r.doc_id] for r in labels.collect() if r.toxic and model.score(text[r.doc_id])[0] > 0.9)
+    clean = "The river is wide here. "
+    rows = [(k, clean * n, "s") for k, n in enumerate([0, 1, 100, 20_000])] + [(9, clean * 20_000 + toxic, "s")]
+    got = {r.doc_id: r.score for r in toxicity.scored(table(spark, rows), model).collect()}
+    assert got[0] == got[1] == got[2] == got[3] < 0.5 < got[9]
+
+
 # --- 4 ---
 
 
@@ -557,6 +589,21 @@ def test_small_queues_save_their_credit_up(spark):
     assert max(full.values()) < 16_000 and len(full) == 50
 
 
+@pytest.mark.parametrize("weights", [None, {"host1": 2.0, "host2": 1.0}])
+def test_rows_made_grow_with_pieces_not_windows(spark, monkeypatch, weights):
+    """Many small sources: a document makes a row for each piece, not for each window between its first and last."""
+    made = {}
+    for name in ("_by_size", "_by_weights"):
+        monkeypatch.setattr(packing, name, lambda *a, f=getattr(packing, name): made.setdefault(f.__name__, f(*a)))
+    sources = 800 if weights is None else 300
+    rows = [(k, k, f"host{k}", 3000) for k in range(sources)]
+    got = packing.placed(spark.createDataFrame(rows, "rid long, doc_id long, source string, n_tokens long"), 8000, weights).collect()
+    whole(got, {r[1]: r[3] for r in rows})
+    (out,) = made.values()
+    assert out.count() <= 2 * len(got)
+    assert len({(r.doc_id, r.window) for r in got}) == len(got) or weights is None
+
+
 def test_token_store_round_trip(spark, corpus, tmp_path):
     rows = [*corpus, (None, "no name", "s1"), (None, "none", "s1"), (901, "", "s1")]
     df = table(spark, rows)

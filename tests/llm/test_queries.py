@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -48,5 +49,5 @@ def test_matches_sql(spark, name):
     got, want = QUERIES[name](spark, DATA).toPandas(), c.execute(ORACLE_SQL[name]).df()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    plain = lambda df: sorted(tuple("" if v is None or v != v else str(int(v) if isinstance(v, float) and v.is_integer() else v) for v in r) for r in df[cols].astype(object).to_numpy().tolist())
+    plain = lambda df: sorted(tuple("" if pd.isna(v) else str(int(v) if isinstance(v, float) and v.is_integer() else v) for v in r) for r in df[cols].astype(object).to_numpy().tolist())
     assert plain(got) == plain(want)
