@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, text
 from ..functions.gaps import gap_cost, gap_cost_sql
-from ..operators import align, antirepeat, bundle, chaining, chains, compare, fill, nets, partition, psl, seeds, tiles
+from ..operators import align, antirepeat, bundle, chaining, chains, cleaning, compare, fill, netlevels, nets, partition, psl, seeds, tiles
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -543,11 +543,83 @@ def net_fill(spark, d):
     return nets.net(_net_chains(spark, d), width=10_000)
 
 
+_LAID_ON = "(cid * 37 % 4000) * 10"
+LAID_SQL = f"""{OFFSETS_SQL}, {SCORES_SQL.partition('scores AS')[1]}{SCORES_SQL.partition('scores AS')[2]},
+laid_blocks AS (SELECT (cid % 25)::VARCHAR AS t_name, cid::VARCHAR AS id, score, {_LAID_ON} + t_off AS lo, {_LAID_ON} + t_off + size AS hi FROM offs JOIN scores USING (cid))"""
+#: Pieces by the best block on them; a chain's pieces are one fill unless a better piece lies between; fills lie in all better ones around them.
+LEVELS_SQL = f"""{LAID_SQL},
+net_edges AS (SELECT t_name, lo AS p FROM laid_blocks WHERE hi > lo UNION SELECT t_name, hi FROM laid_blocks WHERE hi > lo),
+net_segs AS (SELECT t_name, p AS lo, lead(p) OVER (PARTITION BY t_name ORDER BY p) AS hi FROM net_edges),
+net_owned AS (SELECT s.t_name, s.lo, s.hi, min_by(b.id, (-b.score, b.id)) AS id, max(b.score) AS score FROM net_segs s JOIN laid_blocks b ON b.t_name = s.t_name AND b.lo <= s.lo AND b.hi >= s.hi WHERE s.hi IS NOT NULL GROUP BY 1, 2, 3),
+net_prev AS (SELECT p.t_name, p.lo, max(b.lo) AS prev FROM net_owned p JOIN net_owned b ON b.t_name = p.t_name AND b.lo < p.lo AND (-b.score, b.id) < (-p.score, p.id) GROUP BY 1, 2),
+net_pieces AS (SELECT p.*, min(p.lo) OVER (PARTITION BY t_name, id, prev) AS fs FROM net_owned p LEFT JOIN net_prev USING (t_name, lo)),
+fills AS (SELECT t_name, id, score, fs, max(hi) AS hi FROM net_pieces GROUP BY 1, 2, 3, 4),
+around AS (SELECT f.t_name, f.id, f.fs, count(*) AS n, max_by((b.id, b.fs), (-b.score, b.id)) AS up FROM fills f JOIN fills b ON b.t_name = f.t_name AND b.fs < f.fs AND b.hi > f.hi AND (-b.score, b.id) < (-f.score, f.id) GROUP BY 1, 2, 3),
+net_fills AS (SELECT f.*, coalesce(n, 0) AS above, up[1] AS parent, up[2] AS parent_start FROM fills f LEFT JOIN around USING (t_name, id, fs)),
+net_next AS (SELECT *, lead(lo) OVER (PARTITION BY t_name, id, fs ORDER BY lo) AS nxt FROM net_pieces),
+levels AS (SELECT t_name, 2 * above + 1 AS level, parent, parent_start, id, 'fill' AS kind, fs AS "start", hi AS "end" FROM net_fills
+  UNION ALL SELECT t_name, 2 * above + 2, id, fs, id, 'gap', n.hi, n.nxt FROM net_next n JOIN net_fills USING (t_name, id, fs) WHERE n.nxt > n.hi)"""
+
+
+def _laid(spark, d):
+    """(t_name, id, score, start, end) of the blocks of the orders' chains, laid out on 25 chromosomes."""
+    b = a.blocks(spark, d)
+    start = (F.col("cid") * 37 % 4000) * 10 + F.col("t_off")
+    return chains.offsets(b).join(chains.scores(b), "cid").select((F.col("cid") % 25).cast("string").alias("t_name"), F.col("cid").cast("string").alias("id"), "score", start.alias("start"), (start + F.col("size")).alias("end"))
+
+
+@query(f"WITH {LEVELS_SQL} SELECT * FROM levels")
+def net_levels(spark, d):
+    """The hierarchical net of the orders' chains: fills and gaps by level."""
+    return netlevels.net_levels(_laid(spark, d), width=4096).drop("parent_gap")
+
+
 FLANKS_SQL = f"""{OFFSETS_SQL}, worth AS (SELECT *, size * 91 - {gap_cost_sql('dt', 'dq')} AS part, {gap_cost_sql('dt', 'dq')} AS cost, max(i) OVER (PARTITION BY cid) AS n FROM offs),
 summed AS (SELECT *, (coalesce(sum(part) OVER (PARTITION BY cid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size * 91)::BIGINT AS left_score, sum(part) OVER (PARTITION BY cid)::BIGINT AS total FROM worth),
 flanks AS (SELECT cid, i, left_score AS "left", (total - left_score + cost)::BIGINT AS "right", t_off + size AS t_from, t_off + size + dt AS t_to FROM summed WHERE i < n)"""
 
 
+CUT_SQL = f"""{LEVELS_SQL}, {FLANKS_SQL.partition('worth AS')[1]}{FLANKS_SQL.partition('worth AS')[2]},
+in_gaps AS (SELECT f.t_name, f.id, f.fs AS s, f.hi AS e, f.parent AS breaks, g."start" AS gap FROM net_fills f JOIN levels g ON g.kind = 'gap' AND g.t_name = f.t_name AND g.id = f.parent AND g.parent_start = f.parent_start AND g."start" <= f.fs AND g."end" >= f.hi),
+costed AS (SELECT (cid % 25)::VARCHAR AS t_name, cid::VARCHAR AS id, i, {_LAID_ON} + t_off AS lo, {_LAID_ON} + t_off + size AS hi, {_LAID_ON} + q_off AS q, {gap_cost_sql('dt', 'dq')} AS cost FROM offs),
+own AS (SELECT f.t_name, f.id, f.s, f.e, f.breaks, f.gap, (sum((least(e, hi) - greatest(s, lo)) * 91) - sum(cost) + max_by(cost, i))::BIGINT AS score FROM in_gaps f JOIN costed b ON b.t_name = f.t_name AND b.id = f.id AND b.lo < f.e AND b.hi > f.s GROUP BY ALL),
+flanked AS (SELECT o.*, "left"::DOUBLE / greatest(o.score, 1) AS left_fold, "right"::DOUBLE / greatest(o.score, 1) AS right_fold FROM own o JOIN flanks k ON k.cid = o.breaks::BIGINT AND {_LAID_ON.replace('cid', 'k.cid')} + t_from = o.gap JOIN scores h ON h.cid = o.breaks::BIGINT WHERE h.score >= 5000 AND o.score <= 100000),
+cuts AS (SELECT * FROM flanked WHERE left_fold >= 2.5 AND right_fold >= 2.5)"""
+
+
+def _laid_blocks(spark, d):
+    """(t_name, id, i, start, end, q, dt, dq) of the blocks that `_laid` places."""
+    b = chains.offsets(a.blocks(spark, d))
+    at = F.col("cid") * 37 % 4000 * 10
+    return b.select((F.col("cid") % 25).cast("string").alias("t_name"), F.col("cid").cast("string").alias("id"), "i", (at + F.col("t_off")).alias("start"), (at + F.col("t_off") + F.col("size")).alias("end"), (at + F.col("q_off")).alias("q"), "dt", "dq")
+
+
+def _cut_pieces(spark, d):
+    heads = chains.scores(a.blocks(spark, d)).select(F.col("cid").cast("string").alias("id"), "score")
+    flanks = nets.flanks(a.blocks(spark, d)).select(F.col("cid").cast("string").alias("id"), (F.col("cid") * 37 % 4000 * 10 + F.col("t_from")).alias("t_from"), "left", "right")
+    net = netlevels.net_levels(_laid(spark, d), width=4096)
+    return cleaning.falling_pieces(cleaning.breaking_pieces(net, _laid_blocks(spark, d), flanks, heads, min_broken=5_000))
+
+
+@query(f'WITH {CUT_SQL} SELECT t_name, id, s AS "start", e AS "end", breaks, score, left_fold, right_fold FROM cuts')
+def clean_cut(spark, d):
+    """Pieces of the orders' chains that lie in gaps of better ones and fall to their flanks."""
+    return _cut_pieces(spark, d)
+
+
+@query(f"""WITH {CUT_SQL}, cut_blocks AS (SELECT b.t_name, b.id, b.lo, b.hi, b.q, list_sort(list(c.s)) AS cs, list_sort(list(c.e)) AS ce FROM costed b JOIN cuts c ON c.t_name = b.t_name AND c.id = b.id AND c.s < b.hi AND c.e > b.lo GROUP BY 1, 2, 3, 4, 5),
+cut_edges AS (SELECT t_name, id, lo, hi, q, unnest(list_concat([lo], ce)) AS f, unnest(list_concat(cs, [hi])) AS t FROM cut_blocks),
+remains AS (SELECT t_name, id, greatest(f, lo) AS lo, least(t, hi) AS hi, q + greatest(f, lo) - lo AS q FROM cut_edges WHERE greatest(f, lo) < least(t, hi)
+  UNION ALL SELECT t_name, id, lo, hi, q FROM costed b WHERE hi > lo AND NOT EXISTS (SELECT 1 FROM cuts c WHERE c.t_name = b.t_name AND c.id = b.id AND c.s < b.hi AND c.e > b.lo)),
+numbered AS (SELECT *, (SELECT count(*) FROM cuts c WHERE c.t_name = r.t_name AND c.id = r.id AND c.s <= r.lo) AS part FROM remains r)
+SELECT t_name, id, part, count(*) AS n_blocks, sum(hi - lo)::BIGINT AS bases, min(lo) AS "start", max(hi) AS "end", min(q) AS q_start, max(q + hi - lo) AS q_end FROM numbered GROUP BY 1, 2, 3""")
+def clean_remains(spark, d):
+    """The chains that are left when those pieces are cut out, cut ones in parts."""
+    left = cleaning.cut_out(_laid_blocks(spark, d), _cut_pieces(spark, d))
+    size = F.col("end") - F.col("start")
+    return left.groupBy("t_name", "id", "part").agg(F.count("*").alias("n_blocks"), F.sum(size).alias("bases"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("q").alias("q_start"), F.max(F.col("q") + size).alias("q_end"))
+
+
 @query(f"WITH {FLANKS_SQL} SELECT * FROM flanks")
 def gap_flanks(spark, d):
     """What a chain scores on both sides of each of its gaps."""

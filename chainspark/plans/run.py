@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.sequences import reverse_complement
-from ..operators import align, antirepeat, bundle, chaining, chains, fill, nets, partition, psl, seeds
+from ..operators import align, antirepeat, bundle, chaining, chains, cleaning, fill, netlevels, nets, partition, psl, seeds
 from ..operators.tiles import lengths
 from ..params import Params
+from ..scratch import Scratch
 
 
 class Run:
@@ -110,6 +111,15 @@ class Run:
 
     def rescored(self, rows: DataFrame) -> DataFrame:
         """One row a chain: header, score of its bases less its gaps, block list; numbered by score."""
+        return self.numbered(self.headed(rows))
+
+    def numbered(self, table: DataFrame) -> DataFrame:
+        """`table` with ids from 1, best score first; it is written first, since numbering reads it more than once."""
+        table = Scratch(self.spark, "numbered").keep(table, "chains")
+        return chains.numbered_by_score(table).withColumn("id", F.col("new_id").cast("string")).drop("new_id")
+
+    def headed(self, rows: DataFrame) -> DataFrame:
+        """One row a chain of (cid, t_name, q_name, q_strand, t, q, size): header, score, block list; its id is cid."""
         w = Window.partitionBy("cid").orderBy("t", "q")
         nxt = rows.select("*", (F.lead("t").over(w) - F.col("t") - F.col("size")).alias("dt0"), (F.lead("q").over(w) - F.col("q") - F.col("size")).alias("dq0"), F.row_number().over(w).alias("i"))
         b = nxt.select("cid", "t_name", "q_name", "q_strand", "t", "q", "size", F.col("i").cast("long").alias("i"), F.coalesce("dt0", F.lit(0)).alias("dt"), F.coalesce("dq0", F.lit(0)).alias("dq"))
@@ -118,18 +128,27 @@ class Run:
         heads = heads.join(size(self.target, "t"), "t_name").join(size(self.query, "q"), "q_name")
         score = chains.sequence_scores(b.select("cid", "i", "size", "dt", "dq"), self.target, self.query, heads.select("cid", "t_name", "t_start", "q_name", "q_start", "q_size", "q_strand"), self.p.linear_gap)
         out = heads.join(score, "cid").join(chains.nested(b), "cid")
-        out = out.withColumn("id", F.col("cid").cast("string")).withColumn("t_strand", F.lit("+"))
-        return chains.numbered_by_score(out).withColumn("id", F.col("new_id").cast("string")).drop("new_id", "cid")
+        return out.withColumn("id", F.col("cid").cast("string")).withColumn("t_strand", F.lit("+")).drop("cid")
 
     def cleaned(self, table: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(chains without suspects, the suspects as BED)."""
-        b = chains.unnested(table, "id")
-        g = nets.flanks(b, table=self.p.linear_gap).join(table.select(F.col("id").alias("cid"), "t_name", "t_start", "score"), "cid")
-        g = g.select(F.col("cid").alias("id"), "t_name", "score", (F.col("t_start") + F.col("t_from")).alias("start"), (F.col("t_start") + F.col("t_to")).alias("end"), "left", "right")
-        every = nets.breaking(table.select("id", "t_name", "t_start", "t_end", "score"), g, self.p.clean_max_suspect, self.p.clean_min_broken)
-        pairs = nets.suspect_pairs(every, table, self.p.clean_fold_pairs, self.p.clean_pair_distance)
-        found = nets.falling(every, self.p.clean_fold).select("id").union(pairs.select("id")).union(pairs.select("next"))
-        return nets.cleaned(table, found), nets.suspects_bed(table, found)
+        """(chains without suspects, the suspects as BED): pieces in gaps of better chains are cut out of theirs, and cut chains are rescored."""
+        heads = table.select("id", "t_name", "t_start", "q_start", "score")
+        b = chains.offsets(chains.unnested(table, "id")).withColumnRenamed("cid", "id").join(heads, "id")
+        start, scratch = F.col("t_start") + F.col("t_off"), Scratch(self.spark, "cleaned")
+        laid = scratch.keep(b.select("t_name", "id", "score", "i", start.alias("start"), (start + F.col("size")).alias("end"), (F.col("q_start") + F.col("q_off")).alias("q"), "dt", "dq"), "blocks")
+        flanks = nets.flanks(chains.unnested(table, "id"), table=self.p.linear_gap).withColumnRenamed("cid", "id").join(heads, "id")
+        flanks = flanks.select("id", (F.col("t_start") + F.col("t_from")).alias("t_from"), "left", "right")
+        every = cleaning.breaking_pieces(netlevels.net_levels(laid), laid, flanks, heads, self.p.clean_max_suspect, self.p.clean_min_broken, table=self.p.linear_gap)
+        every = scratch.keep(every, "breaking")
+        found = cleaning.falling_pieces(every, self.p.clean_fold).union(cleaning.falling_pairs(every, self.p.clean_fold_pairs, self.p.clean_pair_distance)).distinct()
+        found = scratch.keep(found, "suspects")
+        cut = laid.join(found.select("t_name", "id").distinct(), ["t_name", "id"], "left_semi")
+        names = table.select("t_name", "id", "q_name", "q_strand")
+        rest = cleaning.cut_out(cut, found).join(names, ["t_name", "id"])
+        rest = rest.select(F.xxhash64("id", "part").alias("cid"), "t_name", "q_name", "q_strand", F.col("start").alias("t"), "q", (F.col("end") - F.col("start")).alias("size"))
+        whole = table.join(found.select("id").distinct(), "id", "left_anti")
+        bed = found.select(F.col("t_name").alias("chrom"), "start", "end", F.col("id").alias("name"))
+        return self.numbered(whole.unionByName(self.headed(scratch.keep(rest, "rest")).select(whole.columns))), bed
 
     def run(self) -> DataFrame:
         """The final chains, from the stage that the parameters name."""
