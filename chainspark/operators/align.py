@@ -1,24 +1,31 @@
-"""Gapped alignment around high-scoring pairs.
+"""Gapped alignment around high-scoring pairs, each homology once.
 
 An alignment grows from a place inside a pair in both directions, row by row, over the columns whose
 score stays within the drop of the best one so far; it ends when no column is left, however far away
-that is. Affine gaps, numpy arrays of a row's live columns. Rows are independent: each brings bases
-from around its pair, Spark deals them out, and those that reach the end of their bases while alive
-come again with more of them. A task commits the path up to the best place every `ROWS` rows, so its
-memory doesn't depend on the alignment's length. Results are blocks on absolute coordinates.
+that is. Affine gaps, numpy arrays of a row's live columns. Every `ROWS` rows the path up to the best
+place is committed, and the alignment goes on from there.
+
+Its two ends are rows of a table: a round fetches bases beyond each end that is alive, moves it on, and
+writes the blocks it has passed, so nothing is aligned twice and no row carries more bases than a
+round's stretch. Pairs start in three waves: the best of each cluster of near pairs on near diagonals, of
+what is left the best of each cluster on one diagonal, then all. A pair that an alignment runs
+through (one of its blocks lies on the pair's diagonal, over some of its bases) never starts. Where two
+starts have led to one homology, the lesser alignment is absorbed (`absorb.py`). Blocks are on absolute coordinates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.sequences import letter_codes, score_matrix
 from ..scratch import Scratch
+from .absorb import absorbed
 from .tiles import lengths, tiles, with_bases
 
 # --- fixed values: penalties of the alignment
@@ -30,8 +37,10 @@ _LOW = -(10**12)
 
 #: Rows of target bases between two commits of a path.
 ROWS = 4096
-#: Bases around a pair at first.
-REACH = 2048
+#: Stretches of ROWS that a round after the first may fetch at once.
+STRETCHES = 16
+#: Pairs within so many diagonals and so many bases are one cluster.
+BAND, LINK = 1024, 4096
 
 
 def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bool, list[list[int]]]:
@@ -94,75 +103,144 @@ def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bo
     return top, at[0], at[1], bool(len(best)) or edge, blocks[::-1]
 
 
-def grown(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, list[list[int]], bool]:
-    """(score, blocks, alive) of the extension from the corner of two stretches of codes; alive where more bases might lengthen it."""
+def advanced(a: np.ndarray, b: np.ndarray, drop: int, a_end: bool = True, b_end: bool = True, step: int = ROWS) -> tuple[int, list[list[int]], int, int, bool]:
+    """(score, blocks, rows, columns, alive) of the extension from the corner of two stretches of codes.
+
+    a_end, b_end: whether the sequences end there; step: rows between commits. Alive: it may go on, from the
+    place given, with more bases.
+    """
     total, blocks, i, j = 0, [], 0, 0
     while True:
-        rows = min(ROWS, len(a) - i)
-        score, di, dj, alive, more = _stretch(a[i : i + rows], b[j : j + 2 * ROWS], drop)
+        if len(a) - i < step and not a_end or len(b) - j < 2 * step and not b_end:
+            return total, blocks, i, j, True
+        score, di, dj, alive, more = _stretch(a[i : i + step], b[j : j + 2 * step], drop)
         for x, y, n in more:
-            if blocks and blocks[-1][0] + blocks[-1][2] == i + x and blocks[-1][1] + blocks[-1][2] == j + y:
-                blocks[-1][2] += n
-            else:
-                blocks.append([i + x, j + y, n])
+            _append(blocks, i + x, j + y, n)
         total, i, j = total + score, i + di, j + dj
         if not alive or not score:
-            return total, blocks, alive
-        if i + ROWS > len(a) and rows < ROWS:  # the window's end, not a commit
-            return total, blocks, True
+            return total, blocks, i, j, False
+
 
+def _append(blocks: list[list[int]], t: int, q: int, n: int) -> None:
+    """The block behind the others, as part of the last one if it goes on from there."""
+    if blocks and blocks[-1][0] + blocks[-1][2] == t and blocks[-1][1] + blocks[-1][2] == q:
+        blocks[-1][2] += n
+    else:
+        blocks.append([t, q, n])
 
-def around(t: str, q: str, t_at: int, q_at: int, drop: int) -> tuple[int, list[tuple[int, int, int]], bool, bool]:
-    """(score, blocks (t, q, size), alive before, alive behind) of the alignment through a pair of places."""
-    a, b = _LETTERS[np.frombuffer(t.encode(), dtype=np.uint8)], _LETTERS[np.frombuffer(q.encode(), dtype=np.uint8)]
-    right, ahead, more = grown(a[t_at:], b[q_at:], drop)
-    left, behind, less = grown(a[:t_at][::-1], b[:q_at][::-1], drop)
-    blocks = [[t_at - x - n, q_at - y - n, n] for x, y, n in reversed(behind)]
+
+def codes(seq: str) -> np.ndarray:
+    return _LETTERS[np.frombuffer(seq.encode(), dtype=np.uint8)]
+
+
+def around(t: str, q: str, t_at: int, q_at: int, drop: int) -> tuple[int, list[tuple[int, int, int]]]:
+    """(score, blocks (t, q, size)) of the alignment through a pair of places of two whole stretches."""
+    a, b = codes(t), codes(q)
+    right, ahead, *_ = advanced(a[t_at:], b[q_at:], drop)
+    left, behind, *_ = advanced(a[:t_at][::-1], b[:q_at][::-1], drop)
+    blocks: list[list[int]] = []
+    for x, y, n in reversed(behind):
+        _append(blocks, t_at - x - n, q_at - y - n, n)
     for x, y, n in ahead:
-        if blocks and blocks[-1][0] + blocks[-1][2] == t_at + x and blocks[-1][1] + blocks[-1][2] == q_at + y:
-            blocks[-1][2] += n
-        else:
-            blocks.append([t_at + x, q_at + y, n])
-    return left + right, [tuple(x) for x in blocks], less, more
+        _append(blocks, t_at + x, q_at + y, n)
+    return left + right, [tuple(x) for x in blocks]
 
 
-_FOUND = "t_name string, t_size long, q_name string, q_size long, strand string, score long, blocks array<struct<t:long,q:long,size:long,t_seq:string,q_seq:string>>"
+_PAIR = ["t_chrom", "q_chrom"]
+_END = ["aid", *_PAIR, "t_size", "q_size", "side", "t", "q"]
+_BLOCKS = "array<struct<t:long,q:long,size:long,t_seq:string,q_seq:string>>"
+_MOVED = f"aid long, t_chrom string, q_chrom string, t_size long, q_size long, side int, t long, q long, alive boolean, score long, blocks {_BLOCKS}"
 
 
-def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, drop: int = 9400, reach: int = REACH) -> DataFrame:
-    """(t_name, t_size, q_name, q_size, strand, score, blocks) of alignments of at least `threshold`.
+def _starts(pairs: DataFrame, wave: int) -> DataFrame:
+    """Of each cluster of pairs the best; in the last wave every pair."""
+    if wave > 1:
+        return pairs
+    diagonal = F.floor((F.col("t") - F.col("q")) / (BAND if wave == 0 else 1)).cast("long")
+    by = [*_PAIR, "band"]
+    w = Window.partitionBy(*by).orderBy("t", "aid")
+    rows = pairs.withColumn("band", diagonal).withColumn("reach", F.max(F.col("t") + F.col("length")).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("cluster", F.sum(F.coalesce((F.col("t") - F.col("reach") > LINK).cast("long"), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    best = F.max_by(F.struct(*pairs.columns), F.struct(F.col("worth"), -F.col("aid")))
+    return rows.groupBy(*by, "cluster").agg(best.alias("p")).select("p.*")
 
-    blocks: array<struct<t, q, size, t_seq, q_seq>>. Alignments grow from the middle of their pair and end
-    by the drop or with a sequence, whatever `reach` is: rows that are still alive at the end of their
-    bases are taken again with four times as many. Pairs that lead to the same alignment give it once.
-    """
-    scratch = Scratch(pairs.sparkSession, "gapped")
-    size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
-    target, query = scratch.keep(tiles(target), "target"), scratch.keep(tiles(query), "query")  # each round reads them again
-    half = F.floor(F.col("length") / 2)
-    rows = pairs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), (F.col("t") + half).alias("t"), (F.col("q") + half).alias("q")).distinct()
-    rows = scratch.keep(rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom"), "pairs")
-    cols, done = rows.columns, None
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _extended(starts: DataFrame, target: DataFrame, query: DataFrame, drop: int, scratch: Scratch) -> DataFrame:
+    """(aid, t_chrom, q_chrom, t_size, q_size, score, blocks): both ends of every start moved on until they end."""
+    half, step = F.floor(F.col("length") / 2), ROWS
+    ends = starts.select("aid", *_PAIR, "t_size", "q_size", F.explode(F.array(F.lit(1), F.lit(-1))).alias("side"), (F.col("t") + half).alias("t"), (F.col("q") + half).alias("q"))
+
+    def move(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                score, found, less, more = around(r.t_seq, r.q_seq, r.t - r.t0, r.q - r.q0, drop)
-                again = less and (r.t0 > 0 or r.q0 > 0) or more and (r.t1 < r.t_size or r.q1 < r.q_size)
-                cut = [] if again or score < threshold else [{"t": r.t0 + t, "q": r.q0 + q, "size": n, "t_seq": r.t_seq[t : t + n], "q_seq": r.q_seq[q : q + n]} for t, q, n in found]
-                out.append((*(getattr(r, c) for c in cols), bool(again), score, cut))
-            yield pd.DataFrame(out, columns=[*cols, "again", "score", "blocks"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    ddl = f"{kinds}, again boolean, score long, {_FOUND[_FOUND.index('blocks') :]}"
+                a, b, on = codes(r.t_seq), codes(r.q_seq), r.side > 0
+                score, found, i, j, alive = advanced(a if on else a[::-1], b if on else b[::-1], drop, r.t1 == r.t_size if on else r.t0 == 0, r.q1 == r.q_size if on else r.q0 == 0, step)
+                at = [(r.t + x, r.q + y, n) if on else (r.t - x - n, r.q - y - n, n) for x, y, n in found]
+                cut = [{"t": t, "q": q, "size": n, "t_seq": r.t_seq[t - r.t0 : t - r.t0 + n], "q_seq": r.q_seq[q - r.q0 : q - r.q0 + n]} for t, q, n in at]
+                out.append((r.aid, r.t_chrom, r.q_chrom, r.t_size, r.q_size, r.side, r.t + r.side * i, r.q + r.side * j, alive, score, cut))
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in _MOVED.split(", ")])
+
+    moved, stretch = None, step
     while True:
-        at = rows.select("*", F.greatest(F.col("t") - reach, F.lit(0)).alias("t0"), F.least(F.col("t") + reach, F.col("t_size")).alias("t1"), F.greatest(F.col("q") - 2 * reach, F.lit(0)).alias("q0"), F.least(F.col("q") + 2 * reach, F.col("q_size")).alias("q1"))
-        got = scratch.keep(with_bases(with_bases(at, target, "t_chrom", "t0", "t1", "t_seq"), query, "q_chrom", "q0", "q1", "q_seq").mapInPandas(run, ddl), "aligned")
-        some = got.where((~F.col("again")) & (F.col("score") >= threshold))
-        done = some if done is None else done.union(some)
-        rows = got.where("again").select(cols)
-        if rows.isEmpty():
+        on = F.col("side") > 0
+        near = lambda c, n: (F.when(on, F.col(c)).otherwise(F.greatest(F.col(c) - n, F.lit(0))).alias(f"{c}0"), F.when(on, F.least(F.col(c) + n, F.col(f"{c}_size"))).otherwise(F.col(c)).alias(f"{c}1"))
+        rows = ends.select(*_END, *near("t", stretch), *near("q", 2 * stretch))
+        got = scratch.keep(with_bases(with_bases(rows, target, "t_chrom", "t0", "t1", "t_seq"), query, "q_chrom", "q0", "q1", "q_seq").mapInPandas(move, _MOVED), "moved")
+        moved = got if moved is None else moved.union(got)
+        ends = got.where("alive").select(_END)
+        if ends.isEmpty():
+            break
+        stretch = STRETCHES * step
+
+    def joined(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf.assign(blocks=[_joined(x) for x in pdf["blocks"]])
+
+    whole = moved.groupBy("aid", *_PAIR, "t_size", "q_size").agg(F.sum("score").alias("score"), F.flatten(F.collect_list("blocks")).alias("blocks"))
+    return whole.mapInPandas(joined, whole.schema)
+
+
+def _joined(blocks: Iterable[dict]) -> list[dict]:
+    """Blocks in order; those that go on from one another, as at the start of both sides and between stretches, are one."""
+    out: list[dict] = []
+    for b in sorted(blocks, key=lambda b: (b["t"], b["q"])):
+        last = out[-1] if out else None
+        if last and last["t"] + last["size"] == b["t"] and last["q"] + last["size"] == b["q"]:
+            out[-1] = {"t": last["t"], "q": last["q"], **{c: last[c] + b[c] for c in ("size", "t_seq", "q_seq")}}
+        else:
+            out.append(b)
+    return out
+
+
+def _uncovered(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs that no alignment runs through."""
+    b = found.select(*[F.col(c).alias(f"_{c}") for c in _PAIR], F.explode("blocks").alias("b"))
+    b = b.select(*[f"_{c}" for c in _PAIR], (F.col("b.t") - F.col("b.q")).alias("_diagonal"), F.col("b.t").alias("_lo"), (F.col("b.t") + F.col("b.size")).alias("_hi"))
+    same = (F.col("t_chrom") == F.col("_t_chrom")) & (F.col("q_chrom") == F.col("_q_chrom")) & (F.col("t") - F.col("q") == F.col("_diagonal"))
+    return pairs.join(b, same & (F.col("_lo") < F.col("t") + F.col("length")) & (F.col("_hi") > F.col("t")), "left_anti")
+
+
+def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, drop: int = 9400, share: float = 0.95) -> DataFrame:
+    """(t_name, t_size, q_name, q_size, strand, score, blocks) of alignments of at least `threshold`, each homology once.
+
+    blocks: array<struct<t, q, size, t_seq, q_seq>>. pairs: (t_chrom, q_chrom, t, q, length) and, where known,
+    score, by which the best of a cluster is told; alignments grow from the middle of their pair.
+    """
+    scratch = Scratch(pairs.sparkSession, "gapped")
+    size = lambda g, s: lengths(g).select(F.col("chrom").alias(f"{s}_chrom"), F.col("size").alias(f"{s}_size"))
+    target, query = scratch.keep(tiles(target), "target"), scratch.keep(tiles(query), "query")  # each round reads them again
+    worth = F.col("score" if "score" in pairs.columns else "length").cast("long").alias("worth")
+    rows = pairs.select(*[F.col(c).cast("string").alias(c) for c in _PAIR], *[F.col(c).cast("long").alias(c) for c in ("t", "q", "length")], worth).distinct()
+    rows = rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom")
+    left = scratch.keep(rows.withColumn("aid", F.monotonically_increasing_id()), "pairs")
+    found = None
+    for wave in range(3):
+        starts = scratch.keep(_starts(left, wave), "starts")
+        got = scratch.keep(_extended(starts, target, query, drop, scratch).where(F.col("score") >= threshold), "aligned")
+        found = got if found is None else found.union(got)
+        left = scratch.keep(_uncovered(left.join(starts.select("aid"), "aid", "left_anti"), got), "left")
+        if left.isEmpty():
             break
-        reach *= 4
-    return done.select(F.col("t_chrom").alias("t_name"), "t_size", F.col("q_chrom").alias("q_name"), "q_size", F.lit("+").alias("strand"), "score", "blocks").dropDuplicates(["t_name", "q_name", "strand", "score", "blocks"])
+    named = found.select("aid", F.col("t_chrom").alias("t_name"), "t_size", F.col("q_chrom").alias("q_name"), "q_size", F.lit("+").alias("strand"), "score", "blocks")
+    return absorbed(named, share).drop("aid")

@@ -1,8 +1,10 @@
-"""Gaps of chains filled with local alignments between their two sides.
+"""Gaps of chains, and boxes between alignments, filled with local alignments between their two sides.
 
 Inside a gap both sides are short (20,000 bases at most by default). Words that both have give
-diagonals, the best ungapped stretch on them is the anchor, and the alignment grows from there by the
-same recursion as elsewhere: memory is linear in the gap's length, whatever its sides are.
+diagonals; the best ungapped stretch on each is an anchor, and from anchors, best first, alignments grow by
+the same recursion as elsewhere, but from none that an alignment found before runs through. Of all local
+alignments the best colinear set is kept: the most score less the cost of the gaps between. Memory is linear
+in the gap's length, whatever its sides are.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions.gaps import gap_cost_value
 from ..functions.sequences import letter_codes, score_matrix
-from .align import around
+from .align import around, codes
 from .tiles import on_strand, with_bases
 
 _LETTERS, _MATRIX = letter_codes(), score_matrix()
@@ -45,45 +49,101 @@ def _words(seq: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     return view[ok] @ (4 ** np.arange(k, dtype=np.int64)), ok
 
 
-def anchor(t: str, q: str, k: int = 11) -> tuple[int, int, int] | None:
-    """(score, t, q) of the middle of the best ungapped stretch on a diagonal with a common word; None without one."""
+def anchors(t: str, q: str, k: int = 11) -> list[tuple[int, int, int, int]]:
+    """(score, t, q, size) of the best ungapped stretch on each diagonal with a common word, best first."""
     (a, pa), (b, pb) = _words(t, k), _words(q, k)
     order = np.argsort(b, kind="stable")
     lo, hi = np.searchsorted(b[order], a, side="left"), np.searchsorted(b[order], a, side="right")
     diagonals: set[int] = set()
     for i in np.flatnonzero(hi > lo).tolist():
         diagonals.update((pb[order[lo[i] : hi[i]]] - pa[i]).tolist())
-    x, y = (_LETTERS[np.frombuffer(s.encode(), dtype=np.uint8)] for s in (t, q))
-    best: tuple[int, int, int] | None = None
+    x, y = codes(t), codes(q)
+    out = []
     for d in sorted(diagonals):
         first = max(0, -d)
         n = min(len(x) - first, len(y) - first - d)
         sums = np.append(0, np.cumsum(_MATRIX[x[first : first + n], y[first + d : first + d + n]]))
         low = np.minimum.accumulate(sums)
         end = int((sums - low).argmax())
-        score = int(sums[end] - low[end])
-        if best is None or score > best[0]:
-            begin = int(sums[: end + 1].argmin())
-            middle = first + (begin + end) // 2
-            best = (score, middle, middle + d)
-    return best
+        begin = int(sums[: end + 1].argmin())
+        out.append((int(sums[end] - low[end]), first + begin, first + begin + d, end - begin))
+    return sorted(out, key=lambda x: (-x[0], x[1], x[2]))
+
+
+def local_alignments(t: str, q: str, k: int, least: int, threshold: int, drop: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """(score, blocks) of the alignments of at least `threshold` from anchors of at least `least`."""
+    found: list[tuple[int, list[tuple[int, int, int]]]] = []
+    for score, at, to, n in anchors(t, q, k):
+        if score < least:
+            break
+        if any(b[1] - b[0] == to - at and b[0] < at + n and b[0] + b[2] > at for _, own in found for b in own):
+            continue
+        total, blocks = around(t, q, at + n // 2, to + n // 2, drop)
+        if total >= threshold:
+            found.append((total, blocks))
+    return found
+
+
+def colinear(found: list[tuple[int, list[tuple[int, int, int]]]], table: str = "loose") -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """Of local alignments the best set that follow each other on both sides: most score, less the cost of the gaps between."""
+    rows = sorted(found, key=lambda x: (x[1][0][0], x[1][0][1]))
+    total, back = [s for s, _ in rows], [-1] * len(rows)
+    for j, (score, blocks) in enumerate(rows):
+        for i in range(j):
+            t, q, n = rows[i][1][-1]
+            dt, dq = blocks[0][0] - t - n, blocks[0][1] - q - n
+            if dt >= 0 and dq >= 0 and (gain := total[i] - int(gap_cost_value(dt, dq, table))) > 0 and score + gain > total[j]:
+                total[j], back[j] = score + gain, i
+    j = max(range(len(rows)), key=lambda k: total[k], default=-1)
+    out = []
+    while j >= 0:
+        out.append(rows[j])
+        j = back[j]
+    return out[::-1]
+
+
+def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: int = 9400, k: int = 11, table: str = "loose") -> DataFrame:
+    """(cid, i, part, score, t, q, size): blocks of the colinear alignments in each gap, of at least `threshold` each."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for r in pdf.itertuples():
+                for part, (score, found) in enumerate(colinear(local_alignments(r.t_seq, r.q_seq, k, min(least, threshold), threshold, drop), table)):
+                    out += [(r.cid, r.i, part, score, r.t_from + t, r.q_from + q, n) for t, q, n in found]
+            yield pd.DataFrame(out, columns=["cid", "i", "part", "score", "t", "q", "size"])
+
+    return gaps.mapInPandas(run, "cid long, i long, part long, score long, t long, q long, size long")
 
 
-def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: int = 9400) -> DataFrame:
-    """(cid, i, score, t, q, size): blocks of the alignment through the best anchor of each gap, if that scores `least` and the alignment `threshold`."""
+#: Longest side of a box between alignments that is looked into, and the length of words there.
+INNER, INNER_WORD = 20_000, 7
+
+
+def interpolated(alignments: DataFrame, target: DataFrame, query: DataFrame, threshold: int = 2000, drop: int = 9400, k: int = INNER_WORD, most: int = INNER) -> DataFrame:
+    """Alignments like the given ones, found by shorter words in the boxes between neighbours, at a threshold of their own.
+
+    alignments: as `gapped` returns them. Neighbours follow each other on the target, and a box is the room
+    between one's end and the next one's beginning on both sides, at most `most` bases each.
+    """
+    w = Window.partitionBy("t_name", "q_name").orderBy("t_lo", "q_lo", "t_hi")
+    b = F.col("blocks")
+    last = F.element_at(b, -1)
+    ends = alignments.select("t_name", "t_size", "q_name", "q_size", b[0]["t"].alias("t_lo"), b[0]["q"].alias("q_lo"), (last["t"] + last["size"]).alias("t_hi"), (last["q"] + last["size"]).alias("q_hi"))
+    box = ends.select("t_name", "t_size", "q_name", "q_size", F.col("t_hi").alias("t_from"), F.lead("t_lo").over(w).alias("t_to"), F.col("q_hi").alias("q_from"), F.lead("q_lo").over(w).alias("q_to"))
+    box = box.where((F.col("t_to") - F.col("t_from")).between(k, most) & (F.col("q_to") - F.col("q_from")).between(k, most)).distinct()
+    rows = with_bases(with_bases(box, target, "t_name", "t_from", "t_to", "t_seq"), query, "q_name", "q_from", "q_to", "q_seq")
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                seed = anchor(r.t_seq, r.q_seq)
-                if seed and seed[0] >= min(least, threshold):
-                    score, found, _, _ = around(r.t_seq, r.q_seq, seed[1], seed[2], drop)
-                    if score >= threshold:
-                        out += [(r.cid, r.i, score, r.t_from + t, r.q_from + q, n) for t, q, n in found]
-            yield pd.DataFrame(out, columns=["cid", "i", "score", "t", "q", "size"])
-
-    return gaps.mapInPandas(run, "cid long, i long, score long, t long, q long, size long")
+                for score, found in colinear(local_alignments(r.t_seq, r.q_seq, k, threshold, threshold, drop)):
+                    cut = [{"t": r.t_from + t, "q": r.q_from + q, "size": n, "t_seq": r.t_seq[t : t + n], "q_seq": r.q_seq[q : q + n]} for t, q, n in found]
+                    out.append((r.t_name, r.t_size, r.q_name, r.q_size, "+", score, cut))
+            yield pd.DataFrame(out, columns=["t_name", "t_size", "q_name", "q_size", "strand", "score", "blocks"])
+
+    return rows.mapInPandas(run, alignments.select("t_name", "t_size", "q_name", "q_size", "strand", "score", "blocks").schema)
 
 
 def spliced(placed: DataFrame, filled: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, text
 from ..functions.gaps import gap_cost, gap_cost_sql
-from ..operators import align, antirepeat, bundle, chaining, chains, cleaning, compare, fill, netlevels, nets, partition, psl, seeds, tiles
+from ..operators import absorb, align, antirepeat, bundle, chaining, chains, cleaning, compare, fill, netlevels, nets, partition, psl, seeds, tiles
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -514,6 +514,29 @@ def gapped_align(spark, d):
     return _gapped(spark, d).select("t_name", "q_name", "strand", "score", F.transform("blocks", lambda b: F.struct(b["t"].alias("t"), b["q"].alias("q"), b["size"].alias("size"))).alias("blocks"))
 
 
+#: Orders as alignments: their lines as blocks in slots of 60 bases, on one of three diagonals; lines of one slot are one block.
+PLACED_SQL = """slots AS (SELECT l_orderkey AS aid, (l_orderkey % 7)::VARCHAR AS t_name, (l_orderkey % 2)::VARCHAR AS q_name, CASE WHEN l_orderkey % 5 = 0 THEN '-' ELSE '+' END AS strand,
+  (l_partkey % 40) * 60 AS t, (l_partkey % 40) * 60 + l_orderkey % 3 AS q, max(l_quantity)::BIGINT AS size FROM lineitem GROUP BY ALL),
+totals AS (SELECT aid, sum(size)::BIGINT AS bases, sum(size)::BIGINT * 91 AS score, min(t) AS t0, list({'t': t, 'q': q, 'size': size} ORDER BY t) AS place FROM slots GROUP BY aid)"""
+
+
+def _placed(spark, d):
+    li, k = a.table(spark, d, "lineitem"), F.col("l_orderkey")
+    t = F.col("l_partkey") % 40 * 60
+    slots = li.groupBy(k.alias("aid"), (k % 7).cast("string").alias("t_name"), (k % 2).cast("string").alias("q_name"), F.when(k % 5 == 0, "-").otherwise("+").alias("strand"), t.alias("t"), (t + k % 3).alias("q")).agg(F.max("l_quantity").cast("long").alias("size"))
+    return slots.groupBy("aid", "t_name", "q_name", "strand").agg((F.sum("size") * 91).alias("score"), F.sort_array(F.collect_list(F.struct("t", "q", "size"))).alias("blocks"))
+
+
+@query(f"""WITH {PLACED_SQL}, ranked AS (SELECT s.*, o.bases, o.score, o.t0, o.place FROM slots s JOIN totals o USING (aid)),
+met AS (SELECT b.aid, y.aid AS by_aid, b.bases, sum(least(b.size, y.size)) AS n FROM ranked b JOIN ranked y ON b.t_name = y.t_name AND b.q_name = y.q_name AND b.strand = y.strand AND b.t = y.t AND b.q = y.q
+  AND (-y.score, y.t0, y.t0 + y.aid % 3, y.aid) < (-b.score, b.t0, b.t0 + b.aid % 3, b.aid) GROUP BY 1, 2, 3)
+SELECT aid, t_name, q_name, strand, score::BIGINT AS score, len(place) AS n_blocks FROM totals JOIN (SELECT DISTINCT aid, t_name, q_name, strand FROM slots) USING (aid)
+WHERE aid NOT IN (SELECT aid FROM met WHERE n >= bases * 0.95::DOUBLE)""")
+def absorbed_alignments(spark, d):
+    """Orders as alignments, without those that are part of a better one."""
+    return absorb.absorbed(_placed(spark, d)).select("aid", "t_name", "q_name", "strand", "score", F.size("blocks").cast("long").alias("n_blocks"))
+
+
 @query()
 def axt_to_psl(spark, d):
     return psl.from_blocks(_gapped(spark, d))

@@ -72,6 +72,8 @@ class Run:
         for strand, q in self.strands():
             hits = seeds.seed_hits(words, seeds.kmers(seeds.overlapping(q, k), k), self.p.seed_limit)
             found = align.gapped(seeds.hsps(hits, k, self.target, q, self.p.lastz_k), self.target, q, self.p.lastz_l, self.p.lastz_y)
+            found = Scratch(self.spark, "aligned").keep(found, f"strand{len(parts)}")
+            found = found.unionByName(fill.interpolated(found, self.target, q, self.p.inner_threshold(), self.p.lastz_y))
             parts.append(psl.from_blocks(found.withColumn("strand", F.lit(strand))))
         return chains.merged(*parts)
 
@@ -105,7 +107,7 @@ class Run:
         g = rows.select("cid", "t_name", "q_name", "q_strand", F.row_number().over(w).cast("long").alias("i"), (F.col("t") + F.col("size")).alias("t_from"), F.lead("t").over(w).alias("t_to"), (F.col("q") + F.col("size")).alias("q_from"), F.lead("q").over(w).alias("q_to")).where("t_to is not null")
         some = chains.fillable(g, self.p.fill_gap_min, self.p.fill_gap_max).join(lengths(self.query).select(F.col("chrom").alias("q_name"), F.col("size").alias("q_size")), "q_name")
         inside = fill.gap_sequences(some, self.target, self.query, not self.p.skip_unmask).repartition(self.p.fill_files, "cid", "i")
-        found = fill.fillings(inside, self.p.fill_score, self.p.fill_k, self.p.lastz_y)
+        found = fill.fillings(inside, self.p.fill_score, self.p.fill_k, self.p.lastz_y, table=self.p.linear_gap)
         heads = rows.select("cid", "score", "t_name", "q_name", "q_strand").distinct()
         return fill.spliced(rows, found).join(heads, "cid").select("cid", "score", "t_name", "q_name", "q_strand", "t", "q", "size")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chainspark.functions import gaps, sequences, text
 from chainspark.functions.ordering import indexed, ranked
-from chainspark.operators import align, bundle, chaining, chains, compare, fill, nets, nextfit, partition, seeds, tiles
+from chainspark.operators import absorb, align, bundle, chaining, chains, compare, fill, nets, nextfit, partition, seeds, tiles
 from chainspark.params import Params, from_mapping
 
 
@@ -197,11 +197,11 @@ def test_extension_against_the_plain_recursion():
     for _ in range(60):
         t = dna(rng, rng.randrange(0, 70))
         q = mutated(rng, t, 0.1, 3, 6) if rng.random() < 0.8 else dna(rng, rng.randrange(0, 40))
-        score, blocks, _ = align.grown(as_codes(t), as_codes(q), 10**6)
+        score, blocks, *_ = align.advanced(as_codes(t), as_codes(q), 10**6)
         assert score == plain_extension(t, q)
         assert score == rescored(t, q, [(0, 0, 0), *blocks]) if blocks else score == 0
     t = dna(rng, 30) + dna(rng, 300) + dna(rng, 30)
-    score, _, alive = align.grown(as_codes(t), as_codes(t[:30] + dna(rng, 300) + t[330:]), 910)
+    score, *_, alive = align.advanced(as_codes(t), as_codes(t[:30] + dna(rng, 300) + t[330:]), 910)
     assert score == plain_extension(t[:30], t[:30]) and not alive  # the drop ends it, whatever follows
 
 
@@ -213,13 +213,88 @@ def test_alignments_are_as_long_as_the_drop_allows(spark, monkeypatch):
     q = t[:2000] + t[2150:5000] + dna(rng, 180) + mutated(rng, t[5000:], 0.03, 10)
     target, query = spark.createDataFrame([("a", t), ("b", dna(rng, 500))], "chrom string, seq string"), spark.createDataFrame([("x", q)], "chrom string, seq string")
     pairs = spark.createDataFrame([("a", "x", 1000, 1000, 40), ("a", "x", 3000, 2850, 40)], "t_chrom string, q_chrom string, t long, q long, length long")
-    got = align.gapped(pairs, target, query, 3000, reach=300).collect()
+    got = align.gapped(pairs, target, query, 3000).collect()
+    assert len(got) == 1
     for r in got:
         blocks = [(b.t, b.q, b.size) for b in r.blocks]
         assert blocks[0][:2] == (0, 0) and blocks[-1][0] + blocks[-1][2] > 8900
         assert r.score == rescored(t, q, blocks)
         assert all(b.t_seq == t[b.t : b.t + b.size] and b.q_seq == q[b.q : b.q + b.size] for b in r.blocks)
-    assert len({r.score for r in got}) == 1
+
+
+def test_a_homology_is_aligned_once(spark, monkeypatch):
+    """Many pairs on one homology, over band edges and gaps: few ends move, and one alignment is left of it."""
+    rng = random.Random(19)
+    monkeypatch.setattr(align, "ROWS", 512)
+    monkeypatch.setattr(align, "STRETCHES", 2)
+    t = dna(rng, 9000)
+    q = dna(rng, 600) + mutated(rng, t[500:8500], 0.04, 14, 30) + dna(rng, 300)
+    other = mutated(rng, t[2000:3000], 0.03, 2)  # a second place of some of it
+    target, query = spark.createDataFrame([("a", t)], "chrom string, seq string"), spark.createDataFrame([("x", q), ("y", dna(rng, 400) + other)], "chrom string, seq string")
+    pairs = seeds.hsps(seeds.seed_hits(seeds.kmers(target, 14), seeds.kmers(query, 14), None), 14, target, query, 2400)
+    assert pairs.count() > 10
+    moves = []
+    plain = align._extended
+    monkeypatch.setattr(align, "_extended", lambda starts, *a: moves.append(starts.count()) or plain(starts, *a))
+    got = {r.q_name: r for r in align.gapped(pairs, target, query, 3000).collect()}
+    assert align.gapped(pairs, target, query, 3000).count() == len(got) == 2
+    assert sum(moves) < pairs.count()
+    for name, seq in (("x", q), ("y", dna(random.Random(0), 0) or query.where("chrom = 'y'").first().seq)):
+        r = got[name]
+        blocks = [(b.t, b.q, b.size) for b in r.blocks]
+        assert r.score == rescored(t, seq, blocks)
+        assert all(b.t_seq == t[b.t : b.t + b.size] and b.q_seq == seq[b.q : b.q + b.size] for b in r.blocks)
+    assert got["x"].blocks[0].t < 600 and got["x"].blocks[-1].t + got["x"].blocks[-1].size > 8400
+    assert got["y"].blocks[0].t < 2050 and got["y"].blocks[-1].t + got["y"].blocks[-1].size > 2950
+
+
+def test_alignments_that_are_part_of_a_better_one_go(spark):
+    kind = "aid long, t_name string, q_name string, strand string, score long, blocks array<struct<t:long,q:long,size:long>>"
+    whole = [(0, 10, 40), (45, 50, 55), (120_000, 120_000, 30)]
+    rows = [
+        (1, "t", "q", "+", 90, whole),
+        (2, "t", "q", "+", 90, whole),  # equal: the first stays
+        (3, "t", "q", "+", 50, [(50, 55, 20)]),  # inside
+        (4, "t", "q", "+", 50, [(50, 56, 20)]),  # beside it, on another diagonal
+        (5, "t", "q", "-", 50, [(50, 55, 20)]),
+        (6, "t", "q", "+", 40, [(90, 95, 40)]),  # a quarter of it inside
+        (7, "t", "q", "+", 200, [(45, 50, 30)]),  # inside, but better
+        (8, "u", "q", "+", 200, []),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    assert sorted(r.aid for r in absorb.absorbed(df).collect()) == [1, 4, 5, 6, 7]
+    assert sorted(r.aid for r in absorb.absorbed(df, 0.25).collect()) == [1, 4, 5, 7]
+    assert absorb.absorbed(df.limit(0)).count() == 0
+
+
+def test_weak_stretches_between_strong_ones(spark):
+    """Words too short for seeds elsewhere find what lies between two alignments, at a threshold of its own."""
+    rng = random.Random(23)
+    strong, weak, after = dna(rng, 400), dna(rng, 160), dna(rng, 400)
+    t = strong + dna(rng, 300) + weak + dna(rng, 300) + after
+    odd = "".join(c if i % 9 else "ACGT"[("ACGT".index(c) + 1) % 4] for i, c in enumerate(weak))
+    q = strong + dna(rng, 320) + odd + dna(rng, 310) + after
+    target, query = spark.createDataFrame([("a", t)], "chrom string, seq string"), spark.createDataFrame([("x", q)], "chrom string, seq string")
+    pairs = spark.createDataFrame([("a", "x", 100, 100, 40), ("a", "x", t.index(after) + 100, q.index(after) + 100, 40)], "t_chrom string, q_chrom string, t long, q long, length long")
+    found = align.gapped(pairs, target, query, 3000, drop=910)
+    assert found.count() == 2
+    (r,) = fill.interpolated(found, target, query, 2000, drop=910).collect()
+    assert abs(r.blocks[0].t - 700) < 15 and abs(r.blocks[-1].t + r.blocks[-1].size - 860) < 15 and r.score >= 2000
+    assert r.score == rescored(t, q, [(b.t, b.q, b.size) for b in r.blocks])
+    assert fill.interpolated(found, target, query, r.score + 1, drop=910).count() == 0
+
+
+def test_two_homologies_in_one_gap(spark):
+    """Split by an insertion on one side only, and a third one out of order: the colinear pair is kept."""
+    rng = random.Random(29)
+    one, two, odd = dna(rng, 300), dna(rng, 300), dna(rng, 150)
+    t_seq, q_seq = dna(rng, 100) + one + dna(rng, 200) + two + odd, odd + dna(rng, 90) + one + dna(rng, 2500) + two + dna(rng, 50)
+    gaps = spark.createDataFrame([(1, 0, 1000, 5000, t_seq, q_seq)], "cid long, i long, t_from long, q_from long, t_seq string, q_seq string")
+    got = fill.fillings(gaps, 5000, 2000, 910).orderBy("t").collect()
+    assert {r.part for r in got} == {0, 1}
+    spans = {p: (min(r.t for r in got if r.part == p) - 1000, max(r.t + r.size for r in got if r.part == p) - 1000) for p in (0, 1)}
+    assert spans[0][0] <= 101 and 399 <= spans[0][1] < 480 and 520 < spans[1][0] <= 601 and spans[1][1] >= 899
+    assert all(a.t + a.size <= b.t and a.q + a.size <= b.q for a, b in zip(got, got[1:], strict=False))
 
 
 def test_ungapped_extension_ends_by_the_drop_only(spark):
