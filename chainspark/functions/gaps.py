@@ -84,3 +84,21 @@ def gap_cost_value(dt, dq, table: str = "loose"):
     dt, dq = np.asarray(dt, dtype=np.float64), np.asarray(dq, dtype=np.float64)
     both, one = (dt > 0) & (dq > 0), np.maximum(dt, dq)
     return np.floor(np.where(both, line(dt + dq, t.both_sides), np.where(one > 0, line(one, t.one_side), 0.0))).astype(np.int64)
+
+
+def least_cost(table: str = "loose"):
+    """A function of (dt, dq), two numbers, that no gap of at least so many bases on either side costs less than."""
+    from bisect import bisect_right
+
+    t = TABLES[table]
+
+    def line(x: int, cost: tuple[int, ...]) -> float:
+        k = min(max(bisect_right(t.at, x) - 1, 0), len(t.at) - 2)
+        return cost[0] if x <= t.at[0] else cost[k] + (x - t.at[k]) * (cost[k + 1] - cost[k]) / (t.at[k + 1] - t.at[k])
+
+    def bound(dt: int, dq: int) -> float:
+        if dt > 0 and dq > 0:
+            return line(dt + dq, t.both_sides) - 1  # costs are rounded down
+        return line(max(dt, dq), t.one_side) - 1 if max(dt, dq) > 0 else 0
+
+    return bound

@@ -1,11 +1,13 @@
 """The hierarchical net and cleaning on it, against plain versions."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 
 from chainspark.functions.gaps import gap_cost_value
-from chainspark.operators import cleaning, netlevels
+from chainspark.operators import chaining, cleaning, netlevels
 
 BLOCKS = "t_name string, id string, score long, start long, end long"
 
@@ -131,3 +133,62 @@ def test_scores_of_pieces_with_gaps(spark):
     got = {r.tag: r.score for r in cleaning.piece_scores(fills, blocks).collect()}
     cost = lambda dt, dq: int(gap_cost_value(dt, dq, "loose"))
     assert got == {"x": 26 * 91 - cost(5, 7) - cost(0, 9), "y": 91, "z": 910}
+
+
+# --- chaining in crowded islands ---
+
+
+def plain_links(rows, max_gap, table="loose"):
+    """(total, back, carried) of blocks (t, q, size, weight) in order, every pair looked at."""
+    total, back, carried = [], [], []
+    for j, (t, q, _, weight) in enumerate(rows):
+        best, at = 0, -1
+        for i in range(j):
+            dt, dq = t - rows[i][0] - rows[i][2], q - rows[i][1] - rows[i][2]
+            if 0 <= dt <= max_gap and dq >= 0 and (gain := total[i] - int(gap_cost_value(dt, dq, table))) > best:
+                best, at = gain, i
+        total.append(weight + best)
+        back.append(at)
+        carried.append(best)
+    return total, back, carried
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_of_the_tree_are_those_of_all_pairs(seed, monkeypatch):
+    monkeypatch.setattr(chaining, "LEAF", 4)
+    rng = random.Random(seed)
+    rows = sorted((rng.randrange(0, 900), rng.randrange(0, 900), rng.randrange(1, 30), rng.choice([500, 900, 2000])) for _ in range(250))
+    rows += [rows[-1]] * 3  # equal blocks
+    want = plain_links(rows, 200)
+    t, q, size, weight = np.array(rows).T
+    got = chaining.best_links(t, q, size, weight, "loose", 200)
+    assert [x.tolist() for x in got] == list(want)
+    half = chaining.best_links(t, q, size, weight, "loose", 200, np.array(want[0][:100]))
+    assert half[0].tolist() == want[0] and half[1].tolist()[100:] == want[1][100:]
+
+
+def test_an_island_in_tiles_is_an_island(spark, monkeypatch):
+    """The same chains, members and numbers, whether an island is one task's or goes through many tiles."""
+    rng = random.Random(9)
+    rows = [(k, "t", "q", rng.choice("+-"), t := rng.randrange(0, 9000), max(0, t + rng.randrange(-300, 300)), rng.choice([10, 20, 40, 900 if k % 40 == 0 else 30])) for k in range(700)]
+    rows += [(2000 + k, "u", "q", "+", 10 * k, 11 * k, 5) for k in range(20)]
+    df = spark.createDataFrame(rows, "aid long, t_name string, q_name string, q_strand string, t long, q long, size long")
+    key = lambda r: tuple(map(str, r))
+    whole = sorted(map(tuple, chaining.chained(df, 1000, "loose", 400).collect()), key=key)
+    monkeypatch.setattr(chaining, "TILE_BLOCKS", 60)
+    parts = sorted(map(tuple, chaining.chained(df, 1000, "loose", 400).collect()), key=key)
+    assert parts == whole and max(r[6] for r in whole) > 60
+
+
+def test_a_crowded_island_is_not_quadratic():
+    """Twice the blocks in one island take about twice the time."""
+    rng = np.random.default_rng(3)
+    took = []
+    for n in (4000, 16000):
+        t = np.sort(rng.integers(0, 50_000, n))
+        q = np.maximum(0, t + rng.integers(-20_000, 20_000, n))
+        size = rng.integers(5, 40, n)
+        began = time.process_time()
+        chaining.best_links(t, q, size, size * 91, "loose", 100_000)
+        took.append(time.process_time() - began)
+    assert took[1] < 9 * took[0]
