@@ -88,8 +88,13 @@ def merged(*parts: DataFrame) -> DataFrame:
 
 
 def renumbered(chains: DataFrame) -> DataFrame:
-    """`chains` with new_id from 1 in the order of their ids, as a merge renames them; ids that several files use follow each other by score, best first, then by place."""
-    order = [F.col("id").asc(), F.desc("score"), *[F.col(c).asc() for c in ("t_name", "t_start", "q_name", "q_start", "q_strand")]]
+    """`chains` with new_id from 1 in the order of their ids, as a merge renames them.
+
+    Ids that are numbers go by number, before all others, which go by text; ids that several files use
+    follow each other by score, best first, then by place.
+    """
+    number = F.when(F.col("id").cast("string").rlike("^[0-9]{1,38}$"), F.col("id").cast("string").try_cast("decimal(38,0)"))
+    order = [number.asc_nulls_last(), F.col("id").asc(), F.desc("score"), *[F.col(c).asc() for c in ("t_name", "t_start", "q_name", "q_start", "q_strand")]]
     return ranked(chains, order).withColumn("new_id", F.col("idx") + 1).drop("idx")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import sequences, text
 from ..functions.gaps import gap_cost, gap_cost_sql
 from ..operators import absorb, align, antirepeat, bundle, chaining, chains, cleaning, compare, fill, netlevels, nets, partition, psl, seeds, tiles
+from ..sources import axt_text
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -542,6 +543,31 @@ def axt_to_psl(spark, d):
     return psl.from_blocks(_gapped(spark, d))
 
 
+AXT_SQL = f"""{a.GENOME_SQL}, lines AS (SELECT chrom, replace(seq, 'T', '-') AS t_line, translate(replace(seq, 'G', '-'), 'ac', 'ca') AS q_line FROM genome),
+columns AS (SELECT chrom, k AS i, substring(t_line, k, 1) AS x, substring(q_line, k, 1) AS y FROM (SELECT *, unnest(range(1, length(t_line) + 1)) AS k FROM lines)),
+counted AS (SELECT *, x <> '-' AND y <> '-' AS both_there, (sum((x <> '-')::INT) OVER w)::BIGINT - (x <> '-')::INT AS t, (sum((y <> '-')::INT) OVER w)::BIGINT - (y <> '-')::INT AS q FROM columns WINDOW w AS (PARTITION BY chrom ORDER BY i)),
+there AS (SELECT *, i - row_number() OVER (PARTITION BY chrom ORDER BY i) AS run FROM counted WHERE both_there),
+axt_blocks AS (SELECT chrom, run, min(t) AS t, min(q) AS q, count(*) AS size, count(*) FILTER (WHERE upper(x) = upper(y) AND upper(x) <> 'N') AS matches, count(*) FILTER (WHERE upper(x) <> upper(y) AND upper(x) <> 'N' AND upper(y) <> 'N') AS mismatches,
+  count(*) FILTER (WHERE x IN ('a', 'c', 'g', 't')) AS masked, count(*) FILTER (WHERE upper(x) = 'N' OR upper(y) = 'N') AS unknown FROM there GROUP BY 1, 2),
+axt_gaps AS (SELECT *, t - lag(t + size) OVER (PARTITION BY chrom ORDER BY run) AS dt, q - lag(q + size) OVER (PARTITION BY chrom ORDER BY run) AS dq FROM axt_blocks)"""
+
+
+@query(f"""WITH {AXT_SQL} SELECT 't' || chrom AS t_name, sum(matches)::BIGINT AS matches, sum(mismatches)::BIGINT AS mismatches, sum(masked)::BIGINT AS rep_matches, sum(unknown)::BIGINT AS n_count,
+  count(*) FILTER (WHERE dq > 0) AS q_num_insert, coalesce(sum(dq), 0)::BIGINT AS q_base_insert, count(*) FILTER (WHERE dt > 0) AS t_num_insert, coalesce(sum(dt), 0)::BIGINT AS t_base_insert,
+  chrom % 2 = 1 AS minus, (CASE WHEN chrom % 2 = 1 THEN 1000000 - (chrom + max(q + size)) ELSE chrom + min(q) END)::BIGINT AS q_start, (chrom + min(t))::BIGINT AS t_start, (chrom + max(t + size))::BIGINT AS t_end, count(*) AS block_count, string_agg(size::VARCHAR, ',' ORDER BY run) AS sizes FROM axt_gaps GROUP BY chrom""")
+def axt_text_to_psl(spark, d):
+    """AXT text, made of each document's bases with gaps on both lines, read as blocks and turned to PSL."""
+    g = a.genome(spark, d)
+    t_line, q_line = F.translate("seq", "T", "-"), F.translate(F.translate("seq", "G", "-"), "ac", "ca")
+    n = lambda line: F.length(F.replace(line, F.lit("-"), F.lit("")))
+    at = lambda c: c.cast("string")
+    head = F.concat_ws(" ", at(F.col("chrom")), F.concat(F.lit("t"), at(F.col("chrom"))), at(F.col("chrom") + 1), at(F.col("chrom") + n(t_line)), F.lit("q"), at(F.col("chrom") + 1), at(F.col("chrom") + n(q_line)), F.when(F.col("chrom") % 2 == 1, "-").otherwise("+"), F.lit("0"))
+    got = axt_text.with_blocks(axt_text.parsed(g.select(F.concat_ws("\n", F.lit("# made of a document"), head, t_line, q_line, F.lit("")).alias("value")))).where(F.size("blocks") > 0)
+    sized = axt_text.sized(got, got.select(F.col("t_name").alias("chrom"), F.lit(1_000_000).alias("size")), spark.createDataFrame([("q", 1_000_000)], "chrom string, size long"))
+    names = ["t_name", "matches", "mismatches", "rep_matches", "n_count", "q_num_insert", "q_base_insert", "t_num_insert", "t_base_insert"]
+    return psl.from_blocks(sized).select(*names, (F.col("strand") == "-").alias("minus"), "q_start", "t_start", "t_end", "block_count", F.array_join(F.col("block_sizes").cast("array<string>"), ",").alias("sizes"))
+
+
 @query()
 def chain_dp(spark, d):
     """Best colinear chains of each user's events of a type."""

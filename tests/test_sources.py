@@ -183,3 +183,48 @@ def test_genome_store_opens_one_chromosome(spark, tmp_path):
     one = back.where("chrom = 'a'")
     assert sorted((r.chrom, r.chunk_start, r.seq) for r in one.collect()) == rows[:2]
     assert {r.chrom: r["size"] for r in sequences.lengths(back).collect()} == {"a": 6, "b": 3}
+
+
+AXT = """##a comment
+0 t1 101 108 q1 11 17 + 500
+ACGT-ACGT
+ac-TTACG-
+
+# another
+1 t2 1 4 q 3 6 - -7
+NNAC
+ACAC
+
+"""
+
+
+def test_axt_text(spark, tmp_path):
+    """Comments, gaps on both lines, unequal lines; text to blocks, and back to the same text."""
+    from chainspark.sources import axt_text
+
+    (tmp_path / "a.axt").write_text(AXT)
+    rows = axt_text.read_axt(spark, str(tmp_path / "a.axt"))
+    got = {r.t_name: r for r in axt_text.with_blocks(rows).collect()}
+    assert [tuple(b) for b in got["t1"].blocks] == [(100, 10, 2, "AC", "ac"), (103, 12, 1, "T", "T"), (104, 14, 3, "ACG", "ACG")]
+    assert (got["t2"].strand, got["t2"].score, [tuple(b)[:3] for b in got["t2"].blocks]) == ("-", -7, [(0, 2, 4)])
+    axt_text.write_axt(rows, str(tmp_path / "out"))
+    again = axt_text.read_axt(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows.collect()))
+    bad = spark.createDataFrame([("5 t 1 4 q 1 3 + 1\nACGT\nACG\n",)], "value string")
+    with pytest.raises(Exception, match="record 5"):
+        axt_text.with_blocks(axt_text.parsed(bad)).collect()
+    assert axt_text.parsed(spark.createDataFrame([("# only\n",), ("",)], "value string")).count() == 0
+
+
+def test_alignments_to_axt_text(spark, tmp_path):
+    from chainspark.sources import axt_text
+
+    target, query = spark.createDataFrame([("t", "GGACGTTTACCA")], "chrom string, seq string"), spark.createDataFrame([("q", "ACTTGGACCA")], "chrom string, seq string")
+    kind = "t_name string, q_name string, strand string, score long, blocks array<struct<t:long,q:long,size:long>>"
+    one = spark.createDataFrame([("t", "q", "+", 9, [(2, 0, 2), (5, 2, 2), (8, 6, 4)]), ("t", "q", "+", 3, [])], kind)
+    axt = axt_text.numbered(axt_text.gapped_lines(one, target, query))
+    (r,) = axt.collect()
+    assert (r.n, r.t_line, r.q_line) == (0, "ACGTTT--ACCA", "AC-TT-GGACCA")
+    axt_text.write_axt(axt, str(tmp_path / "x"), gzip=False)
+    back = axt_text.with_blocks(axt_text.read_axt(spark, str(tmp_path / "x"))).first()
+    assert [tuple(b)[:3] for b in back.blocks] == [(2, 0, 2), (5, 2, 2), (8, 6, 4)] and (back.t_start, back.t_end) == (2, 12)
