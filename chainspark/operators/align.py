@@ -23,15 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.sequences import letter_codes, score_matrix
+from ..functions.sequences import DEFAULT, Scoring, letter_codes, score_matrix
 from ..scratch import Scratch
 from .absorb import absorbed
 from .tiles import lengths, tiles, with_bases
 
-# --- fixed values: penalties of the alignment
-GAP_OPEN, GAP_EXTEND = 400, 30
-# --- end of fixed values
-_LETTERS, _MATRIX = letter_codes(), score_matrix()
+_LETTERS = letter_codes()
 _LOW = -(10**12)
 
 
@@ -43,12 +40,12 @@ STRETCHES = 16
 BAND, LINK = 1024, 4096
 
 
-def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bool, list[list[int]]]:
+def _stretch(a: np.ndarray, b: np.ndarray, drop: int, scoring: Scoring, matrix: np.ndarray) -> tuple[int, int, int, bool, list[list[int]]]:
     """(score, rows, columns, alive, blocks) of the best path from the corner over all of `a`, or until the drop ends it."""
-    n, m = len(a), len(b)
-    width = (max(0, drop - GAP_OPEN) // GAP_EXTEND) + 1  # columns that a gap can add before the drop
+    n, m, gap_open, gap_extend = len(a), len(b), scoring.gap_open, scoring.gap_extend
+    width = (max(0, drop - gap_open) // max(1, gap_extend)) + 1  # columns that a gap can add before the drop
     hi = min(m, width)
-    best = np.append(0, -GAP_OPEN - GAP_EXTEND * np.arange(1, hi + 1, dtype=np.int64))
+    best = np.append(0, -gap_open - gap_extend * np.arange(1, hi + 1, dtype=np.int64))
     up = np.full(hi + 1, _LOW, dtype=np.int64)
     lo, top, at = 0, 0, (0, 0)
     trace: list[tuple[int, np.ndarray]] = [(0, np.append(0, np.full(hi, 3)).astype(np.int8))]
@@ -59,17 +56,17 @@ def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bo
         k = end - lo + 1
         old, old_up = np.full(k, _LOW, dtype=np.int64), np.full(k, _LOW, dtype=np.int64)
         old[: len(best)], old_up[: len(up)] = best[:k], up[:k]
-        opened, longer = old - GAP_OPEN - GAP_EXTEND, old_up - GAP_EXTEND
+        opened, longer = old - gap_open - gap_extend, old_up - gap_extend
         new_up = np.maximum(opened, longer)
         diag = np.full(k, _LOW, dtype=np.int64)
-        diag[1:] = old[:-1] + _MATRIX[a[i - 1], b[lo:end]]
+        diag[1:] = old[:-1] + matrix[a[i - 1], b[lo:end]]
         row = np.maximum(diag, new_up)
         # a gap along the row: the running maximum of what opened it, less what it has cost so far
-        lead = np.maximum.accumulate(row + np.arange(k) * GAP_EXTEND)
-        left = np.append(_LOW, lead[:-1] - GAP_OPEN - np.arange(1, k) * GAP_EXTEND)
+        lead = np.maximum.accumulate(row + np.arange(k) * gap_extend)
+        left = np.append(_LOW, lead[:-1] - gap_open - np.arange(1, k) * gap_extend)
         score = np.maximum(row, left)
         step = np.where(score == diag, 1, np.where(score == new_up, 2, 3)) + np.where(opened >= longer, 4, 0)
-        step += np.where(left == np.append(_LOW, row[:-1] - GAP_OPEN - GAP_EXTEND), 8, 0)
+        step += np.where(left == np.append(_LOW, row[:-1] - gap_open - gap_extend), 8, 0)
         j = int(score.argmax())
         if score[j] > top:
             top, at = int(score[j]), (i, lo + j)
@@ -103,17 +100,17 @@ def _stretch(a: np.ndarray, b: np.ndarray, drop: int) -> tuple[int, int, int, bo
     return top, at[0], at[1], bool(len(best)) or edge, blocks[::-1]
 
 
-def advanced(a: np.ndarray, b: np.ndarray, drop: int, a_end: bool = True, b_end: bool = True, step: int = ROWS) -> tuple[int, list[list[int]], int, int, bool]:
+def advanced(a: np.ndarray, b: np.ndarray, drop: int, a_end: bool = True, b_end: bool = True, step: int = ROWS, scoring: Scoring = DEFAULT) -> tuple[int, list[list[int]], int, int, bool]:
     """(score, blocks, rows, columns, alive) of the extension from the corner of two stretches of codes.
 
     a_end, b_end: whether the sequences end there; step: rows between commits. Alive: it may go on, from the
     place given, with more bases.
     """
-    total, blocks, i, j = 0, [], 0, 0
+    total, blocks, i, j, matrix = 0, [], 0, 0, score_matrix(scoring)
     while True:
         if len(a) - i < step and not a_end or len(b) - j < 2 * step and not b_end:
             return total, blocks, i, j, True
-        score, di, dj, alive, more = _stretch(a[i : i + step], b[j : j + 2 * step], drop)
+        score, di, dj, alive, more = _stretch(a[i : i + step], b[j : j + 2 * step], drop, scoring, matrix)
         for x, y, n in more:
             _append(blocks, i + x, j + y, n)
         total, i, j = total + score, i + di, j + dj
@@ -133,11 +130,11 @@ def codes(seq: str) -> np.ndarray:
     return _LETTERS[np.frombuffer(seq.encode(), dtype=np.uint8)]
 
 
-def around(t: str, q: str, t_at: int, q_at: int, drop: int) -> tuple[int, list[tuple[int, int, int]]]:
+def around(t: str, q: str, t_at: int, q_at: int, drop: int, scoring: Scoring = DEFAULT) -> tuple[int, list[tuple[int, int, int]]]:
     """(score, blocks (t, q, size)) of the alignment through a pair of places of two whole stretches."""
     a, b = codes(t), codes(q)
-    right, ahead, *_ = advanced(a[t_at:], b[q_at:], drop)
-    left, behind, *_ = advanced(a[:t_at][::-1], b[:q_at][::-1], drop)
+    right, ahead, *_ = advanced(a[t_at:], b[q_at:], drop, scoring=scoring)
+    left, behind, *_ = advanced(a[:t_at][::-1], b[:q_at][::-1], drop, scoring=scoring)
     blocks: list[list[int]] = []
     for x, y, n in reversed(behind):
         _append(blocks, t_at - x - n, q_at - y - n, n)
@@ -165,7 +162,7 @@ def _starts(pairs: DataFrame, wave: int) -> DataFrame:
     return rows.groupBy(*by, "cluster").agg(best.alias("p")).select("p.*")
 
 
-def _extended(starts: DataFrame, target: DataFrame, query: DataFrame, drop: int, scratch: Scratch) -> DataFrame:
+def _extended(starts: DataFrame, target: DataFrame, query: DataFrame, drop: int, scratch: Scratch, scoring: Scoring) -> DataFrame:
     """(aid, t_chrom, q_chrom, t_size, q_size, score, blocks): both ends of every start moved on until they end."""
     half, step = F.floor(F.col("length") / 2), ROWS
     ends = starts.select("aid", *_PAIR, "t_size", "q_size", F.explode(F.array(F.lit(1), F.lit(-1))).alias("side"), (F.col("t") + half).alias("t"), (F.col("q") + half).alias("q"))
@@ -175,7 +172,7 @@ def _extended(starts: DataFrame, target: DataFrame, query: DataFrame, drop: int,
             out = []
             for r in pdf.itertuples():
                 a, b, on = codes(r.t_seq), codes(r.q_seq), r.side > 0
-                score, found, i, j, alive = advanced(a if on else a[::-1], b if on else b[::-1], drop, r.t1 == r.t_size if on else r.t0 == 0, r.q1 == r.q_size if on else r.q0 == 0, step)
+                score, found, i, j, alive = advanced(a if on else a[::-1], b if on else b[::-1], drop, r.t1 == r.t_size if on else r.t0 == 0, r.q1 == r.q_size if on else r.q0 == 0, step, scoring)
                 at = [(r.t + x, r.q + y, n) if on else (r.t - x - n, r.q - y - n, n) for x, y, n in found]
                 cut = [{"t": t, "q": q, "size": n, "t_seq": r.t_seq[t - r.t0 : t - r.t0 + n], "q_seq": r.q_seq[q - r.q0 : q - r.q0 + n]} for t, q, n in at]
                 out.append((r.aid, r.t_chrom, r.q_chrom, r.t_size, r.q_size, r.side, r.t + r.side * i, r.q + r.side * j, alive, score, cut))
@@ -221,7 +218,7 @@ def _uncovered(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(b, same & (F.col("_lo") < F.col("t") + F.col("length")) & (F.col("_hi") > F.col("t")), "left_anti")
 
 
-def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, drop: int = 9400, share: float = 0.95) -> DataFrame:
+def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int, drop: int = 9400, share: float = 0.95, scoring: Scoring = DEFAULT) -> DataFrame:
     """(t_name, t_size, q_name, q_size, strand, score, blocks) of alignments of at least `threshold`, each homology once.
 
     blocks: array<struct<t, q, size, t_seq, q_seq>>. pairs: (t_chrom, q_chrom, t, q, length) and, where known,
@@ -237,7 +234,7 @@ def gapped(pairs: DataFrame, target: DataFrame, query: DataFrame, threshold: int
     found = None
     for wave in range(3):
         starts = scratch.keep(_starts(left, wave), "starts")
-        got = scratch.keep(_extended(starts, target, query, drop, scratch).where(F.col("score") >= threshold), "aligned")
+        got = scratch.keep(_extended(starts, target, query, drop, scratch, scoring).where(F.col("score") >= threshold), "aligned")
         found = got if found is None else found.union(got)
         left = scratch.keep(_uncovered(left.join(starts.select("aid"), "aid", "left_anti"), got), "left")
         if left.isEmpty():

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions.gaps import gap_cost
 from ..functions.ordering import indexed, ranked
-from ..functions.sequences import pairs_total
+from ..functions.sequences import DEFAULT, Scoring, pairs_total
 from .tiles import TILE, aligned_bases
 
 
@@ -57,7 +57,7 @@ def scores(blocks: DataFrame, per_base: Column | int = 91, table: str = "loose")
     return blocks.groupBy("cid").agg(F.sum(part).cast("long").alias("score"))
 
 
-def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame, chains: DataFrame, table: str = "loose") -> DataFrame:
+def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame, chains: DataFrame, table: str = "loose", scoring: Scoring = DEFAULT) -> DataFrame:
     """(cid, score) from the bases themselves: each block's pairs by their substitution scores, less the cost of the gaps.
 
     chains: (cid, t_name, t_start, q_name, q_start, q_size, q_strand), query places counted on the
@@ -70,7 +70,7 @@ def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame,
     step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(TILE).cast("long"))).alias("k")
     piece = piece.select("cid", "t_name", "q_name", "q_strand", "q_size", "t", "q", "size", step).select("cid", "t_name", "q_name", "q_strand", "q_size", (F.col("t") + F.col("k")).alias("t"), (F.col("q") + F.col("k")).alias("q"), F.least(F.col("size") - F.col("k"), F.lit(TILE)).alias("n"))
     both = aligned_bases(piece, genome_t, genome_q)
-    total = pairs_total(F.col("t_seq"), F.col("q_seq"))
+    total = pairs_total(F.col("t_seq"), F.col("q_seq"), scoring)
     aligned = both.groupBy("cid").agg(F.sum(total).alias("aligned"))
     cost = blocks.groupBy("cid").agg(F.sum(gap_cost(F.col("dt"), F.col("dq"), table)).alias("cost"))
     return cost.join(aligned, "cid", "left").select("cid", (F.coalesce("aligned", F.lit(0)) - F.col("cost")).cast("long").alias("score"))

@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.gaps import gap_cost_value
-from ..functions.sequences import letter_codes, score_matrix
+from ..functions.sequences import DEFAULT, Scoring, letter_codes, score_matrix
 from .align import around, codes
 from .tiles import on_strand, with_bases
 
-_LETTERS, _MATRIX = letter_codes(), score_matrix()
+_LETTERS = letter_codes()
 
 
 def gap_sequences(gaps: DataFrame, target: DataFrame, query: DataFrame, unmask: bool = True) -> DataFrame:
@@ -49,7 +49,7 @@ def _words(seq: str, k: int) -> tuple[np.ndarray, np.ndarray]:
     return view[ok] @ (4 ** np.arange(k, dtype=np.int64)), ok
 
 
-def anchors(t: str, q: str, k: int = 11) -> list[tuple[int, int, int, int]]:
+def anchors(t: str, q: str, k: int = 11, scoring: Scoring = DEFAULT) -> list[tuple[int, int, int, int]]:
     """(score, t, q, size) of the best ungapped stretch on each diagonal with a common word, best first."""
     (a, pa), (b, pb) = _words(t, k), _words(q, k)
     order = np.argsort(b, kind="stable")
@@ -57,12 +57,12 @@ def anchors(t: str, q: str, k: int = 11) -> list[tuple[int, int, int, int]]:
     diagonals: set[int] = set()
     for i in np.flatnonzero(hi > lo).tolist():
         diagonals.update((pb[order[lo[i] : hi[i]]] - pa[i]).tolist())
-    x, y = codes(t), codes(q)
+    x, y, matrix = codes(t), codes(q), score_matrix(scoring)
     out = []
     for d in sorted(diagonals):
         first = max(0, -d)
         n = min(len(x) - first, len(y) - first - d)
-        sums = np.append(0, np.cumsum(_MATRIX[x[first : first + n], y[first + d : first + d + n]]))
+        sums = np.append(0, np.cumsum(matrix[x[first : first + n], y[first + d : first + d + n]]))
         low = np.minimum.accumulate(sums)
         end = int((sums - low).argmax())
         begin = int(sums[: end + 1].argmin())
@@ -70,15 +70,15 @@ def anchors(t: str, q: str, k: int = 11) -> list[tuple[int, int, int, int]]:
     return sorted(out, key=lambda x: (-x[0], x[1], x[2]))
 
 
-def local_alignments(t: str, q: str, k: int, least: int, threshold: int, drop: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
+def local_alignments(t: str, q: str, k: int, least: int, threshold: int, drop: int, scoring: Scoring = DEFAULT) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """(score, blocks) of the alignments of at least `threshold` from anchors of at least `least`."""
     found: list[tuple[int, list[tuple[int, int, int]]]] = []
-    for score, at, to, n in anchors(t, q, k):
+    for score, at, to, n in anchors(t, q, k, scoring):
         if score < least:
             break
         if any(b[1] - b[0] == to - at and b[0] < at + n and b[0] + b[2] > at for _, own in found for b in own):
             continue
-        total, blocks = around(t, q, at + n // 2, to + n // 2, drop)
+        total, blocks = around(t, q, at + n // 2, to + n // 2, drop, scoring)
         if total >= threshold:
             found.append((total, blocks))
     return found
@@ -102,14 +102,14 @@ def colinear(found: list[tuple[int, list[tuple[int, int, int]]]], table: str = "
     return out[::-1]
 
 
-def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: int = 9400, k: int = 11, table: str = "loose") -> DataFrame:
+def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: int = 9400, k: int = 11, table: str = "loose", scoring: Scoring = DEFAULT) -> DataFrame:
     """(cid, i, part, score, t, q, size): blocks of the colinear alignments in each gap, of at least `threshold` each."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                for part, (score, found) in enumerate(colinear(local_alignments(r.t_seq, r.q_seq, k, min(least, threshold), threshold, drop), table)):
+                for part, (score, found) in enumerate(colinear(local_alignments(r.t_seq, r.q_seq, k, min(least, threshold), threshold, drop, scoring), table)):
                     out += [(r.cid, r.i, part, score, r.t_from + t, r.q_from + q, n) for t, q, n in found]
             yield pd.DataFrame(out, columns=["cid", "i", "part", "score", "t", "q", "size"])
 
@@ -120,7 +120,7 @@ def fillings(gaps: DataFrame, threshold: int = 5000, least: int = 2000, drop: in
 INNER, INNER_WORD = 20_000, 7
 
 
-def interpolated(alignments: DataFrame, target: DataFrame, query: DataFrame, threshold: int = 2000, drop: int = 9400, k: int = INNER_WORD, most: int = INNER) -> DataFrame:
+def interpolated(alignments: DataFrame, target: DataFrame, query: DataFrame, threshold: int = 2000, drop: int = 9400, k: int = INNER_WORD, most: int = INNER, scoring: Scoring = DEFAULT) -> DataFrame:
     """Alignments like the given ones, found by shorter words in the boxes between neighbours, at a threshold of their own.
 
     alignments: as `gapped` returns them. Neighbours follow each other on the target, and a box is the room
@@ -138,7 +138,7 @@ def interpolated(alignments: DataFrame, target: DataFrame, query: DataFrame, thr
         for pdf in it:
             out = []
             for r in pdf.itertuples():
-                for score, found in colinear(local_alignments(r.t_seq, r.q_seq, k, threshold, threshold, drop)):
+                for score, found in colinear(local_alignments(r.t_seq, r.q_seq, k, threshold, threshold, drop, scoring)):
                     cut = [{"t": r.t_from + t, "q": r.q_from + q, "size": n, "t_seq": r.t_seq[t : t + n], "q_seq": r.q_seq[q : q + n]} for t, q, n in found]
                     out.append((r.t_name, r.t_size, r.q_name, r.q_size, "+", score, cut))
             yield pd.DataFrame(out, columns=["t_name", "t_size", "q_name", "q_size", "strand", "score", "blocks"])

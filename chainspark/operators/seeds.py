@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.sequences import pair_score, pairs_total
+from ..functions.sequences import DEFAULT, Scoring, pair_score, pairs_total
 from ..scratch import Scratch
 from .tiles import fetched, lengths, tiles, with_bases
 
@@ -66,7 +66,7 @@ def seed_runs(hits: DataFrame, k: int) -> DataFrame:
     return rows.groupBy("t_chrom", "q_chrom", "diag", "run").agg(F.min("t_pos").alias("t"), (F.max("t_pos") + k - F.min("t_pos")).alias("length")).select("t_chrom", "q_chrom", "t", (F.col("t") - F.col("diag")).alias("q"), "length")
 
 
-def _walked(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int) -> DataFrame:
+def _walked(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int, scoring: Scoring) -> DataFrame:
     """`rows` (t_chrom, q_chrom, t, q, length, t_size, q_size, core, and _sum, _best, _at, _k of one side) walked on by `reach` bases; `_over` where that side is done."""
     t_end, q_end = F.col("t") + F.col("length"), F.col("q") + F.col("length")
     room = F.least(F.col("t_size") - t_end, F.col("q_size") - q_end) if ahead else F.least("t", "q")
@@ -75,7 +75,7 @@ def _walked(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, d
     at = rows.withColumn("_n", n).withColumn("_t0", lo("t", t_end)).withColumn("_q0", lo("q", q_end)).withColumn("_t1", F.col("_t0") + n).withColumn("_q1", F.col("_q0") + n)
     at = with_bases(with_bases(at, target, "t_chrom", "_t0", "_t1", "_a"), query, "q_chrom", "_q0", "_q1", "_b")
     turn = (lambda c: c) if ahead else F.reverse
-    score = F.zip_with(F.split(turn(F.col("_a")), ""), F.split(turn(F.col("_b")), ""), pair_score)
+    score = F.zip_with(F.split(turn(F.col("_a")), ""), F.split(turn(F.col("_b")), ""), lambda x, y: pair_score(x, y, scoring))
     start = F.struct(F.col("_sum").alias("sum"), F.col("_best").alias("best"), F.col("_at").alias("at"), F.col("_k").alias("k"), F.lit(False).alias("over"))
 
     def step(a, s):
@@ -90,12 +90,12 @@ def _walked(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, d
     return got.select(*[c for c in rows.columns if not c.startswith("_")], F.col("_w.sum").alias("_sum"), F.col("_w.best").alias("_best"), F.col("_w.at").alias("_at"), F.col("_w.k").alias("_k"), over.alias("_over"))
 
 
-def _side(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int, scratch: Scratch) -> DataFrame:
+def _side(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, drop: int, reach: int, scratch: Scratch, scoring: Scoring) -> DataFrame:
     """`rows` with (best, at) of one side: the best score beyond the run, and the bases that lead to it."""
     zero = F.lit(0).cast("long")
     on, done = rows.withColumns({"_sum": zero, "_best": zero, "_at": zero, "_k": zero}), None
     while True:
-        on, n = scratch.counted(_walked(on, target, query, ahead, drop, reach), "walked")
+        on, n = scratch.counted(_walked(on, target, query, ahead, drop, reach, scoring), "walked")
         ended = on.where("_over")
         done = ended if done is None else done.union(ended)
         left = on.where("not _over").drop("_over")
@@ -105,7 +105,7 @@ def _side(rows: DataFrame, target: DataFrame, query: DataFrame, ahead: bool, dro
     return done.select(*rows.columns, F.col("_best").alias("best"), F.col("_at").alias("at"))
 
 
-def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, reach: int = 128) -> DataFrame:
+def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, reach: int = 128, scoring: Scoring = DEFAULT) -> DataFrame:
     """(t_chrom, q_chrom, t, q, length, score): exact runs with what lies around them.
 
     On each side the score is summed base by base; the walk ends where it has fallen more than `drop`
@@ -118,10 +118,10 @@ def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, re
     rows = runs.select(F.col("t_chrom").cast("string").alias("t_chrom"), F.col("q_chrom").cast("string").alias("q_chrom"), "t", "q", "length")
     target, query = scratch.keep(tiles(target), "target"), scratch.keep(tiles(query), "query")  # each stretch reads them again
     rows = rows.join(size(target, "t"), "t_chrom").join(size(query, "q"), "q_chrom")
-    rows = with_bases(rows.withColumn("_t1", F.col("t") + F.col("length")), target, "t_chrom", "t", "_t1", "_core").withColumn("core", pairs_total(F.col("_core"), F.col("_core"))).drop("_t1", "_core")
+    rows = with_bases(rows.withColumn("_t1", F.col("t") + F.col("length")), target, "t_chrom", "t", "_t1", "_core").withColumn("core", pairs_total(F.col("_core"), F.col("_core"), scoring)).drop("_t1", "_core")
     rows = scratch.keep(rows, "runs")
     key = ["t_chrom", "q_chrom", "t", "q", "length"]
-    right, left = _side(rows, target, query, True, drop, reach, scratch), _side(rows, target, query, False, drop, reach, scratch)
+    right, left = _side(rows, target, query, True, drop, reach, scratch, scoring), _side(rows, target, query, False, drop, reach, scratch, scoring)
     both = right.select(*key, "core", F.col("best").alias("r"), F.col("at").alias("r_at")).join(left.select(*key, F.col("best").alias("l"), F.col("at").alias("l_at")), key)
     return both.select(
         F.col("t_chrom").cast(names["t_chrom"]).alias("t_chrom"), F.col("q_chrom").cast(names["q_chrom"]).alias("q_chrom"), (F.col("t") - F.col("l_at")).alias("t"), (F.col("q") - F.col("l_at")).alias("q"),
@@ -129,6 +129,6 @@ def extended(runs: DataFrame, target: DataFrame, query: DataFrame, drop: int, re
     ).distinct()
 
 
-def hsps(hits: DataFrame, k: int, target: DataFrame, query: DataFrame, threshold: int, drop: int = 910, reach: int = 128) -> DataFrame:
+def hsps(hits: DataFrame, k: int, target: DataFrame, query: DataFrame, threshold: int, drop: int = 910, reach: int = 128, scoring: Scoring = DEFAULT) -> DataFrame:
     """High-scoring pairs of at least `threshold`."""
-    return extended(seed_runs(hits, k), target, query, drop, reach).where(F.col("score") >= threshold)
+    return extended(seed_runs(hits, k), target, query, drop, reach, scoring).where(F.col("score") >= threshold)

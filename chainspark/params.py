@@ -42,6 +42,8 @@ class Params:
     clean_max_suspect: int = 100_000
     clean_min_broken: int = 75_000
     antirepeat_min_score: int = 5_000
+    #: A file of substitution scores and gap costs of the alignment; None: the defaults.
+    score_scheme: str | None = None
     start: str = "full"
 
     def errors(self) -> list[str]:

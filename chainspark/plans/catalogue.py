@@ -349,15 +349,40 @@ pos AS (SELECT cid, substring(g.seq, (t + k + 1)::BIGINT, 1) AS x,
   WHERE t + k < length(g.seq) AND q + k < length(p.seq))"""
 
 
-@query(f"""WITH {_LAID_SQL}, hit AS (SELECT cid, sum({sequences.pair_score_sql('x', 'y')})::BIGINT AS s FROM pos GROUP BY cid), cost AS (SELECT cid, sum({gap_cost_sql('dt', 'dq')})::BIGINT AS c, sum(size)::BIGINT AS bases FROM blocks GROUP BY cid)
-SELECT cid, (coalesce(s, 0) - c)::BIGINT AS score FROM cost LEFT JOIN hit USING (cid)""")
+def _score_sql(scoring: sequences.Scoring) -> str:
+    return f"""WITH {_LAID_SQL}, hit AS (SELECT cid, sum({sequences.pair_score_sql('x', 'y', scoring)})::BIGINT AS s FROM pos GROUP BY cid), cost AS (SELECT cid, sum({gap_cost_sql('dt', 'dq')})::BIGINT AS c, sum(size)::BIGINT AS bases FROM blocks GROUP BY cid)
+SELECT cid, (coalesce(s, 0) - c)::BIGINT AS score FROM cost LEFT JOIN hit USING (cid)"""
+
+
+#: Another score file than the default one.
+SCHEME = """# matches alike, transitions cheaper
+A C G T
+100 -90 -40 -90
+-90 100 -90 -40
+-40 -90 100 -90
+-90 -40 -90 100
+O = 600, E = 50
+"""
+
+
+@query(_score_sql(sequences.DEFAULT))
 def sequence_score(spark, d):
     """Chains rescored from the bases under their blocks, on both strands."""
+    return _sequence_scores(spark, d, sequences.DEFAULT)
+
+
+@query(_score_sql(sequences.scoring_of(SCHEME)))
+def sequence_score_scheme(spark, d):
+    """The same chains under another substitution matrix, as a score file gives it."""
+    return _sequence_scores(spark, d, sequences.scoring_of(SCHEME))
+
+
+def _sequence_scores(spark, d, scoring):
     b, g = a.blocks(spark, d), a.genome(spark, d)
     n = F.broadcast(g.agg(F.count("*").alias("n")))
     heads = b.select("cid").distinct().crossJoin(n).select("cid", (F.col("cid") % F.col("n")).alias("t_name"), (F.col("cid") % 50).alias("t_start"), ((F.col("cid") * 7) % F.col("n")).alias("q_name"), (F.col("cid") % 30).alias("q_start"), F.when(F.col("cid") % 3 == 0, "-").otherwise("+").alias("q_strand"))
     size = g.select(F.col("chrom").alias("q_name"), F.length("seq").cast("long").alias("q_size"))
-    return chains.sequence_scores(b, g, g, heads.join(size, "q_name"))
+    return chains.sequence_scores(b, g, g, heads.join(size, "q_name"), scoring=scoring)
 
 
 @query(f"WITH {a.HEADERS_SQL} SELECT {', '.join(_COLUMNS)}, row_number() OVER (ORDER BY id, score DESC, t_name, t_start, q_name, q_start, q_strand) AS new_id FROM headers")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.sequences import reverse_complement
+from ..functions.sequences import DEFAULT, read_scoring, reverse_complement
 from ..operators import align, antirepeat, bundle, chaining, chains, cleaning, fill, netlevels, nets, partition, psl, seeds
 from ..operators.tiles import lengths
 from ..params import Params
@@ -28,6 +28,7 @@ class Run:
     def __init__(self, spark: SparkSession, target: DataFrame, query: DataFrame, params: Params, out: str):
         text = lambda g: g.withColumn("chrom", F.col("chrom").cast("string"))
         self.spark, self.target, self.query, self.p, self.out = spark, text(target), text(query), params.validate(), out.rstrip("/")
+        self.scoring = read_scoring(spark, params.score_scheme) if params.score_scheme else DEFAULT
         self.counts: dict[str, int] = {}
 
     def kept(self, df: DataFrame, stage: str, by: str | None = None) -> DataFrame:
@@ -71,9 +72,9 @@ class Run:
         words = seeds.kmers(seeds.overlapping(self.target, k), k)
         for strand, q in self.strands():
             hits = seeds.seed_hits(words, seeds.kmers(seeds.overlapping(q, k), k), self.p.seed_limit)
-            found = align.gapped(seeds.hsps(hits, k, self.target, q, self.p.lastz_k), self.target, q, self.p.lastz_l, self.p.lastz_y)
+            found = align.gapped(seeds.hsps(hits, k, self.target, q, self.p.lastz_k, scoring=self.scoring), self.target, q, self.p.lastz_l, self.p.lastz_y, scoring=self.scoring)
             found = Scratch(self.spark, "aligned").keep(found, f"strand{len(parts)}")
-            found = found.unionByName(fill.interpolated(found, self.target, q, self.p.inner_threshold(), self.p.lastz_y))
+            found = found.unionByName(fill.interpolated(found, self.target, q, self.p.inner_threshold(), self.p.lastz_y, scoring=self.scoring))
             parts.append(psl.from_blocks(found.withColumn("strand", F.lit(strand))))
         return chains.merged(*parts)
 
@@ -107,7 +108,7 @@ class Run:
         g = rows.select("cid", "t_name", "q_name", "q_strand", F.row_number().over(w).cast("long").alias("i"), (F.col("t") + F.col("size")).alias("t_from"), F.lead("t").over(w).alias("t_to"), (F.col("q") + F.col("size")).alias("q_from"), F.lead("q").over(w).alias("q_to")).where("t_to is not null")
         some = chains.fillable(g, self.p.fill_gap_min, self.p.fill_gap_max).join(lengths(self.query).select(F.col("chrom").alias("q_name"), F.col("size").alias("q_size")), "q_name")
         inside = fill.gap_sequences(some, self.target, self.query, not self.p.skip_unmask).repartition(self.p.fill_files, "cid", "i")
-        found = fill.fillings(inside, self.p.fill_score, self.p.fill_k, self.p.lastz_y, table=self.p.linear_gap)
+        found = fill.fillings(inside, self.p.fill_score, self.p.fill_k, self.p.lastz_y, table=self.p.linear_gap, scoring=self.scoring)
         heads = rows.select("cid", "score", "t_name", "q_name", "q_strand").distinct()
         return fill.spliced(rows, found).join(heads, "cid").select("cid", "score", "t_name", "q_name", "q_strand", "t", "q", "size")
 
@@ -128,7 +129,7 @@ class Run:
         heads = b.groupBy("cid", "t_name", "q_name", "q_strand").agg(F.min("t").alias("t_start"), F.max(F.col("t") + F.col("size")).alias("t_end"), F.min("q").alias("q_start"), F.max(F.col("q") + F.col("size")).alias("q_end"))
         size = lambda g, n: lengths(g).select(F.col("chrom").alias(f"{n}_name"), F.col("size").alias(f"{n}_size"))
         heads = heads.join(size(self.target, "t"), "t_name").join(size(self.query, "q"), "q_name")
-        score = chains.sequence_scores(b.select("cid", "i", "size", "dt", "dq"), self.target, self.query, heads.select("cid", "t_name", "t_start", "q_name", "q_start", "q_size", "q_strand"), self.p.linear_gap)
+        score = chains.sequence_scores(b.select("cid", "i", "size", "dt", "dq"), self.target, self.query, heads.select("cid", "t_name", "t_start", "q_name", "q_start", "q_size", "q_strand"), self.p.linear_gap, self.scoring)
         out = heads.join(score, "cid").join(chains.nested(b), "cid")
         return out.withColumn("id", F.col("cid").cast("string")).withColumn("t_strand", F.lit("+")).drop("cid")
 

@@ -284,6 +284,26 @@ def test_weak_stretches_between_strong_ones(spark):
     assert fill.interpolated(found, target, query, r.score + 1, drop=910).count() == 0
 
 
+def test_a_matrix_goes_through_extension_alignment_and_fill(spark):
+    """Under twice all scores, costs and thresholds everything is found as before and scores twice as much."""
+    from chainspark.functions.sequences import DEFAULT, Scoring
+
+    rng = random.Random(31)
+    twice = Scoring(tuple(tuple(2 * x for x in r) for r in DEFAULT.pairs), 2 * DEFAULT.unknown, 2 * DEFAULT.gap_open, 2 * DEFAULT.gap_extend)
+    t = dna(rng, 2500)
+    q = dna(rng, 100) + mutated(rng, t[300:2200], 0.04, 4, 12)
+    target, query = spark.createDataFrame([("a", t)], "chrom string, seq string"), spark.createDataFrame([("x", q)], "chrom string, seq string")
+    hits = seeds.seed_hits(seeds.kmers(target, 14), seeds.kmers(query, 14), None)
+    found = {}
+    for k, s in ((1, DEFAULT), (2, twice)):
+        pairs = seeds.hsps(hits, 14, target, query, 2400 * k, 910 * k, scoring=s)
+        found[k] = align.gapped(pairs, target, query, 3000 * k, 9400 * k, scoring=s).collect()
+        assert sorted(r.score for r in pairs.collect()) == sorted(k * r.score for r in seeds.hsps(hits, 14, target, query, 2400).collect())
+    assert [(2 * r.score, r.blocks) for r in found[1]] == [(r.score, r.blocks) for r in found[2]] and found[1]
+    one, other = (fill.local_alignments(t, q, 11, 2000 * k, 5000 * k, 9400 * k, s) for k, s in ((1, DEFAULT), (2, twice)))
+    assert [(2 * s, b) for s, b in one] == other and one
+
+
 def test_two_homologies_in_one_gap(spark):
     """Split by an insertion on one side only, and a third one out of order: the colinear pair is kept."""
     rng = random.Random(29)

@@ -228,3 +228,17 @@ def test_alignments_to_axt_text(spark, tmp_path):
     axt_text.write_axt(axt, str(tmp_path / "x"), gzip=False)
     back = axt_text.with_blocks(axt_text.read_axt(spark, str(tmp_path / "x"))).first()
     assert [tuple(b)[:3] for b in back.blocks] == [(2, 0, 2), (5, 2, 2), (8, 6, 4)] and (back.t_start, back.t_end) == (2, 12)
+
+
+def test_score_files(spark, tmp_path):
+    """Both layouts, any order of bases, gap costs, comments; a file that lacks a row."""
+    from chainspark.functions import sequences
+
+    one = "# scores\n  C A G T\nA -2 1 -3 -4\nC 5 -6 -7 -8\nG 9 8 7 6\nT 0 -1 2 3\ngap_open_penalty=11\ngap_extend_penalty = 2 # each\nhsp_threshold=3000\n"
+    got = sequences.scoring_of(one)
+    assert (got.of("A", "C"), got.of("A", "A"), got.of("C", "C"), got.of("T", "T"), got.of("G", "A")) == (-2, 1, 5, 3, 8)
+    assert (got.gap_open, got.gap_extend) == (11, 2)
+    (tmp_path / "s.q").write_text("A C G T\n91 -114 -31 -123\n-114 100 -125 -31\n-31 -125 100 -114\n-123 -31 -114 91\nO = 400, E = 30\n")
+    assert sequences.read_scoring(spark, str(tmp_path / "s.q")) == sequences.DEFAULT
+    with pytest.raises(ValueError, match="heading"):
+        sequences.scoring_of("A C G T\n1 2 3 4\n")
