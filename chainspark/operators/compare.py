@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.ordering import indexed
@@ -56,21 +56,35 @@ def _binned(df: DataFrame, lo: str, hi: str, width: int, above: bool, others: li
     return df.withColumn("_own", own).select("*", F.explode(F.concat(mine, *higher)).alias("_e")).select(*df.columns, "_e.over", "_e.level", "_e.bin")
 
 
-def _sides(a: DataFrame, b: DataFrame, a_range: tuple[str, str], b_range: tuple[str, str], width: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides by bin; the levels that a side has are a few numbers."""
-    have = [sorted(r[0] for r in df.select(_level(F.col(lo), F.col(hi), width).alias("k")).distinct().collect()) for df, (lo, hi) in ((a, a_range), (b, b_range))]
-    return _binned(a, *a_range, width, True, have[1]), _binned(b, *b_range, width, False, have[0])
+def _kept(df: DataFrame, lo: str, hi: str, width: int, scratch: Scratch) -> tuple[DataFrame, int, list[int]]:
+    """`df` as a table, its rows and the levels that it has, both counted while it is written: one scan of the input."""
+    own, seen = _level(F.col(lo), F.col(hi), width), Observation()
+    out = scratch.keep(df.observe(seen, F.count(F.lit(1)).alias("n"), *[F.count_if(own == k).alias(f"level{k}") for k in range(LEVELS + 1)]), "side")
+    got = seen.get
+    return out, int(got["n"]), [k for k in range(LEVELS + 1) if got[f"level{k}"]]
+
+
+def _sides(a: DataFrame, b: DataFrame, a_range: tuple[str, str], b_range: tuple[str, str], width: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """Both sides by bin, and how many rows each has."""
+    scratch = Scratch(a.sparkSession, "compared")
+    (a, n_a, have_a), (b, n_b, have_b) = _kept(a, *a_range, width, scratch), _kept(b, *b_range, width, scratch)
+    return _binned(a, *a_range, width, True, have_b), _binned(b, *b_range, width, False, have_a), n_a, n_b
 
 
 def matched_ids(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     """Distinct ids of the matched baseline chains."""
+    return _matched(baseline, candidate, tolerance, width)[0]
+
+
+def _matched(baseline: DataFrame, candidate: DataFrame, tolerance: int, width: int) -> tuple[DataFrame, int, int]:
+    """Distinct ids of the matched baseline chains, and the rows of both sides."""
     b = baseline.select("id", *KEYS, (F.col("t_start") - tolerance).alias("t0"), (F.col("t_end") + tolerance).alias("t1"), (F.col("q_start") - tolerance).alias("q0"), (F.col("q_end") + tolerance).alias("q1"))
     c = candidate.select(*KEYS, F.col("t_start").alias("c_t0"), F.col("t_end").alias("c_t1"), F.col("q_start").alias("c_q0"), F.col("q_end").alias("c_q1"))
-    b, c = _sides(b, c, ("t0", "t1"), ("c_t0", "c_t1"), width)
+    b, c, n_b, n_c = _sides(b, c, ("t0", "t1"), ("c_t0", "c_t1"), width)
     on = (F.greatest("t0", "c_t0") < F.least("t1", "c_t1")) & (F.greatest("q0", "c_q0") < F.least("q1", "c_q1"))
     for k in [*KEYS, "over", "level", "bin"]:
         on = on & (b[k] == c[k])
-    return b.join(c, on, "left_semi").select("id").distinct()
+    return b.join(c, on, "left_semi").select("id").distinct(), n_b, n_c
 
 
 def matched(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
@@ -87,7 +101,7 @@ def overlap_pairs(a: DataFrame, b: DataFrame, width: int = WIDTH) -> DataFrame:
     A pair that shares two bins is reported in the one where its overlap begins.
     """
     side = lambda df, s: df.select(*KEYS, F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("t_start", "t_end", "q_start", "q_end")])
-    left, right = _sides(side(a, "a"), side(b, "b"), ("a_t_start", "a_t_end"), ("b_t_start", "b_t_end"), width)
+    left, right, *_ = _sides(side(a, "a"), side(b, "b"), ("a_t_start", "a_t_end"), ("b_t_start", "b_t_end"), width)
     j = left.join(right, [*KEYS, "over", "level", "bin"])
     lo, hi = F.greatest("a_t_start", "b_t_start"), F.least("a_t_end", "b_t_end")
     first = F.when(F.col("level") == LEVELS, 0).otherwise(F.floor(lo / (F.lit(float(width)) * F.pow(F.lit(float(FACTOR)), "level"))))
@@ -97,8 +111,8 @@ def overlap_pairs(a: DataFrame, b: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def summary(baseline: DataFrame, candidate: DataFrame, tolerance: int = 100, width: int = WIDTH) -> DataFrame:
     """One row: (baseline_chains, candidate_chains, matched, missing, missing_percent)."""
-    hit = matched_ids(baseline, candidate, tolerance, width).agg(F.count("*").alias("matched"))
-    n = baseline.agg(F.count("*").alias("baseline_chains")).crossJoin(candidate.agg(F.count("*").alias("candidate_chains"))).crossJoin(hit)
+    found, n_b, n_c = _matched(baseline, candidate, tolerance, width)
+    n = found.agg(F.count("*").alias("matched")).select(F.lit(n_b).cast("long").alias("baseline_chains"), F.lit(n_c).cast("long").alias("candidate_chains"), "matched")
     gone = F.col("baseline_chains") - F.col("matched")
     return n.select("baseline_chains", "candidate_chains", "matched", gone.alias("missing"), (F.lit(100.0) * gone / F.greatest(F.lit(1), F.col("baseline_chains"))).alias("missing_percent"))
 
