@@ -642,10 +642,10 @@ def _laid(spark, d):
     return chains.offsets(b).join(chains.scores(b), "cid").select((F.col("cid") % 25).cast("string").alias("t_name"), F.col("cid").cast("string").alias("id"), "score", start.alias("start"), (start + F.col("size")).alias("end"))
 
 
-@query(f"WITH {LEVELS_SQL} SELECT * FROM levels")
+@query(f"WITH {LEVELS_SQL} SELECT * REPLACE (coalesce(parent_start, -1) AS parent_start) FROM levels")
 def net_levels(spark, d):
     """The hierarchical net of the orders' chains: fills and gaps by level."""
-    return netlevels.net_levels(_laid(spark, d), width=4096).drop("parent_gap")
+    return netlevels.net_levels(_laid(spark, d), width=4096).drop("parent_gap").withColumn("parent_start", F.coalesce("parent_start", F.lit(-1)))
 
 
 FLANKS_SQL = f"""{OFFSETS_SQL}, worth AS (SELECT *, size * 91 - {gap_cost_sql('dt', 'dq')} AS part, {gap_cost_sql('dt', 'dq')} AS cost, max(i) OVER (PARTITION BY cid) AS n FROM offs),

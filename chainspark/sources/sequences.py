@@ -1,7 +1,10 @@
 """Sequence files: FASTA and 2bit, read in chunks, so that a chromosome never has to fit in a row.
 
-Both become rows (chrom, chunk_start, seq). They are data sources of Spark's Python API: a file is a
-partition for FASTA; a chromosome is one for 2bit, whose index gives each one's place.
+Both become rows (chrom, chunk_start, seq), and both split inside a sequence. A FASTA file is read by ranges of
+its bytes: one pass counts each range's bases and finds its headers, running sums over the ranges say which
+sequence a range begins in and how far on, and a second pass cuts it up. A 2bit file is a data source of Spark's
+Python API whose partitions are ranges of bases; runs of unknown and masked bases are found by bisection.
+Gzipped FASTA can't be split; such a file is a partition of a data source.
 """
 
 from __future__ import annotations
@@ -10,18 +13,24 @@ import gzip
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from ..schemas import SEQUENCE
+from ..scratch import Scratch
 
 CHUNK = 1 << 20
+#: Bytes of a FASTA file, or bases of a 2bit file, that one task reads.
+SPLIT = 1 << 26
 # --- fixed values: the 2bit format
 MAGIC = 0x1A412743
 CODES = "TCAG"
@@ -122,42 +131,63 @@ def index(f) -> tuple[str, dict[str, int]]:
 
 class _TwoBitReader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.chunk = options["path"], int(options.get("chunk", CHUNK)) // 4 * 4
+        self.path, self.chunk, self.split = options["path"], int(options.get("chunk", CHUNK)) // 4 * 4, int(options.get("split", SPLIT))
         self.only = set(filter(None, options.get("chroms", "").split(",")))
 
     def partitions(self):
         fs, at = _open(self.path)
         with fs.open_input_file(at) as f:
             order, places = index(f)
-        return [_Part(order, c, o) for c, o in places.items() if not self.only or c in self.only]
+            sizes = {}
+            for c, o in places.items():
+                if not self.only or c in self.only:
+                    f.seek(o)
+                    sizes[c] = struct.unpack(f"{order}I", f.read(4))[0]
+        # ranges of whole chunks; short sequences share a partition
+        most, out, held, total = max(1, self.split // self.chunk) * self.chunk, [], [], 0
+        for c, size in sizes.items():
+            for lo in range(0, max(size, 1), most):
+                held.append((c, places[c], lo, min(size, lo + most)))
+                total += min(size, lo + most) - lo + 1024  # a sequence costs something besides its bases
+                if total >= most:
+                    out.append(_Part(order, tuple(held)))
+                    held, total = [], 0
+        return [*out, _Part(order, tuple(held))] if held or not out else out
 
     def read(self, partition) -> Iterator[tuple]:
-        order, chrom, offset = partition.value
+        order, ranges = partition.value
         fs, at = _open(self.path)
         with fs.open_input_file(at) as f:
-            f.seek(offset)
-            u = lambda n: np.frombuffer(f.read(4 * n), dtype=f"{order}u4").astype(np.int64)
-            size = int(u(1)[0])
-            spans = []
-            for _ in range(2):
-                n = int(u(1)[0])
-                spans.append((u(n), u(n)))
-            u(1)
-            base = f.tell()
-            letters = np.frombuffer(CODES.encode(), dtype=np.uint8)
-            for start in range(0, size, self.chunk) if size else (0,):
-                n = min(self.chunk, size - start)
-                f.seek(base + start // 4)
-                packed = np.frombuffer(f.read((n + 3) // 4), dtype=np.uint8)
-                seq = letters[(packed[:, None] >> np.array([6, 4, 2, 0], dtype=np.uint8)) & 3].ravel()[:n].copy()
-                for k, (lo, length) in enumerate(spans):
-                    for i in np.flatnonzero((lo < start + n) & (lo + length > start)):
-                        part = slice(max(0, int(lo[i]) - start), min(n, int(lo[i] + length[i]) - start))
-                        if k == 0:
-                            seq[part] = ord("N")
-                        else:
-                            seq[part] |= 32
-                yield chrom, start, seq.tobytes().decode()
+            for chrom, offset, lo, hi in ranges:
+                yield from self._range(f, order, chrom, offset, lo, hi)
+
+    def _range(self, f, order: str, chrom: str, offset: int, begin: int, stop: int) -> Iterator[tuple]:
+        f.seek(offset)
+        u = lambda n: np.frombuffer(f.read(4 * n), dtype=f"{order}u4").astype(np.int64)
+        size = int(u(1)[0])
+        spans = []
+        for _ in range(2):
+            n = int(u(1)[0])
+            lo, hi = u(n), u(n)
+            hi = lo + hi
+            first, last = np.searchsorted(hi, begin, side="right"), np.searchsorted(lo, stop, side="left")
+            spans.append((lo[first:last], hi[first:last]))  # runs are in order and disjoint
+        u(1)
+        base = f.tell()
+        letters = np.frombuffer(CODES.encode(), dtype=np.uint8)
+        for start in range(begin, stop, self.chunk) if size else (0,):
+            n = min(self.chunk, stop - start)
+            f.seek(base + start // 4)
+            packed = np.frombuffer(f.read((n + 3) // 4), dtype=np.uint8)
+            seq = letters[(packed[:, None] >> np.array([6, 4, 2, 0], dtype=np.uint8)) & 3].ravel()[:n].copy()
+            for k, (lo, hi) in enumerate(spans):
+                for i in range(np.searchsorted(hi, start, side="right"), np.searchsorted(lo, start + n, side="left")):
+                    part = slice(max(0, int(lo[i]) - start), min(n, int(hi[i]) - start))
+                    if k == 0:
+                        seq[part] = ord("N")
+                    else:
+                        seq[part] |= 32
+            yield chrom, start, seq.tobytes().decode()
 
 
 class TwoBitSource(DataSource):
@@ -178,14 +208,128 @@ def register(spark: SparkSession) -> None:
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
+    """Sequences of a FASTA file or a folder of some, (chrom, chunk_start, seq); chunks hold at most `chunk` bases."""
     register(spark)
-    return spark.read.format("fasta").option("chunk", chunk).load(path)
+    files = _paths(path)
+    whole = [spark.read.format("fasta").option("chunk", chunk).load(p) for p in files if p.endswith(".gz")]
+    split = [p for p in files if not p.endswith(".gz")]
+    out = [_split_fasta(spark, split, chunk)] if split else []
+    return reduce(DataFrame.union, [*out, *whole]) if files else spark.createDataFrame([], SEQUENCE)
+
+
+def _lines(path: str, lo: int, hi: int) -> Iterator[tuple[bool, bytes]]:
+    """(whether it is a header, the bytes) of the lines of a range; bases by the range they lie in, a header by where it begins, whole."""
+    fs, at = _open(path)
+    with fs.open_input_file(at) as f:
+        back = min(lo, NAME)
+        f.seek(lo - back)
+        before = f.read(back)
+        inside = before.rpartition(b"\n")[2] if before else b""
+        on_header, own, line_start = inside.startswith(b">"), False, not inside
+        at, rest = lo, b""
+        while at < hi:
+            block = f.read(min(1 << 20, hi - at))
+            if not block:
+                break
+            at += len(block)
+            rows = block.split(b"\n")
+            for n, row in enumerate(rows):
+                last = n == len(rows) - 1
+                if on_header:  # begun in an earlier range, or in the block before
+                    rest += row
+                    if not last:
+                        if own:
+                            yield True, rest
+                        on_header, own, rest, line_start = False, False, b"", True
+                elif line_start and row.startswith(b">"):
+                    if last:
+                        on_header, own, rest = True, True, row
+                    else:
+                        yield True, row
+                else:
+                    if row:
+                        yield False, row.rstrip(b"\r") if not last else row.replace(b"\r", b"")
+                        line_start = False
+                    if not last:
+                        line_start = True
+        if own:  # ends beyond the range
+            yield True, rest + f.read(NAME).partition(b"\n")[0]
+
+
+#: Bytes of the longest header line.
+NAME = 1 << 16
+_RANGES = "path string, k long, lo long, hi long"
+
+
+def _name(line: bytes) -> str:
+    f = line[1:].split()
+    return f[0].decode() if f else ""
+
+
+def _split_fasta(spark: SparkSession, files: list[str], chunk: int) -> DataFrame:
+    ranges = []
+    for p in files:
+        fs, at = _open(p)
+        size = fs.get_file_info(at).size
+        ranges += [(p, k, lo, min(size, lo + SPLIT)) for k, lo in enumerate(range(0, size, SPLIT))]
+    if not ranges:
+        return spark.createDataFrame([], SEQUENCE)
+    # names of ranges only; each is a task of its own
+    rows = spark.createDataFrame(ranges, _RANGES).repartition(len(ranges), "path", "k")
+
+    def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Bases before a range's first header and behind its last one, and that one's name."""
+        for pdf in it:
+            out = []
+            for path, k, lo, hi in pdf.itertuples(index=False, name=None):
+                head, tail, name = 0, 0, None
+                for is_header, line in _lines(path, lo, hi):
+                    if is_header:
+                        name, tail = _name(line), 0
+                    elif name is None:
+                        head += len(line)
+                    else:
+                        tail += len(line)
+                out.append((path, k, lo, hi, head, tail, name))
+            yield pd.DataFrame(out, columns=["path", "k", "lo", "hi", "head", "tail", "name"])
+
+    seen = Scratch(spark, "fasta").keep(rows.mapInPandas(scan, f"{_RANGES}, head long, tail long, name string"), "ranges")
+    w = Window.partitionBy("path").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    new = F.col("name").isNotNull()
+    upto = seen.withColumn("sum", F.coalesce(F.sum(F.when(new, F.col("tail")).otherwise(F.col("head"))).over(w), F.lit(0)))
+    at = upto.select("path", "k", "lo", "hi", F.last("name", ignorenulls=True).over(w).alias("name"), (F.col("sum") - F.coalesce(F.max(F.when(new, F.col("sum"))).over(w), F.lit(0))).alias("at"))
+
+    def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for path, _, lo, hi, name, start in pdf.itertuples(index=False, name=None):
+                name = None if pd.isna(name) else name
+                held, size, fresh = [], 0, False
+                for is_header, line in _lines(path, lo, hi):
+                    if is_header:
+                        if name is not None and (held or fresh):
+                            yield _chunk(name, start, held)
+                        name, start, held, size, fresh = _name(line), 0, [], 0, True
+                    elif name is not None:
+                        held.append(line)
+                        size += len(line)
+                        while size >= chunk:
+                            text = b"".join(held)
+                            yield _chunk(name, start, [text[:chunk]])
+                            start, held, size, fresh = start + chunk, [text[chunk:]] if size > chunk else [], size - chunk, False
+                if name is not None and (held or fresh and next(_lines(path, hi, hi + NAME), (True,))[0]):
+                    yield _chunk(name, start, held)  # without bases only if none follow in the next range
+
+    return at.repartition(len(ranges), "path", "k").mapInPandas(cut, SEQUENCE)
+
+
+def _chunk(name: str, start: int, held: list[bytes]) -> pd.DataFrame:
+    return pd.DataFrame({"chrom": [name], "chunk_start": [int(start)], "seq": [b"".join(held).decode()]})
 
 
 def read_twobit(spark: SparkSession, path: str, chroms: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
     """Sequences of a 2bit file; with `chroms`, only these are opened."""
     register(spark)
-    return spark.read.format("twobit").option("chunk", chunk).option("chroms", ",".join(chroms or [])).load(path)
+    return spark.read.format("twobit").option("chunk", chunk).option("split", SPLIT).option("chroms", ",".join(chroms or [])).load(path)
 
 
 def read_listed(spark: SparkSession, lists: DataFrame, chunk: int = CHUNK) -> DataFrame:

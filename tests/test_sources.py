@@ -242,3 +242,43 @@ def test_score_files(spark, tmp_path):
     assert sequences.read_scoring(spark, str(tmp_path / "s.q")) == sequences.DEFAULT
     with pytest.raises(ValueError, match="heading"):
         sequences.scoring_of("A C G T\n1 2 3 4\n")
+
+
+def plain_fasta(text):
+    """[name, bases] of each sequence, in order."""
+    out = []
+    for line in text.replace("\r", "").split("\n"):
+        if line.startswith(">"):
+            out.append([(line[1:].split() or [""])[0], ""])
+        elif out:
+            out[-1][1] += line
+    return out
+
+
+@pytest.mark.parametrize("split", [1, 7, 64, 1 << 20])
+def test_fasta_splits_anywhere(spark, tmp_path, monkeypatch, split):
+    """Ranges that begin inside headers, lines and line ends; empty sequences; a long one over many ranges."""
+    monkeypatch.setattr(sequences, "SPLIT", split if split > 1 else 23)
+    text = "noise\n>a some words\nACGT\nAC\n\n>b\r\nGG\r\nTT\r\n>>empty\n>long\n" + "ACGTTGCAAC\n" * 12 + ">last"
+    if split > 7:
+        text += "\nA"
+    (tmp_path / "x.fa").write_text(text)
+    got = {}
+    for r in sequences.read_fasta(spark, str(tmp_path / "x.fa"), chunk=16).collect():
+        got.setdefault(r.chrom, []).append((r.chunk_start, r.seq))
+    assert {c: "".join(s for _, s in sorted(x)) for c, x in got.items()} == dict(plain_fasta(text))
+    for x in got.values():  # chunks follow one another, none is too long
+        at = 0
+        for start, seq in sorted(x):
+            assert start == at and len(seq) <= 16 and (seq or len(x) == 1)
+            at += len(seq)
+
+
+def test_twobit_splits_inside_a_sequence(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sequences, "SPLIT", 32)
+    seqs = {"one": "acgtNNNNACGTTTGACCAnnacgtAC" * 9, "two": "N" * 50 + "ACGT", "none": "", "short": "ac"}
+    (tmp_path / "g.2bit").write_bytes(sequences.encoded_twobit(list(seqs.items())))
+    df = sequences.read_twobit(spark, str(tmp_path / "g.2bit"), chunk=16)
+    rows = df.collect()
+    assert {c: "".join(r.seq for r in sorted((r for r in rows if r.chrom == c), key=lambda r: r.chunk_start)) for c in seqs} == seqs
+    assert df.rdd.getNumPartitions() > 4
