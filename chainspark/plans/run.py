@@ -1,7 +1,7 @@
 """Whole runs: from two genomes to cleaned chains, or from a later stage's input.
 
 Every stage is a table below the output folder, written once and counted; a run that begins later
-reads the table of the stage before. Stages: `partitions`, `bundles`, `chains`, `antirepeat`, `filled`,
+reads the table of the stage before. What a stage keeps on its way is deleted behind it. Stages: `partitions`, `bundles`, `chains`, `antirepeat`, `filled`,
 `suspects`, `final`.
 
 The partitions are the run's account of both genomes (chunks and bulks, and how many pairs they make).
@@ -19,7 +19,7 @@ from ..functions.sequences import DEFAULT, read_scoring, reverse_complement
 from ..operators import align, antirepeat, bundle, chaining, chains, cleaning, fill, netlevels, nets, partition, psl, seeds
 from ..operators.tiles import lengths
 from ..params import Params
-from ..scratch import Scratch
+from ..scratch import Scratch, scope
 
 
 class Run:
@@ -157,17 +157,25 @@ class Run:
         """The final chains, from the stage that the parameters name."""
         begin = self.p.begin()
         if begin == "full":
-            self.kept(self.partitions(), "partitions")
-            bundled = self.kept(self.bundles(self.kept(self.aligned(), "psl")), "bundles", "bundle")
-            self.kept(self.chain(self.blocks(bundled)), "chains")
+            with scope():
+                self.kept(self.partitions(), "partitions")
+            with scope():
+                self.kept(self.aligned(), "psl")
+            with scope():
+                self.kept(self.bundles(self.read("psl")), "bundles", "bundle")
+            with scope():
+                self.kept(self.chain(self.blocks(self.read("bundles"))), "chains")
         if begin in ("full", "antirepeat"):
-            self.kept(self.without_repeats(self.read("chains")), "antirepeat")
+            with scope():
+                self.kept(self.without_repeats(self.read("chains")), "antirepeat")
         if begin != "clean":
             rows = self.read("antirepeat")
-            self.kept(self.rescored(rows if self.p.skip_fill else self.filled(rows)), "filled")
+            with scope():
+                self.kept(self.rescored(rows if self.p.skip_fill else self.filled(rows)), "filled")
         table = self.read("filled")
         if self.p.skip_clean:
             return table
-        good, bed = self.cleaned(table)
-        self.kept(bed, "suspects")
-        return self.kept(chains.at_least(good, self.p.min_chain_score), "final")
+        with scope():
+            good, bed = self.cleaned(table)
+            self.kept(bed, "suspects")
+            return self.kept(chains.at_least(good, self.p.min_chain_score), "final")

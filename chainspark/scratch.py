@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +26,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_SCOPES: list[list[Scratch]] = []
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """All tables that operators make inside are deleted behind it: for callers that write a result inside."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for s in _SCOPES.pop():
+            s.sweep()
+
+
 class Scratch:
     """Tables of one run of an operator. `sweep` deletes them once its result is written elsewhere."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
+        if _SCOPES:
+            _SCOPES[-1].append(self)
 
     def path(self, name: str) -> str:
         self.n += 1

@@ -1,11 +1,13 @@
 """A whole run on genomes with planted homologies."""
 
+import os
 import random
 
 import numpy as np
 
 from chainspark.params import Params
 from chainspark.plans.run import Run
+from chainspark.scratch import checkpoint_dir
 from chainspark.sources import chain_text
 
 from .test_operators import dna, mutated
@@ -23,7 +25,10 @@ def test_planted_homologies_become_chains(spark, tmp_path):
     genome = lambda s, n: spark.createDataFrame(chunked(s, n), "chrom string, chunk_start long, seq string")
     p = Params(seed_limit=None, reference_chunk=5000, query_chunk=4000, query_overlap=100, bundle_max_bases=10_000, fill_files=4, antirepeat_min_score=1000)
     run = Run(spark, genome([("t1", t1), ("t2", t2)], 1000), genome([("q1", q1), ("q2", q2)], 3000), p, str(tmp_path / "out"))
+    shared = checkpoint_dir(spark).removeprefix("file://")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
     got = run.run().collect()
+    assert {x.rpartition("-")[0] for x in set(os.listdir(shared)) - before} == set()  # nothing is left beside the stages
     assert run.counts["final"] == len(got) and run.counts["psl"] == run.read("bundles").count()
     assert run.expected_pairs() == 5 * 5
     one = max((r for r in got if r.t_name == "t1" and r.q_name == "q1"), key=lambda r: r.score)
