@@ -8,12 +8,15 @@ form one class and travel as its number; a component is named by its smallest do
 1. Sets with equal digests collapse to a representative.
 2. Every bucket with two representatives or more links its members to its smallest one (a star,
    never all pairs); the pairs are confirmed on the sets; components follow.
-3. Buckets whose members are still in different components are merged into clusters (components of
-   the candidate stars). In a cluster, members outside its largest component are compared with all
-   its members, block against block; a block pair returns only a spanning forest of the links it
-   confirms. So no link that shares a bucket is lost. A block pair holds about 2 x 512 members,
-   whatever the cluster's size, but their number is (members outside) x (members) / 512 ^ 2: of a
-   cluster that falls into many components, sets travel once a block of the other side.
+3. Members of buckets that still hold different components are compared by an exact prefix filter. Their
+   shingles are ordered: first those that one component alone holds, then by the number of members that hold
+   them. Two members of different components whose sets are similar enough share a shingle of the first
+   size - ceil(percent * size / 100) + 1 of either, and it is one that several components hold. Members that
+   share such a shingle form clusters (components of stars). In a cluster, members outside its largest
+   component are compared with all its members, block against block; a block pair returns only a spanning
+   forest of the links it confirms. So no link that shares a bucket is lost. A block holds about 512
+   members and 2^20 shingles at most (or one text), whatever the cluster's size. Texts with much in common
+   but no near copy have rare shingles among their first, and form no cluster.
 4. Components of all confirmed links.
 
 A pair of similarity 0.75 misses all bands with probability (1 - 0.75^4)^32 < 1e-5 if it is long.
@@ -40,8 +43,8 @@ from .common import Scratch, WordTable, connected_components, mix64, schema_of,
 
 _RNG = np.random.Generator(np.random.PCG64(77001))
 _STEP = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Members in a block of step 3: a wider block means fewer copies of a set, and more memory in a task.
-BLOCK = 512
+#: Members and shingles in a block of step 3: a wider block means fewer copies of a set, and more memory in a task.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 
 def shingle_sets(words: WordTable, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +225,7 @@ def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 75, bands:
     part = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
     # 3. buckets that still hold several components
     apart = part.groupBy("band", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band", "h")
-    open_ = scratch.keep(part.join(apart, ["band", "h"], "left_semi").select("rep", "hub", "comp").distinct(), "open")
+    open_ = scratch.keep(part.join(apart, ["band", "h"], "left_semi").select("rep", "comp").distinct(), "open")
     more = _between_components(open_, sets, scratch, percent)
     edges = links.select(F.col("hub").alias("a"), F.col("rep").alias("b")).union(more)
     # 4. components of all links; members of a class share its component
@@ -249,19 +252,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _first_shared(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, comp, size, shingle): of each member's first shingles those that members of other components hold too.
+
+    A member of which fewer than `percent` of its shingles are held by other components has none.
+    """
+    held = open_.join(sets, "rep").select("rep", "comp", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    met = held.groupBy("shingle").agg(F.count("*").alias("times"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle", "times")
+    # a frequent shingle is a skewed join, which Spark can split
+    rest = held.join(met, "shingle").groupBy("rep", "comp", "size").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("rest"))
+    # shingles of one component come first in the order, so this many are left of the prefix
+    left = F.size("rest") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+    return rest.withColumn("left", left).where("left > 0").select("rep", "comp", "size", F.explode(F.slice("rest", 1, F.col("left"))).alias("f")).select("rep", "comp", "size", "f.shingle")
+
+
 def _between_components(open_: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between different components of one cluster of open buckets."""
-    cluster = connected_components(open_.select(F.col("hub").alias("a"), F.col("rep").alias("b")), scratch).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
-    members = scratch.keep(open_.select("rep", "comp").distinct().join(cluster, "rep"), "clusters")
-    sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("cluster").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("all"))
+    """Confirmed links (a, b) between different components of the members `open_` (rep, comp)."""
+    first = scratch.keep(_first_shared(open_, sets, percent), "prefixes")
+    hubs = first.groupBy("shingle").agg(F.min("rep").alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("shingle", "hub")
+    stars = first.join(hubs, "shingle").where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    cluster = connected_components(stars, scratch).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    members = scratch.keep(first.select("rep", "comp", "size").distinct().join(cluster, "rep"), "clusters")
+    sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("size").alias("mass"))
+    largest = sizes.groupBy("cluster").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.sum("m").alias("all"), F.sum("mass").alias("all_mass"))
     # blocks by a hash of the member: even, and no task numbers a whole cluster
     dealt = members.join(largest, "cluster").withColumn("minor", F.col("comp") != F.col("main"))
-    minors = dealt.groupBy("cluster").agg(F.sum(F.col("minor").cast("long")).alias("minors"))
+    minors = dealt.groupBy("cluster").agg(F.sum(F.col("minor").cast("long")).alias("minors"), F.sum(F.when(F.col("minor"), F.col("size")).otherwise(0)).alias("minors_mass"))
     dealt = dealt.join(minors, "cluster")
-    slot = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)))
-    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
-    left = dealt.where("minor").select("cluster", "rep", "comp", slot("minors").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("j"), F.lit(0).alias("side"))
-    right = dealt.select("cluster", "rep", "comp", F.explode(F.sequence(F.lit(0), blocks("minors") - 1)).alias("i"), slot("all").cast("int").alias("j"), F.lit(1).alias("side"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK), F.ceil(F.col(f"{n}_mass") / BLOCK_SHINGLES)).cast("int")
+    slot = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
+    left = dealt.where("minor").select("cluster", "rep", "comp", slot("minors").alias("i"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("j"), F.lit(0).alias("side"))
+    right = dealt.select("cluster", "rep", "comp", F.explode(F.sequence(F.lit(0), blocks("minors") - 1)).alias("i"), slot("all").alias("j"), F.lit(1).alias("side"))
     placed = left.union(right).join(sets, "rep")
     return placed.groupBy("cluster", "i", "j").applyInArrow(block_links(percent), schema_of("a long, b long"))

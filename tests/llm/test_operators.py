@@ -373,6 +373,49 @@ def test_near_duplicates_against_all_pairs(spark, corpus, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_among_texts_with_much_in_common(spark, monkeypatch):
+    """Half the words of all texts are the same: many meet in buckets, only planted copies are compared."""
+    rng = random.Random(41)
+    half = prose(rng, 90)
+    rows = [(i, half + " " + prose(rng, 90), "s") for i in range(150)]
+    for i in range(0, 150, 10):  # a chain of two copies behind each
+        for k in (1, 2):
+            w = rows[i][1].split() if k == 1 else rows[-1][1].split()
+            w[95 + 40 * k - 40] = "other"
+            rows.append((1000 * k + i, " ".join(w), "s"))
+    met = []
+    first = minhash._first_shared
+
+    def counted(opened, sets, percent):
+        shared = first(opened, sets, percent)
+        met.append((opened.count(), shared.select("rep").distinct().count()))
+        return shared
+
+    monkeypatch.setattr(minhash, "_first_shared", counted)
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows)
+    opened, shared = met[0]
+    assert opened > 150 and shared < 60
+
+
+def test_first_shared_shingles_lose_no_pair(spark):
+    rng = random.Random(43)
+    sets = {}
+    for rep in range(120):
+        of = sets[rng.randrange(rep)] if rep and rng.random() < 0.7 else set()
+        kept = {x for x in of if rng.random() < 0.93}
+        sets[rep] = kept | {rng.randrange(400) for _ in range(rng.choice([1, 2, 5, 40]) if not kept else rng.choice([0, 1, 3]))}
+    comp = {rep: rep if rng.random() < 0.6 else 7 for rep in sets}
+    opened = spark.createDataFrame([(r, c) for r, c in comp.items()], "rep long, comp long")
+    held = spark.createDataFrame([(r, sorted(x)) for r, x in sets.items()], "rep long, shingles array<long>")
+    for percent in (75, 50, 100):
+        first = {}
+        for r in minhash._first_shared(opened, held, percent).collect():
+            first.setdefault(r.rep, set()).add(r.shingle)
+        alike = [(a, b) for a in sets for b in sets if comp[a] < comp[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        assert alike and all(first.get(a, set()) & first.get(b, set()) for a, b in alike)
+
+
 def test_words_that_a_weak_hash_confuses_are_not_linked(spark):
     a, b = thue_morse(1024)
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(table(spark, [(1, a, None), (2, b, None), (3, " ".join([a] * 6), None), (4, " ".join([b] * 6), None)])).collect()}
