@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text
 from .nextfit import next_fit
@@ -97,6 +98,27 @@ def intervals(parts: DataFrame, sizes: DataFrame) -> DataFrame:
     return own.select("part", "s.chrom", "s.start", "s.end").union(whole)
 
 
+def uncovered(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(chrom, uncovered): chromosomes of which some bases are in none of the partitions, and how many.
+
+    Partitions of other chromosomes are ignored, and so is what lies beyond a size. A name with a colon can't be
+    read back from a bulk; it counts as not covered there.
+    """
+    spec = r"^(?:.*/)?[^:/]*:(.+):([0-9]+)-([0-9]+)$"
+    at = lambda i: F.regexp_extract("part", spec, i)
+    bulk = text.is_bulk(F.col("part"))
+    size = sizes.select(F.col("chrom").cast("string").alias("chrom"), "size")
+    own = parts.where(~bulk).select(at(1).alias("chrom"), at(2).cast("long").alias("start"), at(3).cast("long").alias("end"))
+    fields = F.split("part", ":")
+    names = parts.where(bulk & (F.size(fields) >= 3)).select(F.explode(F.slice(fields, 3, F.size(fields))).alias("chrom"))
+    whole = names.join(size, "chrom").select("chrom", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
+    w = Window.partitionBy("chrom").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    laid = own.union(whole).withColumn("reach", F.coalesce(F.max("end").over(w), F.lit(0)))
+    held = laid.groupBy("chrom").agg(F.sum(F.greatest(F.lit(0), F.col("start") - F.col("reach"))).alias("open"), F.max("end").alias("last"))
+    left = F.greatest(F.lit(0), F.col("size") - F.coalesce("last", F.lit(0))) + F.coalesce("open", F.lit(0))
+    return size.join(held, "chrom", "left").select("chrom", left.cast("long").alias("uncovered")).where("uncovered > 0")
+
+
 def interval_pairs(pairs: DataFrame, reference: DataFrame, query: DataFrame) -> DataFrame:
     """Each partition pair with every combination of its intervals; joins by partition, not a cross join."""
     side = lambda df, s: df.select(F.col("part").alias(f"{s}_part"), *[F.col(c).alias(f"{s}_{c}") for c in ("chrom", "start", "end")])

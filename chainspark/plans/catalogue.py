@@ -161,6 +161,19 @@ INTERVALS_SQL = """{0}_iv AS (SELECT part, split_part(part, ':', 2) AS chrom, sp
   UNION ALL SELECT m.part, m.chrom, 0, z.size FROM (SELECT part, unnest(string_split(part, ':')[3:]) AS chrom FROM {0}_parts WHERE part LIKE 'BULK%') m JOIN {1} z ON z.chrom::VARCHAR = m.chrom)"""
 
 
+@query(f"""WITH RECURSIVE {PARTS_SQL}, {INTERVALS_SQL.format('ref', 'sizes')},
+laid AS (SELECT chrom, s, e, coalesce(max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach
+  FROM ref_iv WHERE part NOT LIKE 'BULK%' AND part NOT LIKE '%:0-%'),
+held AS (SELECT chrom, sum(greatest(0, s - reach)) AS open, max(e) AS last FROM laid GROUP BY chrom)
+SELECT z.chrom::VARCHAR AS chrom, (greatest(0, z.size - coalesce(h.last, 0)) + coalesce(h.open, 0))::BIGINT AS uncovered
+FROM sizes z LEFT JOIN held h ON h.chrom = z.chrom::VARCHAR WHERE greatest(0, z.size - coalesce(h.last, 0)) + coalesce(h.open, 0) > 0""")
+def partition_uncovered(spark, d):
+    """Bases that a reference's partition list leaves out once its bulks and first chunks are lost."""
+    r, _ = _parts(spark, d)
+    lost = text.is_bulk(F.col("part")) | F.contains("part", F.lit(":0-"))
+    return partition.uncovered(r.where(~lost), a.sizes(spark, d))
+
+
 @query(f"""WITH RECURSIVE {PARTS_SQL}, {INTERVALS_SQL.format('ref', 'sizes')}, {INTERVALS_SQL.format('query', 'query_sizes')},
 r AS (SELECT part, count(*) AS n, sum(e - s)::BIGINT AS bases FROM ref_iv GROUP BY part), q AS (SELECT part, count(*) AS n, sum(e - s)::BIGINT AS bases FROM query_iv GROUP BY part)
 SELECT r.part AS reference_part, q.part AS query_part, r.n * q.n AS alignments, (r.bases * q.n)::BIGINT AS reference_bases, (q.bases * r.n)::BIGINT AS query_bases FROM r CROSS JOIN q""")

@@ -55,6 +55,18 @@ class Run:
             sides.append(partition.partitions(sizes, chunk, overlap, f"{side}.2bit").select(F.lit(side).alias("side"), "*"))
         return sides[0].union(sides[1])
 
+    def check_partitions(self) -> None:
+        """An error unless the written partitions hold every base of both genomes, each chunk and bulk once."""
+        parts = self.read("partitions")
+        again = parts.groupBy("side", "part").count().where("count > 1").first()
+        if again:
+            raise RuntimeError(f"partition {again['part']} of the {again['side']} is listed twice")
+        for side, genome in (("reference", self.target), ("query", self.query)):
+            # a name with a colon can't be read back from a bulk
+            gone = partition.uncovered(parts.where(F.col("side") == side), lengths(genome)).where(~F.contains("chrom", F.lit(":"))).first()
+            if gone:
+                raise RuntimeError(f"{gone['uncovered']} bases of {gone['chrom']} ({side}) are in no partition")
+
     def expected_pairs(self) -> int:
         """How many pairs of partitions a run covers."""
         parts = self.read("partitions")
@@ -159,6 +171,7 @@ class Run:
         if begin == "full":
             with scope():
                 self.kept(self.partitions(), "partitions")
+                self.check_partitions()
             with scope():
                 self.kept(self.aligned(), "psl")
             with scope():

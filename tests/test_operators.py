@@ -60,6 +60,17 @@ def test_bulk_member_without_size_is_an_error(spark):
         partition.intervals(parts, sizes_of(spark, [3])).collect()
 
 
+def test_bases_in_no_partition(spark):
+    rows = [("a", 1000), ("b", 30), ("c", 20), ("d:1", 900), ("e", 0)]
+    sizes = spark.createDataFrame(rows, "chrom string, size long")
+    of = lambda *p: {r.chrom: r.uncovered for r in partition.uncovered(spark.createDataFrame([(x,) for x in p], "part string"), sizes).collect()}
+    whole = ["/x:y/g.2bit:a:0-400", "g.2bit:a:390-800", "g.2bit:a:790-1200", "BULK_1:g.2bit:b:c", "g.2bit:d:1:0-900"]
+    assert of(*whole) == {}
+    assert of() == {"a": 1000, "b": 30, "c": 20, "d:1": 900}
+    assert of(*whole[1:3], "BULK_1:g.2bit:b:z", *whole[4:]) == {"a": 390, "c": 20}
+    assert of(whole[0], "g.2bit:a:500-600", "g.2bit:a:0-450", *whole[3:]) == {"a": 50 + 400}
+
+
 def test_file_specs(spark):
     ok = spark.createDataFrame([("/a:b/x.2bit",), ("/a/x.2bit:chr1:5-9",)], "s string").select(text.parsed_spec(F.col("s")).alias("p")).select("p.*").collect()
     assert [tuple(r) for r in ok] == [("/a:b/x.2bit", None, None, None), ("/a/x.2bit", "chr1", 5, 9)]

@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pytest
 
 from chainspark.params import Params
 from chainspark.plans.run import Run
@@ -44,3 +45,18 @@ def test_planted_homologies_become_chains(spark, tmp_path):
     # a later start reads the tables that are there
     again = Run(spark, run.target, run.query, Params(**{**p.__dict__, "start": "clean"}), str(tmp_path / "out")).run()
     assert again.count() == len(got)
+
+
+def test_a_run_checks_its_partitions(spark, tmp_path):
+    genome = spark.createDataFrame([("t1", "ACGT" * 300), ("t2", "ACGT" * 20), ("t:3", "ACGT" * 10)], "chrom string, seq string")
+    run = Run(spark, genome, genome, Params(reference_chunk=500, query_chunk=400, query_overlap=10), str(tmp_path / "out"))
+    parts = [tuple(r) for r in run.kept(run.partitions(), "partitions").collect()]
+    run.check_partitions()
+    shape = "side string, kind string, no long, part string"
+    chunk = next(r for r in parts if r[0] == "query" and ":t1:" in r[3])
+    run.kept(spark.createDataFrame([r for r in parts if r != chunk], shape), "partitions")
+    with pytest.raises(RuntimeError, match="bases of t1 .query. are in no partition"):
+        run.check_partitions()
+    run.kept(spark.createDataFrame([*parts, chunk], shape), "partitions")
+    with pytest.raises(RuntimeError, match="twice"):
+        run.check_partitions()
