@@ -30,18 +30,35 @@ SLOTS, POOL, CORES = 1 << 19, 1 << 21, 80_000
 _MARKS = "".join(c for c in string.punctuation if c not in "'<|>")
 
 
+def goes_by_words(tok, spec: dict) -> bool:
+    """Whether a text's ids are those of its words, one after the other: white space only parts words, ASCII marks
+    other than those of `split` stand apart from letters, letters lose their case, and a word's last id has a mark."""
+    if not spec["model"].get("end_of_word_suffix") or not spec.get("normalizer") or not spec.get("pre_tokenizer"):
+        return False
+    if spec.get("post_processor") or spec.get("truncation") or spec.get("padding") or spec["model"].get("dropout"):
+        return False
+    if any(not t["content"].startswith("<|") for t in spec.get("added_tokens", [])):  # texts with `<|` are encoded whole
+        return False
+    pieces = lambda t: [p for p, _ in tok.pre_tokenizer.pre_tokenize_str(tok.normalizer.normalize_str(t))]
+    if tok.normalizer.normalize_str("\u00c0B \n\t c") != "\u00e0b c":
+        return False
+    spaced = pieces(" ab \t\ncd\u00a0e ") == pieces("ab") + pieces("cd") + pieces("e") == ["ab", "cd", "e"]
+    return spaced and all(pieces(f"{m}ab{m}") == [m, "ab", m] for m in _MARKS)
+
+
 class WordEncoder:
-    """Ids of texts under a tokenizer whose words end with a mark and never span white space."""
+    """Ids of texts; under a tokenizer that `goes_by_words` those of words are kept, under others texts are encoded whole."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(spec)
-        mark = json.loads(spec)["model"].get("end_of_word_suffix")
+        parsed = json.loads(spec)
+        mark = parsed["model"].get("end_of_word_suffix")
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.width = np.dtype("<u2") if max(vocab.values()) < 2**16 else np.dtype("<u4")
-        self.by_words = bool(mark)
+        self.by_words = goes_by_words(self.tok, parsed)
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         if mark:
             self.last[[i for w, i in vocab.items() if w.endswith(mark)]] = True

@@ -1,6 +1,7 @@
 """The training-data operators against plain versions, round trips and held-out labels."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -471,6 +472,33 @@ def test_tokens_are_the_library_s():
     tokens.SLOTS, tokens.POOL, tokens.CORES = keep
 
 
+def test_tokenizers_that_do_not_go_by_words():
+    """Files that differ in one point from one that goes by words: ids are still the library's."""
+    from tokenizers import Tokenizer
+
+    with open(TOKENIZER) as f:
+        spec = json.load(f)
+    lower = spec["normalizer"]["normalizers"]
+    split, level = spec["pre_tokenizer"]["pretokenizers"]
+    kept_space = {**split, "pattern": {"Regex": "[A-Za-z]+ [A-Za-z]+"}, "behavior": "Isolated", "invert": False}
+    added = {**spec["added_tokens"][0], "id": 49408, "content": "bc de"}
+    specs = [
+        spec,
+        {**spec, "normalizer": {"type": "Sequence", "normalizers": lower[:-1]}},
+        {**spec, "normalizer": None},
+        {**spec, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [kept_space, level]}},
+        {**spec, "pre_tokenizer": level},
+        {**spec, "added_tokens": [*spec["added_tokens"], added]},
+    ]
+    texts = ["Abc De", "abc de  fgh\tIj", "THE (River) is Wide, HERE.", "x-bc de!", "", "Straße ÀÉ a\u00a0b"]
+    for k, one in enumerate(specs):
+        raw = json.dumps(one)
+        enc, tok = tokens.WordEncoder(raw), Tokenizer.from_str(raw)
+        assert enc.by_words == (k == 0)
+        for _ in range(2):
+            assert [np.frombuffer(x, dtype=enc.width).tolist() for x in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_places_every_id_once(spark, corpus):
     rows = [*corpus, (None, "no name", "s1"), (901, "", "s1")]
     assert packing.packed(table(spark, rows).limit(0), TOKENIZER).count() == 0
