@@ -322,6 +322,62 @@ def test_noisy_or():
     assert s.score("good. bad thing. good")[1] == [(5, 15, pytest.approx(p1))]
 
 
+def plain_features(word):
+    w = re.sub(r"^\W+|\W+$", "", word.lower())
+    marked = f"^{w}$"
+    return ({f"={w}"} | {marked[i : i + 5] for i in range(len(marked)) if i == 0 or i + 5 <= len(marked)}) if w else set()
+
+
+def plain_sentences(text, weight):
+    """For each sentence the features that the model knows."""
+    return [{f for w in s.split() for f in plain_features(w)} & weight.keys() for s in re.split(r"[.!?\n]", text)]
+
+
+def test_toxicity_scores_against_a_plain_noisy_or(spark):
+    docs, labels, text = labelled(spark, 400, 6)
+    model = toxicity.fitted(docs, labels, rows=300, least=2)
+    weight = {n: model.weight[i] for n, i in model.at.items()}
+    rng = random.Random(8)
+    texts = [*text.values(), "", " ... !? ", "Zorgling\n" * 3000, *(" ".join(rng.choice([*"zorgling quxfouls, (QUXFOUL) fine. good! ok? \n".split(" "), prose(rng, 1)]) for _ in range(rng.randrange(400))) for _ in range(60))]
+    got = {r.doc_id: r.score for r in toxicity.scored(table(spark, [*((i, t, "s") for i, t in enumerate(texts)), (-1, None, "s")]), model).collect()}
+    p0 = 1 / (1 + math.exp(-model.bias))
+    for i, t in enumerate(texts):
+        clean = math.log(1 - p0)
+        for known in plain_sentences(t, weight):
+            p = 1 / (1 + math.exp(-(model.bias + sum(weight[f] for f in known))))
+            clean += min(0.0, math.log(1 - min(p, 1 - 1e-12)) - math.log(1 - p0))
+        q = min(max(1 - math.exp(clean), 1e-9), 1 - 1e-9)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-(model.scale[0] * math.log(q / (1 - q)) + model.scale[1]))), abs=1e-6)
+    assert len(got) == len(texts) + 1 and got[-1] == got[len(text)]
+
+
+def test_the_fit_of_the_noisy_or_is_a_minimum_of_its_loss():
+    rng = random.Random(9)
+    bags, y = [], []
+    for _ in range(300):
+        bag = [sorted({rng.randrange(6) for _ in range(rng.randrange(1, 4))}) for _ in range(rng.randrange(4))]
+        bags.append(bag)
+        y.append(int(any(0 in s or 1 in s for s in bag) and rng.random() < 0.9 or rng.random() < 0.05))
+
+    def loss(w, b):
+        total, p0 = 0.0, 1 / (1 + math.exp(-b))
+        for bag, label in zip(bags, y, strict=True):
+            clean = math.log(1 - p0)
+            for s in bag:
+                clean += min(0.0, -math.log1p(math.exp(b + sum(w[f] for f in s))) - math.log(1 - p0))
+            total -= math.log(-math.expm1(clean)) if label else clean
+        return total / len(y) + 0.5e-4 * sum(x * x for x in w)
+
+    flat = toxicity.Bags([np.array([len(s) for s in bag], dtype=np.uint16) for bag in bags], [np.array([f for s in bag for f in s], dtype=np.uint16) for bag in bags])
+    w, b, _ = toxicity.train(flat, np.array(y), 6, steps=1500)
+    least = loss(w, b)
+    assert least < 0.8 * loss(np.zeros(6), -4.0) and b <= -4.0
+    for k in range(6):
+        for d in (-0.5, 0.5):
+            assert loss([x + d * (i == k) for i, x in enumerate(w)], b) > least - 1e-5
+    assert loss(w, b - 0.3) > least - 1e-5
+
+
 def test_long_clean_texts_are_clean(spark):
     docs, labels, text = labelled(spark, 600, 2)
     model = toxicity.fitted(docs, labels, rows=400, least=2)
@@ -841,8 +897,10 @@ def plain_verdicts(rows, items, size=64, stride=32, loose=0.5, lcs=0.7, sure=0.9
     return bad
 
 
-def test_paraphrases_against_all_pairs(spark):
-    """Recall of the candidate search on items of which words are replaced, dropped and moved."""
+@pytest.mark.parametrize("space", [decontam.SPACE, 200])
+def test_paraphrases_against_all_pairs(spark, monkeypatch, space):
+    """Recall of the candidate search on items of which words are replaced, dropped and moved; also where several terms share a dimension."""
+    monkeypatch.setattr(decontam, "SPACE", space)
     rng = random.Random(43)
     vocab = [prose(rng, 1) for _ in range(3000)]
     say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
