@@ -71,10 +71,11 @@ def _bisect(c: Column, cuts: list[int]) -> Column:
 
 
 def key_parts(key: str, cuts: list[int], tie: Column) -> Column:
-    """Ascending part numbers by ranges of an integer key; a key that is a cut, as very frequent ones are, is dealt by `tie` (0 to 2^20 - 1) too."""
+    """Ascending part numbers by ranges of an integer key; a key that is a cut, as very frequent ones are, is dealt by `tie` (0 to 2^20 - 1) too, and so are nulls, which come first."""
     at_cut = F.coalesce(F.col(key).isin(cuts), F.lit(False)) if cuts else F.lit(False)
     inside = F.when(at_cut, F.lit(1 << 20) + tie).otherwise(F.lit(0))
-    return (range_of(key, cuts).cast("long") * F.lit(1 << 21) + inside).cast("long")
+    known = ((range_of(key, cuts) + 1).cast("long") * F.lit(1 << 21) + inside).cast("long")
+    return F.when(F.col(key).isNull(), tie.cast("long")).otherwise(known)
 
 
 def group_starts(totals: DataFrame, key: str, sums: list[str], fan: int = 4096, groups: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ that holds its middle byte. Texts are read once, for (doc_id, size, crc32); all
 
 Edge cases: a null text has no bytes (size 1) and crc32 0; null doc_id sorts first; rows with one
 doc_id sort by crc32, then size (rows equal in all three are alike, so any order is the same
-result); one doc_id with very many rows is dealt by crc32 as well; an empty table gives no rows;
+result); one doc_id with very many rows is dealt by crc32 as well, and so are rows without one; an empty table gives no rows;
 further columns are ignored. Equal texts are not held together: this law cuts by bytes alone.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from .common import Scratch, group_starts, key_cuts, range_of, tasks
 
-#: Ranges by crc32 inside a range that holds one very frequent doc_id.
+#: Ranges by crc32 of one very frequent doc_id, and of rows without one.
 TIES = 16
 
 
@@ -32,10 +32,11 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, ranges: int | None = N
     tie = F.floor(F.col("text_crc32") * TIES / 2**32).cast("long")
     # by ranges of doc_id, and inside a doc_id by ranges of its texts' checksums: the order is (doc_id, crc32)
     at_cut = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
-    part = (F.lit(2 * TIES) * range_of("doc_id", cuts) + F.when(at_cut, TIES + tie).otherwise(F.lit(0))).cast("long")
+    known = F.lit(2 * TIES) * (1 + range_of("doc_id", cuts)) + F.when(at_cut, TIES + tie).otherwise(F.lit(0))
+    part = F.when(F.col("doc_id").isNull(), tie).otherwise(known).cast("long")
     rows = rows.withColumn("part", part)
     totals = rows.groupBy("part").agg(F.sum("size").alias("size"), F.sum("one").alias("one"))
-    starts = group_starts(totals, "part", ["size", "one"], groups=2 * TIES * (len(cuts) + 1))
+    starts = group_starts(totals, "part", ["size", "one"], groups=2 * TIES * (len(cuts) + 2))
     w = Window.partitionBy("part").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     inner = rows.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"in_{c}") for c in ("size", "one")])
     total = F.broadcast(totals.agg(F.sum("size").alias("all_bytes")))  # one row

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainspark.llm import chat, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, tokens, toxicity
+from chainspark.llm import chat, common, decontam, fingerprints, minhash, packing, quality, secret_scan, shards, token_store, tokens, toxicity
 from chainspark.llm.common import Scratch, WordTable, connected_components, text_blocks
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -227,6 +227,25 @@ def test_shards_of_odd_tables(spark):
     assert sorted(r.start_byte for r in out) == [0, 2, 3, 5]
 
 
+def test_rows_without_an_id_are_dealt(spark):
+    rng = random.Random(12)
+    rows = [(None if i % 3 else i, prose(rng, rng.randrange(6)), "s") for i in range(900)]
+    out = shards.shard_by_bytes(table(spark, rows), 4, ranges=5).collect()
+    order = sorted((r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size, r.start_byte) for r in out)
+    at = 0
+    for *_, size, start in order:
+        assert start == at
+        at += size
+    for k in range(4):
+        assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
+    ids = spark.createDataFrame([(i if i % 4 else None, i % 7) for i in range(400)], "k long, tie int")
+    parts = ids.withColumn("part", common.key_parts("k", [10, 50, 399], F.col("tie"))).collect()
+    assert len({r.part for r in parts if r.k is None}) == 7
+    assert max(r.part for r in parts if r.k is None) < min(r.part for r in parts if r.k is not None)
+    some = sorted((r.k, r.part) for r in parts if r.k is not None)
+    assert [p for _, p in some] == sorted(p for _, p in some) and len({p for _, p in some}) == 4 + 3 - 1
+
+
 # --- 3 and 9 ---
 
 
