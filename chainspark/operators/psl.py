@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ordering
 from ..functions.text import bucket_key
+from ..scratch import small_batches
+
+_UPPER = np.frombuffer(bytes(range(256)).upper(), dtype=np.uint8)
+_MASKED = np.isin(np.arange(256), list(b"acgt"))
 
 
 def by_bucket(rows: DataFrame) -> DataFrame:
@@ -37,17 +43,30 @@ def ranked(psl: DataFrame) -> DataFrame:
     return ordering.ranked(psl, [F.col(c) for c in ("t_name", "t_start", "t_end", "q_name", "q_start", "id")])
 
 
+@F.pandas_udf("matches long, mismatches long, rep_matches long, n_count long")
+def _compared(t: pd.Series, q: pd.Series) -> pd.DataFrame:
+    """Counts of equal, other, masked and unknown pairs of two strings side by side; a blank on the query is no base."""
+    out = []
+    for a, b in zip(t, q, strict=True):
+        x, y = (np.frombuffer(s.encode(), dtype=np.uint8) for s in (a, b))
+        masked = int(_MASKED[x].sum())
+        x, y = _UPPER[x], _UPPER[y]
+        unknown, same = (x == 78) | (y == 78), x == y
+        out.append((int((same & ~unknown).sum()), int((~same & ~unknown & (y != 32)).sum()), masked, int(unknown.sum())))
+    return pd.DataFrame(out, columns=["matches", "mismatches", "rep_matches", "n_count"])
+
+
 def from_blocks(alignments: DataFrame) -> DataFrame:
     """PSL rows from aligned blocks with sequences.
 
     alignments: (q_name, q_size, strand, t_name, t_size, blocks array<struct<t,q,size,t_seq,q_seq>>),
-    q on the strand. A projection: counts come from comparing the block sequences base by base.
+    q on the strand. A projection: counts come from comparing the block sequences base by base, as bytes of
+    an alignment's joined sequences.
     """
-    pairs = F.flatten(F.transform("blocks", lambda b: F.zip_with(F.split(F.upper(b["t_seq"]), ""), F.split(F.upper(b["q_seq"]), ""), lambda x, y: F.struct(x.alias("x"), y.alias("y")))))
-    masked = F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + F.length(F.regexp_replace(b["t_seq"], "[^acgt]", "")))
-    rows = alignments.withColumn("p", F.filter(pairs, lambda p: p["x"] != "")).withColumn("masked", masked)
-    hit = lambda f: F.size(F.filter("p", f)).cast("long")
-    unknown = lambda p: (p["x"] == "N") | (p["y"] == "N")
+    # the query's bases are cut or filled up with blanks to the target's, block by block
+    t_all = F.array_join(F.transform("blocks", lambda b: b["t_seq"]), "")
+    q_all = F.array_join(F.transform("blocks", lambda b: F.rpad(b["q_seq"], F.length(b["t_seq"]), " ")), "")
+    rows = small_batches(alignments).withColumn("_c", _compared(t_all, q_all))
     n = F.size("blocks")
     step = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: i)
     gap = lambda c: F.transform(F.filter(step, lambda i: i < n), lambda i: F.get(F.col("blocks"), i)[c] - F.get(F.col("blocks"), i - 1)[c] - F.get(F.col("blocks"), i - 1)["size"])
@@ -56,10 +75,7 @@ def from_blocks(alignments: DataFrame) -> DataFrame:
     first, last = F.get(F.col("blocks"), F.lit(0)), F.get(F.col("blocks"), n - 1)
     q_lo, q_hi = first["q"], last["q"] + last["size"]
     return rows.select(
-        hit(lambda p: (p["x"] == p["y"]) & ~unknown(p)).alias("matches"),
-        hit(lambda p: (p["x"] != p["y"]) & ~unknown(p)).alias("mismatches"),
-        F.col("masked").alias("rep_matches"),
-        hit(unknown).alias("n_count"),
+        "_c.*",
         some("q").alias("q_num_insert"),
         total("q").alias("q_base_insert"),
         some("t").alias("t_num_insert"),

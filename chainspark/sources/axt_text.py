@@ -10,15 +10,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordering import ranked
 from ..operators.tiles import with_bases
+from ..scratch import small_batches
 
 _HEAD = ["n", "t_name", "t_start", "t_end", "q_name", "q_start", "q_end", "strand", "score"]
 _LONG = {"n", "t_start", "t_end", "q_start", "q_end", "score"}
 BLOCKS = "array<struct<t:bigint,q:bigint,size:bigint,t_seq:string,q_seq:string>>"
+#: Columns of alignments that a task turns to blocks at once.
+COLUMNS = 1 << 20
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -42,30 +46,62 @@ def read_axt(spark: SparkSession, path: str) -> DataFrame:
     return parsed(records(spark, path))
 
 
-def runs(t_line: str, q_line: str) -> list[tuple[int, int, int, int]]:
-    """(column, target bases before, query bases before, columns) of each run without a gap on either line."""
-    t, q = (np.frombuffer(x.encode(), dtype=np.uint8) != 45 for x in (t_line, q_line))
-    both = np.concatenate([[False], t & q, [False]])
-    begin, end = np.flatnonzero(both[1:] & ~both[:-1]), np.flatnonzero(both[:-1] & ~both[1:])
-    t_at, q_at = (np.append(0, np.cumsum(x)) for x in (t, q))
-    return [(int(i), int(t_at[i]), int(q_at[i]), int(j - i)) for i, j in zip(begin, end, strict=True)]
+def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, ends) of a column of strings: row i is bytes[ends[i]:ends[i + 1]]."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, dtype=np.int64)
+    held = column.buffers()[2]
+    return np.frombuffer(held, dtype=np.uint8) if held is not None else np.zeros(0, dtype=np.uint8), ends
+
+
+def _pieces(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(from, to): rows in order, as many at a time as hold at most `most` bytes, one at least."""
+    at = 0
+    while at < len(ends) - 1:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield at, to
+        at = to
+
+
+def _blocks(batch: pa.RecordBatch) -> pa.Array:
+    """`BLOCKS` of the records of a batch: runs of columns without a gap, all records at once."""
+    (t, t_ends), (q, q_ends) = _text(batch.column("t_line")), _text(batch.column("q_line"))
+    size = np.diff(t_ends)
+    for i in np.flatnonzero(size != np.diff(q_ends))[:1].tolist():
+        raise ValueError(f"record {batch.column('n')[i].as_py()}: lines of {size[i]} and {q_ends[i + 1] - q_ends[i]} columns")
+    t, q, first = t[t_ends[0] : t_ends[-1]], q[q_ends[0] : q_ends[-1]], t_ends - t_ends[0]
+    t_there, q_there = t != 45, q != 45
+    both = t_there & q_there
+    new = np.zeros(len(both) + 1, dtype=bool)
+    new[first] = True  # no run goes on from one record to the next
+    begin = np.flatnonzero(both & (new[:-1] | ~np.append(False, both[:-1])))
+    end = np.flatnonzero(both & (new[1:] | ~np.append(both[1:], False))) + 1
+    record = np.searchsorted(first, begin, side="right") - 1
+    place = []
+    for there, start in ((t_there, "t_start"), (q_there, "q_start")):
+        before = np.append(0, np.cumsum(there, dtype=np.int64))
+        place.append(before[begin] - before[first[record]] + batch.column(start).to_numpy(zero_copy_only=False)[record])
+    n = np.append(0, np.cumsum(end - begin)).astype(np.int64)
+    cut = lambda line: pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(n.tobytes()), pa.py_buffer(line[both].tobytes())).cast(pa.string())
+    rows = pa.StructArray.from_arrays([pa.array(place[0], pa.int64()), pa.array(place[1], pa.int64()), pa.array(end - begin, pa.int64()), cut(t), cut(q)], names=["t", "q", "size", "t_seq", "q_seq"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(record, np.arange(len(size) + 1)), pa.int32()), rows)
 
 
 def with_blocks(axt: DataFrame) -> DataFrame:
-    """Rows of `parsed` with `blocks`, as alignments have them, in place of both lines."""
+    """Rows of `parsed` with `blocks`, as alignments have them, in place of both lines.
+
+    A task holds the blocks of `COLUMNS` columns at a time, or of one record.
+    """
     keep = [c for c in axt.columns if c not in ("t_line", "q_line")]
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            out = []
-            for t, q, n, t0, q0 in pdf[["t_line", "q_line", "n", "t_start", "q_start"]].itertuples(index=False, name=None):
-                if len(t) != len(q):
-                    raise ValueError(f"record {n}: lines of {len(t)} and {len(q)} columns")
-                out.append([{"t": t0 + a, "q": q0 + b, "size": k, "t_seq": t[i : i + k], "q_seq": q[i : i + k]} for i, a, b, k in runs(t, q)])
-            yield pdf[keep].assign(blocks=out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in _pieces(_text(batch.column("t_line"))[1], COLUMNS):
+                some = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in keep], _blocks(some)], names=[*keep, "blocks"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in axt.select(keep).schema.fields)
-    return axt.mapInPandas(run, f"{kinds}, blocks {BLOCKS}")
+    return small_batches(axt).mapInArrow(run, f"{kinds}, blocks {BLOCKS}")
 
 
 def sized(axt: DataFrame, t_sizes: DataFrame, q_sizes: DataFrame) -> DataFrame:

@@ -282,3 +282,29 @@ def test_twobit_splits_inside_a_sequence(spark, tmp_path, monkeypatch):
     rows = df.collect()
     assert {c: "".join(r.seq for r in sorted((r for r in rows if r.chrom == c), key=lambda r: r.chunk_start)) for c in seqs} == seqs
     assert df.rdd.getNumPartitions() > 4
+
+def test_axt_blocks_a_bounded_stretch_at_a_time(spark):
+    """Records are turned to blocks in pieces of bounded width, a wide one alone, with the blocks of a plain walk."""
+    import random
+
+    import numpy as np
+    from chainspark.sources import axt_text
+
+    assert list(axt_text._pieces(np.array([3, 8, 10, 30, 31]), 7)) == [(0, 2), (2, 3), (3, 4)]
+    pick, rows = random.Random(5), []
+    for i in range(3000):
+        n = pick.randint(1, 40)
+        rows.append((i, i, 2 * i, "".join(pick.choices("ACGt-", k=n)), "".join(pick.choices("ACgT-", k=n))))
+    got = axt_text.with_blocks(spark.createDataFrame(rows, "n long, t_start long, q_start long, t_line string, q_line string"))
+    found = {r.n: [tuple(b) for b in r.blocks] for r in got.collect()}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    for i, t, q, t_line, q_line in rows:
+        want, on = [], False
+        for x, y in zip(t_line, q_line, strict=True):
+            both = x != "-" and y != "-"
+            if both and on:
+                want[-1] = (*want[-1][:2], want[-1][2] + 1, want[-1][3] + x, want[-1][4] + y)
+            elif both:
+                want.append((t, q, 1, x, y))
+            on, t, q = both, t + (x != "-"), q + (y != "-")
+        assert found[i] == want
