@@ -506,3 +506,16 @@ def test_pairs_of_suspects_fall_by_their_outer_flanks(spark):
     assert {r.id for r in nets.suspects(chains, gaps).collect()} == {"b"}
     assert [(r.id, r.next) for r in nets.suspect_pairs(every, chains).collect()] == [("a", "b")]
     assert nets.suspect_pairs(every, chains, distance=1_000).count() == 0
+
+
+def test_pair_totals_are_products(spark):
+    """A pair's combinations of intervals are added up without a row for each of them."""
+    kind = "part string, chrom string, start long, end long"
+    r = spark.createDataFrame([("r1", f"c{i}", 0, 10 + i) for i in range(100)] + [("r2", "x", 5, 9)], kind)
+    q = spark.createDataFrame([("q1", f"d{i}", 0, 3) for i in range(70)] + [("q2", "y", 0, 2)], kind)
+    both = partition.interval_pairs(partition.pairs(r.select("part").distinct(), q.select("part").distinct()), r, q)
+    length = lambda s: F.sum(F.col(f"{s}_end") - F.col(f"{s}_start")).cast("long").alias(f"{s}_bases")
+    want = both.groupBy("reference_part", "query_part").agg(F.count("*").alias("alignments"), length("reference"), length("query"))
+    got = partition.pair_totals(r, q)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert partition.pair_totals(r.limit(0), q).count() == 0
