@@ -519,3 +519,14 @@ def test_pair_totals_are_products(spark):
     got = partition.pair_totals(r, q)
     assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert partition.pair_totals(r.limit(0), q).count() == 0
+
+
+def test_products_meet_in_blocks(spark):
+    """Every row meets every row, copies and nulls too, whatever the blocks; no cross join is planned."""
+    left, right = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "x string"), spark.createDataFrame([(i % 40,) for i in range(57)], "y long")
+    want = sorted(map(str, left.crossJoin(right).collect()))
+    for block in (1, 10, 4096):
+        assert sorted(map(str, partition.crossed(left, right, block).collect())) == want
+    assert partition.crossed(left.limit(0), right).count() == partition.crossed(left, right.limit(0)).count() == 0
+    plan = partition.pairs(left.toDF("part"), right.toDF("part"))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
