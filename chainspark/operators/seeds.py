@@ -9,14 +9,25 @@ that the drop has not ended yet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.sequences import DEFAULT, Scoring, pair_score, pairs_total
-from ..scratch import Scratch
+from ..functions.text import flat, pieces
+from ..scratch import Scratch, small_batches
 from .tiles import fetched, lengths, tiles, with_bases
 
+#: Bases of the longest word that fits in a long, and bases that a task turns to words at once.
+LONGEST, BASES = 31, 1 << 20
+_WORD_CODES = np.full(256, -1, dtype=np.int8)
+_WORD_CODES[list(b"ACGT")] = range(4)
+
 
 def kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
     """(chrom, pos, word): the words of k unmasked, known bases that begin at every `step`-th base.
@@ -32,6 +43,62 @@ def kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
     return at.select("chrom", (F.col("base") + F.col("i") * step).cast("long").alias("pos"), F.col("w").cast("string").alias("word")).where(~F.col("word").rlike("[^ACGT]"))
 
 
+def _codes(raw: np.ndarray, ends: np.ndarray, k: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place in the row, number) of the words of k known, unmasked bases; row i is raw[ends[i]:ends[i + 1]]."""
+    code = _WORD_CODES[raw]
+    n = len(code) - k + 1
+    if n < 1:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    unknown = np.append(0, np.cumsum(code < 0, dtype=np.int32))
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[:n]
+    at = np.arange(n)
+    ok = (unknown[k:] == unknown[:-k]) & (at + k <= ends[row + 1])
+    if step > 1:
+        ok &= (at - ends[row]) % step == 0
+    # numbers of words of 1, 2, 4, ... bases; those that make up k, put together from the left
+    word, part, length, done = np.zeros(n, dtype=np.int64), code.astype(np.int64), 1, 0
+    while True:
+        if k & length:
+            word, done = (word << 2 * length) | part[done : done + n], done + length
+        if 2 * length > k:
+            break
+        part, length = (part[:-length] << 2 * length) | part[length:], 2 * length
+    at = np.flatnonzero(ok)
+    return row[at], at - ends[row[at]], word[at]
+
+
+def coded_kmers(genome: DataFrame, k: int, step: int = 1) -> DataFrame:
+    """As `kmers`, with words of up to `LONGEST` bases as numbers of two bits a base (`spelled` turns them back)."""
+    if k > LONGEST:
+        return kmers(genome, k, step)
+    base = F.col("chunk_start") if "chunk_start" in genome.columns else F.lit(0)
+    rows = genome.where(F.length("seq") >= k).select("chrom", base.cast("long").alias("base"), F.encode("seq", "US-ASCII").alias("raw"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, ends = flat(batch.column("raw"))
+            chrom, first = batch.column("chrom"), batch.column("base").to_numpy(zero_copy_only=False)
+            for i, j in pieces(ends, BASES):
+                row, at, word = _codes(raw[ends[i] : ends[j]], ends[i : j + 1] - ends[i], k, step)
+                yield pa.RecordBatch.from_arrays([chrom.take(pa.array(i + row)), pa.array(first[i + row] + at), pa.array(word)], names=["chrom", "pos", "word"])
+
+    return small_batches(rows).mapInArrow(run, f"chrom {rows.schema['chrom'].dataType.simpleString()}, pos long, word long")
+
+
+def spelled(word: Column, k: int) -> Column:
+    """The bases of a coded word, five at a time."""
+    parts = lambda n: F.split(F.lit(",".join(map("".join, itertools.product("ACGT", repeat=n)))), ",")
+    of = lambda low, n: F.get(parts(n), F.shiftright(word, 2 * low).bitwiseAND(F.lit(4**n - 1)).cast("int"))
+    first = k % 5
+    return F.concat(*([of(k - first, first)] if first else []), *[of(i, 5) for i in range(k - first - 5, -1, -5)])
+
+
+def word_index(genome: DataFrame, k: int) -> DataFrame:
+    """(word, n): how often each word occurs. Words are counted as numbers and spelled afterwards."""
+    n = word_counts(coded_kmers(genome, k))
+    return n.select(spelled(F.col("word"), k).alias("word"), "n") if k <= LONGEST else n
+
+
 def overlapping(genome: DataFrame, k: int, width: int = 1 << 16) -> DataFrame:
     """(chrom, chunk_start, seq): stretches of `width` bases and the k - 1 that follow, so that each word lies in one."""
     step = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(width).cast("long"))).alias("start")

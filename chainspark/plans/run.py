@@ -81,9 +81,9 @@ class Run:
     def aligned(self) -> DataFrame:
         """PSL rows of gapped alignments on both strands of the query."""
         parts, k = [], self.p.seed_length
-        words = seeds.kmers(seeds.overlapping(self.target, k), k)
+        words = seeds.coded_kmers(seeds.overlapping(self.target, k), k)
         for strand, q in self.strands():
-            hits = seeds.seed_hits(words, seeds.kmers(seeds.overlapping(q, k), k), self.p.seed_limit)
+            hits = seeds.seed_hits(words, seeds.coded_kmers(seeds.overlapping(q, k), k), self.p.seed_limit)
             found = align.gapped(seeds.hsps(hits, k, self.target, q, self.p.lastz_k, scoring=self.scoring), self.target, q, self.p.lastz_l, self.p.lastz_y, scoring=self.scoring)
             found = Scratch(self.spark, "aligned").keep(found, f"strand{len(parts)}")
             found = found.unionByName(fill.interpolated(found, self.target, q, self.p.inner_threshold(), self.p.lastz_y, scoring=self.scoring))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordering import ranked
+from ..functions.text import flat, pieces
 from ..operators.tiles import with_bases
 from ..scratch import small_batches
 
@@ -46,26 +47,9 @@ def read_axt(spark: SparkSession, path: str) -> DataFrame:
     return parsed(records(spark, path))
 
 
-def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, ends) of a column of strings: row i is bytes[ends[i]:ends[i + 1]]."""
-    column = column.cast(pa.large_binary())
-    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, dtype=np.int64)
-    held = column.buffers()[2]
-    return np.frombuffer(held, dtype=np.uint8) if held is not None else np.zeros(0, dtype=np.uint8), ends
-
-
-def _pieces(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """(from, to): rows in order, as many at a time as hold at most `most` bytes, one at least."""
-    at = 0
-    while at < len(ends) - 1:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
-        yield at, to
-        at = to
-
-
 def _blocks(batch: pa.RecordBatch) -> pa.Array:
     """`BLOCKS` of the records of a batch: runs of columns without a gap, all records at once."""
-    (t, t_ends), (q, q_ends) = _text(batch.column("t_line")), _text(batch.column("q_line"))
+    (t, t_ends), (q, q_ends) = flat(batch.column("t_line")), flat(batch.column("q_line"))
     size = np.diff(t_ends)
     for i in np.flatnonzero(size != np.diff(q_ends))[:1].tolist():
         raise ValueError(f"record {batch.column('n')[i].as_py()}: lines of {size[i]} and {q_ends[i + 1] - q_ends[i]} columns")
@@ -96,7 +80,7 @@ def with_blocks(axt: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in _pieces(_text(batch.column("t_line"))[1], COLUMNS):
+            for i, j in pieces(flat(batch.column("t_line"))[1], COLUMNS):
                 some = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*[some.column(c) for c in keep], _blocks(some)], names=[*keep, "blocks"])
 

@@ -530,3 +530,15 @@ def test_products_meet_in_blocks(spark):
     assert partition.crossed(left.limit(0), right).count() == partition.crossed(left, right.limit(0)).count() == 0
     plan = partition.pairs(left.toDF("part"), right.toDF("part"))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_coded_words_are_the_words(spark):
+    """Words as numbers: the same places and bases as words as strings, in chunks, with steps, and beyond a long."""
+    pick = random.Random(3)
+    rows = [(i, i % 7, "".join(pick.choices("ACGTN-ac", [30, 30, 30, 30, 1, 1, 1, 1], k=pick.choice([0, 3, 12, 80, 400])))) for i in range(60)] + [(99, 0, None)]
+    g = spark.createDataFrame(rows, "chrom long, chunk_start long, seq string")
+    for k, step in ((1, 1), (5, 1), (12, 3), (20, 1), (31, 2), (33, 1)):
+        coded = seeds.coded_kmers(g, k, step)
+        got = coded if k > seeds.LONGEST else coded.withColumn("word", seeds.spelled(F.col("word"), k))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, seeds.kmers(g, k, step).collect()))
+    assert sorted(map(tuple, seeds.word_index(g, 5).collect())) == sorted(map(tuple, seeds.word_counts(seeds.kmers(g, 5)).collect()))

@@ -290,7 +290,7 @@ def test_axt_blocks_a_bounded_stretch_at_a_time(spark):
     import numpy as np
     from chainspark.sources import axt_text
 
-    assert list(axt_text._pieces(np.array([3, 8, 10, 30, 31]), 7)) == [(0, 2), (2, 3), (3, 4)]
+    assert list(axt_text.pieces(np.array([3, 8, 10, 30, 31]), 7)) == [(0, 2), (2, 3), (3, 4)]
     pick, rows = random.Random(5), []
     for i in range(3000):
         n = pick.randint(1, 40)
