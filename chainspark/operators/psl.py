@@ -43,7 +43,6 @@ def ranked(psl: DataFrame) -> DataFrame:
     return ordering.ranked(psl, [F.col(c) for c in ("t_name", "t_start", "t_end", "q_name", "q_start", "id")])
 
 
-@F.pandas_udf("matches long, mismatches long, rep_matches long, n_count long")
 def _compared(t: pd.Series, q: pd.Series) -> pd.DataFrame:
     """Counts of equal, other, masked and unknown pairs of two strings side by side; a blank on the query is no base."""
     out = []
@@ -66,7 +65,7 @@ def from_blocks(alignments: DataFrame) -> DataFrame:
     # the query's bases are cut or filled up with blanks to the target's, block by block
     t_all = F.array_join(F.transform("blocks", lambda b: b["t_seq"]), "")
     q_all = F.array_join(F.transform("blocks", lambda b: F.rpad(b["q_seq"], F.length(b["t_seq"]), " ")), "")
-    rows = small_batches(alignments).withColumn("_c", _compared(t_all, q_all))
+    rows = small_batches(alignments).withColumn("_c", F.pandas_udf(_compared, "matches long, mismatches long, rep_matches long, n_count long")(t_all, q_all))
     n = F.size("blocks")
     step = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: i)
     gap = lambda c: F.transform(F.filter(step, lambda i: i < n), lambda i: F.get(F.col("blocks"), i)[c] - F.get(F.col("blocks"), i - 1)[c] - F.get(F.col("blocks"), i - 1)["size"])
