@@ -116,8 +116,9 @@ def letter_codes() -> np.ndarray:
 
 
 def pairs_total(a: Column, b: Column, scoring: Scoring = DEFAULT) -> Column:
-    """The summed scores of two strings' bases side by side, up to the end of the shorter one."""
-    matrix, codes = score_matrix(scoring), letter_codes()
+    """The summed scores of two strings' bases side by side, up to the end of the shorter one; a blank is no base and scores 0."""
+    matrix, codes = np.zeros((6, 6), dtype=np.int64), letter_codes()
+    matrix[:5, :5], codes[ord(" ")] = score_matrix(scoring), 5
 
     def total(x: pd.Series, y: pd.Series) -> pd.Series:
         n = np.minimum(x.str.len(), y.str.len()).to_numpy()

@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 
 from ..functions.gaps import gap_cost
 from ..functions.ordering import indexed, ranked
-from ..functions.sequences import DEFAULT, Scoring, pairs_total
-from .tiles import TILE, aligned_bases
+from ..functions.sequences import DEFAULT, Scoring, pairs_total, reverse_complement
+from .tiles import TILE, whole_tiles
 
 
 def offsets(blocks: DataFrame) -> DataFrame:
@@ -61,17 +61,32 @@ def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame,
     """(cid, score) from the bases themselves: each block's pairs by their substitution scores, less the cost of the gaps.
 
     chains: (cid, t_name, t_start, q_name, q_start, q_size, q_strand), query places counted on the
-    strand; genomes: (chrom, seq) or (chrom, chunk_start, seq). Blocks are cut at the edges of tiles and
-    meet the bases of both sides as strings; pairs with an unknown base count as such.
+    strand; genomes: (chrom, seq) or (chrom, chunk_start, seq). Blocks are cut at the edges of tiles on
+    both sides, so a piece finds its bases in one tile of each. A chain's pieces in one pair of tiles are one row,
+    which meets the target's tile, then the query's; its bases travel joined. Pairs with an unknown base count as such,
+    those outside a genome not at all.
     """
-    at = offsets(blocks).join(chains, "cid")
-    cols = ["cid", "t_name", "q_name", "q_strand", "q_size", (F.col("t_start") + F.col("t_off")).alias("t"), (F.col("q_start") + F.col("q_off")).alias("q"), "size"]
-    piece = at.select(*cols).where("size > 0")
-    step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(TILE).cast("long"))).alias("k")
-    piece = piece.select("cid", "t_name", "q_name", "q_strand", "q_size", "t", "q", "size", step).select("cid", "t_name", "q_name", "q_strand", "q_size", (F.col("t") + F.col("k")).alias("t"), (F.col("q") + F.col("k")).alias("q"), F.least(F.col("size") - F.col("k"), F.lit(TILE)).alias("n"))
-    both = aligned_bases(piece, genome_t, genome_q)
-    total = pairs_total(F.col("t_seq"), F.col("q_seq"), scoring)
-    aligned = both.groupBy("cid").agg(F.sum(total).alias("aligned"))
+    at = offsets(blocks).join(chains, "cid").where("size > 0")
+    t, q, minus = F.col("t_start") + F.col("t_off"), F.col("q_start") + F.col("q_off"), F.col("q_strand") == "-"
+    rows = at.select("cid", F.col("t_name").cast("string").alias("t_name"), F.col("q_name").cast("string").alias("q_name"), minus.alias("minus"), t.alias("t"), F.when(minus, F.col("q_size") - q - F.col("size")).otherwise(q).alias("q"), "size")
+    over = lambda c: F.sequence(F.floor(F.col(c) / TILE), F.floor((F.col(c) + F.col("size") - 1) / TILE))
+    rows = rows.select("*", F.explode(over("t")).alias("t_tile")).select("*", F.explode(over("q")).alias("q_tile"))
+    # bases of the block, counted along the target, that lie in both tiles; on the minus strand the query runs backwards
+    lo, hi = F.col("q_tile") * TILE - F.col("q"), (F.col("q_tile") + 1) * TILE - F.col("q")
+    first = F.greatest(F.lit(0), F.col("t_tile") * TILE - F.col("t"), F.when(F.col("minus"), F.col("size") - hi).otherwise(lo))
+    last = F.least(F.col("size"), (F.col("t_tile") + 1) * TILE - F.col("t"), F.when(F.col("minus"), F.col("size") - lo).otherwise(hi))
+    n = (last - first).cast("int")
+    t_in = (F.col("t") + first - F.col("t_tile") * TILE).cast("int").alias("t")
+    q_in = (F.when(F.col("minus"), F.col("q") + F.col("size") - last).otherwise(F.col("q") + first) - F.col("q_tile") * TILE).cast("int").alias("q")
+    by = ["cid", "t_name", "t_tile", "q_name", "q_tile", "minus"]
+    own = rows.where(first < last).groupBy(*by).agg(F.collect_list(F.struct(t_in, q_in, n.alias("n"))).alias("p"))
+    # a tile's bases by place, with a blank where the genome has none
+    held = lambda g, s: whole_tiles(g).select(F.col("chrom").alias(f"{s}_name"), F.col("tile").alias(f"{s}_tile"), F.col("bases").alias("_bases"))
+    cut = lambda s: F.transform("p", lambda x: F.rpad(F.substring(F.col("_bases"), x[s] + 1, x["n"]), x["n"], " "))
+    met = own.join(held(genome_t, "t"), ["t_name", "t_tile"]).select("cid", "q_name", "q_tile", "minus", F.transform("p", lambda x: F.struct(x["q"].alias("q"), x["n"].alias("n"))).alias("p"), F.array_join(cut("t"), "").alias("t_seq"))
+    turned = F.transform(cut("q"), lambda x: F.when(F.col("minus"), reverse_complement(x)).otherwise(x))
+    both = met.join(held(genome_q, "q"), ["q_name", "q_tile"]).select("cid", "t_seq", F.array_join(turned, "").alias("q_seq"))
+    aligned = both.select("cid", pairs_total(F.col("t_seq"), F.col("q_seq"), scoring).alias("s")).groupBy("cid").agg(F.sum("s").alias("aligned"))
     cost = blocks.groupBy("cid").agg(F.sum(gap_cost(F.col("dt"), F.col("dq"), table)).alias("cost"))
     return cost.join(aligned, "cid", "left").select("cid", (F.coalesce("aligned", F.lit(0)) - F.col("cost")).cast("long").alias("score"))
 

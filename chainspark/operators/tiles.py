@@ -28,6 +28,17 @@ def tiles(genome: DataFrame, width: int = TILE) -> DataFrame:
     return cut.select("chrom", "tile", lo.alias("at"), F.substring("raw", (lo - F.col("base") + 1).cast("int"), (hi - lo).cast("int")).alias("bases"))
 
 
+def whole_tiles(genome: DataFrame, width: int = TILE) -> DataFrame:
+    """(chrom, tile, bases): one row a tile, its bases by their place in it, blanks where the genome has none before or between them."""
+    rows = tiles(genome, width)
+    if "tile" not in genome.columns and "chunk_start" not in genome.columns:  # one row a chromosome: tiles are whole
+        return rows.select("chrom", "tile", F.col("bases").cast("string").alias("bases"))
+    parts = rows.groupBy("chrom", "tile").agg(F.sort_array(F.collect_list(F.struct((F.col("at") - F.col("tile") * width).cast("int").alias("at"), F.col("bases").cast("string").alias("s")))).alias("p"))
+    # what is there so far, filled up to where the next part begins; where parts overlap, the later one counts on
+    joined = F.aggregate("p", F.lit(""), lambda s, x: F.concat(F.rpad(s, x["at"], " "), x["s"], F.substr(s, x["at"] + F.length(x["s"]) + 1)))
+    return parts.select("chrom", "tile", joined.alias("bases"))
+
+
 def lengths(genome: DataFrame) -> DataFrame:
     """(chrom, size) of sequences, whole, in chunks or in tiles."""
     if "tile" in genome.columns:

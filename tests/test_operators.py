@@ -542,3 +542,31 @@ def test_coded_words_are_the_words(spark):
         got = coded if k > seeds.LONGEST else coded.withColumn("word", seeds.spelled(F.col("word"), k))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, seeds.kmers(g, k, step).collect()))
     assert sorted(map(tuple, seeds.word_index(g, 5).collect())) == sorted(map(tuple, seeds.word_counts(seeds.kmers(g, 5)).collect()))
+
+
+def test_sequence_scores_carry_a_row_a_chain_and_tile(spark):
+    """Blocks over the edges of tiles, on both strands, past a genome's end and in chunks, against a plain walk; few bytes are shuffled."""
+    pick = random.Random(8)
+    t, q = ("".join(pick.choices("ACGTacgtN", k=n)) for n in (13_000, 12_500))
+    pairs, blocks, heads = sequences.score_matrix(), [], []
+    code, back, want = sequences.letter_codes(), str.maketrans("ACGTacgt", "TGCAtgca"), {}
+    for cid in range(24):
+        minus, t0, q0, total = cid % 2 == 1, pick.randrange(9000), pick.randrange(9000), 0
+        heads.append((cid, "t", t0, "q", q0, len(q), "-" if minus else "+"))
+        line = q[::-1].translate(back) if minus else q
+        for i in range(5):
+            size, dt, dq = pick.choice([1, 40, 700, 4097]), pick.randrange(50) * (i < 4), pick.randrange(50) * (i < 4)
+            blocks.append((cid, i, size, dt, dq))
+            total += sum(int(pairs[code[ord(t[t0 + k])], code[ord(line[q0 + k])]]) for k in range(size) if t0 + k < len(t) and q0 + k < len(q))
+            t0, q0 = t0 + size + dt, q0 + size + dq
+        want[cid] = total
+    b = spark.createDataFrame(blocks, "cid long, i long, size long, dt long, dq long")
+    h = spark.createDataFrame(heads, "cid long, t_name string, t_start long, q_name string, q_start long, q_size long, q_strand string")
+    cost = {r.cid: r.c for r in b.groupBy("cid").agg(F.sum(gaps.gap_cost(F.col("dt"), F.col("dq"))).alias("c")).collect()}
+    genome = lambda name, s: spark.createDataFrame([(name, s)], "chrom string, seq string")
+    chunked = lambda name, s: spark.createDataFrame([(name, i, s[i : i + 1100]) for i in range(0, len(s), 1000)], "chrom string, chunk_start long, seq string")
+    for make in (genome, chunked):
+        scored = chains.sequence_scores(b, make("t", t), make("q", q), h)
+        assert {r.cid: r.score for r in scored.collect()} == {c: n - cost[c] for c, n in want.items()}
+    # no join carries a row a block: neither side is fetched by range and put together again
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 4
