@@ -570,3 +570,27 @@ def test_sequence_scores_carry_a_row_a_chain_and_tile(spark):
         assert {r.cid: r.score for r in scored.collect()} == {c: n - cost[c] for c, n in want.items()}
     # no join carries a row a block: neither side is fetched by range and put together again
     assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 4
+
+
+def test_absorption_looks_from_witnesses(spark):
+    """Random alignments, with many small blocks, long ones and copies, against all pairs; only the largest blocks look for better ones."""
+    pick, rows = random.Random(4), []
+    for aid in range(160):
+        at, blocks = pick.randrange(300), []
+        for _ in range(pick.randint(1, 6)):
+            size = pick.choice([3, 10, 60, 400, 5000])
+            blocks.append((at, at + pick.randrange(2), size))
+            at += size + 2 + pick.randrange(20)
+        rows.append((aid, "t", "q", "+", pick.randrange(5), blocks))
+    rows += [(1000 + r[0], *r[1:4], r[4], [b for b in r[5] if pick.random() < 0.8]) for r in rows[:80]] + [(2000 + r[0], *r[1:]) for r in rows[:20]]
+    rows = [r for r in rows if r[5]]
+    df = spark.createDataFrame(rows, "aid long, t_name string, q_name string, strand string, score long, blocks array<struct<t:long,q:long,size:long>>")
+    rank = {r[0]: (-r[4], *r[5][0][:2], r[0]) for r in rows}
+    met = lambda x, y: sum(max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0])) for a in x for b in y if a[0] - a[1] == b[0] - b[1])
+    for share in (0.95, 0.6, 0.3):
+        firsts = {tuple(r[5]): min((rank[x[0]], x[0]) for x in rows if x[5] == r[5])[1] for r in rows}
+        want = [a for a in firsts.values() if not any(rank[y[0]] < rank[a] and met(x[5], y[5]) >= share * sum(b[2] for b in x[5]) for x in rows if x[0] == a for y in rows)]
+        assert sorted(r.aid for r in absorb.absorbed(df, share).collect()) == sorted(want)
+    b = [(i, "t", "q", "+", {"s": -i}, 110, 0, lo, lo + n) for i in range(50) for lo, n in ((0, 10), (1000 * i + 50, 100))]
+    alike = spark.createDataFrame([(*x[:4], (x[4]["s"],), *x[5:]) for x in b], "aid long, t_name string, q_name string, strand string, rank struct<s:int>, bases long, diagonal long, lo long, hi long")
+    assert absorb._candidates(alike, 0.9).count() == 0  # the small block that all share meets nothing
