@@ -219,10 +219,11 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     asks = max(1, -(-asked // each))
     index = _packed(dealt(named, "block", blocks), "block", dims, True)
     queries = _packed(dealt(named.where((F.col("id") % every == 0) & (F.col("id") != NO_ID)), "ask", asks), "ask", dims, False, "q_")
-    # every block of rows meets every block of queries, as an equal join on both numbers
+    # every block of rows meets every block of queries, as an equal join on both numbers; a merge, since
+    # Spark counts a side by its rows before they are exploded and would broadcast all the copies
     left = index.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1)).cast("array<long>")))
     right = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    met = left.join(right, ["block", "ask"]).mapInArrow(_met(k), schema_of("query_row long, query_id long, row long, id long, score long"))
+    met = left.hint("merge").join(right.hint("merge"), ["block", "ask"]).mapInArrow(_met(k), schema_of("query_row long, query_id long, row long, id long, score long"))
     w = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
     best = met.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.when(F.col("id") != NO_ID, F.col("id")).alias("vec_id"), "score", "query_row")

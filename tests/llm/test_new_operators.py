@@ -57,6 +57,14 @@ def test_top_k_of_few_rows_and_large_values(spark):
     assert [tuple(r)[:4] for r in got.orderBy("rank").collect()] == [(0, 1, 1, 2**63 - 1), (0, 2, 3, 256 * 512), (0, 3, 2, -(2**63))]
 
 
+def test_blocks_of_an_index_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(bitslice, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(3)
+    got = bitslice.top_k(vectors(spark, [(i, rng.normal(size=4).tolist()) for i in range(400)]), k=5)
+    assert len(got.collect()) == 40
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_sliced_scores_are_products(seed):
     rng = np.random.default_rng(seed)
