@@ -4,10 +4,13 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from chainspark.functions import groups, ordering
 from chainspark.functions.gaps import gap_cost_value
-from chainspark.operators import chaining, cleaning, netlevels
+from chainspark.operators import chaining, cleaning, netlevels, nets
 
 BLOCKS = "t_name string, id string, score long, start long, end long"
 
@@ -192,3 +195,26 @@ def test_a_crowded_island_is_not_quadratic():
         chaining.best_links(t, q, size, size * 91, "loose", 100_000)
         took.append(time.process_time() - began)
     assert took[1] < 9 * took[0]
+
+
+def test_bins_swept_at_once_are_as_each_alone():
+    rng = np.random.default_rng(4)
+    n = 3000
+    lo, bins = rng.integers(0, 90, n), np.sort(rng.integers(0, 200, n))
+    rows = pa.table({"t_name": ["x"] * n, "bin": bins, "id": [str(i) for i in rng.integers(0, 400, n)], "score": rng.integers(0, 9, n), "lo": bins * 100 + lo, "hi": bins * 100 + np.minimum(lo + rng.integers(1, 40, n), 100)})
+    row, start, end = nets.envelopes(rows, ["t_name", "bin"], 100)
+    got = {(int(p), rows["id"][int(r)].as_py()) for r, a, b in zip(row, start, end, strict=True) for p in range(a, b)}
+    best: dict[int, tuple] = {}
+    for r in rows.to_pylist():
+        for p in range(r["lo"], r["hi"]):
+            best[p] = min(best.get(p, (1, "")), (-r["score"], r["id"]))
+    assert got == {(p, b[1]) for p, b in best.items()}
+
+
+def test_groups_of_any_size_come_whole():
+    rows = pa.table({"k": [1] * 5 + [2] + [None] * 7 + [3, 4, 4], "x": range(16)})
+    for size in (1, 2, 3, 5, 16):
+        parts = list(groups.whole_groups(rows.to_batches(max_chunksize=size), ["k"]))
+        assert pa.concat_tables(parts).equals(rows)
+        keys = [set(p["k"].to_pylist()) for p in parts]
+        assert all(not a & b for i, a in enumerate(keys) for b in keys[:i])
