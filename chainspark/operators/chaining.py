@@ -8,8 +8,8 @@ bins, and a window sees the blocks of one bin only.
 
 Predecessors are searched in a k-d tree over block ends, each node with the best score below it: a
 branch is left alone where that score less the least cost of the distance can't win, so a block looks at
-few others however crowded its island is. A task takes small islands one after another from a sorted
-stream. Islands of more than `TILE_BLOCKS` blocks are cut into tiles of the target axis instead: tile by
+few others however crowded its island is. In islands of up to `DENSE` blocks each block is compared with all
+before it instead, the n-th blocks of many islands at once. A task takes small islands from a sorted stream. Islands of more than `TILE_BLOCKS` blocks are cut into tiles of the target axis instead: tile by
 tile, scores go forward with the blocks that a later tile can still reach, as tables, and then each block's
 best end comes back the same way. So no task holds more than a tile and its reach.
 """
@@ -20,11 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.gaps import gap_cost_value, least_cost
+from ..functions.groups import firsts, whole_groups
 from ..scratch import Scratch
 
 GROUP = ["t_name", "q_name", "q_strand"]
@@ -48,6 +50,8 @@ def islands(blocks: DataFrame, max_gap: int) -> DataFrame:
 TILE_BLOCKS = 200_000
 #: Blocks of a leaf of the tree.
 LEAF = 64
+#: Blocks of an island that are all compared with one another, and cells of the arrays in which islands lie side by side.
+DENSE, CELLS = 1024, 1 << 18
 _NONE = -(2**62)
 
 
@@ -126,23 +130,63 @@ def best_links(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarra
     return total, back, carried
 
 
-def best_chains(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarray, table: str, max_gap: int) -> tuple[np.ndarray, np.ndarray]:
-    """(chain number of each block, score of each chain): blocks sorted by t; chains are taken best first.
+def dense_links(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarray, first: np.ndarray, count: np.ndarray, table: str, max_gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `best_links`, for the islands of `count` blocks from `first` on at once; the other blocks' results mean nothing."""
+    total, back, carried = np.full(len(t), _NONE), np.full(len(t), -1), np.zeros(len(t), dtype=np.int64)
+    order = np.argsort(-count, kind="stable")
+    first, count = first[order], count[order]
+    at = 0
+    while at < len(first):
+        most = int(count[at])
+        some = slice(at, at + max(1, CELLS // most))
+        n = count[some]
+        at += len(n)
+        place = np.minimum(first[some][:, None] + np.arange(most), len(t) - 1)
+        own_t, own_q = t[place], q[place]
+        end_t, end_q = own_t + size[place], own_q + size[place]
+        score = np.full(place.shape, _NONE)
+        for j in range(most):
+            k = int(np.searchsorted(-n, -j, side="left"))  # islands with a block j
+            here, gain = place[:k, j], np.zeros(k, dtype=np.int64)
+            if j:
+                dt, dq = own_t[:k, j, None] - end_t[:k, :j], own_q[:k, j, None] - end_q[:k, :j]
+                row, col = np.nonzero((dt >= 0) & (dq >= 0) & (dt <= max_gap))
+                links = np.full(dt.shape, _NONE)
+                links[row, col] = score[row, col] - gap_cost_value(dt[row, col], dq[row, col], table)
+                best = links.argmax(axis=1)
+                gain = np.maximum(links[np.arange(k), best], 0)
+                back[here] = np.where(gain > 0, place[np.arange(k), best], -1)
+            score[:k, j] = weight[here] + gain
+            total[here], carried[here] = score[:k, j], gain
+    return total, back, carried
+
+
+def best_chains(t: np.ndarray, q: np.ndarray, size: np.ndarray, weight: np.ndarray, table: str, max_gap: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(chain number of each block, score of each chain): blocks of islands that begin at `first`, each sorted by t; chains of an island are taken best first.
 
     Every block has one best predecessor; a chain follows them back from the best free end until it
-    meets a block that is taken.
+    meets a block that is taken. Numbers run on from island to island.
     """
-    total, back, carried = best_links(t, q, size, weight, table, max_gap)
-    chain, scores = np.full(len(t), -1), []
-    for j in np.argsort(-total, kind="stable"):
+    first = np.zeros(min(len(t), 1), dtype=np.int64) if first is None else first
+    count = np.diff(np.append(first, len(t)))
+    small = count <= DENSE
+    total, back, carried = dense_links(t, q, size, weight, first[small], count[small], table, max_gap)
+    for i, n in zip(first[~small].tolist(), count[~small].tolist(), strict=True):
+        one = slice(i, i + n)
+        total[one], before, carried[one] = best_links(t[one], q[one], size[one], weight[one], table, max_gap)
+        back[one] = np.where(before >= 0, before + i, -1)
+    chain, ends, bottoms, link = [-1] * len(t), [], [], back.tolist()
+    for j in np.lexsort((-total, np.repeat(np.arange(len(first)), count))).tolist():
         if chain[j] >= 0:
             continue
         k = bottom = j
         while k >= 0 and chain[k] < 0:
-            chain[k] = len(scores)
-            bottom, k = k, back[k]
-        scores.append(total[j] - carried[bottom])  # what lies before a taken block counts there
-    return chain, np.array(scores, dtype=np.int64)
+            chain[k] = len(ends)
+            bottom, k = k, link[k]
+        ends.append(j)
+        bottoms.append(bottom)
+    score = total[np.array(ends, dtype=np.int64)] - carried[np.array(bottoms, dtype=np.int64)]  # what lies before a taken block counts there
+    return np.array(chain, dtype=np.int64), score
 
 
 def chained(blocks: DataFrame, min_score: int = 1000, table: str = "loose", max_gap: int = 100_000, per_base: int = 91) -> DataFrame:
@@ -160,41 +204,28 @@ def chained(blocks: DataFrame, min_score: int = 1000, table: str = "loose", max_
     crowded = None if large.isEmpty() else tiled(rows.join(large, key), table, max_gap, scratch).where(F.col("score") >= min_score)
     rows = rows.join(large, key, "left_anti")
 
-    names = ["t_name", "q_name", "q_strand", "island", "chain", "score", "n_blocks", "t_start", "t_end", "q_start", "q_end", "members"]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "q", "aid"], ignore_index=True)
-        t, q, size = (pdf[c].to_numpy() for c in ("t", "q", "size"))
-        chain, score = best_chains(t, q, size, pdf["weight"].to_numpy(), table, max_gap)
-        order = np.argsort(chain, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(chain[order]) > 0))
-        pick = lambda f, x: f.reduceat(x[order], first)
-        out = pd.DataFrame({"chain": chain[order][first], "score": score, "n_blocks": np.diff(np.append(first, len(chain)))})
-        out["t_start"], out["t_end"], out["q_start"], out["q_end"] = pick(np.minimum, t), pick(np.maximum, t + size), pick(np.minimum, q), pick(np.maximum, q + size)
-        out["members"] = [x.tolist() for x in np.split(pdf["aid"].to_numpy()[order], first[1:])]
-        for c in ("island", *GROUP):
-            out[c] = pdf[c].iloc[0]
-        return out.loc[out["score"] >= min_score, names]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []  # the island that goes on in the next batch
-        for pdf in batches:
-            key = pdf[[*GROUP, "island"]]
-            first = np.flatnonzero(np.append(True, (key.iloc[1:].to_numpy() != key.iloc[:-1].to_numpy()).any(axis=1)))
-            runs = [pdf.iloc[i:j] for i, j in zip(first, np.append(first[1:], len(pdf)), strict=True)]
-            if held and (held[0][[*GROUP, "island"]].iloc[0] == runs[0][[*GROUP, "island"]].iloc[0]).all():
-                held.append(runs.pop(0))
-            if runs:
-                done = [pd.concat(held), *runs[:-1]] if held else runs[:-1]
-                held = [runs[-1]]
-                if done:
-                    yield pd.concat([one(g) for g in done], ignore_index=True)
-        if held:
-            yield one(pd.concat(held))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, key):
+            first = firsts(rows, key)
+            t, q, size, weight, aid = (rows[c].to_numpy() for c in ("t", "q", "size", "weight", "aid"))
+            island = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(t))))
+            order = np.lexsort((aid, q, t, island))
+            t, q, size, weight, aid = (x[order] for x in (t, q, size, weight, aid))
+            chain, score = best_chains(t, q, size, weight, table, max_gap, first)
+            order = np.argsort(chain, kind="stable")
+            begin = np.flatnonzero(np.append(True, np.diff(chain[order]) > 0))
+            head = island[order][begin]
+            pick = lambda f, x: f.reduceat(x[order], begin)
+            out = {c: rows[c].take(first[head]) for c in key}
+            out["chain"] = np.arange(len(score)) - np.searchsorted(head, head)
+            out |= {"score": score, "n_blocks": np.diff(np.append(begin, len(t)))}
+            out |= {"t_start": pick(np.minimum, t), "t_end": pick(np.maximum, t + size), "q_start": pick(np.minimum, q), "q_end": pick(np.maximum, q + size)}
+            out["members"] = pa.LargeListArray.from_arrays(np.append(begin, len(t)), aid[order]).cast(pa.list_(pa.int64()))
+            yield from pa.table(out).filter(pa.array(score >= min_score)).to_batches()
 
     ddl = "t_name string, q_name string, q_strand string, island long, chain long, score long, n_blocks long, t_start long, t_end long, q_start long, q_end long, members array<long>"
     tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    small = rows.repartition(tasks, *key).sortWithinPartitions(*key).mapInPandas(run, ddl)
+    small = rows.select(*key, "aid", "t", "q", "size", F.col("weight").cast("long").alias("weight")).repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(run, ddl)
     return small if crowded is None else small.unionByName(crowded)
 
 

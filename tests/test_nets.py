@@ -218,3 +218,19 @@ def test_groups_of_any_size_come_whole():
         assert pa.concat_tables(parts).equals(rows)
         keys = [set(p["k"].to_pylist()) for p in parts]
         assert all(not a & b for i, a in enumerate(keys) for b in keys[:i])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_small_islands_side_by_side_chain_as_by_the_tree(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    count = rng.integers(1, 60, 20)
+    first = np.cumsum(count) - count
+    island, span = np.repeat(np.arange(20), count), int(rng.choice([20, 300, 3000]))
+    t, q, size = rng.integers(0, span, len(island)), rng.integers(0, span, len(island)), rng.integers(1, 30, len(island))
+    order = np.lexsort((q, t, island))
+    args = (t[order], q[order], size[order], size[order] * 91, "loose", 500, first)
+    dense = chaining.best_chains(*args)
+    monkeypatch.setattr(chaining, "CELLS", 100)
+    monkeypatch.setattr(chaining, "DENSE", 10)
+    tree = chaining.best_chains(*args)
+    assert (dense[0] == tree[0]).all() and (dense[1] == tree[1]).all()
