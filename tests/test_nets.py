@@ -234,3 +234,15 @@ def test_small_islands_side_by_side_chain_as_by_the_tree(monkeypatch, seed):
     monkeypatch.setattr(chaining, "DENSE", 10)
     tree = chaining.best_chains(*args)
     assert (dense[0] == tree[0]).all() and (dense[1] == tree[1]).all()
+
+
+def test_places_in_an_order_shuffle_rows_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ordering.ranked(spark.range(1000).select((F.col("id") * 7 % 1000).alias("x")), [F.col("x")])
+        assert [tuple(r) for r in got.orderBy("x").collect()] == [(i, i) for i in range(1000)]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") >= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
