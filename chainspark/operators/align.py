@@ -40,9 +40,28 @@ STRETCHES = 16
 BAND, LINK = 1024, 4096
 
 
+def _same(a: np.ndarray, b: np.ndarray, gap_open: int, gap_extend: int, matrix: np.ndarray) -> int:
+    """Length of the shorter side if it is equal to the other's beginning and no other path scores as much, or 0.
+
+    That is so where each base scores best with itself, and above 0: a path has a pair for each base of the shorter
+    side at most, and any that leaves the diagonal pays for a gap.
+    """
+    k = min(len(a), len(b))
+    if not k or a[0] != b[0] or gap_extend < 0 or gap_open + gap_extend <= 0 or not (a[:k] == b[:k]).all():
+        return 0
+    own = matrix.diagonal()
+    good = (own > 0) & (own == matrix.max(axis=0)) & (own == matrix.max(axis=1))
+    return k if good[a[:k]].all() else 0
+
+
 def _stretch(a: np.ndarray, b: np.ndarray, drop: int, scoring: Scoring, matrix: np.ndarray) -> tuple[int, int, int, bool, list[list[int]]]:
     """(score, rows, columns, alive, blocks) of the best path from the corner over all of `a`, or until the drop ends it."""
     n, m, gap_open, gap_extend = len(a), len(b), scoring.gap_open, scoring.gap_extend
+    if not n or not m:
+        return 0, 0, 0, True, []
+    k = _same(a, b, gap_open, gap_extend, matrix)
+    if k:
+        return int(matrix[a[:k], a[:k]].sum()), k, k, True, [[0, 0, k]]
     width = (max(0, drop - gap_open) // max(1, gap_extend)) + 1  # columns that a gap can add before the drop
     hi = min(m, width)
     best = np.append(0, -gap_open - gap_extend * np.arange(1, hi + 1, dtype=np.int64))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chainspark.functions import groups, ordering
 from chainspark.functions.gaps import gap_cost_value
-from chainspark.operators import chaining, cleaning, netlevels, nets
+from chainspark.operators import align, chaining, cleaning, netlevels, nets
 
 BLOCKS = "t_name string, id string, score long, start long, end long"
 
@@ -246,3 +246,18 @@ def test_places_in_an_order_shuffle_rows_once(spark):
         assert plan.count("BroadcastHashJoin") >= 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equal_stretches_align_without_a_table(monkeypatch, seed):
+    rng = random.Random(seed)
+    matrix = align.score_matrix(align.DEFAULT)
+    cases = []
+    for _ in range(60):
+        a = align.codes("".join(rng.choice(rng.choice(["ACGT", "AC", "ACGTN"])) for _ in range(rng.randint(0, 40))))
+        b = np.concatenate([a[: rng.randint(0, len(a))], align.codes("".join(rng.choice("ACGT") for _ in range(rng.choice([0, 0, 5, 60]))))])
+        cases += [(a, b, rng.choice([0, 300, 9400])), (b, a, 9400)]
+    got = [align._stretch(*c, align.DEFAULT, matrix) for c in cases]
+    assert sum(align._same(a, b, 400, 30, matrix) > 0 for a, b, _ in cases) > 20
+    monkeypatch.setattr(align, "_same", lambda *_: 0)
+    assert got == [align._stretch(*c, align.DEFAULT, matrix) for c in cases]
