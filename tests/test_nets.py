@@ -261,3 +261,27 @@ def test_equal_stretches_align_without_a_table(monkeypatch, seed):
     assert sum(align._same(a, b, 400, 30, matrix) > 0 for a, b, _ in cases) > 20
     monkeypatch.setattr(align, "_same", lambda *_: 0)
     assert got == [align._stretch(*c, align.DEFAULT, matrix) for c in cases]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_suspects_in_blocks_are_those_of_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(nets, "BLOCK", 3)
+    rng = random.Random(seed)
+    lines = [(str(k % 90), rng.choice("xy"), at := rng.randrange(-40, 400), at + rng.randrange(0, 9), rng.randrange(1, 60)) for k in range(120)]
+    lines += lines[:20]  # equal rows count once
+    gaps = [(f"g{k}", rng.choice("xy"), rng.randrange(20, 90), at := rng.randrange(-60, 400), at + rng.choice([0, 5, 40, 300]), rng.randrange(200), rng.randrange(200)) for k in range(60)]
+    want = sorted((c[0], g[0], g[5] / c[4], g[6] / c[4]) for c in set(lines) for g in gaps if c[1] == g[1] and c[4] < g[2] and g[2] >= 30 and c[4] <= 50 and c[2] >= g[3] and c[3] <= g[4])
+    chains = spark.createDataFrame(lines, "id string, t_name string, t_start long, t_end long, score long")
+    found = nets.breaking(chains, spark.createDataFrame(gaps, "id string, t_name string, score long, start long, end long, left long, right long"), 50, 30, 64)
+    assert sorted(map(tuple, found.collect())) == want and len(want) > 100
+
+
+def test_chains_of_orders_are_shuffled_once(spark, tmp_path):
+    """Gaps of the orders' chains with their scores: lines go to their order, and to no second place."""
+    from chainspark.operators import chains
+    from chainspark.plans import adapters
+
+    spark.createDataFrame([(1, 2, 3, 1, 4.0, 5.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    b = adapters.blocks(spark, str(tmp_path))
+    for df in (chains.offsets(b), chains.scores(b), nets.scored_flanks(b)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
