@@ -57,6 +57,12 @@ def scores(blocks: DataFrame, per_base: Column | int = 91, table: str = "loose")
     return blocks.groupBy("cid").agg(F.sum(part).cast("long").alias("score"))
 
 
+def scored_offsets(blocks: DataFrame, per_base: int = 91, table: str = "loose") -> DataFrame:
+    """`offsets` with the score of the whole chain, in one shuffle."""
+    part = F.col("size") * per_base - gap_cost(F.col("dt"), F.col("dq"), table)
+    return offsets(blocks).withColumn("score", F.sum(part).over(Window.partitionBy("cid")).cast("long"))
+
+
 def sequence_scores(blocks: DataFrame, genome_t: DataFrame, genome_q: DataFrame, chains: DataFrame, table: str = "loose", scoring: Scoring = DEFAULT) -> DataFrame:
     """(cid, score) from the bases themselves: each block's pairs by their substitution scores, less the cost of the gaps.
 

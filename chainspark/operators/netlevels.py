@@ -18,16 +18,24 @@ to, and beside the worse of its two neighbours otherwise; such pointers are foll
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.groups import firsts, whole_groups
 from ..scratch import Scratch
-from .nets import envelope
+from .nets import envelopes
 
 #: An open fill: rank, id, score, start and the end so far.
 _OPEN = "id string, score long, start long, end long"
 _KEY = ["t_name", "id", "start"]
+_BIN = ["t_name", "bin"]
+#: Batches of blocks that are swept together before they are shuffled.
+BATCHES = 64
 
 
 def better(a: tuple, b: tuple) -> bool:
@@ -83,17 +91,50 @@ def owned(blocks: DataFrame, width: int) -> DataFrame:
     bin_of = lambda c: F.floor(c / F.lit(float(width))).cast("long")
     rows = blocks.where("end > start").select("t_name", "id", "score", "start", "end", F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end") - 1))).alias("bin"))
     rows = rows.select("t_name", "bin", "id", "score", F.greatest("start", F.col("bin") * width).alias("lo"), F.least("end", (F.col("bin") + 1) * width).alias("hi"))
+    best = swept_pieces(rows, width, BATCHES)
+    # bins are swept at once; what lies in a bin was swept before it was shuffled
+    swept = swept_pieces(best.repartition("t_name", "bin").sortWithinPartitions("t_name", "bin"), width, 1)
     ddl = f"t_name string, bin long, kind string, nth long, {_OPEN}"
 
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        score = dict(zip(pdf["id"], pdf["score"], strict=True))
-        pieces = [(i, int(score[i]), lo, hi) for i, lo, hi in envelope(pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["score"].to_numpy(), pdf["id"].tolist())]
-        stack: list[list] = []
-        stacked(stack, pieces)
-        at = (pdf["t_name"].iloc[0], int(pdf["bin"].iloc[0]))
-        return _rows([*((*at, "piece", n, *p) for n, p in enumerate(pieces)), *((*at, "open", n, *p) for n, p in enumerate(stack))], ddl)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, _BIN):
+            rows = []
+            at = [*firsts(t, _BIN).tolist(), t.num_rows]
+            names, columns = t["t_name"].to_pylist(), [t[c].to_pylist() for c in ("bin", "id", "score", "lo", "hi")]
+            for a, b in zip(at, at[1:], strict=False):
+                key, stack = (names[a], columns[0][a]), []
+                pieces = list(zip(*(c[a:b] for c in columns[1:]), strict=True))
+                stacked(stack, pieces)
+                rows += [(*key, "piece", n, *p) for n, p in enumerate(pieces)]
+                rows += [(*key, "open", n, *p) for n, p in enumerate(stack)]
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in ddl.split(", ")])
+
+    return swept.mapInArrow(read, ddl)
+
 
-    return rows.groupBy("t_name", "bin").applyInPandas(sweep, ddl)
+def swept_pieces(rows: DataFrame, width: int, batches: int) -> DataFrame:
+    """Of rows (t_name, bin, id, score, lo, hi) what is best at its place, among the rows of so many batches of a partition at least.
+
+    Where rows come sorted by bin and `batches` is 1, among all of their bin, in order.
+    """
+    names = ["t_name", "bin", "id", "score", "lo", "hi"]
+
+    def best(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        row, lo, hi = envelopes(t, _BIN, width)
+        yield from pa.table([*(t[c].take(row) for c in names[:4]), pa.array(lo), pa.array(hi)], names).to_batches()
+
+    def sweep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if batches == 1:
+            for t in whole_groups(parts, _BIN):
+                yield from best(t)
+            return
+        while held := list(islice(parts, batches)):
+            t = pa.Table.from_batches(held)
+            if t.num_rows:
+                yield from best(t.sort_by([("t_name", "ascending"), ("bin", "ascending")]))
+
+    return rows.select(names).mapInArrow(sweep, "t_name string, bin long, id string, score long, lo long, hi long")
 
 
 def carried(swept: DataFrame) -> DataFrame:

@@ -285,3 +285,11 @@ def test_chains_of_orders_are_shuffled_once(spark, tmp_path):
     b = adapters.blocks(spark, str(tmp_path))
     for df in (chains.offsets(b), chains.scores(b), nets.scored_flanks(b)):
         assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_blocks_are_swept_before_they_are_shuffled(spark):
+    """A thousand chains on one place: what reaches the shuffle is what is best in its part, not every block."""
+    blocks = spark.range(0, 4000, 1, 4).selectExpr("'t' AS t_name", "string(id) AS id", "id AS score", "0L AS bin", "id % 5 AS lo", "id % 5 + 20 AS hi")
+    assert netlevels.swept_pieces(blocks, 64, 64).count() <= 4 * 9
+    best = netlevels.owned(blocks.select("t_name", "id", "score", blocks.lo.alias("start"), blocks.hi.alias("end")), 64).where("kind = 'piece'").orderBy("start").collect()
+    assert [(r.id, r.start, r.end) for r in best] == [("3995", 0, 1), ("3996", 1, 2), ("3997", 2, 3), ("3998", 3, 4), ("3999", 4, 24)]
