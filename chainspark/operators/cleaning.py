@@ -35,7 +35,9 @@ def piece_scores(fills: DataFrame, blocks: DataFrame, per_base: int = 91, table:
     """`fills` with score: of the chain's blocks in the fill, clipped to it, less the gaps between them.
 
     fills: (t_name, id, start, end, ...); blocks: (t_name, id, i, start, end, dt, dq), the gap after a block.
+    Only blocks of chains that have fills are merged with them.
     """
+    blocks = blocks.join(fills.select(*CHAIN), CHAIN, "left_semi")
     pairs = overlaps(fills, blocks.select(*CHAIN, "i", "start", "end", "dt", "dq"), CHAIN)
     size = F.least("a.end", "b.end") - F.greatest("a.start", "b.start")
     cost = gap_cost(F.col("b.dt"), F.col("b.dq"), table)
@@ -49,8 +51,12 @@ def breaking_pieces(net: DataFrame, blocks: DataFrame, flanks: DataFrame, heads:
     net: of `net_levels`; flanks: (id, t_from, left, right), gaps by where they begin on the reference; heads: (id, score).
     """
     inner = net.where("kind = 'fill' AND parent IS NOT NULL").select(*CHAIN, "start", "end", F.col("parent").alias("breaks"), F.col("parent_gap").alias("t_from"))
-    broken = heads.where(F.col("score") >= min_broken).select(F.col("id").alias("breaks"))
-    inner = inner.join(broken, "breaks", "left_semi").join(flanks.select(F.col("id").alias("breaks"), "t_from", "left", "right"), ["breaks", "t_from"])
+    # a table, as fills are few beside blocks: what they choose of heads, flanks and blocks is chosen where those are read
+    kept = Scratch(net.sparkSession, "inner")
+    inner = kept.keep(inner, "fills")
+    broken = heads.join(inner.select(F.col("breaks").alias("id")), "id", "left_semi").where(F.col("score") >= min_broken).select(F.col("id").alias("breaks"))
+    sides = flanks.select(F.col("id").alias("breaks"), "t_from", "left", "right").join(inner.select("breaks"), "breaks", "left_semi")
+    inner = kept.keep(inner.join(broken, "breaks", "left_semi").join(sides, ["breaks", "t_from"]), "flanked")
     scored = piece_scores(inner, blocks, per_base, table).where(F.col("score") <= max_suspect)
     fold = lambda c: (F.col(c).cast("double") / F.greatest("score", F.lit(1))).alias(f"{c}_fold")
     return scored.select(*CHAIN, "start", "end", "breaks", "score", fold("left"), fold("right"))
@@ -74,10 +80,12 @@ def cut_out(blocks: DataFrame, cuts: DataFrame) -> DataFrame:
     """(t_name, id, part, start, end, q): what is left of each chain's blocks; `part` counts the cuts before it.
 
     blocks: (t_name, id, start, end, q), q where the block begins on the query; cuts: (t_name, id, start, end),
-    disjoint in a chain. A chain without cuts is part 0, whole.
+    disjoint in a chain. A chain without cuts is part 0, whole, and takes no part in the merge.
     """
-    cuts = Scratch(blocks.sparkSession, "cuts").keep(cuts.select(*CHAIN, "start", "end").distinct(), "cuts")
-    blocks = blocks.select(*CHAIN, "start", "end", "q")
+    scratch = Scratch(blocks.sparkSession, "cuts")
+    cuts = scratch.keep(cuts.select(*CHAIN, "start", "end").distinct(), "cuts")
+    whole = blocks.join(cuts, CHAIN, "left_anti").select(*CHAIN, F.lit(0).cast("long").alias("part"), "start", "end", "q")
+    blocks = scratch.keep(blocks.join(cuts, CHAIN, "left_semi").select(*CHAIN, "start", "end", "q"), "touched")
     hit = overlaps(blocks, cuts, CHAIN).groupBy(*CHAIN, F.col("a.start").alias("start"), F.col("a.end").alias("end"), F.col("a.q").alias("q")).agg(F.sort_array(F.collect_list(F.struct("b.start", "b.end"))).alias("cut"))
     n = F.size("cut")
     left = F.transform(F.sequence(F.lit(0), n), lambda k: F.struct(F.when(k == 0, F.col("start")).otherwise(F.get(F.col("cut")["end"], k - 1)).alias("lo"), F.when(k == n, F.col("end")).otherwise(F.get(F.col("cut")["start"], k)).alias("hi")))
@@ -86,4 +94,4 @@ def cut_out(blocks: DataFrame, cuts: DataFrame) -> DataFrame:
     marks = cuts.select(*CHAIN, "start", "end", F.lit(None).cast("long").alias("q"), F.lit(1).alias("cut"))
     w = Window.partitionBy(*CHAIN).orderBy("start", "cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = kept.withColumn("cut", F.lit(0)).unionByName(marks).withColumn("part", F.sum("cut").over(w))
-    return rows.where("cut = 0").select(*CHAIN, "part", "start", "end", "q")
+    return rows.where("cut = 0").select(*CHAIN, "part", "start", "end", "q").unionByName(whole)

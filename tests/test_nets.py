@@ -293,3 +293,13 @@ def test_blocks_are_swept_before_they_are_shuffled(spark):
     assert netlevels.swept_pieces(blocks, 64, 64).count() <= 4 * 9
     best = netlevels.owned(blocks.select("t_name", "id", "score", blocks.lo.alias("start"), blocks.hi.alias("end")), 64).where("kind = 'piece'").orderBy("start").collect()
     assert [(r.id, r.start, r.end) for r in best] == [("3995", 0, 1), ("3996", 1, 2), ("3997", 2, 3), ("3998", 3, 4), ("3999", 4, 24)]
+
+
+def test_chains_without_cuts_take_no_part_in_the_merge(spark, monkeypatch):
+    merged, overlaps = [], cleaning.overlaps
+    monkeypatch.setattr(cleaning, "overlaps", lambda a, b, by: merged.append(a.count()) or overlaps(a, b, by))
+    blocks = spark.createDataFrame([("t", str(k), 10 * i, 10 * i + 9, 0) for k in range(50) for i in range(4)], "t_name string, id string, start long, end long, q long")
+    left = cleaning.cut_out(blocks, spark.createDataFrame([("t", "7", 12, 15)], "t_name string, id string, start long, end long"))
+    assert merged == [4] and left.count() == 201
+    kept = left.where("id = '7'").orderBy("start").collect()
+    assert [(r.part, r.start, r.end) for r in kept] == [(0, 0, 9), (0, 10, 12), (1, 15, 19), (1, 20, 29), (1, 30, 39)]
