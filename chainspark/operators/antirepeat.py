@@ -43,14 +43,19 @@ def adjusted(chains: DataFrame, least: int = LEAST) -> DataFrame:
 def composition(chains: DataFrame, blocks: DataFrame, genome: DataFrame) -> DataFrame:
     """`chains` (cid, t_name, t_start, score) with counts of aligned target bases (a, c, g, t) and masked ones.
 
-    blocks: (cid, t_off, size); genome: (chrom, seq), whole or in chunks. Blocks meet the tiles that
-    they touch; counts are taken of strings and combine on the map side.
+    blocks: (cid, t_off, size); genome: (chrom, seq), whole or in chunks. Blocks are cut at the edges of
+    tiles; a chain's pieces in one tile are a row, put together where the blocks lie, and meet the tile once.
     """
     at = blocks.join(chains.select("cid", "t_name", "t_start"), "cid").select("cid", F.col("t_name").cast("string").alias("chrom"), (F.col("t_start") + F.col("t_off")).alias("t"), "size").where("size > 0")
     some = at.select("*", F.explode(F.sequence(F.floor(F.col("t") / TILE), F.floor((F.col("t") + F.col("size") - 1) / TILE))).alias("tile"))
-    j = some.join(tiles(genome), ["chrom", "tile"])
-    lo, hi = F.greatest("t", "at"), F.least(F.col("t") + F.col("size"), F.col("at") + F.length("bases"))
-    part = j.where(lo < hi).select("cid", F.substring("bases", (lo - F.col("at") + 1).cast("int"), (hi - lo).cast("int")).cast("string").alias("s"))
-    n = part.groupBy("cid").agg(*[F.sum(base_count(F.col("s"), b)).cast("long").alias(b.lower()) for b in "ACGT"], F.sum(F.length(F.regexp_replace("s", "[^acgt]", ""))).cast("long").alias("masked"))
+    edge = F.col("tile") * TILE
+    own = some.groupBy("cid", "chrom", "tile").agg(F.collect_list(F.struct(F.greatest("t", edge).alias("lo"), F.least(F.col("t") + F.col("size"), edge + TILE).alias("hi"))).alias("p"))
+    j = own.join(tiles(genome), ["chrom", "tile"])
+    # in bytes, as a place in a string is searched from its beginning
+    lo, hi = lambda x: F.greatest(x["lo"], "at") - F.col("at"), lambda x: F.least(x["hi"] - F.col("at"), F.length("bases"))
+    cut = F.transform("p", lambda x: F.substring("bases", (lo(x) + 1).cast("int"), F.greatest(hi(x) - lo(x), F.lit(0)).cast("int")).cast("string"))
+    part = j.select("cid", F.array_join(cut, "").alias("s"))
+    n = part.select("cid", *[base_count(F.col("s"), b).alias(b.lower()) for b in "ACGT"], F.length(F.regexp_replace("s", "[^acgt]+", "")).alias("masked"))
+    n = n.groupBy("cid").agg(*[F.sum(c).cast("long").alias(c) for c in ("a", "c", "g", "t", "masked")])
     none = F.lit(0).cast("long")
     return chains.join(n, "cid", "left").select(*chains.columns, *[F.coalesce(c, none).alias(c) for c in ("a", "c", "g", "t", "masked")])

@@ -303,3 +303,19 @@ def test_chains_without_cuts_take_no_part_in_the_merge(spark, monkeypatch):
     assert merged == [4] and left.count() == 201
     kept = left.where("id = '7'").orderBy("start").collect()
     assert [(r.part, r.start, r.end) for r in kept] == [(0, 0, 9), (0, 10, 12), (1, 15, 19), (1, 20, 29), (1, 30, 39)]
+
+
+def test_a_chain_meets_a_tile_once(spark):
+    """Counts over tiles and chunks are those base by base, and no block is a row where tiles are met."""
+    from chainspark.operators import antirepeat
+
+    rng = random.Random(5)
+    seq = "".join(rng.choice("ACGTacgtnN") for _ in range(9000))
+    genome = spark.createDataFrame([("g", at, seq[at : at + 3000]) for at in (0, 3000, 6000)], "chrom string, chunk_start long, seq string")
+    blocks = [(c, 37 * k + c, rng.randrange(0, 30)) for c in range(4) for k in range(300)]
+    heads = spark.createDataFrame([(c, "g", 50 * c, 9) for c in range(5)], "cid long, t_name string, t_start long, score long")
+    got = antirepeat.composition(heads, spark.createDataFrame(blocks, "cid long, t_off long, size long"), genome)
+    for r in got.collect():
+        s = "".join(seq[50 * c + t : 50 * c + t + n] for c, t, n in blocks if c == r.cid)
+        assert [r.a, r.c, r.g, r.t, r.masked] == [*(s.upper().count(b) for b in "ACGT"), sum(x in "acgt" for x in s)]
+    assert "collect_list" in got._jdf.queryExecution().optimizedPlan().toString()
