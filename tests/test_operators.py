@@ -594,3 +594,23 @@ def test_absorption_looks_from_witnesses(spark):
     b = [(i, "t", "q", "+", {"s": -i}, 110, 0, lo, lo + n) for i in range(50) for lo, n in ((0, 10), (1000 * i + 50, 100))]
     alike = spark.createDataFrame([(*x[:4], (x[4]["s"],), *x[5:]) for x in b], "aid long, t_name string, q_name string, strand string, rank struct<s:int>, bases long, diagonal long, lo long, hi long")
     assert absorb._candidates(alike, 0.9).count() == 0  # the small block that all share meets nothing
+
+
+def test_short_alignments_meet_without_pairs(spark, monkeypatch):
+    """Short alignments on few places, copies and near copies among them, against all pairs; pairs are never listed."""
+
+    def listed(*_):
+        raise AssertionError("pairs were listed")
+
+    monkeypatch.setattr(absorb, "_candidates", listed)
+    pick, rows = random.Random(9), []
+    for aid in range(300):
+        blocks = [(60 * t - 600, 60 * t - 600 + aid % 2, pick.choice([1, 9, 30, 31, 32, 50])) for t in sorted(pick.sample(range(20), pick.randint(1, 4)))]
+        rows.append((aid, f"t{aid % 3}" if aid % 3 else None, "q", "+", 91 * sum(b[2] for b in blocks), blocks))
+    df = spark.createDataFrame(rows, "aid long, t_name string, q_name string, strand string, score long, blocks array<struct<t:long,q:long,size:long>>")
+    rank = {r[0]: (-r[4], *r[5][0][:2], r[0]) for r in rows}
+    met = lambda x, y: sum(max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0])) for a in x for b in y if a[0] - a[1] == b[0] - b[1])
+    for share in (0.95, 0.6):
+        firsts = {(r[1], *r[5]): min((rank[x[0]], x[0]) for x in rows if x[1] == r[1] and x[5] == r[5])[1] for r in rows}
+        want = [a for a in firsts.values() if not any(x[1] and x[1] == y[1] and rank[y[0]] < rank[a] and met(x[5], y[5]) >= share * sum(b[2] for b in x[5]) for x in rows if x[0] == a for y in rows)]
+        assert sorted(r.aid for r in absorb.absorbed(df, share).collect()) == sorted(want)
