@@ -614,3 +614,14 @@ def test_short_alignments_meet_without_pairs(spark, monkeypatch):
         firsts = {(r[1], *r[5]): min((rank[x[0]], x[0]) for x in rows if x[1] == r[1] and x[5] == r[5])[1] for r in rows}
         want = [a for a in firsts.values() if not any(x[1] and x[1] == y[1] and rank[y[0]] < rank[a] and met(x[5], y[5]) >= share * sum(b[2] for b in x[5]) for x in rows if x[0] == a for y in rows)]
         assert sorted(r.aid for r in absorb.absorbed(df, share).collect()) == sorted(want)
+
+
+def test_products_of_long_names_take_few_bytes(spark, tmp_path):
+    """A task's rows have so few distinct names that a file writes each once; pairs don't repeat them."""
+    pick = random.Random(5)
+    name = lambda: "".join(pick.choices("0123456789abcdef", k=500))
+    left, right = spark.createDataFrame([(name(),) for _ in range(60)], "x string"), spark.createDataFrame([(name(), i) for i in range(3003)], "y string, i long")
+    partition.crossed(left, right).write.parquet(str(tmp_path / "pairs"))
+    got = spark.read.parquet(str(tmp_path / "pairs"))
+    assert got.count() == got.select("x", "i").distinct().count() == 60 * 3003 and got.select("y", "i").distinct().count() == 3003
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("part-*")) < 8_000_000
