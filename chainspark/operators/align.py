@@ -151,15 +151,114 @@ def codes(seq: str) -> np.ndarray:
 
 def around(t: str, q: str, t_at: int, q_at: int, drop: int, scoring: Scoring = DEFAULT) -> tuple[int, list[tuple[int, int, int]]]:
     """(score, blocks (t, q, size)) of the alignment through a pair of places of two whole stretches."""
-    a, b = codes(t), codes(q)
-    right, ahead, *_ = advanced(a[t_at:], b[q_at:], drop, scoring=scoring)
-    left, behind, *_ = advanced(a[:t_at][::-1], b[:q_at][::-1], drop, scoring=scoring)
-    blocks: list[list[int]] = []
-    for x, y, n in reversed(behind):
-        _append(blocks, t_at - x - n, q_at - y - n, n)
-    for x, y, n in ahead:
-        _append(blocks, t_at + x, q_at + y, n)
-    return left + right, [tuple(x) for x in blocks]
+    return arounds([(t, q, t_at, q_at)], drop, scoring)[0]
+
+
+def arounds(places: list[tuple[str, str, int, int]], drop: int, scoring: Scoring = DEFAULT) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """As `around`, for many pairs of places; extensions of short sides are made side by side."""
+    sides = []
+    for t, q, t_at, q_at in places:
+        a, b = codes(t), codes(q)
+        sides += [(a[t_at:], b[q_at:]), (a[:t_at][::-1], b[:q_at][::-1])]
+    out, ends = [], _ended(sides, drop, scoring)
+    for (_, _, t_at, q_at), (right, ahead), (left, behind) in zip(places, ends[::2], ends[1::2], strict=True):
+        blocks: list[list[int]] = []
+        for x, y, n in reversed(behind):
+            _append(blocks, t_at - x - n, q_at - y - n, n)
+        for x, y, n in ahead:
+            _append(blocks, t_at + x, q_at + y, n)
+        out.append((left + right, [tuple(x) for x in blocks]))
+    return out
+
+
+#: Longest side, and number, of extensions that are made side by side.
+TINY, AT_ONCE = 64, 4096
+
+
+def _ended(sides: list[tuple[np.ndarray, np.ndarray]], drop: int, scoring: Scoring) -> list[tuple[int, list[list[int]]]]:
+    """(score, blocks) of `advanced` from the corner of each pair of whole stretches.
+
+    Where sides are so short that no place falls to the drop, the best path of one stretch is the best of all: what goes
+    on from its end scores nothing. Such pairs of like length fill their tables of scores together.
+    """
+    matrix, gap_open, gap_extend = score_matrix(scoring), scoring.gap_open, scoring.gap_extend
+    most, width = max(0, int(matrix.max())), (max(0, drop - gap_open) // max(1, gap_extend)) + 1
+    out: list = [None] * len(sides)
+    tiny = []
+    for i, (a, b) in enumerate(sides):
+        n, m = len(a), len(b)
+        if not n or not m:
+            out[i] = (0, [])
+        elif max(n, m) > TINY or m > width or gap_open < 0 or gap_extend < 0 or min(n, m) * most - drop > -2 * gap_open - gap_extend * (n + m):
+            out[i] = advanced(a, b, drop, scoring=scoring)[:2]
+        elif k := _same(a, b, gap_open, gap_extend, matrix):
+            out[i] = (int(matrix[a[:k], a[:k]].sum()), [[0, 0, k]])
+        else:
+            tiny.append(i)
+    tiny.sort(key=lambda i: (len(sides[i][0]), len(sides[i][1])))
+    for at in range(0, len(tiny), AT_ONCE):
+        some = tiny[at : at + AT_ONCE]
+        for i, got in zip(some, _together([sides[i] for i in some], gap_open, gap_extend, matrix), strict=True):
+            out[i] = got
+    return out
+
+
+def _together(sides: list[tuple[np.ndarray, np.ndarray]], gap_open: int, gap_extend: int, matrix: np.ndarray) -> list[tuple[int, list[list[int]]]]:
+    """(score, blocks) of `_stretch` for pairs of which no place is dropped, row by row of all tables at once.
+
+    Shorter sides are filled up; no place of a table depends on one behind it, and only own places are looked at.
+    """
+    n, m = np.array([len(a) for a, _ in sides]), np.array([len(b) for _, b in sides])
+    rows, columns, count = int(n.max()), int(m.max()), len(sides)
+    a, b = np.zeros((count, rows), dtype=np.intp), np.zeros((count, columns), dtype=np.intp)
+    for i, (x, y) in enumerate(sides):
+        a[i, : len(x)], b[i, : len(y)] = x, y
+    own = np.arange(columns + 1) <= m[:, None]
+    cost = gap_extend * np.arange(columns + 1, dtype=np.int64)
+    best = np.tile(np.append(0, -gap_open - cost[1:]), (count, 1))
+    up = np.full((count, columns + 1), _LOW, dtype=np.int64)
+    trace = np.empty((rows + 1, count, columns + 1), dtype=np.int8)
+    trace[0] = np.append(0, np.full(columns, 3))
+    top, top_i, top_j = (np.zeros(count, dtype=np.int64) for _ in range(3))
+    diag, left, begun = (np.full((count, columns + 1), _LOW, dtype=np.int64) for _ in range(3))
+    each = np.arange(count)
+    for i in range(1, rows + 1):
+        opened, longer = best - gap_open - gap_extend, up - gap_extend
+        up = np.maximum(opened, longer)
+        diag[:, 1:] = best[:, :-1] + matrix[a[:, i - 1, None], b]
+        row = np.maximum(diag, up)
+        lead = np.maximum.accumulate(row + cost, axis=1)
+        left[:, 1:] = lead[:, :-1] - gap_open - cost[1:]
+        begun[:, 1:] = row[:, :-1] - gap_open - gap_extend
+        best = np.maximum(row, left)
+        trace[i] = np.where(best == diag, 1, np.where(best == up, 2, 3)) + np.where(opened >= longer, 4, 0) + np.where(left == begun, 8, 0)
+        j = np.where(own, best, _LOW).argmax(axis=1)
+        here = best[each, j]
+        better = (i <= n) & (here > top)
+        top, top_i, top_j = np.where(better, here, top), np.where(better, i, top_i), np.where(better, j, top_j)
+    return [(score, _path(trace[:, x], i, j)) for x, (score, i, j) in enumerate(zip(top.tolist(), top_i.tolist(), top_j.tolist(), strict=True))]
+
+
+def _path(steps: np.ndarray, i: int, j: int) -> list[list[int]]:
+    """Blocks of the path of a whole table of steps from its corner to a place."""
+    steps, blocks = steps[: i + 1, : j + 1].tolist(), []
+    while i or j:
+        how = steps[i][j]
+        if how & 3 == 1:
+            i, j = i - 1, j - 1
+            if blocks and blocks[-1][0] == i + 1 and blocks[-1][1] == j + 1:
+                blocks[-1] = [i, j, blocks[-1][2] + 1]
+            else:
+                blocks.append([i, j, 1])
+        elif how & 3 == 2:
+            while not steps[i][j] & 4:
+                i -= 1
+            i -= 1
+        else:
+            while i and not steps[i][j] & 8:
+                j -= 1
+            j = j - 1 if i else 0
+    return blocks[::-1]
 
 
 _PAIR = ["t_chrom", "q_chrom"]

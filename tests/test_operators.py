@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainspark.functions import gaps, sequences, text
+from chainspark.functions.sequences import DEFAULT
 from chainspark.functions.ordering import indexed, ranked
 from chainspark.operators import absorb, align, bundle, chaining, chains, compare, fill, nets, nextfit, partition, seeds, tiles
 from chainspark.params import Params, from_mapping
@@ -625,3 +626,21 @@ def test_products_of_long_names_take_few_bytes(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "pairs"))
     assert got.count() == got.select("x", "i").distinct().count() == 60 * 3003 and got.select("y", "i").distinct().count() == 3003
     assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("part-*")) < 8_000_000
+
+
+def test_short_gaps_are_aligned_side_by_side(monkeypatch):
+    """Extensions of short sides made together are those made one by one, ties and unknown bases too; none goes row by row alone."""
+    pick, sides = random.Random(12), []
+    for _ in range(400):
+        t = "".join(pick.choices("ACGTNa" if pick.random() < 0.3 else "ACGT", k=pick.randint(11, 50)))
+        at = pick.randrange(20)
+        q = "".join(c if pick.random() < 0.93 else pick.choice(["", "A", "GG", "T"]) for c in t[at:])[:50]
+        sides.append((t, pick.choice([q, q[::-1], q + q])[:50]))
+    one = [align.advanced(align.codes(t), align.codes(q), 9400)[:2] for t, q in sides if t and q]
+    words = lambda s: {(i, s[i : i + 11]) for i in range(len(s) - 10) if set(s[i : i + 11]) <= set("ACGT")}
+    monkeypatch.setattr(align, "_stretch", lambda *_: pytest.fail("a short side was aligned alone"))
+    assert align._ended([(align.codes(t), align.codes(q)) for t, q in sides if t and q], 9400, DEFAULT) == one
+    for t, q in sides:
+        assert fill._diagonals(t, q, 11) == {j - i for i, x in words(t) for j, y in words(q) if x == y}
+    together = fill.local_alignments_of(sides, 11, 500, 500, 9400)
+    assert together == [fill.local_alignments(t, q, 11, 500, 500, 9400) for t, q in sides] and sum(map(len, together)) > 100
