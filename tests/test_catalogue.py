@@ -35,3 +35,13 @@ def test_matches_sql(spark, duck, name):
 @pytest.mark.parametrize("name", ["gapped_align", "axt_to_psl", "chain_dp", "repeat_fill"])
 def test_runs(spark, name):
     QUERIES[name](spark, DATA).collect()
+
+
+def test_bases_of_any_text(spark):
+    """Each character is one base, whatever its bytes; text isn't walked by a pattern."""
+    from chainspark.plans import adapters
+
+    rows = spark.createDataFrame([("aé𝒳z\n# B\x00",), (None,), ("",), ("日本 xT",)], "text string")
+    got = rows.select(adapters._bases(rows["text"]).alias("seq"))
+    assert [r.seq for r in got.collect()] == ["ANNCNNACN".replace("AC", "Ac"), None, "", "NNAT" + adapters._TO[45]]
+    assert "regexp" not in adapters.genome(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
