@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.sequences import DEFAULT, Scoring, letter_codes, score_matrix
-from ..scratch import Scratch
+from ..scratch import Scratch, even_tasks, small_batches
 from .absorb import absorbed
 from .tiles import lengths, tiles, with_bases
 
@@ -301,7 +301,8 @@ def _extended(starts: DataFrame, target: DataFrame, query: DataFrame, drop: int,
         on = F.col("side") > 0
         near = lambda c, n: (F.when(on, F.col(c)).otherwise(F.greatest(F.col(c) - n, F.lit(0))).alias(f"{c}0"), F.when(on, F.least(F.col(c) + n, F.col(f"{c}_size"))).otherwise(F.col(c)).alias(f"{c}1"))
         rows = ends.select(*_END, *near("t", stretch), *near("q", 2 * stretch))
-        got = scratch.keep(with_bases(with_bases(rows, target, "t_chrom", "t0", "t1", "t_seq"), query, "q_chrom", "q0", "q1", "q_seq").mapInPandas(move, _MOVED), "moved")
+        found = with_bases(with_bases(rows, target, "t_chrom", "t0", "t1", "t_seq"), query, "q_chrom", "q0", "q1", "q_seq")
+        got = scratch.keep(even_tasks(small_batches(found)).mapInPandas(move, _MOVED), "moved")
         moved = got if moved is None else moved.union(got)
         ends = got.where("alive").select(_END)
         if ends.isEmpty():

@@ -644,3 +644,23 @@ def test_short_gaps_are_aligned_side_by_side(monkeypatch):
         assert fill._diagonals(t, q, 11) == {j - i for i, x in words(t) for j, y in words(q) if x == y}
     together = fill.local_alignments_of(sides, 11, 500, 500, 9400)
     assert together == [fill.local_alignments(t, q, 11, 500, 500, 9400) for t, q in sides] and sum(map(len, together)) > 100
+
+
+def test_ends_of_alignments_are_dealt_evenly(spark, monkeypatch):
+    """Small rows that take long don't share a task by their bytes."""
+    from chainspark.scratch import Scratch
+
+    files, keep = [], Scratch.keep
+
+    def kept(self, df, name):
+        out = keep(self, df, name)
+        files.extend([len(out.inputFiles())] if name == "moved" else [])
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    rng = random.Random(3)
+    seqs = [(f"c{i}", dna(rng, 300)) for i in range(40)]
+    genome = spark.createDataFrame(seqs, "chrom string, seq string")
+    pairs = spark.createDataFrame([(c, c, 100, 100, 40) for c, _ in seqs], "t_chrom string, q_chrom string, t long, q long, length long")
+    found = align.gapped(pairs, genome, genome, 3000)
+    assert files[0] == 4 and found.count() == 40
